@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .bpe import CACHE_WORDS, _UNSAFE, ragged, vocabulary_path
@@ -85,7 +86,7 @@ def library_encoder(path: str) -> LibraryEncoder:
 
 def text_slices(batch: pa.RecordBatch, most_chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with bounded text, so that a worker's memory is bounded too."""
-    sizes = pa.compute.utf8_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.utf8_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
     for i, size in enumerate(sizes):
         if total and total + size > most_chars:
