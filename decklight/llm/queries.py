@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, tokens
+from . import bpe, quality, simhash, substring, tokens
 from .shared import read_table
 
 
@@ -15,7 +15,9 @@ def _documents(apply: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessio
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring": _documents(substring.op1_substring),
     "op2_quality_rules": _documents(quality.op2_quality_rules),
+    "op3_simhash": _documents(simhash.op3_simhash),
     "op9_bpe": _documents(bpe.op9_bpe),
     "op10_token_files": tokens.op10_token_files,
 }
