@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, simhash, substring, tokens
+from . import bpe, media, packing, quality, simhash, substring, tokens, toxicity
 from .shared import read_table
 
 
@@ -18,6 +18,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": _documents(substring.op1_substring),
     "op2_quality_rules": _documents(quality.op2_quality_rules),
     "op3_simhash": _documents(simhash.op3_simhash),
+    "op4_toxicity": lambda spark, sf_dir: toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")),
+    "op5_media": media.op5_media,
+    "op6_packing": _documents(packing.op6_packing),
     "op9_bpe": _documents(bpe.op9_bpe),
     "op10_token_files": tokens.op10_token_files,
 }
