@@ -4,17 +4,21 @@ A window is 13 consecutive words. Each window belongs to the least-hashed run of
 six words in it (its anchor), so equal windows have equal anchors, and consecutive
 windows with one anchor form a segment. The job:
 
-1. anchors that occur in one document only are dropped (counted in a grouped
-   aggregate); their windows cannot be shared;
-2. the other segments are cut from the texts as words and grouped by content, so
-   that copies, however many, reach a shard once, with their least doc_id;
-3. each shard (a run of anchors of bounded size) is indexed, every segment is
-   streamed through the index, and the interval of each of its windows gives the
-   least doc_id that holds it;
+1. segments are dealt out by anchor, without their words; those whose anchor is in
+   one document only cannot be shared and go;
+2. of each content, the segment of the least doc_id stands for all its copies; the
+   words of these are cut from the texts and sent to the shard of their anchor, so
+   that copies, however many, reach a shard once;
+3. each shard (some anchors, of bounded size) is indexed, every segment is streamed
+   through the index, and the interval of each of its windows gives the least doc_id
+   that holds it;
 4. windows held by a smaller doc_id go back to their documents.
 
-An anchor that more than ``HOT_ANCHOR`` segments share is dealt out window by
-window, by the window's own hash, so no anchor fills a task.
+Anchors that a sample shows to be frequent are dealt out window by window, by the
+window's own hash, and grouped by an aggregate that combines before it shuffles, so
+no anchor fills a task. The sample decides how rows are dealt, never which count.
+
+Segments are known by two 64-bit hashes; the index compares the words themselves.
 
 Defined results: a null text has no words; fewer than 13 words are never removed;
 rows with a null doc_id are kept whole and remove nothing; rows that share a doc_id
@@ -37,9 +41,13 @@ from .tokens import text_slices
 
 WINDOW = 13
 ANCHOR = 6
-#: Segments of one anchor from which on its windows are dealt out singly.
-HOT_ANCHOR = 2_000
-#: Words in a shard; one anchor adds less than HOT_ANCHOR segments to it.
+#: Anchors this often in a sample (a share of the documents, and about SAMPLE_DOCS at
+#: most) are dealt out window by window; of these, the MOST_HOT most frequent.
+HOT_IN_SAMPLE = 8
+SAMPLE_SHARE = 0.1
+SAMPLE_DOCS = 20_000
+MOST_HOT = 50_000
+#: Words in a shard, besides those of its last anchor.
 SHARD_WORDS = 400_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,10 +66,10 @@ def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
 
 
 def segments_of(lengths: np.ndarray, words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """(text number, first word in the text, windows, anchor hash) of all segments of some texts."""
+    """(text number, first word in the text, windows, anchor hash, content hash) of all segments of some texts."""
     count = max(0, len(words) - window + 1)
     if not count:
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
     runs = run_hashes(words, anchor)
     least, place = runs[:count].copy(), np.arange(count)
     for i in range(1, window - anchor + 1):
@@ -73,13 +81,23 @@ def segments_of(lengths: np.ndarray, words: np.ndarray, window: int, anchor: int
     new = np.ones(count, bool)
     new[1:] = (place[1:] != place[:-1]) | (text_of[1:count] != text_of[: count - 1]) | ~good[:-1]
     at = np.flatnonzero(new & good)
-    group = np.cumsum(new & good)
-    size = np.bincount(group[good] - 1, minlength=len(at))
-    return text_of[at], at - first[text_of[at]], size, least[at]
+    size = np.bincount(np.cumsum(new & good)[good] - 1, minlength=len(at))
+    # the first and the last window cover a segment, so they and their number make its hash
+    whole = run_hashes(words, window)
+    content = _mixed(whole[at] * _MULTIPLIER + whole[at + size - 1] + size.astype(np.uint64))
+    return text_of[at], at - first[text_of[at]], size, least[at], content
+
+
+def window_hash(words: bytes) -> int:
+    return xxhash.xxh64_intdigest(words, 7) - (1 << 63)
+
 
+_SEGMENT = "anchor long, content long, doc_id long, first int, windows int"
+_NAMES = ["anchor", "content", "doc_id", "first", "windows"]
 
-def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(anchor, doc_id, first, windows): the segments of every text, without their words."""
+
+def segments(docs: DataFrame, window: int, anchor: int, hot: np.ndarray | None = None, want_hot: bool = False) -> DataFrame:
+    """Every text's segments, without words: those whose anchor is not in ``hot``, or the windows of those whose is."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
@@ -88,65 +106,120 @@ def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                 split = [text.encode().split() for text in part["text"].to_pylist()]
                 lengths = np.array([len(w) for w in split], np.int64)
                 hashes = np.array([digest(w) for words in split for w in words], np.uint64)
-                text, first, size, key = segments_of(lengths, hashes, window, anchor)
+                text, first, size, key, content = segments_of(lengths, hashes, window, anchor)
+                if hot is not None:
+                    pick = np.isin(key, hot) == want_hot
+                    text, first, size, key, content = (x[pick] for x in (text, first, size, key, content))
+                if want_hot:
+                    rows = [
+                        (window_hash(b" ".join(split[t][at : at + window])), t, at)
+                        for t, start, count in zip(text.tolist(), first.tolist(), size.tolist())
+                        for at in range(start, start + count)
+                    ]
+                    own = np.array(rows, np.int64).reshape(-1, 3)
+                    key, text, first, size = own[:, 0], own[:, 1], own[:, 2], np.ones(len(own))
+                    content = key
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(key.view(np.int64)),
-                        part["doc_id"].take(pa.array(text)),
-                        pa.array(first.astype(np.int32)),
-                        pa.array(size.astype(np.int32)),
+                        pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), part["doc_id"].take(pa.array(text)),
+                        pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)),
                     ],
-                    ["anchor", "doc_id", "first", "windows"],
-                )
+                    _NAMES,
+                )
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(cut, "anchor long, doc_id long, first int, windows int")
+    return docs.where("doc_id IS NOT NULL").mapInArrow(cut, _SEGMENT)
 
 
-def shared_segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(doc_id, parts): the segments of each document whose anchor is in another document too."""
-    found = anchors(docs, window, anchor)
-    shared = (
-        found.groupBy("anchor")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("low") < F.col("high"))
-        .select(F.col("anchor").alias("shared_anchor"), (F.col("n") > HOT_ANCHOR).alias("hot"))
-    )
-    kept = found.join(shared, F.col("anchor") == F.col("shared_anchor"))
-    parts = kept.groupBy(F.col("doc_id").alias("part_doc_id")).agg(F.collect_list(F.struct("anchor", "first", "windows", "hot")).alias("parts"))
-    return written(parts)
+def hot_anchors(docs: DataFrame, window: int, anchor: int) -> np.ndarray:
+    """At most MOST_HOT anchors, sorted; only a sample of SAMPLE_DOCS documents at most is cut for it."""
+    sample = docs.sample(min(SAMPLE_SHARE, SAMPLE_DOCS / max(1, docs.count())), seed=5)
+    seen = segments(sample, window, anchor).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_IN_SAMPLE)
+    return np.sort(np.array([r.anchor for r in seen.orderBy(F.desc("n"), "anchor").limit(MOST_HOT).collect()], np.int64).view(np.uint64))
+
 
+def shared_only(dealt: DataFrame) -> DataFrame:
+    """Of segments sorted by anchor, content and doc_id: those whose anchor two documents hold, and whether
+    one stands for its content; then ``high`` is the content's greatest doc_id."""
 
-def with_words(docs: DataFrame, parts: DataFrame, window: int) -> DataFrame:
-    """(anchor, segment, doc_id, first): each shared segment's words, joined by a space."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            anchor, content, doc, first, windows = (np.concatenate(c) for c in zip(*held))
+            n = len(anchor)
+            start = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+            group = np.repeat(np.arange(len(start)), np.diff(np.append(start, n)))
+            shared = (np.minimum.reduceat(doc, start) < np.maximum.reduceat(doc, start))[group]
+            lead = np.append(True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1]))
+            at = np.flatnonzero(lead)
+            high = np.zeros(n, np.int64)
+            high[at] = np.maximum.reduceat(doc, at)
+            columns = (anchor, content, doc, first, windows, lead, high)
+            return pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in columns], [*_NAMES, "lead", "high"])
+
+        for batch in batches:
+            columns = [batch[c].to_numpy() for c in _NAMES]
+            if not batch.num_rows:
+                continue
+            # rows of the last anchor may go on in the next batch
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            if cut or (held and held[-1][0][-1] != columns[0][0]):
+                if cut:
+                    held.append([c[:cut] for c in columns])
+                yield out()
+                held = []
+            held.append([c[cut:] for c in columns])
+        if held:
+            yield out()
+
+    return dealt.mapInArrow(keep, f"{_SEGMENT}, lead boolean, high long")
+
+
+def shared_segments(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, DataFrame]:
+    """(all segments that may be shared; of each content, the one of the least doc_id)."""
+    hot = hot_anchors(docs, window, anchor)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = segments(docs, window, anchor, hot).repartition(parts, "anchor").sortWithinPartitions("anchor", "content", "doc_id", "first")
+    cold = written(shared_only(dealt))
+    places = cold.select("anchor", "content", "doc_id", "first")
+    leads = cold.where("lead").select(*_NAMES, "high")
+    if len(hot):
+        warm = written(segments(docs, window, anchor, hot, True))
+        least = warm.groupBy("anchor").agg(F.min(F.struct("doc_id", "first")).alias("lead"), F.max("doc_id").alias("high"))
+        least = least.where(F.col("lead.doc_id") < F.col("high"))
+        leads = leads.unionByName(
+            least.select("anchor", F.col("anchor").alias("content"), "lead.doc_id", "lead.first", F.lit(1).alias("windows"), "high")
+        )
+        places = places.unionByName(warm.select("anchor", "content", "doc_id", "first"))
+    return places, leads
+
+
+def with_words(docs: DataFrame, leads: DataFrame, window: int) -> DataFrame:
+    """(anchor, content, segment, low, high): the words of each leading segment, joined by a space."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch):
                 rows: list[tuple] = []
                 for doc_id, text, found in zip(*(piece[c].to_pylist() for c in ("doc_id", "text", "parts"))):
-                    if not found:
-                        continue
-                    words = text.encode().split()
-                    for part in found:
-                        first, count = part["first"], part["windows"]
-                        if not part["hot"]:
-                            rows.append((part["anchor"], b" ".join(words[first : first + count + window - 1]), doc_id, first))
-                            continue
-                        for at in range(first, first + count):
-                            own = b" ".join(words[at : at + window])
-                            rows.append((xxhash.xxh64_intdigest(own, 7) - (1 << 63), own, doc_id, at))
-                anchor, segment, doc, first = zip(*rows) if rows else ((),) * 4
+                    words = text.encode().split() if found else []
+                    for part in found or ():
+                        first = part["first"]
+                        rows.append((part["anchor"], part["content"], b" ".join(words[first : first + part["windows"] + window - 1]), doc_id, part["high"]))
+                anchor, content, segment, low, high = zip(*rows) if rows else ((),) * 5
+                longs = [pa.array(c, pa.int64()) for c in (anchor, content, low, high)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor, pa.int64()), pa.array(segment, pa.binary()).cast(pa.string()), pa.array(doc, pa.int64()), pa.array(first, pa.int32())],
-                    ["anchor", "segment", "doc_id", "first"],
+                    [longs[0], longs[1], pa.array(segment, pa.binary()).cast(pa.string()), longs[2], longs[3]],
+                    ["anchor", "content", "segment", "low", "high"],
                 )
 
+    parts = leads.groupBy(F.col("doc_id").alias("part_doc_id")).agg(F.collect_list(F.struct("anchor", "content", "first", "windows", "high")).alias("parts"))
     joined = docs.join(parts, F.col("doc_id") == F.col("part_doc_id"), "left").select("doc_id", "text", "parts")
-    return joined.mapInArrow(cut, "anchor long, segment string, doc_id long, first int")
+    return joined.mapInArrow(cut, "anchor long, content long, segment string, low long, high long")
 
 
 def search_shards(distinct: DataFrame, window: int) -> DataFrame:
-    """(anchor, segment_key, least): for segments some of whose windows a smaller doc_id holds,
+    """(anchor, content, least): for segments some of whose windows a smaller doc_id holds,
     the least doc_id of each window. ``distinct`` has each content once, with its doc_ids' range."""
 
     def index(anchor, key, segment, low, high) -> pa.RecordBatch:
@@ -170,14 +243,14 @@ def search_shards(distinct: DataFrame, window: int) -> DataFrame:
                 pa.array(np.array(key, np.int64)[pick]),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(least[held])),
             ],
-            ["anchor", "segment_key", "least"],
+            ["anchor", "content", "least"],
         )
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], [], []]
         size = 0
         for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in ("anchor", "segment_key", "segment", "low", "high"))):
+            for row in zip(*(batch[c].to_pylist() for c in ("anchor", "content", "segment", "low", "high"))):
                 if size >= SHARD_WORDS and row[0] != held[0][-1]:
                     yield index(*held)
                     held, size = [[], [], [], [], []], 0
@@ -189,18 +262,16 @@ def search_shards(distinct: DataFrame, window: int) -> DataFrame:
 
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = distinct.repartition(parts, "anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(shards, "anchor long, segment_key long, least array<long>")
+    return dealt.mapInArrow(shards, "anchor long, content long, least array<long>")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, at): for each document that has some, the starts of its windows that a smaller doc_id holds too."""
-    parts = shared_segments(docs, window, anchor)
-    found = with_words(docs, parts, window).withColumn("segment_key", F.xxhash64("segment"))
-    distinct = found.groupBy("anchor", "segment_key", "segment").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    least = search_shards(distinct, window).select(F.col("anchor").alias("a"), F.col("segment_key").alias("k"), "least")
-    places = found.select("anchor", "segment_key", "doc_id", "first")
+    places, leads = shared_segments(docs, window, anchor)
+    least = search_shards(with_words(docs, leads, window), window)
+    least = least.select(F.col("anchor").alias("a"), F.col("content").alias("c"), "least")
     return (
-        places.join(least, (F.col("anchor") == F.col("a")) & (F.col("segment_key") == F.col("k")))
+        places.join(least, (F.col("anchor") == F.col("a")) & (F.col("content") == F.col("c")))
         .select(
             "doc_id",
             F.expr("transform(filter(transform(least, (m, i) -> IF(m < doc_id, i, -1)), i -> i >= 0), i -> first + i)").alias("at"),

@@ -63,7 +63,8 @@ def corpus():
 
 @pytest.mark.parametrize("hot", [2_000, 3])
 def test_against_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(substring, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(substring, "HOT_IN_SAMPLE", hot)
+    monkeypatch.setattr(substring, "SAMPLE_SHARE", 1.0)
     monkeypatch.setattr(substring, "SHARD_WORDS", 500)
     rows = corpus()
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
