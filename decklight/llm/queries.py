@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, packing, quality, simhash, substring, tokens, toxicity
+from . import bpe, html_tree, licenses, media, packing, quality, simhash, substring, tokens, toxicity
 from .shared import read_table
 
 
@@ -21,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": lambda spark, sf_dir: toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")),
     "op5_media": media.op5_media,
     "op6_packing": _documents(packing.op6_packing),
+    "op7_html_tree": lambda spark, sf_dir: html_tree.extract(read_table(spark, sf_dir, "pages")),
+    "op8_licenses": _documents(licenses.license_scan),
     "op9_bpe": _documents(bpe.op9_bpe),
     "op10_token_files": tokens.op10_token_files,
 }
