@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,18 +23,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .bpe import CACHE_WORDS, _UNSAFE, ragged, vocabulary_path
+from .bpe import CACHE_WORDS, _UNSAFE, byte_alphabet, ragged, vocabulary_path
 from .shared import read_table, shared_folder, text_or_empty
 
 END_ID = 2
+#: Letters up to here are letters to every version of the Unicode tables.
+_LAST_LATIN = "\u024f"
 
 
 class LibraryEncoder:
-    """The ``tokenizers`` library, asked once for each distinct word of a batch.
+    """The ``tokenizers`` library, asked once for each distinct word while it is remembered.
 
     Words are cut before each space that follows a non-space, where the
     pre-tokenizer cuts as well; texts for which that does not hold go to the
-    library whole.
+    library whole. A word of letters, with or without a full stop or comma, is one or
+    two pre-tokens and goes to the library's model directly; a line break between two
+    words is a pre-token of its own.
     """
 
     def __init__(self, path: str):
@@ -43,33 +48,71 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._whole = re.compile("|".join([_UNSAFE.pattern, *map(re.escape, special)]))
+        self._byte_char = {b: c for c, b in byte_alphabet().items()}
+        self._space = self._byte_char[32]
+        self._mark = {mark: self._library([mark])[0] for mark in ".,\n"}
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        whole = [i for i, text in enumerate(texts) if self._whole.search(text)]
-        cut = {i: text.split(" ") for i, text in enumerate(texts)}
-        for i in whole:
-            cut[i] = [""]
-        words = set().union(*(parts[1:] for parts in cut.values()))
+    def _letters(self, word: str, before: str) -> bytes | None:
+        """The ids of a word of letters after ``before`` (a space or a line break), or None for others."""
+        key = word if before == " " else " " + word  # no cut word has a space
+        ids = self._young.get(key) or self._old.get(key)
+        if ids is None:
+            if not word.isalpha() or not word.isascii() and max(word) > _LAST_LATIN:
+                return None
+            if not word.isascii():
+                word = "".join(map(self._byte_char.__getitem__, word.encode()))
+            if before == " ":
+                word = self._space + word
+            ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        self._young[key] = ids
+        return ids
+
+    def _word(self, word: str, before: str = " ") -> bytes | None:
+        if word[-1:] in (".", ",") and word[-2:-1].isalpha():
+            ids = self._letters(word[:-1], before)
+            return ids and ids + self._mark[word[-1]]
+        return self._letters(word, before)
+
+    def _remember(self, words: set[str]) -> None:
         if len(self._young) > CACHE_WORDS // 2:  # words not seen for two generations are forgotten
             self._old, self._young = self._young, {}
         known, old = self._young, self._old
         missing = []
         for word in words.difference(known):
-            if word in old:
-                known[word] = old[word]
+            ids = old.get(word)
+            if ids is None:
+                first, mid, last = word.partition("\n")
+                ids = self._word(first)
+                if ids and mid:
+                    rest = self._word(last, mid)
+                    ids = rest and ids + self._mark[mid] + rest
+            if ids:
+                known[word] = ids
             else:
                 missing.append(word)
         known.update(zip(missing, self._library([" " + word for word in missing])))
-        firsts = self._library([parts[0] for parts in cut.values()])
-        out = [b"".join([first, *map(known.__getitem__, parts[1:])]) for first, parts in zip(firsts, cut.values())]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        whole = [i for i, text in enumerate(texts) if self._whole.search(text)]
+        firsts, rests = [], []
+        for text in texts:
+            first, *rest = text.split(" ")
+            firsts.append(first)
+            rests.append(rest)
+        for i in whole:
+            firsts[i], rests[i] = "", []
+        self._remember(set().union(*rests))
+        find = self._young.__getitem__
+        out = [b"".join([first, *map(find, rest)]) for first, rest in zip(self._library(firsts), rests)]
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
         return out
