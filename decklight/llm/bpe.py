@@ -170,7 +170,7 @@ def ragged(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     """A list column out of one array a row."""
     offsets = np.zeros(len(arrays) + 1, np.int32)
     np.cumsum([len(a) for a in arrays], out=offsets[1:])
-    flat = np.concatenate(arrays) if arrays else np.empty(0)
+    flat = np.concatenate(arrays) if arrays else np.empty(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(kind.to_pandas_dtype())))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Words are separated by these six ASCII characters and nothing else.
@@ -42,3 +43,9 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers with their bits spread."""
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)

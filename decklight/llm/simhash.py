@@ -10,6 +10,12 @@ Shards over ``SHARD_ENTRIES`` are cut into chunks and every pair of chunks is a
 of bounded size, so none is capped. A task returns the links of a spanning forest,
 never all pairs, and the forests are joined by alternating star contractions.
 
+``similar_groups`` finds texts by Jaccard similarity: at 0.8, one bit in seven differs,
+so it uses ``WIDE_WORDS`` fingerprints of independent hashes, of which any of 30 bands
+of 12 bits must agree (a miss has about one chance in 85 at 0.8, in 10,000 at 0.9), takes
+BK-tree neighbours within ``WIDE_RADIUS`` bits, and checks each link of the forests
+against the texts' whole shingle sets.
+
 Defined results: a null text, or one without words, has fingerprint zero and links
 like any other; ties and repeated rows share a component; a null doc_id keeps its
 fingerprint, links nothing and has a null component_id; an empty table gives an
@@ -25,7 +31,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import text_or_empty, written
+from .bpe import ragged
+from .shared import mixed, text_or_empty, written
 from .tokens import text_slices
 
 SHARD_ENTRIES = 2048
@@ -34,9 +41,10 @@ FOREST_ENTRIES = 16_384
 _BITS = 64
 
 
-def fingerprint(words: list[bytes], shingle: int) -> int:
+def fingerprint(words: list[bytes], shingle: int, wide: int = 1) -> np.ndarray:
+    """``wide`` 64-bit fingerprints; the first is of the plain hashes, the others of hashes mixed with a number."""
     if not words:
-        return 0
+        return np.zeros(wide, np.uint64)
     digest = xxhash.xxh64_intdigest
     count = max(1, len(words) - shingle + 1)
     joined = b" ".join(words)
@@ -46,56 +54,76 @@ def fingerprint(words: list[bytes], shingle: int) -> int:
         ends = np.cumsum([len(w) + 1 for w in words]).tolist()
         starts = [0, *ends]
         hashes = np.array([digest(joined[a : b - 1], 42) for a, b in zip(starts, ends[shingle - 1 :])], np.uint64)
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
+    ones = np.zeros(wide * _BITS, np.int64)
+    for at in range(0, count, 20_000):
+        part = hashes[at : at + 20_000, None]
+        if wide > 1:
+            part = np.hstack([part, *(mixed(part ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) for k in range(1, wide))])
+        ones += np.unpackbits(np.ascontiguousarray(part).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > count, bitorder="little").view("<u8")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp long) for every row."""
+def fingerprints(docs: DataFrame, shingle: int = 4, wide: int = 1) -> DataFrame:
+    """(doc_id, fp array<long> of ``wide``) for every row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                fp = np.array([fingerprint(t.encode().lower().split(), shingle) for t in part["text"].to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+                fp = np.array([fingerprint(t.encode().lower().split(), shingle, wide) for t in part["text"].to_pylist()], np.uint64).reshape(-1, wide)
+                ends = pa.array(np.arange(0, len(fp) * wide + 1, wide, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.ListArray.from_arrays(ends, pa.array(fp.view(np.int64).ravel()))], ["doc_id", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(make, "doc_id long, fp long")
+    return rows.mapInArrow(make, "doc_id long, fp array<long>")
+
+
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
 
 class BKForest:
-    """BK-trees, one for each run of equal ``tree`` numbers, built level by level."""
+    """BK-trees over rows of fingerprint words, one tree for each run of equal ``tree`` numbers, built level by level.
+
+    ``first_child[n]`` to ``first_child[n + 1]`` are the places of node n's children in
+    ``child``, and ``edge`` holds their distances to it.
+    """
 
     def __init__(self, values: np.ndarray, tree: np.ndarray):
         self.values = values
-        first = np.flatnonzero(np.append(True, tree[1:] != tree[:-1])) if len(tree) else np.empty(0, np.int64)
-        self.root = first[np.cumsum(np.isin(np.arange(len(tree)), first)) - 1] if len(tree) else first
-        self.child = np.full((len(values), _BITS + 1), -1, np.int32)
-        waiting = np.setdiff1d(np.arange(len(values)), first)
+        n = len(values)
+        new = np.append(True, tree[1:] != tree[:-1])[:n]
+        self.root = np.flatnonzero(new)[np.cumsum(new) - 1]
+        waiting = np.flatnonzero(~new)
         parent = self.root[waiting]
+        span = values.shape[1] * _BITS + 1
+        slots, nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         while len(waiting):
-            far = np.bitwise_count(values[waiting] ^ values[parent]).astype(np.int64)
-            slot, start, group = np.unique(parent * (_BITS + 1) + far, return_index=True, return_inverse=True)
+            far = _far(values[waiting], values[parent])
+            slot, start, group = np.unique(parent * span + far, return_index=True, return_inverse=True)
             placed = waiting[start]
-            self.child.ravel()[slot] = placed
+            slots.append(slot)
+            nodes.append(placed)
             parent = placed[group]
             left = parent != waiting
             waiting, parent = waiting[left], parent[left]
+        slot = np.concatenate(slots)
+        order = np.argsort(slot)
+        self.child, self.edge = np.concatenate(nodes)[order], slot[order] % span
+        self.first_child = np.searchsorted(slot[order] // span, np.arange(n + 1))
 
-    def within(self, query: np.ndarray, root: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query number, entry) for every entry of the root's tree within the radius."""
+    def within(self, query: np.ndarray, root: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query number, entry, distance) for every entry of the root's tree within the radius."""
         number, node = np.arange(len(query)), root
-        hits: list[tuple[np.ndarray, np.ndarray]] = []
-        steps = np.arange(-radius, radius + 1)
+        hits = [(number[:0], node[:0], number[:0])]
         while len(node):
-            far = np.bitwise_count(query[number] ^ self.values[node]).astype(np.int64)
+            far = _far(query[number], self.values[node])
             near = far <= radius
-            hits.append((number[near], node[near]))
-            edge = far[:, None] + steps
-            child = np.where((edge >= 0) & (edge <= _BITS), self.child[node[:, None], np.clip(edge, 0, _BITS)], -1)
-            row, column = np.nonzero(child >= 0)
-            number, node = number[row], child[row, column].astype(np.int64)
-        return np.concatenate([h[0] for h in hits] or [number]), np.concatenate([h[1] for h in hits] or [node])
+            hits.append((number[near], node[near], far[near]))
+            count = self.first_child[node + 1] - self.first_child[node]
+            at = np.repeat(self.first_child[node] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            follow = np.abs(self.edge[at] - np.repeat(far, count)) <= radius
+            number, node = np.repeat(number, count)[follow], self.child[at[follow]]
+        return tuple(np.concatenate(c) for c in zip(*hits))
 
 
 class Forest:
@@ -111,6 +139,8 @@ class Forest:
         if not open_.any():
             return
         pairs, at = np.unique(np.column_stack([np.minimum(la, lb)[open_], np.maximum(la, lb)[open_]]), axis=0, return_index=True)
+        order = np.argsort(at)  # as given: nearer ones first
+        pairs, at = pairs[order], at[order]
         a, b = a[open_][at], b[open_][at]
         root: dict[int, int] = {}
 
@@ -136,7 +166,7 @@ def shard_links(shard: np.ndarray, side: np.ndarray, value: np.ndarray, rep: np.
 
     Side 0 is put into the tree; side 1 asks it. Where a shard has no side 1, side 0 asks.
     """
-    order = np.lexsort((value, side, shard))
+    order = np.lexsort((value[:, 0], side, shard))
     shard, side, value, rep = shard[order], side[order], value[order], rep[order]
     inside = side == 0
     tree = BKForest(value[inside], shard[inside])
@@ -150,27 +180,29 @@ def shard_links(shard: np.ndarray, side: np.ndarray, value: np.ndarray, rep: np.
     for i in range(0, len(queries), 512):
         part = queries[i : i + 512]
         root = at[np.searchsorted(names, shard[part])]
-        number, node = tree.within(value[part], root, radius)
-        forest.add(item[part[number]], item[entry[node]])
+        number, node, far = tree.within(value[part], root, radius)
+        near_first = np.argsort(far, kind="stable")
+        forest.add(item[part[number]][near_first], item[entry[node]][near_first])
     links = np.array(forest.links, np.int64).reshape(-1, 2)
     return reps[links[:, 0]], reps[links[:, 1]]
 
 
-def fingerprint_links(groups: DataFrame, radius: int = 4) -> DataFrame:
+def pigeonholes(radius: int) -> list[tuple[int, int, int]]:
+    """(word, low bit, bits): blocks of one word, one of which must agree within the radius."""
+    edges = [round(i * _BITS / (radius + 1)) for i in range(radius + 2)]
+    return [(0, a, b - a) for a, b in zip(edges, edges[1:])]
+
+
+def fingerprint_links(groups: DataFrame, radius: int, blocks: list[tuple[int, int, int]]) -> DataFrame:
     """(u, v): links between the groups (fp, rep) that hold their components together."""
-    blocks = radius + 1
-    edges = [round(i * _BITS / blocks) for i in range(blocks + 1)]
-    keys = F.array(
-        *(
-            F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft("fp", _BITS - edges[i + 1]), _BITS - edges[i + 1] + edges[i]).alias("part"))
-            for i in range(blocks)
-        )
-    )
+    part = lambda word, low, bits: F.shiftrightunsigned(F.shiftleft(F.get("fp", word), _BITS - low - bits), _BITS - bits)
+    keys = F.array(*(F.struct(F.lit(i).alias("block"), part(*b).alias("part")) for i, b in enumerate(blocks)))
     dealt = groups.select("fp", "rep", F.explode(keys).alias("key")).select("fp", "rep", "key.block", "key.part")
-    sizes = dealt.groupBy(F.col("block").alias("b"), F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sized = dealt.join(sizes, (F.col("block") == F.col("b")) & (F.col("part") == F.col("p")))
-    chunks = F.ceil(F.col("n") / SHARD_ENTRIES).cast("int")
-    chunked = sized.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    # Large shards only. There are at most len(blocks) * 2 ** bits shards at all, so this table may be broadcast.
+    sizes = dealt.groupBy(F.col("block").alias("b"), F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_ENTRIES)
+    sized = dealt.join(F.broadcast(sizes), (F.col("block") == F.col("b")) & (F.col("part") == F.col("p")), "left")
+    chunks = F.coalesce(F.ceil(F.col("n") / SHARD_ENTRIES), F.lit(1)).cast("int")
+    chunked = sized.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     # the chunk pairs (i, j), i <= j, that this entry's chunk is in; side 1 asks the tree of side 0
     others = F.transform(
         F.sequence(F.lit(0), F.col("chunks") - 1),
@@ -181,22 +213,32 @@ def fingerprint_links(groups: DataFrame, radius: int = 4) -> DataFrame:
     )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(held: list[np.ndarray]) -> pa.RecordBatch:
-            shard, side, fp, rep = (np.concatenate(c) for c in zip(*held))
+        def out(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+            shard, side, rep, fp = (np.concatenate(c) for c in zip(*held))
             u, v = shard_links(shard, side, fp.view(np.uint64), rep, radius)
             return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
         held: list[list[np.ndarray]] = []
         size = 0
         for batch in batches:
-            columns = [batch[c].to_numpy() for c in ("shard", "side", "fp", "rep")]
-            starts = np.flatnonzero(np.append(True, columns[0][1:] != columns[0][:-1])).tolist() if batch.num_rows else []
-            for a, b in zip(starts, [*starts[1:], batch.num_rows]):
-                if size >= FOREST_ENTRIES and columns[0][a] != held[-1][0][-1]:
+            if not batch.num_rows:
+                continue
+            columns = [batch[c].to_numpy() for c in ("shard", "side", "rep")]
+            columns.append(batch["fp"].flatten().to_numpy().reshape(batch.num_rows, -1))
+            shard, start = columns[0], 0
+            while start < batch.num_rows:
+                if size >= FOREST_ENTRIES:  # this shard ends before the next begins
+                    end = int(np.searchsorted(shard, held[-1][0][-1], "right"))
+                    if end > start:
+                        held.append([c[start:end] for c in columns])
+                        start = end
+                    if start == batch.num_rows:
+                        break
                     yield out(held)
                     held, size = [], 0
-                held.append([c[a:b] for c in columns])
-                size += b - a
+                end = min(batch.num_rows, start + FOREST_ENTRIES - size)
+                held.append([c[start:end] for c in columns])
+                start, size = end, size + end - start
         if held:
             yield out(held)
 
@@ -225,11 +267,8 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) for every row."""
-    made = written(fingerprints(docs, shingle))
-    groups = made.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    found = components(fingerprint_links(groups, radius))
+def _classes(made: DataFrame, links: DataFrame, groups: DataFrame) -> DataFrame:
+    found = components(links)
     classes = groups.join(found, F.col("rep") == F.col("node"), "left").select(
         F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component_id")
     )
@@ -238,5 +277,65 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     )
 
 
+def _groups(made: DataFrame) -> DataFrame:
+    return made.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """(doc_id, fp, component_id) for every row."""
+    made = written(fingerprints(docs, shingle))
+    groups = _groups(made)
+    return _classes(made, fingerprint_links(groups, radius, pigeonholes(radius)), groups)
+
+
 def op3_simhash(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex(F.get("fp", 0))), 16, "0").alias("fingerprint"), "component_id")
+
+
+WIDE_WORDS = 6
+WIDE_RADIUS = 80
+WIDE_BLOCKS = [(word, low, 12) for word in range(WIDE_WORDS) for low in range(0, 60, 12)]
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    words = text.encode().lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    parts = (b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1)))
+    return np.unique(np.array([xxhash.xxh64_intdigest(p, 42) for p in parts], np.uint64))
+
+
+def checked_links(docs: DataFrame, links: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The links whose texts have at least this Jaccard similarity, by their whole shingle sets."""
+    links = written(links.distinct())
+    ends = links.select(F.explode(F.array("u", "v")).alias("end"), "u", "v")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch):
+                held = [shingle_set(t, shingle).view(np.int64) for t in part["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], ragged(held, pa.int64())], ["doc_id", "shingles"])
+
+    wanted = docs.join(ends.select(F.col("end").alias("w")).distinct(), F.col("doc_id") == F.col("w"), "left_semi")
+    made = wanted.select("doc_id", "text").mapInArrow(sets, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"])
+    one = made.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+    two = made.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    both = links.join(one, F.col("u") == F.col("a")).join(two, F.col("v") == F.col("b"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    similar = common >= F.lit(least) * (F.size("sa") + F.size("sb") - common)
+    return both.where(similar | ((F.size("sa") == 0) & (F.size("sb") == 0))).select("u", "v")
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """(doc_id, fp, component_id): components of texts linked by word-shingle similarity."""
+    made = written(fingerprints(docs, shingle, WIDE_WORDS))
+    groups = written(_groups(made))
+    links = fingerprint_links(groups, WIDE_RADIUS, WIDE_BLOCKS)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return _classes(made, checked_links(rows, links, shingle, least), groups)
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """``docs`` without the rows whose text is similar to one of a smaller doc_id; rows with a null doc_id stay."""
+    gone = similar_groups(docs, shingle, least).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .fm_index import FMIndex
-from .shared import text_or_empty, written
+from .shared import mixed, text_or_empty, written
 from .tokens import text_slices
 
 WINDOW = 13
@@ -52,17 +52,12 @@ SHARD_WORDS = 400_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-
-
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """A hash for each run of ``length`` word hashes."""
     total = np.zeros(max(0, len(words) - length + 1), np.uint64)
     for i in range(length):
         total = total * _MULTIPLIER + words[i : i + len(total)]
-    return _mixed(total)
+    return mixed(total)
 
 
 def segments_of(lengths: np.ndarray, words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -84,7 +79,7 @@ def segments_of(lengths: np.ndarray, words: np.ndarray, window: int, anchor: int
     size = np.bincount(np.cumsum(new & good)[good] - 1, minlength=len(at))
     # the first and the last window cover a segment, so they and their number make its hash
     whole = run_hashes(words, window)
-    content = _mixed(whole[at] * _MULTIPLIER + whole[at + size - 1] + size.astype(np.uint64))
+    content = mixed(whole[at] * _MULTIPLIER + whole[at + size - 1] + size.astype(np.uint64))
     return text_of[at], at - first[text_of[at]], size, least[at], content
 
 

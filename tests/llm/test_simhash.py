@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from decklight.llm import simhash
-from decklight.llm.simhash import BKForest, components, fingerprint, op3_simhash
+from decklight.llm.simhash import BKForest, components, fingerprint, keep_one_of_each, op3_simhash, shingle_set
 
 SCHEMA = "doc_id long, text string, fp string, component_id int"
 
@@ -49,17 +49,18 @@ def corpus():
 
 def test_fingerprint():
     for text in ("", "A b", "a B c d", "x y z é 漢 q r s", "a a a a a a"):
-        assert fingerprint(text.encode().lower().split(), 4) == plain_fingerprint(text)
+        assert fingerprint(text.encode().lower().split(), 4).tolist() == [plain_fingerprint(text)]
+        assert fingerprint(text.encode().lower().split(), 4, 3)[0] == plain_fingerprint(text)
 
 
 def test_forest_finds_all_within_radius():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
     values = np.unique(np.concatenate([base ^ (np.uint64(1) << rng.integers(0, 64, 40).astype(np.uint64)) for _ in range(6)]))
-    forest = BKForest(values, np.zeros(len(values), np.int64))
-    number, node = forest.within(values, np.zeros(len(values), np.int64), 4)
+    forest = BKForest(values[:, None], np.zeros(len(values), np.int64))
+    number, node, _ = forest.within(values[:, None], np.zeros(len(values), np.int64), 4)
     far = np.bitwise_count(values[:, None] ^ values)
-    assert set(zip(number.tolist(), node.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(far <= 4))))
+    assert sorted(zip(number.tolist(), node.tolist())) == sorted(zip(*(x.tolist() for x in np.nonzero(far <= 4))))
 
 
 @pytest.mark.parametrize("entries", [2048, 7])
@@ -75,3 +76,32 @@ def test_long_chain_and_empty_table(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(7, 7)], "u long, v long")
     assert {r.component for r in components(links).collect()} == {0}
     assert op3_simhash(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def similar(a, b):
+    x, y = set(shingle_set(a or "", 5).tolist()), set(shingle_set(b or "", 5).tolist())
+    return not x and not y or len(x & y) >= 0.8 * len(x | y)
+
+
+def test_similar_texts_leave_one(spark):
+    random.seed(9)
+    words = [f"w{i}" for i in range(500)]
+    rows = [(900, None), (901, ""), (None, "a b c d e f")]
+    for i in range(0, 120, 4):
+        base = random.choices(words, k=random.choice([40, 150, 600]))
+        for j in range(4):
+            own = list(base)
+            for _ in range(j * len(base) // 150):
+                own[random.randrange(len(own))] = random.choice(words)
+            rows.append((i + j, " ".join(own)))
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    kept = keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    kept = {r.doc_id for r in kept.collect()}
+    texts = {i: t for i, t in rows if i is not None}
+    assert None in kept and 900 in kept and 901 not in kept
+    for i in texts.keys() - kept:  # nothing goes without a similar text in its group
+        assert any(similar(texts[i], texts[j]) for j in texts if j != i)
+    left = [(a, b) for a in kept - {None} for b in kept - {None} if a < b and similar(texts[a], texts[b])]
+    assert len(left) <= 1
+    assert keep_one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
