@@ -45,11 +45,13 @@ RULES = (
 )
 
 
-def quality_measures(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, counts and ratios) of each row."""
-    base = docs.select(F.col(key).alias("doc_id"), text_or_empty(text_col).alias("text"))
+def quality_measures(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """(doc_id, counts) of each row; with ``whole_rows`` also the row itself, as the struct ``row``."""
+    row = [F.struct(*docs.columns).alias("row")] if whole_rows else []
+    base = docs.select("doc_id", text_or_empty().alias("text"), *row)
     split = base.select(
         "doc_id",
+        *(["row"] if row else []),
         F.filter(F.split("text", WORD_GAP), lambda w: w != "").alias("words"),
         F.length(F.translate("text", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -57,6 +59,7 @@ def quality_measures(docs: DataFrame, text_col: str = "text", key: str = "doc_id
     )
     counted = split.select(
         "doc_id",
+        *(["row"] if row else []),
         F.size("words").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -123,17 +126,25 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    measured = quality_measures(docs)
-    passed = F.lit(True)
+def kept(rules: tuple[Rule, ...] = RULES) -> Column:
+    passed = ~base_failed()
     for column in rule_columns(rules):
         passed = passed & column
-    return measured.select(
+    return passed
+
+
+def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    return quality_measures(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed().alias("base_failed"), (~base_failed() & passed).alias("kept"),
+        base_failed().alias("base_failed"), kept(rules).alias("kept"),
     )
 
 
+def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The kept rows of ``docs``, with their own columns."""
+    return quality_measures(docs, whole_rows=True).where(kept(rules)).select("row.*")
+
+
 def op2_quality_rules(docs: DataFrame) -> DataFrame:
     return quality_verdicts(docs)
 

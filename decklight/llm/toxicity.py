@@ -29,7 +29,7 @@ from .shared import text_or_empty, written
 MOST_POSITIVE = 4_000
 MOST_UNLABELLED = 12_000
 #: Words kept as inputs, and the least positives one must be in.
-MOST_WORDS = 192
+MOST_WORDS = 96
 LEAST_FOUND = 3
 #: The least share of positives among the texts that hold a word, by the two samples.
 LEAST_LIKELY = 0.5
@@ -88,7 +88,7 @@ class ToxicityModel:
         return float(np.mean(1 / (1 + np.exp(-margin))))
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 250, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.1, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """A linear classifier under the non-negative risk with logistic loss; Adam, full batches."""
     theta = np.zeros(positive.shape[1] + 1, np.float32)
     theta[-1] = np.log(prior / (1 - prior))
@@ -106,7 +106,19 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
         gradient[:-1] += decay * theta[:-1]
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return theta[:-1], float(theta[-1])
+    return theta[:-1], prior_bias(unlabelled @ theta[:-1], prior)
+
+
+def prior_bias(margin: np.ndarray, prior: float) -> float:
+    """The bias under which the mean score of the unlabelled rows is the class prior."""
+    low, high = -40.0, 40.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        if np.mean(1 / (1 + np.exp(-np.clip(margin + middle, -40, 40)))) < prior:
+            low = middle
+        else:
+            high = middle
+    return middle
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
