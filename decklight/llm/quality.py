@@ -141,8 +141,13 @@ def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFr
 
 
 def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The kept rows of ``docs``, with their own columns."""
-    return quality_measures(docs, whole_rows=True).where(kept(rules)).select("row.*")
+    """The kept rows of ``docs``, with their own columns.
+
+    The verdict passes through a generator, for a filter is not pushed below one:
+    pushed down it would repeat the array expressions within each other.
+    """
+    judged = quality_measures(docs, whole_rows=True).select("row", F.explode(F.array(kept(rules))).alias("kept"))
+    return judged.where("kept").select("row.*")
 
 
 def op2_quality_rules(docs: DataFrame) -> DataFrame:
