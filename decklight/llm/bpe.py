@@ -29,7 +29,7 @@ from .shared import text_or_empty
 
 SHORT_WORD = 96
 #: Entries a Python worker keeps; at about 250 bytes each.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 #: A space that follows another white-space character is no safe cut.
 _UNSAFE = re.compile(r"\s ")
 _NO_RANK = 1 << 60

@@ -13,7 +13,6 @@ gives an empty table; other columns are not carried.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -23,12 +22,36 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .bpe import CACHE_WORDS, _UNSAFE, byte_alphabet, ragged, vocabulary_path
+from .bpe import CACHE_WORDS, byte_alphabet, ragged, vocabulary_path
 from .shared import read_table, shared_folder, text_or_empty
 
 END_ID = 2
 #: Letters up to here are letters to every version of the Unicode tables.
 _LAST_LATIN = "\u024f"
+#: A space after white space, which is no safe place to cut.
+_GAPS = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
+_ASCII_GAPS = [g for g in _GAPS if g.isascii()]
+
+
+class _Words(dict):
+    """Ids by word; an unknown word is looked up among the old ones, or encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+    def forget(self) -> None:
+        """Words not seen for two generations go."""
+        if len(self) > CACHE_WORDS // 2:
+            self.old = dict(self)
+            self.clear()
 
 
 class LibraryEncoder:
@@ -49,72 +72,48 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._whole = re.compile("|".join([_UNSAFE.pattern, *map(re.escape, special)]))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._byte_char = {b: c for c, b in byte_alphabet().items()}
         self._space = self._byte_char[32]
         self._mark = {mark: self._library([mark])[0] for mark in ".,\n"}
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._after_space = _Words(lambda word: self._word(word, self._space))
+        self._after_break = _Words(lambda word: self._word(word, ""))
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, word: str, before: str) -> bytes | None:
-        """The ids of a word of letters after ``before`` (a space or a line break), or None for others."""
-        key = word if before == " " else " " + word  # no cut word has a space
-        ids = self._young.get(key) or self._old.get(key)
-        if ids is None:
-            if not word.isalpha() or not word.isascii() and max(word) > _LAST_LATIN:
-                return None
+    def _word(self, word: str, before: str) -> bytes:
+        """The ids of a word after ``before``: the character that stands for a space, or nothing."""
+        if word.isalpha() and (word.isascii() or max(word) <= _LAST_LATIN):
             if not word.isascii():
                 word = "".join(map(self._byte_char.__getitem__, word.encode()))
-            if before == " ":
-                word = self._space + word
-            ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        self._young[key] = ids
-        return ids
-
-    def _word(self, word: str, before: str = " ") -> bytes | None:
-        if word[-1:] in (".", ",") and word[-2:-1].isalpha():
-            ids = self._letters(word[:-1], before)
-            return ids and ids + self._mark[word[-1]]
-        return self._letters(word, before)
-
-    def _remember(self, words: set[str]) -> None:
-        if len(self._young) > CACHE_WORDS // 2:  # words not seen for two generations are forgotten
-            self._old, self._young = self._young, {}
-        known, old = self._young, self._old
-        missing = []
-        for word in words.difference(known):
-            ids = old.get(word)
-            if ids is None:
-                first, mid, last = word.partition("\n")
-                ids = self._word(first)
-                if ids and mid:
-                    rest = self._word(last, mid)
-                    ids = rest and ids + self._mark[mid] + rest
-            if ids:
-                known[word] = ids
-            else:
-                missing.append(word)
-        known.update(zip(missing, self._library([" " + word for word in missing])))
+            return array("I", [t.id for t in self.model.tokenize(before + word)]).tobytes()
+        known = self._after_space if before else self._after_break
+        if word[-1:] in (".", ",") and word[:-1].isalpha():
+            return known[word[:-1]] + self._mark[word[-1]]
+        first, mid, last = word.partition("\n")
+        if mid and first and last and not first[-1].isspace() and not last[0].isspace():
+            return known[first] + self._mark[mid] + self._after_break[last]
+        return self._library([" " + word if before else word])[0]
+
+    def _cut_safely(self, text: str) -> bool:
+        """Whether each space follows a non-space, and no special token is there."""
+        for gap in _ASCII_GAPS if text.isascii() else _GAPS:
+            if gap in text:
+                return False
+        return not any(special in text for special in self.special)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        whole = [i for i, text in enumerate(texts) if self._whole.search(text)]
-        firsts, rests = [], []
+        self._after_space.forget()
+        self._after_break.forget()
+        find, out = self._after_space.__getitem__, []
         for text in texts:
-            first, *rest = text.split(" ")
-            firsts.append(first)
-            rests.append(rest)
-        for i in whole:
-            firsts[i], rests[i] = "", []
-        self._remember(set().union(*rests))
-        find = self._young.__getitem__
-        out = [b"".join([first, *map(find, rest)]) for first, rest in zip(self._library(firsts), rests)]
-        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-            out[i] = ids
+            if self._cut_safely(text):
+                first, *rest = text.split(" ")
+                out.append(b"".join([self._after_break[first], *map(find, rest)]))
+            else:
+                out.append(self._library([text])[0])
         return out
 
 
