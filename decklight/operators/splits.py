@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from decklight.functions.columns import hash_order
+from decklight.functions.tables import written
 from .voxels import BRIDGE
 
 SEED = 27
@@ -89,12 +90,15 @@ def cap_per_group(df: DataFrame, cap: int, groups: list[str], keys: list[str], s
     return ranked.where(F.col("__r") <= cap).drop("__r")
 
 
-def numbered(df: DataFrame, order: list[Column], name: str, buckets: str | None = None) -> DataFrame:
-    """Row numbers from 1 over the whole table, in two steps: within ranges of the order, then over the ranges' sizes."""
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Row numbers from 1 over the whole table, in two steps: within ranges of the order, then over the ranges' sizes.
+
+    The ranges are written, for they come from a sample and would differ from one reading to the next.
+    """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.select("*", *(c.alias(f"__k{i}") for i, c in enumerate(order)))
     keys = [f"__k{i}" for i in range(len(order))]
-    ranged = dealt.repartitionByRange(parts, *keys).withColumn("__p", F.spark_partition_id())
+    ranged = written(dealt.repartitionByRange(parts, *keys).withColumn("__p", F.spark_partition_id()))
     sizes = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))  # a row a partition
     within = F.row_number().over(Window.partitionBy("__p").orderBy(*keys))

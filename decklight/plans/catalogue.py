@@ -1,10 +1,829 @@
-"""Registered queries over the reference operators and their DuckDB SQL."""
+"""Registered queries over the point-cloud operators, each with its DuckDB SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from decklight.functions import columns as C
+from decklight.functions.tables import shared_folder
+from decklight.operators import metrics as M, planes as P, runs as R, spatial as S, splits as E, training as T, voxels as V
+from decklight.plans.views import view, with_duck
+from decklight.sources import tables as A
+from decklight.streaming import monitor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+B = V.BRIDGE
+
+
+def query(name: str, sql: str | None = None, *views: str):
+    """Registers a function of (get, spark, sf_dir); ``get`` gives a table or view by name."""
+
+    def put(build):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            def get(n: str) -> DataFrame:
+                made = n in ("points", "bridges", "sources", "run_logs", "curved_logs", "metrics")
+                return view(spark, sf_dir, n) if made else spark.read.parquet(f"{sf_dir}/{n}.parquet")
+
+            return build(get, spark, sf_dir)
+
+        QUERIES[name] = run
+        if sql:
+            ORACLE_SQL[name] = with_duck(sql, *views) if views else sql
+        return build
+
+    return put
+
+
+def r(c, n: int = 4):
+    return F.round(F.col(c) if isinstance(c, str) else c, n)
+
+
+def rounded(df: DataFrame, names: list[str], n: int = 4) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), n) for c in names})
+
+
+def splits_of(get) -> DataFrame:
+    """Used splits: half of the bridges, with a stem made of their own id and a source name."""
+    rows = get("bridges").where("CAST(osmid AS BIGINT) % 2 = 0")
+    split = E.stratified_split(rows, 0.70, 0.15, 0.15)
+    return split.select("huc_id", "osmid", C.bridge_stem("osmid", F.lit("USGS LPC: A/1")).alias("bridge_stem"), "split")
+
+
+_HASH = "md5(concat_ws('|', '27', huc_id, osmid))"
+SPLIT_SQL = f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY huc_id ORDER BY {_HASH}, osmid) AS rk, count(*) OVER (PARTITION BY huc_id) AS n
+  FROM bridges WHERE CAST(osmid AS BIGINT) % 2 = 0),
+used_splits AS (SELECT huc_id, osmid, concat('bridge_', osmid, '_USGS_LPC__A_1') AS bridge_stem,
+  CASE WHEN rk <= floor(CAST(0.70 AS DOUBLE) * n) THEN 'train' WHEN rk <= floor(CAST(0.70 AS DOUBLE) * n) + floor(CAST(0.15 AS DOUBLE) * n) THEN 'val' ELSE 'test' END AS split FROM ranked)"""
+
+
+def with_splits(sql: str) -> str:
+    return with_duck("", "bridges").rstrip() + ", " + SPLIT_SQL + " " + sql
+
+
+# ---- A: scans and sinks -------------------------------------------------------------------
+
+
+@query("a1_scan_bridges", "SELECT CAST(c_custkey AS VARCHAR) AS osmid, c_name AS name FROM customer")
+def _(get, spark, sf):
+    made = A.scan_bridges(spark, f"{sf}/customer.parquet", ("c_custkey", "c_name"))
+    return made.select(F.col("c_custkey").cast("string").alias("osmid"), F.col("c_name").alias("name"))
+
+
+@query("a2_huc_partitions", "SELECT DISTINCT huc_id FROM bridges WHERE huc_id IN ('00000001', '00000007', '00000024', '99999999')", "bridges")
+def _(get, spark, sf):
+    return A.huc_partitions(get("bridges"), ["00000001", "00000007", "00000024", "99999999"])
+
+
+@query("a4_scan_points", "SELECT huc_id, count(*) AS n FROM points WHERE huc_id IN ('00000003', '00000005') GROUP BY huc_id", "points")
+def _(get, spark, sf):
+    return R.filter_by_ids(get("points"), "huc_id", ["00000003", "00000005"]).groupBy("huc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("a7_scan_cloud_metadata", "SELECT event_id, CAST(k AS VARCHAR) AS class, CAST(json_extract_string(props, '$.' || k) AS BIGINT) AS n FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events WHERE props IS NOT NULL)")
+def _(get, spark, sf):
+    return A.cloud_metadata_rows(get("events"), "props", "event_id")
+
+
+@query("a8_scan_split_ids", with_splits("SELECT huc_id, bridge_stem FROM used_splits"))
+def _(get, spark, sf):
+    lines = splits_of(get).select(F.concat(F.lit(" "), F.col("huc_id"), F.lit("/"), F.col("bridge_stem")).alias("value"), F.col("osmid").cast("long").alias("line_no"))
+    return A.split_ids(lines.unionByName(lines)).select("huc_id", "bridge_stem")
+
+
+@query("a12_results_csv", "SELECT huc_id, bridge_id AS osmid, CASE WHEN count(*) % 3 = 0 THEN '' ELSE printf('%.3f', round(max(z), 2)) END AS rmse, printf('%.3f', round(min(z), 2)) AS deviation FROM points GROUP BY ALL", "points")
+def _(get, spark, sf):
+    made = get("points").groupBy("huc_id", F.col("bridge_id").alias("osmid")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("z"), 2).alias("rmse"), F.round(F.min("z"), 2).alias("deviation"))
+    return R.results_csv(made.withColumn("rmse", F.when(F.col("n") % 3 != 0, F.col("rmse"))))
+
+
+@query("a13_split_manifest", with_splits("SELECT split, huc_id, row_number() OVER (PARTITION BY split, huc_id ORDER BY bridge_stem) AS line_in_huc, concat(huc_id, '/', bridge_stem) AS line FROM used_splits"))
+def _(get, spark, sf):
+    return A.split_manifest(splits_of(get)).withColumn("line_in_huc", F.col("line_in_huc").cast("long"))
+
+
+@query("a16_split_file_plan", with_splits("SELECT huc_id, osmid, bridge_stem, split, concat(huc_id, '/', bridge_stem, '.', ext) AS file FROM (SELECT *, unnest(CASE WHEN split = 'test' THEN ['pt', 'laz'] ELSE ['pt'] END) AS ext FROM used_splits)"))
+def _(get, spark, sf):
+    return R.split_file_plan(splits_of(get))
+
+
+# ---- B: scalar functions ------------------------------------------------------------------
+
+
+@query("b1_safe_source_name", r"SELECT n_name, regexp_replace(concat(n_name, ' /:\é.-_'), '[^\p{L}\p{N}._-]', '_', 'g') AS safe FROM nation")
+def _(get, spark, sf):
+    return get("nation").select("n_name", C.safe_source_name(F.concat("n_name", F.lit(" /:\\é.-_"))).alias("safe"))
+
+
+@query("b2_bridge_stem", r"SELECT c_custkey, concat('bridge_', c_custkey, '_', regexp_replace(c_mktsegment || ' x', '[^\p{L}\p{N}._-]', '_', 'g')) AS stem FROM customer")
+def _(get, spark, sf):
+    return get("customer").select("c_custkey", C.bridge_stem("c_custkey", F.concat("c_mktsegment", F.lit(" x"))).alias("stem"))
+
+
+_STEMS = "concat(CASE WHEN c_custkey % 5 = 0 THEN 'brid_' ELSE 'bridge_' END, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE CAST(c_custkey AS {s}) END, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '_' END, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END)"
+
+
+@query("b3_parse_bridge_stem", f"SELECT c_custkey, CASE WHEN regexp_matches(s, '^bridge_[^_]+_') THEN regexp_extract(s, '^bridge_([^_]+)_', 1) END AS osm_id, CASE WHEN regexp_matches(s, '^bridge_[^_]+_') THEN regexp_extract(s, '^bridge_[^_]+_(.*)$', 1) END AS source FROM (SELECT c_custkey, {_STEMS.format(s='VARCHAR')} AS s FROM customer)")
+def _(get, spark, sf):
+    parsed = get("customer").select("c_custkey", C.parse_bridge_stem(F.expr(_STEMS.format(s="STRING"))).alias("p"))
+    return parsed.select("c_custkey", "p.osm_id", "p.source")
+
+
+@query("b4_filter_by_ids", "SELECT osmid, name FROM bridges WHERE osmid IN ('3', '14', '159')", "bridges")
+def _(get, spark, sf):
+    return R.filter_by_ids(get("bridges"), "osmid", [3, 14, "159"]).select("osmid", "name")
+
+
+@query("b5_lidar_subset", "SELECT has_lidar_tif, osmid FROM bridges", "bridges")
+def _(get, spark, sf):
+    bridges = get("bridges")
+    return R.lidar_subset(bridges, "Y").unionByName(R.lidar_subset(bridges, "N")).select("has_lidar_tif", "osmid")
+
+
+@query("b6_asprs_to_model", "SELECT l_partkey % 20 AS code, CASE l_partkey % 20 WHEN 2 THEN 1 WHEN 9 THEN 1 WHEN 17 THEN 2 WHEN 18 THEN 3 ELSE 0 END AS model, count(*) AS n FROM lineitem GROUP BY ALL")
+def _(get, spark, sf):
+    coded = get("lineitem").select((F.col("l_partkey") % 20).alias("code"))
+    return coded.groupBy("code").agg(F.first(C.asprs_to_model("code")).alias("model"), F.count(F.lit(1)).alias("n"))
+
+
+@query("b7_model_to_asprs", "SELECT pred, CASE pred WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 17 ELSE 18 END AS code, count(*) AS n FROM points GROUP BY ALL", "points")
+def _(get, spark, sf):
+    return get("points").groupBy("pred", C.model_to_asprs("pred").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("b8_deck_mask_overlay", "SELECT classification, pred, CASE WHEN pred = 2 THEN 17 ELSE classification END AS code, count(*) AS n FROM points GROUP BY ALL", "points")
+def _(get, spark, sf):
+    return get("points").groupBy("classification", "pred", C.deck_mask_overlay("classification", "pred").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("b9_classified_output", "SELECT output, code, count(*) AS n FROM (SELECT unnest([{'output': 'predicted', 'code': CASE pred WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 17 ELSE 18 END}, {'output': 'bridge_masked', 'code': CASE WHEN pred = 2 THEN 17 ELSE classification END}], recursive := true) FROM points) GROUP BY ALL", "points")
+def _(get, spark, sf):
+    return C.classified_output(get("points"), "both").groupBy("output", "code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("b10_to_web_mercator", "SELECT c_custkey, round(radians(CAST(c_custkey % 360 - 180 AS DOUBLE)) * 6378137, 2) AS x, round(ln(tan(pi() / 4 + radians(CAST(c_custkey % 170 - 85 AS DOUBLE)) / 2)) * 6378137, 2) + 0 AS y FROM customer")
+def _(get, spark, sf):
+    x, y = C.to_web_mercator((F.col("c_custkey") % 360 - 180).cast("double"), (F.col("c_custkey") % 170 - 85).cast("double"))
+    return get("customer").select("c_custkey", r(x, 2).alias("x"), (r(y, 2) + 0).alias("y"))
+
+
+@query("b11_shift_to_min", "SELECT huc_id, bridge_id, point_idx, " + ", ".join(f"round({c} - min({c}) OVER (PARTITION BY huc_id, bridge_id), 8) AS {c}" for c in "xyz") + " FROM points", "points")
+def _(get, spark, sf):
+    return rounded(V.shift_to_min(get("points")), ["x", "y", "z"], 8)
+
+
+@query("b12_restore_absolute", "SELECT huc_id, bridge_id, point_idx, round(x, 8) AS x, round(y, 8) AS y, round(z, 8) AS z FROM points", "points")
+def _(get, spark, sf):
+    points = get("points")
+    return rounded(V.restore_absolute(V.normalize_cloud(points), V.cloud_offsets(points)), ["x", "y", "z"], 8)
+
+
+_NAMES = "CASE c_custkey % 5 WHEN 0 THEN 'None' WHEN 1 THEN ' nan' WHEN 2 THEN '' WHEN 3 THEN NULL ELSE c_name END"
+
+
+@query("b13_clean_bridge_name", f"SELECT c_custkey, CASE WHEN lower(trim(n)) IN ('none', 'nan', '') THEN '' ELSE coalesce(n, '') END AS name FROM (SELECT c_custkey, {_NAMES} AS n FROM customer)")
+def _(get, spark, sf):
+    return get("customer").select("c_custkey", C.clean_bridge_name(F.expr(_NAMES)).alias("name"))
+
+
+@query("b14_normalize_huc8", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN concat('x', c_custkey) ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS huc8 FROM customer")
+def _(get, spark, sf):
+    code = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("x"), "c_custkey")).otherwise(F.concat(F.lit(" "), "c_custkey"))
+    return get("customer").select("c_custkey", C.normalize_huc8(code).alias("huc8"))
+
+
+def _uniform_sql(name: str, keys: str) -> str:
+    return f"((CAST(('0x' || substr(md5(concat_ws('|', '27', '{name}', {keys})), 1, 8)) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE))"
+
+
+def _normal_sql(name: str) -> str:
+    keys = "huc_id, bridge_id, CAST(point_idx AS VARCHAR)"
+    return f"(sqrt(-2 * ln({_uniform_sql(name + 'a', keys)})) * cos(2 * pi() * {_uniform_sql(name + 'b', keys)}))"
+
+
+@query("b15_augment_points", f"""SELECT huc_id, bridge_id, point_idx, {", ".join(f"round({c} - min({c}) OVER (PARTITION BY huc_id, bridge_id), 4) AS {c}" for c in "xyz")} FROM (
+  SELECT huc_id, bridge_id, point_idx, x * cos(a) - y * sin(a) + 0.01 * {_normal_sql("x")} AS x, x * sin(a) + y * cos(a) + 0.01 * {_normal_sql("y")} AS y, z + 0.01 * {_normal_sql("z")} AS z
+  FROM (SELECT *, 2 * pi() * {_uniform_sql("angle", "huc_id, bridge_id")} AS a FROM points))""", "points")
+def _(get, spark, sf):
+    return rounded(V.augment_points(get("points")), ["x", "y", "z"])
+
+
+@query("b16_output_keys", "SELECT osmid, concat('out/', huc_id, '/', osmid, s, '.laz') AS key FROM bridges, (SELECT unnest(['_predicted', '_bridge_masked']) AS s)", "bridges")
+def _(get, spark, sf):
+    lines = get("bridges").select("osmid", F.concat("huc_id", F.lit("/"), "osmid", F.lit(".laz")).alias("line"))
+    return C.output_keys(lines, "line", "out", "both").select("osmid", "key")
+
+
+@query("b17_short_labels", "SELECT c_custkey, split_part(c_name || '-v' || (c_custkey % 9), '-', -1) AS label, CASE WHEN length(c_mktsegment || c_name || c_name) > 40 THEN substr(c_mktsegment || c_name || c_name, 1, 37) || '...' ELSE c_mktsegment || c_name || c_name END AS stem FROM customer")
+def _(get, spark, sf):
+    customer = get("customer")
+    label = F.concat("c_name", F.lit("-v"), (F.col("c_custkey") % 9).cast("string"))
+    return customer.select("c_custkey", C.short_run_label(label).alias("label"), C.short_stem(F.concat("c_mktsegment", "c_name", "c_name")).alias("stem"))
+
+
+@query("b18_min_points_gate", "SELECT huc_id, bridge_id, count(*) AS n_points, CASE WHEN count(*) < 600 THEN 'skipped' ELSE 'ok' END AS status FROM points GROUP BY ALL", "points")
+def _(get, spark, sf):
+    return V.min_points_gate(get("points"), 600)
+
+
+@query("b19_argmax_logits", "SELECT vec_id, CAST(list_position(embedding[1:4], list_max(embedding[1:4])) - 1 AS INT) AS class FROM embeddings")
+def _(get, spark, sf):
+    return get("embeddings").select("vec_id", C.argmax_logits(F.slice("embedding", 1, 4)).alias("class"))
+
+
+@query("b20_percent_scale", "SELECT event_id, CASE WHEN value <= 1 THEN value * 100 ELSE value END AS percent FROM events")
+def _(get, spark, sf):
+    return get("events").select("event_id", C.percent_scale("value").alias("percent"))
+
+
+@query("b21_parse_uri", "SELECT osmid, concat('b', huc_id) AS bucket, concat(osmid, '/x.laz') AS key FROM bridges", "bridges")
+def _(get, spark, sf):
+    bucket, key = C.parse_uri(F.concat(F.lit("s3://b"), "huc_id", F.lit("/"), "osmid", F.lit("/x.laz")))
+    return get("bridges").select("osmid", bucket.alias("bucket"), key.alias("key"))
+
+
+_LINES = "SELECT c_custkey AS line_no, CASE WHEN c_custkey % 11 = 0 THEN 'x' || c_custkey ELSE c_nationkey || '/' || (c_custkey % 400) END AS line FROM customer"
+
+
+@query("b22_manifest_validate", f"WITH l AS ({_LINES}), f AS (SELECT *, min(line_no) OVER (PARTITION BY line) AS first_line FROM l) SELECT line_no, line, 'no_slash' AS issue, CAST(NULL AS BIGINT) AS first_line FROM f WHERE NOT contains(line, '/') UNION ALL SELECT line_no, line, 'duplicate', first_line FROM f WHERE line_no > first_line")
+def _(get, spark, sf):
+    return R.manifest_validate(spark.sql(_LINES.replace("customer", "{customer}"), customer=get("customer")))
+
+
+@query("b23_parse_curved_log", "SELECT line_no, lpad(CAST(user_id AS VARCHAR), 8, '0') AS huc_id, CAST(event_id % 500 AS VARCHAR) AS osm_id, concat('S_', event_id % 7) AS source, floor(abs(value)) + 0.375 AS max_deviation FROM (SELECT *, event_id AS line_no FROM events) WHERE event_type = 'error'")
+def _(get, spark, sf):
+    return C.parse_curved_log(get("curved_logs")).drop("line")
+
+
+@query("b24_parse_run_log", r"SELECT line_no, CAST(regexp_extract(line, 'Child ([0-9]+)', 1) AS INT) AS child, regexp_extract(line, 'bridge=([^\]]+)', 1) AS bridge, regexp_extract(line, '\] ([A-Z_]+)( |$)', 1) AS event, CAST(nullif(regexp_extract(line, 'bridge_seconds=([0-9.]+)s', 1), '') AS DOUBLE) AS seconds, nullif(regexp_extract(line, 'reason=([a-z_]+)', 1), '') AS reason FROM run_logs", "run_logs")
+def _(get, spark, sf):
+    return C.parse_run_log(get("run_logs")).drop("line", "ts")
+
+
+_EPOCHS = "SELECT epoch, max(train_loss_epoch) AS train_loss_epoch, max(val_loss) AS val_loss, max(val_deck_iou) AS val_deck_iou FROM metrics GROUP BY epoch"
+
+
+def epochs_of(get) -> DataFrame:
+    return T.epoch_metrics(get("metrics"), ["train_loss_epoch", "val_loss", "val_deck_iou"])
+
+
+@query("b25_metric_pairs", f"SELECT epoch, 'loss' AS metric, train_loss_epoch AS train, val_loss AS val FROM ({_EPOCHS})", "metrics")
+def _(get, spark, sf):
+    return T.metric_curves(epochs_of(get))
+
+
+# ---- C: joins -----------------------------------------------------------------------------
+
+_PAIRS = """SELECT huc_id, osmid, s.name AS source_name, s.url AS source_url FROM bridges, sources s
+WHERE sqrt(pow(greatest(0, xmin - greatest(x0, x1), least(x0, x1) - xmax), 2) + pow(greatest(0, ymin - greatest(y0, y1), least(y0, y1) - ymax), 2)) <= 10"""
+
+
+def pairs_of(get) -> DataFrame:
+    return S.bridge_source_join(get("bridges"), get("sources"))
+
+
+@query("c1_bridge_source_join", _PAIRS, "bridges", "sources")
+def _(get, spark, sf):
+    return pairs_of(get)
+
+
+@query("c2_clip_points_to_bridge", "SELECT huc_id, bridge_id, count(*) AS n FROM points WHERE abs(y - 4) <= 2.5 AND x BETWEEN 3 AND 20 OR sqrt(pow(x - 3, 2) + pow(y - 4, 2)) <= 2.5 OR sqrt(pow(x - 20, 2) + pow(y - 4, 2)) <= 2.5 GROUP BY ALL", "points")
+def _(get, spark, sf):
+    points = get("points")
+    segments = points.select(*B).distinct().select(*B, F.lit(3.0).alias("x0"), F.lit(4.0).alias("y0"), F.lit(20.0).alias("x1"), F.lit(4.0).alias("y1"))
+    return S.clip_points_to_bridge(points, segments, 2.5).groupBy(*B).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("c3_generate_tasks", f"SELECT * FROM ({_PAIRS}) WHERE huc_id IN ('00000001', '00000002')", "bridges", "sources")
+def _(get, spark, sf):
+    return S.generate_tasks(get("bridges"), get("sources"), ["00000001", "00000002"])
+
+
+_STATE = "CASE CAST(osmid AS BIGINT) % 3 WHEN 0 THEN 'exists' WHEN 1 THEN 'no_points' ELSE 'timeout' END"
+
+
+@query("c4_skip_existing", f"SELECT * FROM ({_PAIRS}) WHERE CAST(osmid AS BIGINT) % 5 <> 0", "bridges", "sources")
+def _(get, spark, sf):
+    tasks = pairs_of(get)
+    status = tasks.where("CAST(osmid AS BIGINT) % 5 = 0").select("huc_id", "osmid", "source_name", F.expr(_STATE).alias("state"))
+    return R.skip_existing(tasks, status)
+
+
+@query("c5_unseen_candidates", with_duck("", "bridges", "sources").rstrip() + ", " + SPLIT_SQL + f" SELECT osmid, huc_id, source_name, source_url, concat('bridge_', osmid, '_', replace(source_name, ' ', '_')) AS bridge_stem, osmid IN (SELECT osmid FROM used_splits) AS proven_linear FROM ({_PAIRS})")
+def _(get, spark, sf):
+    return R.unseen_candidates(pairs_of(get), splits_of(get))
+
+
+@query("c6_exclude_used", "SELECT huc_id, osmid FROM bridges WHERE CAST(osmid AS BIGINT) % 2 <> 0", "bridges")
+def _(get, spark, sf):
+    return R.exclude_used(get("bridges").select("huc_id", "osmid"), splits_of(get))
+
+
+@query("c7_apply_holdout", "SELECT 'pool' AS part, osmid FROM bridges WHERE CAST(osmid AS BIGINT) % 50 <> 0 UNION ALL SELECT 'test', osmid FROM bridges WHERE CAST(osmid AS BIGINT) % 50 = 0 UNION ALL SELECT 'absent', '-1'", "bridges")
+def _(get, spark, sf):
+    bridges = get("bridges")
+    holdout = bridges.where("CAST(osmid AS BIGINT) % 50 = 0").select("osmid").unionByName(spark.range(1).select(F.lit("-1").alias("osmid")))
+    parts = zip(("pool", "test", "absent"), E.apply_holdout(bridges, holdout))
+    pool, test, absent = (df.select(F.lit(n).alias("part"), "osmid") for n, df in parts)
+    return pool.unionByName(test).unionByName(absent)
+
+
+@query("c8_source_availability", "SELECT osmid, CAST(osmid AS BIGINT) % 7 <> 0 AS available FROM bridges", "bridges")
+def _(get, spark, sf):
+    keyed = get("bridges").select("osmid", F.concat(F.lit("k"), "osmid").alias("key"))
+    return R.source_availability(keyed, keyed.where("CAST(osmid AS BIGINT) % 7 <> 0").select("key")).select("osmid", "available")
+
+
+_VOX = "CAST(floor(x) AS INT) AS vx, CAST(floor(y) AS INT) AS vy, CAST(floor(z) AS INT) AS vz"
+_MAJORITY = f"""counted AS (SELECT huc_id, bridge_id, {_VOX}, gold AS label, count(*) AS n FROM points GROUP BY ALL),
+majority AS (SELECT huc_id, bridge_id, vx, vy, vz, arg_max(label, n * 10 - label) AS label, CAST(sum(n) AS BIGINT) AS n_points FROM counted GROUP BY ALL)"""
+
+
+def with_majority(sql: str) -> str:
+    return with_duck("", "points").rstrip() + ", " + _MAJORITY + " " + sql
+
+
+@query("c9_voxel_to_points", with_majority(f"SELECT p.huc_id, p.bridge_id, p.point_idx, m.label AS voxel_label FROM (SELECT *, {_VOX} FROM points) p JOIN majority m USING (huc_id, bridge_id, vx, vy, vz)"))
+def _(get, spark, sf):
+    points = get("points")
+    return V.voxel_to_points(points, V.voxel_majority_label(points, 1.0), 1.0).select(*B, "point_idx", "voxel_label")
+
+
+def _predicted(points: DataFrame) -> DataFrame:
+    return points.where("CAST(bridge_id AS BIGINT) % 9 <> 0 AND NOT (CAST(bridge_id AS BIGINT) % 10 = 1 AND point_idx = 0)")
+
+
+@query("c10_align_gold_pred", "SELECT g.huc_id, g.bridge_id, n_gold, coalesce(n_pred, 0) AS n_pred, CASE WHEN n_pred IS NULL THEN 'no_inference_file' WHEN n_gold <> n_pred THEN 'point_count_mismatch' WHEN n_gold < 580 THEN 'too_few_points' ELSE 'ok' END AS status FROM (SELECT huc_id, bridge_id, count(*) AS n_gold FROM points GROUP BY ALL) g LEFT JOIN (SELECT huc_id, bridge_id, count(*) AS n_pred FROM points WHERE CAST(bridge_id AS BIGINT) % 9 <> 0 AND NOT (CAST(bridge_id AS BIGINT) % 10 = 1 AND point_idx = 0) GROUP BY ALL) p USING (huc_id, bridge_id)", "points")
+def _(get, spark, sf):
+    points = get("points")
+    return M.align_gold_pred(points, _predicted(points), 580)
+
+
+@query("c11_resolve_input", "SELECT line_no, line, CASE line_no % 4 WHEN 0 THEN line WHEN 1 THEN line || '.laz' WHEN 2 THEN line || '.las' ELSE line || '.laz' END AS input FROM (SELECT CAST(osmid AS BIGINT) AS line_no, CASE WHEN CAST(osmid AS BIGINT) % 4 = 0 THEN 'h/' || osmid || '.las' ELSE 'h/' || osmid END AS line FROM bridges)", "bridges")
+def _(get, spark, sf):
+    n = F.col("osmid").cast("long")
+    lines = get("bridges").select(n.alias("line_no"), F.when(n % 4 == 0, F.concat(F.lit("h/"), "osmid", F.lit(".las"))).otherwise(F.concat(F.lit("h/"), "osmid")).alias("line"))
+    ext = F.when(F.col("line_no") % 4 == 1, ".laz").when(F.col("line_no") % 4 == 2, ".las")
+    return R.resolve_input(lines, lines.where(ext.isNotNull()).select(F.concat("line", ext).alias("key")))
+
+
+@query("c13_audit_outputs", "SELECT CAST(osmid AS BIGINT) AS line_no, concat(huc_id, '/', osmid) AS line, CAST(osmid AS BIGINT) % 7 <> 0 AND CAST(osmid AS BIGINT) % 5 <> 0 AS complete FROM bridges", "bridges")
+def _(get, spark, sf):
+    n = F.col("osmid").cast("long")
+    lines = get("bridges").select(n.alias("line_no"), F.concat("huc_id", F.lit("/"), "osmid").alias("line"))
+    keys = C.output_keys(lines, "line", "out", "both").where("line_no % 7 <> 0 AND NOT (line_no % 5 = 0 AND key LIKE '%masked%')").select("key")
+    return R.audit_outputs(lines, keys, "out", "both")
+
+
+@query("c14_missing_reasons", "SELECT concat('bridge_', event_id) AS bridge, CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'timeout' ELSE 'inference_error' END WHEN event_type IN ('purchase', 'click', 'view') THEN NULL ELSE 'too_few_points' END AS reason FROM events WHERE event_id % 3 = 0")
+def _(get, spark, sf):
+    missing = get("events").where("event_id % 3 = 0").select(F.concat(F.lit("bridge_"), "event_id").alias("bridge"))
+    return R.missing_reasons(missing, get("run_logs"))
+
+
+# ---- D: aggregates ------------------------------------------------------------------------
+
+
+@query("d1_voxelize", f"SELECT huc_id, bridge_id, {_VOX}, round(avg(intensity), 8) AS intensity, count(*) AS n_points FROM points GROUP BY ALL", "points")
+def _(get, spark, sf):
+    return rounded(V.voxelize(get("points"), 1.0), ["intensity"], 8)
+
+
+@query("d2_voxel_majority_label", with_majority("SELECT * FROM majority"))
+def _(get, spark, sf):
+    return V.voxel_majority_label(get("points"), 1.0)
+
+
+_COUNTS = ", ".join(f"count_if(gold = {c}) AS class_{c}" for c in range(4))
+_METADATA = f"SELECT huc_id, bridge_id, round(avg(x), 8) AS x_center, round(avg(y), 8) AS y_center, round(min(z), 8) AS z_min, count(*) AS n_points, {_COUNTS} FROM points GROUP BY ALL"
+
+
+@query("d3_cloud_metadata", _METADATA.replace("count_if(", "CAST(count_if(").replace(") AS class", ") AS BIGINT) AS class"), "points")
+def _(get, spark, sf):
+    return rounded(V.cloud_metadata(get("points")).drop("class_distribution"), ["x_center", "y_center", "z_min"], 8)
+
+
+@query("d4_normalize_cloud", "SELECT huc_id, bridge_id, point_idx, round(x - avg(x) OVER w + 0.00000123, 6) AS x, round(y - avg(y) OVER w + 0.00000123, 6) AS y, round(z - min(z) OVER w, 8) AS z, round(intensity / max(intensity) OVER w, 8) AS intensity, CASE classification WHEN 2 THEN 1 WHEN 9 THEN 1 WHEN 17 THEN 2 WHEN 18 THEN 3 ELSE 0 END AS label FROM points WINDOW w AS (PARTITION BY huc_id, bridge_id)", "points")
+def _(get, spark, sf):
+    made = V.normalize_cloud(get("points")).withColumns({c: F.col(c) + 0.00000123 for c in "xy"})  # off the ties of rounding
+    return rounded(rounded(made, ["x", "y"], 6), ["z", "intensity"], 8)
+
+
+_TOTALS = "SELECT gold AS class, count(*) AS total FROM points GROUP BY gold"
+
+
+def totals_of(get) -> DataFrame:
+    return V.class_totals(V.cloud_metadata(get("points")))
+
+
+@query("d5_class_totals", _TOTALS, "points")
+def _(get, spark, sf):
+    return totals_of(get)
+
+
+@query("d6_class_weights", f"SELECT class, total, round((SELECT count(*) FROM points) / (4 * total), 6) AS weight FROM ({_TOTALS})", "points")
+def _(get, spark, sf):
+    return rounded(V.class_weights(totals_of(get)), ["weight"], 6)
+
+
+@query("d7_class_distribution", f"SELECT class, total, round(100.0 * total / (SELECT count(*) FROM points), 4) AS percent FROM ({_TOTALS})", "points")
+def _(get, spark, sf):
+    return rounded(V.class_distribution(totals_of(get)), ["percent"])
+
+
+@query("d8_imbalance_ratio", "SELECT count_if(gold = 1)::BIGINT AS ground, count_if(gold = 2)::BIGINT AS deck, round(count_if(gold = 1) / count_if(gold = 2), 6) AS ratio, count_if(gold = 1) / count_if(gold = 2) > 100 AS warn FROM points", "points")
+def _(get, spark, sf):
+    return rounded(V.imbalance_ratio(totals_of(get)), ["ratio"], 6)
+
+
+_CELLS = "cells AS (SELECT a.range AS gold, b.range AS pred FROM range(4) a, range(4) b), keys AS (SELECT DISTINCT huc_id, bridge_id FROM points), cm AS (SELECT k.huc_id, k.bridge_id, CAST(c.gold AS INT) AS gold, CAST(c.pred AS INT) AS pred, count(p.point_idx) AS n FROM keys k CROSS JOIN cells c LEFT JOIN points p ON p.huc_id = k.huc_id AND p.bridge_id = k.bridge_id AND p.gold = c.gold AND p.pred = c.pred GROUP BY ALL)"
+
+
+def with_cm(sql: str, more: str = "") -> str:
+    return with_duck("", "points").rstrip() + ", " + _CELLS + more + " " + sql
+
+
+def cm_of(get, predicted: str = "pred") -> DataFrame:
+    points = get("points")
+    other = points.select(*B, "point_idx", F.col(predicted).alias("pred"))
+    return M.confusion_matrix(M.aligned_points(points.select(*B, "point_idx", "gold"), other))
+
+
+@query("d9_confusion_matrix", with_cm("SELECT * FROM cm"))
+def _(get, spark, sf):
+    return cm_of(get)
+
+
+def _class_sql(source: str, keys: str = "") -> str:
+    k = keys + ", " if keys else ""
+    g = f"GROUP BY {keys}, class" if keys else "GROUP BY class"
+    return f"""SELECT {k}class, CASE WHEN p > 0 THEN tp / p ELSE 0 END AS precision, CASE WHEN g > 0 THEN tp / g ELSE 0 END AS recall,
+  CASE WHEN g + p > 0 THEN 2 * tp / (g + p) ELSE 0 END AS f1, 100 * CASE WHEN g + p - tp > 0 THEN tp / (g + p - tp) ELSE 0 END AS iou, g AS support
+FROM (SELECT {k}class, CAST(sum(CASE WHEN gold = class AND pred = class THEN n ELSE 0 END) AS BIGINT) AS tp, CAST(sum(CASE WHEN gold = class THEN n ELSE 0 END) AS BIGINT) AS g,
+  CAST(sum(CASE WHEN pred = class THEN n ELSE 0 END) AS BIGINT) AS p FROM {source}, (SELECT CAST(range AS INT) AS class FROM range(4)) {g})"""
+
+
+_ROUND = "round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(iou, 4) AS iou, support"
+_MEASURES = ["precision", "recall", "f1"]
+
+
+@query("d10_class_metrics", with_cm(f"SELECT huc_id, bridge_id, class, {_ROUND} FROM ({_class_sql('cm', 'huc_id, bridge_id')})"))
+def _(get, spark, sf):
+    return rounded(rounded(M.class_metrics(cm_of(get), B), _MEASURES, 6), ["iou"])
+
+
+@query("d11_overall_metrics", with_cm(f"SELECT huc_id, bridge_id, round(accuracy, 6) AS accuracy, n_points, round(mean_iou, 4) AS mean_iou FROM (SELECT huc_id, bridge_id, CAST(sum(n) AS BIGINT) AS n_points, sum(CASE WHEN gold = pred THEN n ELSE 0 END) / sum(n) AS accuracy FROM cm GROUP BY ALL) JOIN (SELECT huc_id, bridge_id, coalesce(avg(CASE WHEN support > 0 THEN iou END), 0) AS mean_iou FROM ({_class_sql('cm', 'huc_id, bridge_id')}) GROUP BY ALL) USING (huc_id, bridge_id)"))
+def _(get, spark, sf):
+    return rounded(rounded(M.overall_metrics(cm_of(get), B), ["accuracy"], 6), ["mean_iou"])
+
+
+@query("d12_binary_metrics", with_cm("""SELECT huc_id, bridge_id, round(tp / (tp + fp), 6) AS deck_precision, round(tp / (tp + fn), 6) AS deck_recall, round(100 * tp / (tp + fp + fn), 4) AS deck_iou,
+  round(100 * tn / (tn + fp + fn), 4) AS rest_iou, round((tp + tn) / (tp + tn + fp + fn), 6) AS binary_accuracy FROM (SELECT huc_id, bridge_id, sum(CASE WHEN gold = 2 AND pred = 2 THEN n ELSE 0 END) AS tp,
+  sum(CASE WHEN gold = 2 AND pred <> 2 THEN n ELSE 0 END) AS fn, sum(CASE WHEN gold <> 2 AND pred = 2 THEN n ELSE 0 END) AS fp, sum(CASE WHEN gold <> 2 AND pred <> 2 THEN n ELSE 0 END) AS tn FROM cm GROUP BY ALL)"""))
+def _(get, spark, sf):
+    made = M.binary_metrics(cm_of(get), B).select(*B, "deck_precision", "deck_recall", "deck_iou", "rest_iou", "binary_accuracy")
+    return rounded(rounded(made, ["deck_precision", "deck_recall", "binary_accuracy"], 6), ["deck_iou", "rest_iou"])
+
+
+_TOTAL_CM = ", total AS (SELECT gold, pred, CAST(sum(n) AS BIGINT) AS n FROM cm GROUP BY gold, pred)"
+
+
+@query("d13_micro_metrics", with_cm(f"SELECT class, {_ROUND}, round((SELECT sum(CASE WHEN gold = pred THEN n ELSE 0 END) / sum(n) FROM total), 6) AS accuracy, (SELECT CAST(sum(n) AS BIGINT) FROM total) AS n_points, round((SELECT avg(iou) FROM ({_class_sql('total')}) WHERE support > 0), 4) AS mean_iou FROM ({_class_sql('total')})", _TOTAL_CM))
+def _(get, spark, sf):
+    return rounded(rounded(M.micro_metrics(cm_of(get)), [*_MEASURES, "accuracy"], 6), ["iou", "mean_iou"])
+
+
+@query("d14_normalized_confusion", with_cm("SELECT huc_id, bridge_id, gold, pred, round(CASE WHEN sum(n) OVER w > 0 THEN 100 * n / sum(n) OVER w ELSE 0 END, 4) AS percent FROM cm WINDOW w AS (PARTITION BY huc_id, bridge_id, gold)"))
+def _(get, spark, sf):
+    return rounded(M.normalized_confusion(cm_of(get), B), ["percent"])
+
+
+@query("d15_per_bridge_metrics", with_cm(f"SELECT huc_id, bridge_id, {', '.join(f'round(max(CASE WHEN class = {c} THEN iou END), 4) AS class_{c}_iou' for c in range(4))}, {', '.join(f'max(CASE WHEN class = {c} THEN support END) AS class_{c}_support' for c in range(4))} FROM ({_class_sql('cm', 'huc_id, bridge_id')}) GROUP BY ALL"))
+def _(get, spark, sf):
+    made = M.per_bridge_metrics(cm_of(get))
+    ious = [f"class_{c}_iou" for c in range(4)]
+    return rounded(made.select(*B, *ious, *(f"class_{c}_support" for c in range(4))), ious)
+
+
+@query("c17_model_vs_baseline", with_duck("", "points").rstrip() + f", m AS (SELECT gold, pred, count(*) AS n FROM points GROUP BY ALL), b AS (SELECT gold, silver AS pred, count(*) AS n FROM points GROUP BY ALL) SELECT class, round(m1.iou, 4) AS model_iou, round(b1.iou, 4) AS baseline_iou, round(m1.iou - b1.iou, 4) AS delta FROM ({_class_sql('m')}) m1 JOIN ({_class_sql('b')}) b1 USING (class)")
+def _(get, spark, sf):
+    return rounded(M.model_vs_baseline(cm_of(get), cm_of(get, "silver")), ["model_iou", "baseline_iou", "delta"])
+
+
+@query("d17_plane_residuals")
+def _(get, spark, sf):
+    points = get("points")
+    return rounded(P.plane_residuals(points, P.plane_consensus(points)).select(*B, "point_idx", "residual", "inlier"), ["residual"], 3)
+
+
+_PLANE_POINTS = "huc_id, bridge_id, CAST(point_idx AS VARCHAR)"
+PLANE_SQL = f"""centers AS (SELECT huc_id, bridge_id, avg(x) AS x_center, avg(y) AS y_center, count(*) AS n_points FROM points GROUP BY ALL),
+centred AS (SELECT p.huc_id, p.bridge_id, point_idx, z, x - x_center AS cx, y - y_center AS cy FROM points p JOIN centers USING (huc_id, bridge_id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY huc_id, bridge_id, round ORDER BY md5(concat_ws('|', '27', CAST(round AS VARCHAR), {_PLANE_POINTS})), point_idx) - 1 AS rk FROM centred, (SELECT range AS round FROM range(4))),
+sums AS (SELECT huc_id, bridge_id, round, rk // 10 AS block, CAST(count(*) AS DOUBLE) AS n, sum(cx) AS sx, sum(cy) AS sy, sum(z) AS sz, sum(cx * cx) AS xx, sum(cy * cy) AS yy, sum(cx * cy) AS xy, sum(cx * z) AS xz, sum(cy * z) AS yz FROM ranked WHERE rk // 10 < 25 GROUP BY ALL HAVING count(*) = 10),
+solved AS (SELECT *, xx - sx * sx / n AS sxx, yy - sy * sy / n AS syy, xy - sx * sy / n AS sxy, xz - sx * sz / n AS sxz, yz - sy * sz / n AS syz FROM sums),
+planes AS (SELECT huc_id, bridge_id, round, block, (sxz * syy - syz * sxy) / (sxx * syy - sxy * sxy) AS a, (syz * sxx - sxz * sxy) / (sxx * syy - sxy * sxy) AS b, n, sx, sy, sz FROM solved WHERE abs(sxx * syy - sxy * sxy) >= 1e-9),
+votes AS (SELECT huc_id, bridge_id, round, block, a, b, (sz - a * sx - b * sy) / n AS c, (SELECT count(*) FROM centred q WHERE q.huc_id = p.huc_id AND q.bridge_id = p.bridge_id AND abs(z - p.a * cx - p.b * cy - (p.sz - p.a * p.sx - p.b * p.sy) / p.n) <= 0.20) AS votes FROM planes p),
+best AS (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY huc_id, bridge_id ORDER BY votes DESC, round, block) = 1),
+again AS (SELECT q.huc_id, q.bridge_id, CAST(count(*) AS DOUBLE) AS n, sum(cx) AS sx, sum(cy) AS sy, sum(z) AS sz, sum(cx * cx) AS xx, sum(cy * cy) AS yy, sum(cx * cy) AS xy, sum(cx * z) AS xz, sum(cy * z) AS yz FROM centred q JOIN best USING (huc_id, bridge_id) WHERE abs(z - a * cx - b * cy - c) <= 0.20 GROUP BY ALL),
+refit AS (SELECT huc_id, bridge_id, n, sx, sy, sz, ((xz - sx * sz / n) * (yy - sy * sy / n) - (yz - sy * sz / n) * (xy - sx * sy / n)) / ((xx - sx * sx / n) * (yy - sy * sy / n) - (xy - sx * sy / n) * (xy - sx * sy / n)) AS a,
+  ((yz - sy * sz / n) * (xx - sx * sx / n) - (xz - sx * sz / n) * (xy - sx * sy / n)) / ((xx - sx * sx / n) * (yy - sy * sy / n) - (xy - sx * sy / n) * (xy - sx * sy / n)) AS b FROM again),
+final AS (SELECT huc_id, bridge_id, a, b, (sz - a * sx - b * sy) / n AS c FROM refit)"""
+
+
+@query("d16_plane_consensus", with_duck("", "points").rstrip() + ", " + PLANE_SQL + " SELECT f.huc_id, f.bridge_id, round(a, 3) AS a, round(b, 3) AS b, round(c, 3) AS c, count_if(abs(z - a * cx - b * cy - c) <= 0.20)::BIGINT AS n_inliers, any_value(n_points) AS n_points FROM final f JOIN centred USING (huc_id, bridge_id) JOIN centers USING (huc_id, bridge_id) GROUP BY f.huc_id, f.bridge_id, a, b, c")
+def _(get, spark, sf):
+    return rounded(P.plane_consensus(get("points")).drop("x_center", "y_center"), ["a", "b", "c"], 3)
+
+
+@query("d18_inlier_rmse", with_duck("", "points").rstrip() + ", " + PLANE_SQL + " SELECT huc_id, bridge_id, count_if(abs(d) <= 0.20)::BIGINT AS n_inliers, round(sqrt(avg(CASE WHEN abs(d) <= 0.20 THEN d * d END)), 4) AS rmse, sqrt(avg(CASE WHEN abs(d) <= 0.20 THEN d * d END)) > 0.05 AS rejected FROM (SELECT huc_id, bridge_id, z - a * cx - b * cy - c AS d FROM final JOIN centred USING (huc_id, bridge_id)) GROUP BY ALL")
+def _(get, spark, sf):
+    points = get("points")
+    return rounded(P.inlier_rmse(P.plane_residuals(points, P.plane_consensus(points)), 0.05), ["rmse"])
+
+
+AXIS_SQL = """shape AS (SELECT huc_id, bridge_id, avg(x) AS mx, avg(y) AS my, 0.5 * atan2(2 * covar_pop(x, y), var_pop(x) - var_pop(y)) AS t FROM points GROUP BY ALL),
+placed AS (SELECT p.*, (x - mx) * cos(t) + (y - my) * sin(t) AS axis FROM points p JOIN shape USING (huc_id, bridge_id)),
+span AS (SELECT huc_id, bridge_id, min(axis) AS lo, max(axis) AS hi, count(*) AS n_all FROM placed GROUP BY ALL),
+binned AS (SELECT huc_id, bridge_id, z, lo, (hi - lo) / 10 AS width, least(CAST(floor((axis - lo) / ((hi - lo) / 10)) AS INT), 9) AS bin FROM placed JOIN span USING (huc_id, bridge_id) WHERE n_all >= 50 AND hi - lo >= 5 AND axis < hi),
+medians AS (SELECT huc_id, bridge_id, bin, median(z) AS mz, max(lo + (bin + CAST(0.5 AS DOUBLE)) * width) AS pos FROM binned GROUP BY ALL HAVING count(*) >= 5),
+line AS (SELECT huc_id, bridge_id, regr_slope(mz, pos) AS k, regr_intercept(mz, pos) AS m FROM medians GROUP BY ALL HAVING count(*) >= 3)"""
+
+
+@query("d20_principal_axis", with_duck("", "points").rstrip() + ", " + AXIS_SQL + " SELECT huc_id, bridge_id, point_idx, round(abs(axis), 3) AS off_center FROM placed")
+def _(get, spark, sf):
+    return P.principal_axis(get("points")).select(*B, "point_idx", r(F.abs("axis"), 3).alias("off_center"))
+
+
+@query("d21_linearity_check", with_duck("", "points").rstrip() + ", " + AXIS_SQL + " SELECT huc_id, bridge_id, round(coalesce(d, 0), 3) AS deviation, coalesce(d, 0) > 0.35 AS curved FROM span LEFT JOIN (SELECT huc_id, bridge_id, max(abs(mz - k * pos - m)) AS d FROM medians JOIN line USING (huc_id, bridge_id) GROUP BY ALL) USING (huc_id, bridge_id)")
+def _(get, spark, sf):
+    return rounded(P.linearity_check(get("points")), ["deviation"], 3)
+
+
+@query("d22_weak_labels", with_duck("", "points").rstrip() + ", " + PLANE_SQL + " SELECT huc_id, bridge_id, label, count(*) AS n FROM (SELECT p.huc_id, p.bridge_id, CASE WHEN d > 0.20 AND d < 15 AND x BETWEEN 2 AND 22 THEN 18 WHEN d >= -0.70 AND d <= 0.20 AND x BETWEEN 2 AND 22 THEN 17 ELSE classification END AS label FROM (SELECT q.*, z - a * (x - x_center) - b * (y - y_center) - c AS d FROM points q JOIN final USING (huc_id, bridge_id) JOIN centers USING (huc_id, bridge_id)) p) GROUP BY ALL")
+def _(get, spark, sf):
+    points = get("points")
+    labelled = P.band_labels(P.plane_residuals(points, P.plane_consensus(points)), F.col("x").between(2, 22))
+    return labelled.groupBy(*B, "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("d23_quality_gate")
+def _(get, spark, sf):
+    return rounded(P.quality_gate(get("points")), ["rmse", "deviation"], 3)
+
+
+@query("d25_huc_inventory", "SELECT coalesce(huc_id, 'total') AS huc_id, count(*) AS bridges, count_if(has_lidar_tif = 'Y')::BIGINT AS with_lidar, count_if(has_lidar_tif = 'N')::BIGINT AS without_lidar FROM bridges GROUP BY ROLLUP (huc_id)", "bridges")
+def _(get, spark, sf):
+    return R.huc_inventory(get("bridges"))
+
+
+@query("d26_run_summary", "SELECT bridge_type, count(*) AS total, count_if(has_lidar_tif = 'Y' OR CAST(osmid AS BIGINT) % 3 = 0)::BIGINT AS success, count_if(NOT (has_lidar_tif = 'Y' OR CAST(osmid AS BIGINT) % 3 = 0))::BIGINT AS failed, count_if(CAST(osmid AS BIGINT) % 3 = 0)::BIGINT AS skipped FROM bridges GROUP BY ALL", "bridges")
+def _(get, spark, sf):
+    status = F.when(F.expr("CAST(osmid AS BIGINT) % 3 = 0"), "skipped").when(F.col("has_lidar_tif") == "Y", "success").otherwise("timeout")
+    return R.run_summary(get("bridges").withColumn("status", status), ["bridge_type"])
+
+
+_PARSED = "(SELECT event_id, user_id % 10 AS child, event_type, CASE WHEN event_type = 'purchase' THEN floor(abs(value)) + 0.25 END AS seconds FROM events)"
+
+
+@query("d27_child_summaries", f"SELECT CAST(child AS INT) AS child, count_if(event_type = 'purchase')::BIGINT AS ok, count_if(event_type = 'error')::BIGINT AS failed, count_if(event_type = 'click')::BIGINT AS \"exists\", count_if(event_type NOT IN ('purchase', 'error', 'click', 'view'))::BIGINT AS small, round(coalesce(sum(seconds), 0), 2) AS seconds FROM {_PARSED} GROUP BY child")
+def _(get, spark, sf):
+    return rounded(R.child_summaries(get("run_logs")), ["seconds"], 2)
+
+
+@query("d28_bridge_timing", f"WITH s AS (SELECT list_sort(list(seconds)) AS v, count(*) AS n, avg(seconds) AS m FROM {_PARSED} WHERE seconds IS NOT NULL) SELECT n AS count, round(m, 1) AS avg, round(v[CAST(least(floor(n * 50 / 100), n - 1) AS BIGINT) + 1], 1) AS p50, round(v[CAST(least(floor(n * 95 / 100), n - 1) AS BIGINT) + 1], 1) AS p95, round(v[1], 1) AS min, round(v[-1], 1) AS max FROM s")
+def _(get, spark, sf):
+    return R.bridge_timing(get("run_logs"))
+
+
+@query("d29_failures_by_reason", "SELECT CASE WHEN event_id % 2 = 0 THEN 'timeout' ELSE 'inference_error' END AS reason, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY ALL")
+def _(get, spark, sf):
+    return R.failures_by_reason(get("run_logs"))
+
+
+@query("d29_seconds_by_child", f"SELECT CAST(child AS INT) AS child, round(avg(seconds), 4) AS avg_seconds, max(seconds) AS max_seconds, count(*) AS n FROM {_PARSED} WHERE seconds IS NOT NULL GROUP BY child")
+def _(get, spark, sf):
+    return rounded(R.seconds_by_child(get("run_logs")), ["avg_seconds"])
+
+
+@query("d30_cost_estimate", f"SELECT count(*) AS children, round(sum(s) / 3600, 4) AS hours, round(sum(s) / 3600 * 0.234, 4) AS cost FROM (SELECT child, coalesce(sum(seconds), 0) AS s FROM {_PARSED} GROUP BY child)")
+def _(get, spark, sf):
+    return rounded(R.cost_estimate(R.child_summaries(get("run_logs"))), ["hours", "cost"])
+
+
+@query("d31_split_stats", with_splits("SELECT coalesce(split, 'all') AS split, count(*) AS n_rows, count(DISTINCT huc_id) AS n_hucs FROM used_splits GROUP BY ROLLUP (split)"))
+def _(get, spark, sf):
+    return E.split_stats(splits_of(get))
+
+
+@query("d33_source_pair_stats", f"SELECT has_lidar_tif, count(n) AS with_source, count_if(n IS NULL)::BIGINT AS without_source, CAST(coalesce(sum(n), 0) AS BIGINT) AS pairs FROM bridges LEFT JOIN (SELECT huc_id, osmid, count(*) AS n FROM ({_PAIRS}) GROUP BY ALL) USING (huc_id, osmid) GROUP BY ALL", "bridges", "sources")
+def _(get, spark, sf):
+    return S.source_pair_stats(get("bridges"), pairs_of(get))
+
+
+@query("d34_robust_bounds", "SELECT round(quantile_cont(least(x0, x1), 0.01), 3) AS minx, round(quantile_cont(greatest(x0, x1), 0.99), 3) AS maxx, round(quantile_cont(least(y0, y1), 0.01), 3) AS miny, round(quantile_cont(greatest(y0, y1), 0.99), 3) AS maxy FROM bridges", "bridges")
+def _(get, spark, sf):
+    p = lambda e, q: F.round(F.expr(f"percentile({e}, {q})"), 3)
+    return get("bridges").agg(p("least(x0, x1)", 0.01).alias("minx"), p("greatest(x0, x1)", 0.99).alias("maxx"), p("least(y0, y1)", 0.01).alias("miny"), p("greatest(y0, y1)", 0.99).alias("maxy"))
+
+
+@query("d35_epoch_metrics", _EPOCHS, "metrics")
+def _(get, spark, sf):
+    return epochs_of(get)
+
+
+@query("d36_batch_deck_metrics", "SELECT CAST(CAST(bridge_id AS BIGINT) % 8 AS BIGINT) AS batch_no, count(*) AS n, round(count_if(gold = 2 AND pred = 2) / count_if(gold = 2), 6) AS recall, round(count_if(gold = 2 AND pred = 2) / count_if(pred = 2), 6) AS precision, round(count_if(gold = 2 AND pred = 2) / count_if(gold = 2 OR pred = 2), 6) AS iou, round(count_if(gold = pred) / count(*), 6) AS accuracy FROM points GROUP BY ALL", "points")
+def _(get, spark, sf):
+    made = M.batch_deck_metrics(get("points"), F.expr("CAST(bridge_id AS BIGINT) % 8"))
+    return rounded(made, ["recall", "precision", "iou", "accuracy"], 6)
+
+
+_P = "list_transform(l, lambda x: exp(x - list_max(l)) / list_sum(list_transform(l, lambda y: exp(y - list_max(l)))))"
+
+
+@query("d37_loss_scores", f"""WITH rows AS (SELECT label % 4 AS label, list_transform(embedding[1:4], lambda v: CAST(v AS DOUBLE)) AS l FROM embeddings), p AS (SELECT label, {_P} AS p, [CAST(6.22 AS DOUBLE), 1.49, 0.36, 2.34][label + 1] AS w FROM rows),
+s AS (SELECT -sum(w * ln(p[label + 1])) / sum(w) AS ce, {", ".join(f"(2 * sum(CASE WHEN label = {c} THEN p[{c + 1}] ELSE 0 END) + 1) / (sum(p[{c + 1}]) + count_if(label = {c}) + 1) AS d{c}" for c in range(4))} FROM p)
+SELECT round(ce, 6) AS cross_entropy, round(1 - (d0 + d1 + d2 + d3) / 4, 6) AS dice_loss, round(0.5 * ce + 0.5 * (1 - (d0 + d1 + d2 + d3) / 4), 6) AS combined_loss FROM s""")
+def _(get, spark, sf):
+    rows = get("embeddings").select((F.col("label") % 4).alias("label"), F.slice("embedding", 1, 4).cast("array<double>").alias("logits"))
+    return rounded(M.loss_scores(rows, (6.22, 1.49, 0.36, 2.34)), ["cross_entropy", "dice_loss", "combined_loss"], 6)
+
+
+@query("d38_voxel_compression", with_majority("SELECT huc_id, bridge_id, n_points, n_voxels, round(n_points / n_voxels, 4) AS ratio, round(ps, 4) AS points_share_2, round(vs, 4) AS voxels_share_2 FROM (SELECT huc_id, bridge_id, count(*) AS n_points, avg(CASE WHEN gold = 2 THEN 1.0 ELSE 0 END) AS ps FROM points GROUP BY ALL) JOIN (SELECT huc_id, bridge_id, count(*) AS n_voxels, avg(CASE WHEN label = 2 THEN 1.0 ELSE 0 END) AS vs FROM majority GROUP BY ALL) USING (huc_id, bridge_id)"))
+def _(get, spark, sf):
+    made = V.voxel_compression(get("points"), 1.0).select(*B, "n_points", "n_voxels", "ratio", "points_share_2", "voxels_share_2")
+    return rounded(made, ["ratio", "points_share_2", "voxels_share_2"])
+
+
+@query("d39_subset_verify", "SELECT huc_id, count_if(has_lidar_tif = 'Y')::BIGINT AS expected, count_if(has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0))::BIGINT AS found, CASE WHEN huc_id IN ('00000003', '00000004') THEN 'FAIL' ELSE 'PASS' END AS verdict FROM bridges GROUP BY huc_id HAVING count_if(has_lidar_tif = 'Y') > 0", "bridges")
+def _(get, spark, sf):
+    bridges = get("bridges")
+    damaged = bridges.where("has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0)")
+    return R.subset_verify(bridges, damaged)
+
+
+@query("d40_thin_by_resolution", f"SELECT huc_id, bridge_id, point_idx, round(x, 4) AS x FROM (SELECT *, row_number() OVER (PARTITION BY huc_id, bridge_id, floor(x), floor(y), floor(z) ORDER BY md5(concat_ws('|', '27', {_PLANE_POINTS})), point_idx) AS k FROM points) WHERE k = 1", "points")
+def _(get, spark, sf):
+    return rounded(V.thin_by_resolution(get("points"), 1.0).select(*B, "point_idx", "x"), ["x"])
+
+
+# ---- E: windows, samples, splits ----------------------------------------------------------
+
+
+@query("e1_deterministic_order", f"SELECT huc_id, bridge_id, point_idx, row_number() OVER (PARTITION BY huc_id, bridge_id ORDER BY md5(concat_ws('|', '27', {_PLANE_POINTS})), point_idx) - 1 AS shuffled_idx FROM points", "points")
+def _(get, spark, sf):
+    return E.deterministic_order(get("points")).select(*B, "point_idx", "shuffled_idx")
+
+
+@query("e2_stratified_split", with_splits("SELECT huc_id, osmid, split FROM used_splits"))
+def _(get, spark, sf):
+    return splits_of(get).select("huc_id", "osmid", "split")
+
+
+@query("e3_split_ratios", with_duck("", "bridges").rstrip() + f" SELECT huc_id, osmid, CASE WHEN rk <= floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' WHEN rk <= floor(CAST(0.8 AS DOUBLE) * n) + floor(CAST(0.09999999999999998 AS DOUBLE) * n) THEN 'val' ELSE 'test' END AS split FROM (SELECT *, row_number() OVER (PARTITION BY huc_id ORDER BY {_HASH}, osmid) AS rk, count(*) OVER (PARTITION BY huc_id) AS n FROM bridges)")
+def _(get, spark, sf):
+    return E.stratified_split(get("bridges"), *E.split_ratios(train=0.8)).select("huc_id", "osmid", "split")
+
+
+@query("e4_round_robin_sample", f"SELECT huc_id, osmid FROM (SELECT *, row_number() OVER (PARTITION BY huc_id ORDER BY {_HASH}, osmid) AS rk FROM bridges) WHERE rk <= 3 ORDER BY rk, md5(concat_ws('|', '27', huc_id)), huc_id LIMIT 40", "bridges")
+def _(get, spark, sf):
+    return E.round_robin_sample(get("bridges"), 40, 3).select("huc_id", "osmid")
+
+
+_GROUPS = "(SELECT huc_id FROM (SELECT DISTINCT huc_id FROM bridges) ORDER BY md5(concat_ws('|', '27', huc_id)), huc_id LIMIT 5)"
+
+
+@query("e5_two_stage_sample", f"SELECT huc_id, osmid FROM (SELECT *, row_number() OVER (PARTITION BY huc_id ORDER BY {_HASH}, osmid) AS rk FROM bridges WHERE huc_id IN {_GROUPS}) WHERE rk <= 4", "bridges")
+def _(get, spark, sf):
+    return E.two_stage_sample(get("bridges"), 5, 4).select("huc_id", "osmid")
+
+
+@query("e6_dedupe_max", "SELECT huc_id, osm_id, max_deviation, line_no FROM (SELECT lpad(CAST(user_id AS VARCHAR), 8, '0') AS huc_id, CAST(event_id % 500 AS VARCHAR) AS osm_id, floor(abs(value)) + 0.375 AS max_deviation, event_id AS line_no FROM events WHERE event_type = 'error') QUALIFY row_number() OVER (PARTITION BY huc_id, osm_id ORDER BY max_deviation DESC, line_no) = 1")
+def _(get, spark, sf):
+    return E.dedupe_max(C.parse_curved_log(get("curved_logs")).drop("line", "source"), ["huc_id", "osm_id"], "max_deviation", "line_no")
+
+
+@query("e7_dedupe_first", "SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL")
+def _(get, spark, sf):
+    return E.dedupe_first(get("events").select("user_id", "event_type", "event_id"), ["user_id", "event_type"], "event_id")
+
+
+@query("e8_cap_voxels", f"SELECT huc_id, bridge_id, vx, vy, vz FROM (SELECT *, row_number() OVER (PARTITION BY huc_id, bridge_id ORDER BY md5(concat_ws('|', '27', huc_id, bridge_id, CAST(vx AS VARCHAR), CAST(vy AS VARCHAR), CAST(vz AS VARCHAR))), vx, vy, vz) AS k FROM (SELECT DISTINCT huc_id, bridge_id, {_VOX} FROM points)) WHERE k <= 100", "points")
+def _(get, spark, sf):
+    return E.cap_per_group(V.voxelize(get("points"), 1.0), 100, B, ["vx", "vy", "vz"]).select(*B, "vx", "vy", "vz")
+
+
+@query("e9_downsample", f"SELECT huc_id, bridge_id, point_idx FROM (SELECT *, row_number() OVER (PARTITION BY huc_id, bridge_id ORDER BY md5(concat_ws('|', '27', {_PLANE_POINTS})), point_idx) AS k FROM points) WHERE k <= 50", "points")
+def _(get, spark, sf):
+    return E.cap_per_group(get("points"), 50, B, ["point_idx"]).select(*B, "point_idx")
+
+
+@query("e10_assemble_batches", f"WITH points_ AS (SELECT DISTINCT huc_id, bridge_id, {_VOX} FROM points), b AS (SELECT *, row_number() OVER (ORDER BY huc_id, bridge_id) - 1 AS i FROM (SELECT huc_id, bridge_id, count(*) AS n_voxels FROM points_ GROUP BY huc_id, bridge_id)) SELECT huc_id, bridge_id, vx, vy, vz, n_voxels, CAST(i // 4 AS INT) AS batch_no, CAST(i % 4 AS INT) AS batch_slot FROM points_ JOIN b USING (huc_id, bridge_id)".replace("WITH points_ AS", ", points_ AS", 1))
+def _(get, spark, sf):
+    voxels = V.voxelize(get("points"), 1.0).select(*B, "vx", "vy", "vz")
+    return E.assemble_batches(voxels, 4)
+
+
+ORACLE_SQL["e10_assemble_batches"] = with_duck("", "points").rstrip() + ORACLE_SQL["e10_assemble_batches"]
+
+
+@query("e11_manifest_chunks", "SELECT osmid, CASE WHEN n <= 60 THEN 1 ELSE ceil(n / 60)::BIGINT END AS array_size, CAST((i - 1) // ceil(n / CASE WHEN n <= 60 THEN 1 ELSE ceil(n / 60) END)::BIGINT AS BIGINT) AS child FROM (SELECT osmid, row_number() OVER (ORDER BY CAST(osmid AS BIGINT)) AS i, count(*) OVER () AS n FROM bridges)", "bridges")
+def _(get, spark, sf):
+    lines = get("bridges").select("osmid", F.col("osmid").cast("long").alias("line_no"))
+    return E.manifest_chunks(lines).select("osmid", "array_size", "child")
+
+
+@query("e12_best_epoch", f"SELECT epoch, train_loss_epoch, val_loss, val_deck_iou FROM ({_EPOCHS}) WHERE val_deck_iou IS NOT NULL ORDER BY val_deck_iou DESC, epoch LIMIT 1", "metrics")
+def _(get, spark, sf):
+    return T.best_epoch(epochs_of(get), "val_deck_iou")
+
+
+@query("e13_epoch_progression", f"SELECT epoch, train_loss_epoch, val_loss, val_deck_iou FROM (SELECT *, row_number() OVER (ORDER BY epoch) - 1 AS i, count(*) OVER () AS n FROM ({_EPOCHS})) WHERE n <= 5 OR i IN (0, round_even((n - 1) / 4, 0)::INT, round_even((n - 1) / 2, 0)::INT, round_even(3 * (n - 1) / 4, 0)::INT, n - 1)", "metrics")
+def _(get, spark, sf):
+    return T.epoch_progression(epochs_of(get))
+
+
+@query("e16_shuffle_tasks", f"SELECT huc_id, osmid, row_number() OVER (ORDER BY {_HASH}, osmid) AS place FROM bridges", "bridges")
+def _(get, spark, sf):
+    return E.numbered(get("bridges"), [C.hash_order(27, "huc_id", "osmid"), F.col("osmid")], "place").select("huc_id", "osmid", "place")
+
+
+@query("e17_sample_groups", f"SELECT huc_id, osmid FROM bridges WHERE huc_id IN {_GROUPS}", "bridges")
+def _(get, spark, sf):
+    return E.sample_groups(get("bridges"), 5).select("huc_id", "osmid")
+
+
+@query("e18_random_val_split", "SELECT osmid, CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '27', osmid)), osmid) <= floor(CAST(0.1 AS DOUBLE) * count(*) OVER ()) THEN 'val' ELSE 'train' END AS split FROM bridges", "bridges")
+def _(get, spark, sf):
+    return E.random_val_split(get("bridges"), 0.1, "osmid").select("osmid", "split")
+
+
+# ---- F, G: order, limits, sets ------------------------------------------------------------
+
+
+@query("f1_sorted_results", "SELECT huc_id, osmid, name FROM bridges", "bridges")
+def _(get, spark, sf):
+    return get("bridges").select("huc_id", "osmid", "name").orderBy("huc_id", "osmid")
+
+
+@query("f2_first_hucs", "SELECT huc_id, osmid FROM bridges WHERE huc_id IN (SELECT DISTINCT huc_id FROM bridges ORDER BY huc_id LIMIT 3)", "bridges")
+def _(get, spark, sf):
+    bridges = get("bridges")
+    first = bridges.select("huc_id").distinct().orderBy("huc_id").limit(3)
+    return bridges.join(F.broadcast(first), "huc_id", "left_semi").select("huc_id", "osmid")  # three rows
+
+
+@query("f3_capped_missing", "SELECT (SELECT string_agg(line, ' ' ORDER BY line) FROM (SELECT osmid AS line FROM bridges WHERE CAST(osmid AS BIGINT) % 7 = 0 ORDER BY line LIMIT 20)) AS lines, count(*) AS total, count(*) > 20 AS truncated FROM bridges WHERE CAST(osmid AS BIGINT) % 7 = 0", "bridges")
+def _(get, spark, sf):
+    return R.capped_missing(get("bridges").where("CAST(osmid AS BIGINT) % 7 = 0").select(F.col("osmid").alias("line")), 20)
+
+
+@query("f4_id_lists", "SELECT string_agg(DISTINCT huc_id, ' ' ORDER BY huc_id) AS hucs FROM bridges", "bridges")
+def _(get, spark, sf):
+    return get("bridges").agg(F.array_join(F.array_sort(F.collect_set("huc_id")), " ").alias("hucs"))
+
+
+@query("g1_used_ids_union", with_splits("SELECT DISTINCT bridge_stem, osmid AS osm_id FROM used_splits"))
+def _(get, spark, sf):
+    splits = splits_of(get)
+    return E.used_ids(splits.unionByName(splits))
+
+
+@query("g2_merge_resumed_runs", f"WITH e AS ({_EPOCHS}) SELECT epoch, val_loss FROM e WHERE epoch <= 12 UNION ALL SELECT epoch, val_loss + 1 FROM e WHERE epoch > 12 AND epoch >= 8".replace("WITH e AS", ", e AS", 1), "metrics")
+def _(get, spark, sf):
+    epochs = epochs_of(get).select("epoch", "val_loss")
+    return T.merge_resumed_runs(epochs.where("epoch <= 12"), epochs.where("epoch >= 8").withColumn("val_loss", F.col("val_loss") + 1))
+
+
+
+
+@query("g3_id_set_diff", "SELECT osmid, CASE WHEN CAST(osmid AS BIGINT) % 2 = 0 THEN 'left' ELSE 'right' END AS side FROM bridges WHERE (CAST(osmid AS BIGINT) % 2 = 0) <> (CAST(osmid AS BIGINT) % 3 = 0)".replace("CASE WHEN CAST(osmid AS BIGINT) % 2 = 0", "CASE WHEN CAST(osmid AS BIGINT) % 2 = 0"), "bridges")
+def _(get, spark, sf):
+    bridges = get("bridges")
+    return E.id_set_diff(bridges.where("CAST(osmid AS BIGINT) % 2 = 0"), bridges.where("CAST(osmid AS BIGINT) % 3 = 0"), "osmid")
+
+
+# ---- S: streams ---------------------------------------------------------------------------
+
+
+def _stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+@query("s1_live_run_monitor", "SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    monitor.run_once(monitor.live_run_monitor(_stream(spark, sf)), f"{folder}/out", f"{folder}/state", "complete")
+    return spark.read.parquet(f"{folder}/out").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
+@query("s2_incremental_tasks", "SELECT user_id, event_type FROM events GROUP BY ALL")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    tasks = monitor.incremental_tasks(_stream(spark, sf), ["user_id", "event_type"], late="3650 days")
+    monitor.run_once(tasks.select("user_id", "event_type"), f"{folder}/out", f"{folder}/state")
+    return spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
