@@ -34,7 +34,7 @@ SHARD_TOKENS = 1_000_000
 #: The terms of a seed that ask the index: those of the highest BM25 weight.
 QUERY_TERMS = 24
 _K1, _B = 1.2, 0.75
-_TERM = 1 << 32
+_TERM_BITS = 32
 
 
 class BM25Index:
@@ -43,17 +43,17 @@ class BM25Index:
     def __init__(self, ids: list[np.ndarray]):
         self.size = len(ids)
         lengths = np.array([len(x) for x in ids], np.int64)
-        owner = np.repeat(np.arange(self.size), lengths)
-        flat = np.concatenate(ids).astype(np.int64) if ids else np.empty(0, np.int64)
-        key, count = np.unique(owner * _TERM + flat, return_counts=True)
-        owner, term = key // _TERM, key % _TERM
-        terms, term, found_in = np.unique(term, return_inverse=True, return_counts=True)
+        flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        key, count = np.unique(np.repeat(np.arange(self.size) << _TERM_BITS, lengths) | flat, return_counts=True)
+        owner, term = key >> _TERM_BITS, key & ((1 << _TERM_BITS) - 1)
+        found_in = np.bincount(term)
         idf = np.log1p((self.size - found_in + 0.5) / (found_in + 0.5))
         norm = _K1 * (1 - _B + _B * lengths / max(1.0, lengths.mean() if self.size else 1.0))
-        weight = idf[term] * count * (_K1 + 1) / (count + norm[owner])
+        weight = (idf[term] * count * (_K1 + 1) / (count + norm[owner])).astype(np.float32)
         self.first = np.searchsorted(owner, np.arange(self.size + 1))  # a document's terms
-        order = np.argsort(term, kind="stable")  # a term's documents
-        self.posting, self.weight = owner[order], weight[order].astype(np.float32)
+        narrow = term.astype(np.uint16) if len(found_in) <= 1 << 16 else term  # a radix sort
+        order = np.argsort(narrow, kind="stable")  # a term's documents
+        self.posting, self.weight = owner[order], weight[order]
         self.start = np.concatenate([[0], np.cumsum(found_in)])
         self.term, self.own_weight, self.found_in = term, weight, found_in
 
