@@ -164,3 +164,50 @@ def split_file_plan(splits: DataFrame) -> DataFrame:
     """The files each split gets: tensors for all, and clouds for test as well."""
     kinds = F.when(F.col("split") == "test", F.array(F.lit("pt"), F.lit("laz"))).otherwise(F.array(F.lit("pt")))
     return splits.select("*", F.explode(kinds).alias("ext")).select(*splits.columns, F.concat("huc_id", F.lit("/"), "bridge_stem", F.lit("."), "ext").alias("file"))
+
+
+def huc8_in_split(hucs: DataFrame, splits: DataFrame) -> DataFrame:
+    """Whether each region, its code padded, occurs in the splits."""
+    from decklight.functions.columns import normalize_huc8
+
+    used = splits.select(normalize_huc8("huc_id").alias("__h")).distinct().withColumn("__in", F.lit(True))
+    joined = hucs.withColumn("huc8", normalize_huc8("huc8")).join(used, F.col("huc8") == F.col("__h"), "left")
+    return joined.withColumn("in_split", F.coalesce("__in", F.lit(False))).drop("__h", "__in")
+
+
+def candidate_summary(candidates: DataFrame, sample: DataFrame) -> DataFrame:
+    """Rows, regions, proven and unknown candidates, of all and of the sample."""
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.countDistinct("huc_id").alias("n_hucs"), F.count_if("proven_linear").alias("proven"), F.count_if(~F.col("proven_linear")).alias("unknown")
+        ).withColumn("part", F.lit(name))
+
+    return counted(candidates, "all").unionByName(counted(sample, "sample"))
+
+
+def point_count_histogram(metadata: DataFrame, bins: int = 40) -> DataFrame:
+    """(bin, least, n): clouds in bins of equal width of log10 of their points; empty bins are left out."""
+    logs = metadata.select(F.log10(F.col("n_points").cast("double")).alias("l"))
+    span = logs.agg(F.min("l").alias("lo"), F.max("l").alias("hi"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    at = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("l") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0)
+    placed = logs.crossJoin(F.broadcast(span)).select(at.cast("int").alias("bin"), (F.col("lo") + at * width).alias("least"))  # one row
+    return placed.groupBy("bin").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("n"))
+
+
+def postrun_report(manifest: DataFrame, listing: DataFrame, logs: DataFrame, prefix: str, mode: str, rate: float = 0.234) -> DataFrame:
+    """One row of JSON: audit, timing, cost and the reasons of what is missing."""
+    audit = audit_outputs(manifest, listing, prefix, mode)
+    totals = audit.agg(F.count(F.lit(1)).alias("lines"), F.count_if("complete").alias("complete"), F.count_if(~F.col("complete")).alias("missing"))
+    stem = F.regexp_replace(F.substring_index("line", "/", -1), r"\.(laz|las)$", "")
+    missing = audit.where(~F.col("complete")).select("line", stem.alias("bridge"))
+    reasons = missing_reasons(missing, logs).groupBy(F.coalesce("reason", F.lit("unknown")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    by_reason = reasons.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("m"))  # a handful of reasons
+    cost = cost_estimate(child_summaries(logs), rate)
+    parts = {"audit": totals, "timing": bridge_timing(logs), "cost": cost, "missing_by_reason": by_reason}
+    out = None
+    for name, df in parts.items():  # one row each
+        one = df.select(F.struct(*df.columns).alias(name)) if name != "missing_by_reason" else df.select(F.col("m").alias(name))
+        out = one if out is None else out.crossJoin(one)
+    return out.select(F.to_json(F.struct(*parts)).alias("report"))

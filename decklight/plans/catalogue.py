@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from decklight.functions import columns as C
 from decklight.functions.tables import shared_folder
-from decklight.operators import metrics as M, planes as P, runs as R, spatial as S, splits as E, training as T, voxels as V
+from decklight.operators import hulls as H, learn as L, metrics as M, planes as P, runs as R, spatial as S, splits as E, training as T, voxels as V
 from decklight.plans.views import view, with_duck
 from decklight.sources import tables as A
 from decklight.streaming import monitor
@@ -827,3 +827,136 @@ def _(get, spark, sf):
     tasks = monitor.incremental_tasks(_stream(spark, sf), ["user_id", "event_type"], late="3650 days")
     monitor.run_once(tasks.select("user_id", "event_type"), f"{folder}/out", f"{folder}/state")
     return spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
+
+
+# ---- hulls, registries, reports, learning -------------------------------------------------
+
+_HULL_POINTS = "pts AS (SELECT DISTINCT huc_id, bridge_id, floor(x) AS x, floor(y) AS y FROM points WHERE gold = 2)"
+_CROSS = "(b.x - a.x) * (q.y - a.y) - (b.y - a.y) * (q.x - a.x)"
+
+
+def _deck_grid(get) -> DataFrame:
+    return get("points").where("gold = 2").select(*B, F.floor("x").alias("x"), F.floor("y").alias("y"))
+
+
+@query("d19_convex_hull", with_duck("", "points").rstrip() + f", {_HULL_POINTS} SELECT DISTINCT a.huc_id, a.bridge_id, CAST(a.x AS DOUBLE) AS x, CAST(a.y AS DOUBLE) AS y FROM pts a JOIN pts b USING (huc_id, bridge_id) WHERE (a.x, a.y) <> (b.x, b.y) AND NOT EXISTS (SELECT 1 FROM pts q WHERE q.huc_id = a.huc_id AND q.bridge_id = a.bridge_id AND (q.x, q.y) <> (a.x, a.y) AND ({_CROSS} < 0 OR ({_CROSS} = 0 AND (b.x - a.x) * (q.x - a.x) + (b.y - a.y) * (q.y - a.y) <= 0)))")
+def _(get, spark, sf):
+    return H.convex_hull(_deck_grid(get)).select(*B, F.explode("hull").alias("p")).select(*B, "p.x", "p.y")
+
+
+@query("c12_points_in_hull", with_duck("", "points").rstrip() + f", {_HULL_POINTS}, edges AS (SELECT a.huc_id, a.bridge_id, a.x AS ax, a.y AS ay, b.x AS ex, b.y AS ey FROM pts a JOIN pts b USING (huc_id, bridge_id) WHERE (a.x, a.y) <> (b.x, b.y) AND NOT EXISTS (SELECT 1 FROM pts q WHERE q.huc_id = a.huc_id AND q.bridge_id = a.bridge_id AND {_CROSS} < 0)) SELECT huc_id, bridge_id, count_if(NOT EXISTS (SELECT 1 FROM edges e WHERE e.huc_id = p.huc_id AND e.bridge_id = p.bridge_id AND (ex - ax) * (p.y - ay) - (ey - ay) * (p.x - ax) < 0))::BIGINT AS inside, count(*) AS n FROM points p GROUP BY ALL")
+def _(get, spark, sf):
+    marked = H.points_in_hull(get("points"), H.convex_hull(_deck_grid(get)))
+    return marked.groupBy(*B).agg(F.count_if("inside").alias("inside"), F.count(F.lit(1)).alias("n"))
+
+
+@query("c15_huc8_in_split", with_splits("SELECT lpad(CAST(n_nationkey + 20 AS VARCHAR), 8, '0') AS huc8, lpad(CAST(n_nationkey + 20 AS VARCHAR), 8, '0') IN (SELECT huc_id FROM used_splits) AS in_split FROM nation"))
+def _(get, spark, sf):
+    hucs = get("nation").select((F.col("n_nationkey") + 20).cast("string").alias("huc8"))
+    return R.huc8_in_split(hucs, splits_of(get))
+
+
+@query("d32_point_count_histogram", "WITH n AS (SELECT l_suppkey, log10(CAST(count(*) AS DOUBLE)) AS l FROM lineitem GROUP BY l_suppkey), s AS (SELECT min(l) AS lo, max(l) AS hi FROM n) SELECT bin, round(min(lo + bin * (hi - lo) / 40), 6) AS least, count(*) AS n FROM (SELECT CAST(least(floor((l - lo) / ((hi - lo) / 40)), 39) AS INT) AS bin, lo, hi FROM n, s) GROUP BY bin")
+def _(get, spark, sf):
+    counts = get("lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_points"))
+    return rounded(R.point_count_histogram(counts), ["least"], 6)
+
+
+@query("f5_candidate_summary")
+def _(get, spark, sf):
+    candidates = R.unseen_candidates(pairs_of(get), splits_of(get))
+    return R.candidate_summary(candidates, E.round_robin_sample(candidates, 60, 3))
+
+
+def _registry(get) -> DataFrame:
+    """Registry texts, one a manufacturer, a model a brand."""
+    model = F.struct(
+        F.first("p_brand").alias("parent"), F.concat(F.lit("ckpt/"), F.col("p_brand"), F.lit("_iou="), F.round(F.avg("p_retailprice") / 10000, 4).cast("string")).alias("checkpoint"),
+        F.create_map(F.lit("test"), F.create_map(F.lit("iou"), F.round(F.avg("p_retailprice"), 4), F.lit("size"), F.round(F.avg("p_size"), 4))).alias("evaluation"),
+    )
+    models = get("part").groupBy("p_brand").agg(model.alias("m"))
+    return models.select(F.to_json(F.struct(F.create_map("p_brand", "m").alias("models"))).alias("value"))
+
+
+@query("a15_scan_registry", "SELECT p_brand AS model, 'test' AS eval_set, round(avg(p_retailprice), 4) AS iou FROM part GROUP BY p_brand")
+def _(get, spark, sf):
+    rows = A.registry_rows(_registry(get))
+    return rows.select("model", "eval_set", F.try_element_at("metrics", F.lit("iou")).alias("iou"))
+
+
+@query("c16_model_lineage")
+def _(get, spark, sf):
+    return A.model_lineage(A.registry_rows(_registry(get)))
+
+
+@query("e14_best_checkpoint")
+def _(get, spark, sf):
+    return A.best_checkpoint(A.registry_rows(_registry(get)).select(F.col("checkpoint").alias("path")))
+
+
+@query("e15_model_leaderboard", "SELECT p_brand AS model, round(avg(p_size), 4) AS value FROM part GROUP BY p_brand")
+def _(get, spark, sf):
+    return A.model_leaderboard(A.registry_rows(_registry(get)), "test", "size")
+
+
+@query("a5_write_by_huc", "SELECT huc_id, count(*) AS n FROM bridges GROUP BY huc_id", "bridges")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    A.write_by_huc(get("bridges"), "huc_id", folder)
+    read = spark.read.schema("osmid string, huc_id string").parquet(folder)
+    return read.groupBy("huc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("a9_scan_manifest", "SELECT concat(huc_id, '/', osmid) AS line FROM bridges", "bridges")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    get("bridges").select(F.concat(F.lit(" "), "huc_id", F.lit("/"), "osmid")).write.text(folder)
+    return A.scan_manifest(spark, folder).select("line")
+
+
+@query("a10_scan_pairs", "SELECT concat(huc_id, '/', osmid, '.laz') AS input, concat('out/', osmid) AS output FROM bridges", "bridges")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    get("bridges").select(F.concat_ws("\t", F.concat("huc_id", F.lit("/"), "osmid", F.lit(".laz")), F.concat(F.lit("out/"), "osmid"))).write.text(folder)
+    return A.scan_pairs(spark, folder)
+
+
+@query("a11_scan_run_logs", "SELECT line FROM run_logs", "run_logs")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    get("run_logs").select("line").write.text(folder)
+    return A.scan_run_logs(spark, [folder]).select("line")
+
+
+@query("a6_write_labelled_points", "SELECT p.kind, count(*) AS n FROM (SELECT 'source' AS kind FROM points UNION ALL SELECT 'labelled' FROM points WHERE CAST(bridge_id AS BIGINT) % 2 = 0) p GROUP BY ALL", "points")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    points = get("points")
+    labels = points.select(*B).distinct().withColumn("status", F.when(F.expr("CAST(bridge_id AS BIGINT) % 2 = 0"), "success").otherwise("curved"))
+    A.write_labelled_points(points, labels, folder)
+    count = lambda kind: spark.read.schema(points.schema).parquet(f"{folder}/{kind}").groupBy(F.lit(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return count("source").unionByName(count("labelled"))
+
+
+@query("d41_postrun_report")
+def _(get, spark, sf):
+    n = F.col("event_id")
+    lines = get("events").select(n.alias("line_no"), F.concat(F.lit("h/bridge_"), n.cast("string")).alias("line"))
+    keys = C.output_keys(lines, "line", "out", "masked").where("line_no % 7 <> 0").select("key")
+    return R.postrun_report(lines, keys, get("run_logs"), "out", "masked")
+
+
+@query("m1_voxel_classifier")
+def _(get, spark, sf):
+    points = get("points")
+    model = L.fit_voxel_classifier(points.where("CAST(bridge_id AS BIGINT) % 5 <> 0"), {0: 6.22, 1: 1.49, 2: 0.36, 3: 2.34})
+    rest = points.where("CAST(bridge_id AS BIGINT) % 5 = 0")
+    return model.transform(L.voxel_features(rest, 1.0)).select(*B, "vx", "vy", "vz", F.col("prediction").cast("int").alias("label"))
+
+
+@query("m2_predict_points")
+def _(get, spark, sf):
+    points = get("points")
+    model = L.fit_voxel_classifier(points.where("CAST(bridge_id AS BIGINT) % 5 <> 0"), {0: 6.22, 1: 1.49, 2: 0.36, 3: 2.34})
+    out = L.predict_points(points.where("CAST(bridge_id AS BIGINT) % 5 = 0"), model, "both")
+    return out.groupBy(*B, "output", "code").agg(F.count(F.lit(1)).alias("n"))
