@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from decklight.functions import columns as C
 from decklight.functions.tables import shared_folder
-from decklight.operators import hulls as H, learn as L, metrics as M, planes as P, runs as R, spatial as S, splits as E, training as T, voxels as V
+from decklight.operators import ground as G, hulls as H, learn as L, metrics as M, planes as P, runs as R, spatial as S, splits as E, training as T, voxels as V
 from decklight.plans.views import view, with_duck
 from decklight.sources import tables as A
 from decklight.streaming import monitor
@@ -960,3 +960,36 @@ def _(get, spark, sf):
     model = L.fit_voxel_classifier(points.where("CAST(bridge_id AS BIGINT) % 5 <> 0"), {0: 6.22, 1: 1.49, 2: 0.36, 3: 2.34})
     out = L.predict_points(points.where("CAST(bridge_id AS BIGINT) % 5 = 0"), model, "both")
     return out.groupBy(*B, "output", "code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _opening_sql() -> str:
+    parts = ["g0 AS (SELECT huc_id, bridge_id, CAST(floor(x) AS INT) AS gx, CAST(floor(y) AS INT) AS gy, min(z) AS s, false AS object FROM points WHERE classification <> 7 GROUP BY ALL)"]
+    for i, w in enumerate((1, 2, 4, 8)):
+        over = lambda a, b: f"OVER (PARTITION BY huc_id, bridge_id, {b} ORDER BY {a} RANGE BETWEEN {w} PRECEDING AND {w} FOLLOWING)"  # noqa: E731, B023
+        step = f"(SELECT *, min(s) {over('gx', 'gy')} AS o FROM g{i})"
+        for f, a, b in (("min", "gy", "gx"), ("max", "gx", "gy"), ("max", "gy", "gx")):
+            step = f"(SELECT * EXCLUDE (o), {f}(o) {over(a, b)} AS o FROM {step})"
+        parts.append(f"g{i + 1} AS (SELECT huc_id, bridge_id, gx, gy, o AS s, object OR s - o > CAST(0.05 AS DOUBLE) * {w} AS object FROM {step})")
+    return ", ".join(parts)
+
+
+@query("d24_ground_filter", with_duck("", "points").rstrip() + ", " + _opening_sql() + " SELECT huc_id, bridge_id, ground, count(*) AS n FROM (SELECT p.huc_id, p.bridge_id, CASE WHEN classification = 7 THEN 7 WHEN coalesce(NOT object AND z - s <= 0.5 + 1.25 * 0.05, false) THEN 2 ELSE 1 END AS ground FROM (SELECT *, CAST(floor(x) AS INT) AS gx, CAST(floor(y) AS INT) AS gy FROM points) p LEFT JOIN g4 USING (huc_id, bridge_id, gx, gy)) GROUP BY ALL")
+def _(get, spark, sf):
+    return G.ground_filter(get("points")).groupBy(*B, "ground").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("a3_scan_sources", "SELECT name, url FROM sources", "sources")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    feature = F.struct(F.when(F.col("name") < "NATION_2", F.col("url")).alias("url"), F.struct("url", "name").alias("properties"))
+    features = get("sources").agg(F.collect_list(feature).alias("features"))  # a row a nation
+    features.select(F.to_json(F.struct("features"))).write.text(folder)
+    return A.scan_sources(spark, folder).select("name", "url")
+
+
+@query("a14_scan_metrics", "SELECT epoch, count(val_loss) AS n FROM metrics GROUP BY epoch", "metrics")
+def _(get, spark, sf):
+    folder = shared_folder(spark)
+    get("metrics").write.option("header", True).csv(folder)
+    read = A.scan_metrics(spark, [folder], "epoch int, step long, train_loss_epoch double, val_loss double, val_deck_iou double")
+    return read.groupBy("epoch").agg(F.count("val_loss").alias("n"))
