@@ -83,7 +83,8 @@ class RankArrayBPE:
             # Fixed value: the published pre-tokenizer pattern of this vocabulary.
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         )
-        self._after_space = WordCache(lambda word: self._encode_plain(" " + word))
+        self._mark = {mark: self._encode_plain(mark) for mark in ".,"}
+        self._after_space = WordCache(self._encode_after_space)
 
     def merge_short(self, word: bytes) -> list[int]:
         ranks = self.ranks
@@ -135,6 +136,11 @@ class RankArrayBPE:
             ids += self.merge_short(raw) if len(raw) <= SHORT_WORD else self.merge_long(raw)
         return np.array(ids, "<u4").tobytes()
 
+    def _encode_after_space(self, word: str) -> bytes:
+        if word[-1:] in (".", ",") and word[:-1].isalpha() and word.isascii():  # two pre-tokens; the first is often known
+            return self._after_space[word[:-1]] + self._mark[word[-1]]
+        return self._encode_plain(" " + word)
+
     def _encode_unspecial(self, text: str) -> bytes:
         if _UNSAFE.search(text):
             return self._encode_plain(text)
