@@ -14,7 +14,9 @@ never all pairs, and the forests are joined by alternating star contractions.
 so it uses ``WIDE_WORDS`` fingerprints of independent hashes, of which any of 30 bands
 of 12 bits must agree (a miss has about one chance in 85 at 0.8, in 10,000 at 0.9), takes
 BK-tree neighbours within ``WIDE_RADIUS`` bits, and checks each link of the forests
-against the texts' whole shingle sets.
+against the texts' whole shingle sets. Where a link fails between two groups, the forests
+may have left out a similar pair, so all members that such links connect are compared set
+by set, in chunk pairs of ``CHUNK_SHINGLES``; only passing pairs are thinned to a forest.
 
 Defined results: a null text, or one without words, has fingerprint zero and links
 like any other; ties and repeated rows share a component; a null doc_id keeps its
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .bpe import ragged
 from .shared import mixed, text_or_empty, written
@@ -38,6 +40,8 @@ from .tokens import text_slices
 SHARD_ENTRIES = 2048
 #: Entries a task holds as one forest of BK-trees.
 FOREST_ENTRIES = 16_384
+#: Shingles of a chunk whose sets a task compares with another's.
+CHUNK_SHINGLES = 500_000
 _BITS = 64
 
 
@@ -193,6 +197,14 @@ def pigeonholes(radius: int) -> list[tuple[int, int, int]]:
     return [(0, a, b - a) for a, b in zip(edges, edges[1:])]
 
 
+def _chunk_pairs() -> Column:
+    """The chunk pairs (i, j), i <= j, that a row's ``chunk`` of ``chunks`` is in; side 1 asks side 0."""
+    return F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1),
+        lambda j: F.struct(F.least(j, F.col("chunk")).alias("i"), F.greatest(j, F.col("chunk")).alias("j"), (j < F.col("chunk")).cast("int").alias("side")),
+    )
+
+
 def fingerprint_links(groups: DataFrame, radius: int, blocks: list[tuple[int, int, int]]) -> DataFrame:
     """(u, v): links between the groups (fp, rep) that hold their components together."""
     part = lambda word, low, bits: F.shiftrightunsigned(F.shiftleft(F.get("fp", word), _BITS - low - bits), _BITS - bits)
@@ -203,12 +215,7 @@ def fingerprint_links(groups: DataFrame, radius: int, blocks: list[tuple[int, in
     sized = dealt.join(F.broadcast(sizes), (F.col("block") == F.col("b")) & (F.col("part") == F.col("p")), "left")
     chunks = F.coalesce(F.ceil(F.col("n") / SHARD_ENTRIES), F.lit(1)).cast("int")
     chunked = sized.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    # the chunk pairs (i, j), i <= j, that this entry's chunk is in; side 1 asks the tree of side 0
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("chunks") - 1),
-        lambda j: F.struct(F.least(j, F.col("chunk")).alias("i"), F.greatest(j, F.col("chunk")).alias("j"), (j < F.col("chunk")).cast("int").alias("side")),
-    )
-    placed = chunked.select("fp", "rep", "block", "part", F.explode(others).alias("pair")).select(
+    placed = chunked.select("fp", "rep", "block", "part", F.explode(_chunk_pairs()).alias("pair")).select(
         F.xxhash64("block", "part", "pair.i", "pair.j").alias("shard"), F.col("pair.side").alias("side"), "fp", "rep"
     )
 
@@ -308,7 +315,18 @@ def shingle_set(text: str, shingle: int) -> np.ndarray:
 def checked_links(docs: DataFrame, links: DataFrame, shingle: int, least: float) -> DataFrame:
     """The links whose texts have at least this Jaccard similarity, by their whole shingle sets."""
     links = written(links.distinct())
-    ends = links.select(F.explode(F.array("u", "v")).alias("end"), "u", "v")
+    ends = links.select(F.explode(F.array("u", "v")).alias("end")).distinct()
+    made = shingle_sets(docs.join(ends, F.col("doc_id") == F.col("end"), "left_semi"), shingle)
+    one = made.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+    two = made.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    both = links.join(one, F.col("u") == F.col("a")).join(two, F.col("v") == F.col("b"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    similar = common >= F.lit(least) * (F.size("sa") + F.size("sb") - common)
+    return both.where(similar | ((F.size("sa") == 0) & (F.size("sb") == 0))).select("u", "v")
+
+
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, shingles array<long>): one row a doc_id."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,23 +334,117 @@ def checked_links(docs: DataFrame, links: DataFrame, shingle: int, least: float)
                 held = [shingle_set(t, shingle).view(np.int64) for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], ragged(held, pa.int64())], ["doc_id", "shingles"])
 
-    wanted = docs.join(ends.select(F.col("end").alias("w")).distinct(), F.col("doc_id") == F.col("w"), "left_semi")
-    made = wanted.select("doc_id", "text").mapInArrow(sets, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"])
-    one = made.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    two = made.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = links.join(one, F.col("u") == F.col("a")).join(two, F.col("v") == F.col("b"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    similar = common >= F.lit(least) * (F.size("sa") + F.size("sb") - common)
-    return both.where(similar | ((F.size("sa") == 0) & (F.size("sb") == 0))).select("u", "v")
+    return docs.select("doc_id", "text").mapInArrow(sets, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"])
+
+
+def _prefixes(term: np.ndarray, first: np.ndarray, least: float) -> np.ndarray:
+    """Marks the first places of each sorted set, of which two sets of this similarity share one."""
+    size = np.diff(first)
+    keep = size - np.ceil(least * size - 1e-9).astype(np.int64) + 1
+    return np.arange(len(term)) - np.repeat(first[:-1], size) < np.repeat(keep, size)
+
+
+def similar_pairs(side: np.ndarray, group: np.ndarray, sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links between groups that have members of this similarity, one of them on side 0 and one on side 1, or both on side 0 if that is all.
+
+    Every pair of two groups is compared, but a link is kept only if its groups are not joined yet.
+    """
+    names, item = np.unique(group, return_inverse=True)
+    size = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, term, found_in = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(found_in), np.int64)
+    rank[np.argsort(found_in, kind="stable")] = np.arange(len(found_in))  # rare ones first
+    term = rank[term]
+    order = np.lexsort((term, owner))
+    term, first = term[order], np.concatenate([[0], np.cumsum(size)])
+    prefix = _prefixes(term, first, least)
+
+    def postings(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        t, o = term[inside], owner[inside]
+        by = np.argsort(t, kind="stable")
+        return o[by], np.searchsorted(t[by], np.arange(len(found_in) + 1))
+
+    tree = side[owner] == 0
+    whole, start = postings(tree)
+    short, short_start = postings(tree & prefix)
+    forest = Forest(len(names))
+
+    def meet(posting: np.ndarray, at: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        count = at[terms + 1] - at[terms]
+        return posting[np.repeat(at[terms] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+
+    for q in np.flatnonzero(side == 1) if (side == 1).any() else range(len(sets)):
+        own = term[first[q] : first[q + 1]]
+        near = np.unique(meet(short, short_start, own[prefix[first[q] : first[q + 1]]]))
+        near = near[forest.label[item[near]] != forest.label[item[q]]]
+        if len(near):
+            common = np.bincount(meet(whole, start, own), minlength=len(sets))[near]
+            near = near[common >= least * (size[near] + size[q] - common)]
+            forest.add(np.full(len(near), item[q]), item[near])
+    links = np.array(forest.links, np.int64).reshape(-1, 2)
+    return names[links[:, 0]], names[links[:, 1]]
+
+
+def left_out_links(docs: DataFrame, groups: DataFrame, links: DataFrame, checked: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(u, v): links between verified components, out of all pairs of what unverified links connect."""
+    tight = written(components(checked))
+    end = lambda c: tight.select(F.col("node").alias(f"{c}_node"), F.col("component").alias(f"{c}_component"))
+    joined = links.join(end("u"), F.col("u") == F.col("u_node"), "left").join(end("v"), F.col("v") == F.col("v_node"), "left")
+    crossing = joined.select(F.coalesce("u_component", "u").alias("u"), F.coalesce("v_component", "v").alias("v"))
+    joins = components(crossing)  # a component's least node is not among the nodes
+    loose = joins.select(F.col("node").alias("t"), F.col("component").alias("loose")).unionByName(
+        joins.select(F.col("component").alias("t"), F.col("component").alias("loose")).distinct()
+    )
+    placed = groups.select("rep").join(tight, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("component", "rep").alias("tight"))
+    members = placed.join(loose, F.col("tight") == F.col("t")).select("rep", "tight", "loose")
+    sets = shingle_sets(docs.join(members, F.col("doc_id") == F.col("rep"), "left_semi"), shingle)
+    held = written(members.join(sets, F.col("rep") == F.col("doc_id")).select("rep", "tight", "loose", "shingles"))
+    sizes = held.groupBy(F.col("loose").alias("l")).agg(F.sum(F.size("shingles")).alias("n"))
+    chunks = F.greatest(F.ceil(F.col("n") / CHUNK_SHINGLES), F.lit(1)).cast("int")
+    chunked = held.join(sizes, F.col("loose") == F.col("l")).withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    dealt = chunked.select("loose", "tight", "rep", "shingles", F.explode(_chunk_pairs()).alias("pair")).select(
+        F.xxhash64("loose", "pair.i", "pair.j").alias("shard"), F.col("pair.side").alias("side"), "tight", "shingles"
+    )
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts)
+            own = [x for b in parts for x in _arrays(b["shingles"])]
+            u, v = similar_pairs(table["side"].to_numpy(), table["tight"].to_numpy(), own, least)
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+        parts: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            shard = batch["shard"].to_numpy()
+            edges = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+            for a, b in zip(edges, edges[1:]):
+                if parts and parts[-1]["shard"][0].as_py() != shard[a]:
+                    yield out(parts)
+                    parts = []
+                parts.append(batch.slice(a, b - a))
+        if parts:
+            yield out(parts)
+
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(link, "u long, v long")
+
+
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    flat, ends = column.values.to_numpy(), column.offsets.to_numpy().tolist()
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """(doc_id, fp, component_id): components of texts linked by word-shingle similarity."""
     made = written(fingerprints(docs, shingle, WIDE_WORDS))
     groups = written(_groups(made))
-    links = fingerprint_links(groups, WIDE_RADIUS, WIDE_BLOCKS)
+    links = written(fingerprint_links(groups, WIDE_RADIUS, WIDE_BLOCKS))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return _classes(made, checked_links(rows, links, shingle, least), groups)
+    checked = written(checked_links(rows, links, shingle, least))
+    return _classes(made, checked.unionByName(left_out_links(rows, groups, links, checked, shingle, least)), groups)
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:

@@ -105,3 +105,46 @@ def test_similar_texts_leave_one(spark):
     left = [(a, b) for a in kept - {None} for b in kept - {None} if a < b and similar(texts[a], texts[b])]
     assert len(left) <= 1
     assert keep_one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def star(copies, words=300, edits=6):
+    """A text, and copies of it that are edited each at its own places: like it by over 0.8, less like each other."""
+    random.seed(3)
+    base = [f"b{i}" for i in range(words)]
+    texts = [" ".join(base)]
+    for j in range(copies):
+        own = list(base)
+        for k, at in enumerate(random.sample(range(words // 6), edits)):
+            own[at * 6 + 2] = f"e{j}_{k}"
+        texts.append(" ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize("chunk", [500_000, 20_000])
+def test_copies_of_one_text_only(spark, monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "CHUNK_SHINGLES", chunk)
+    texts = star(1000)
+    assert all(similar(texts[0], t) for t in texts)
+    assert sum(similar(a, b) for a, b in zip(texts[1:], texts[2:])) < 50
+    rows = [(i, t, "x", 1) for i, t in enumerate(texts)] + [(5000, "other " + " ".join(f"z{i}" for i in range(50)), "x", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert sorted(r.doc_id for r in keep_one_of_each(docs).collect()) == [0, 5000]
+
+
+def test_similar_pairs_against_brute_force():
+    rng = np.random.default_rng(2)
+    base = [rng.choice(1000, 30, replace=False) for _ in range(6)]
+    sets = [np.unique(np.where(rng.random(30) < 0.08, rng.integers(0, 1000, 30), base[i % 6])) for i in range(80)]
+    group = np.arange(80) // 2
+    for side in (np.zeros(80, np.int64), (np.arange(80) % 5 == 0).astype(np.int64)):
+        label = {g: g for g in group.tolist()}
+        want = dict(label)
+        for a in range(80):
+            for b in range(80):
+                if (side[a] == 0 and side[b] == 1 or not side.any()) and (n := len(np.intersect1d(sets[a], sets[b]))) >= 0.8 * (len(sets[a]) + len(sets[b]) - n):
+                    x, y = want[group[a]], want[group[b]]
+                    want = {g: min(x, y) if z in (x, y) else z for g, z in want.items()}
+        for u, v in zip(*simhash.similar_pairs(side, group, sets, 0.8)):
+            x, y = label[u], label[v]
+            label = {g: min(x, y) if z in (x, y) else z for g, z in label.items()}
+        assert label == want and len(set(want.values())) < 40
