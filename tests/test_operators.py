@@ -121,3 +121,12 @@ def test_curves(spark):
     assert [r.epoch for r in T.epoch_progression(epochs).collect()] == [0, 3, 6, 8, 11]
     assert T.best_epoch(epochs, "m").first().epoch == 6
     assert R.filter_by_ids(epochs, "epoch", []).count() == 0
+
+
+def test_predict_points_labels_every_point(spark):
+    from decklight.plans import catalogue
+
+    sf = "/root/testdata/sf0.001"
+    out = catalogue.QUERIES["m2_predict_points"](spark, sf)
+    bridges = {r.bridge_id for r in out.select("bridge_id").distinct().collect()}
+    assert any(int(b) % 5 for b in bridges) and any(int(b) % 5 == 0 for b in bridges)
