@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .shared import text_or_empty
-from .tokens import text_slices
+from .words import text_slices
 
 LEAST_COVERAGE = 0.8
 #: Words of a template with this many letters or more are telling.

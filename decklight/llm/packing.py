@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .bpe import ragged, vocabulary_path
 from .shared import text_or_empty
-from .tokens import library_encoder, text_slices
+from .tokens import library_encoder
+from .words import text_slices
 
 WINDOW_TOKENS = 1024
 END_ID = 0
@@ -128,7 +129,6 @@ class Packer:
 def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW_TOKENS, end_id: int = END_ID) -> DataFrame:
     """(doc_id, start, length, doc_tokens, sequence_id, offset, ids): one row a piece."""
     path = path or vocabulary_path()
-    end = np.uint32(end_id).tobytes()
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,9 +151,9 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
         for batch in batches:
             for part in text_slices(batch):
                 doc_ids += part["doc_id"].to_pylist()
-                new = [np.frombuffer(raw + end, "<u4") for raw in library.encode(part["text"].to_pylist())]
-                ids += new
-                size += sum(map(len, new))
+                ends, flat = library.encode(part["text"], end_id)
+                ids += [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+                size += len(flat)
                 if size >= SHARD_TOKENS:
                     yield from out()
                     doc_ids, ids, size = [], [], 0

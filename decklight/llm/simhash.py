@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .bpe import ragged
 from .shared import mixed, text_or_empty, written
-from .tokens import text_slices
+from .words import text_slices
 
 SHARD_ENTRIES = 2048
 #: Entries a task holds as one forest of BK-trees.

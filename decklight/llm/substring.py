@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .fm_index import FMIndex
 from .shared import mixed, text_or_empty, written
-from .tokens import text_slices
+from .words import text_slices
 
 WINDOW = 13
 ANCHOR = 6

@@ -3,118 +3,76 @@
 Ids are a ``list<int32>`` column with dictionary encoding (or delta encoding),
 in files that follow each other in ascending doc_id order. Row groups are bounded
 and the writer adds page indexes, so a filter on doc_id or a read of ``n_tokens``
-alone skips the token pages.
+alone skips the token pages. ``row_no`` is a row's place in its file.
 
-Defined results: a null text is empty, so the document is its end id alone; rows
-with one doc_id stand next to each other; a null doc_id comes first; an empty table
-gives an empty table; other columns are not carried.
+Defined results: a null text is empty, so the document is its end id alone; a text of
+any length is encoded whole; rows with one doc_id, equal or not, stand next to each
+other, and ``start`` follows the order they have in the file; a null doc_id comes first;
+an empty table gives an empty table; other columns are not carried.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .bpe import CACHE_WORDS, byte_alphabet, ragged, vocabulary_path
+from .bpe import PRE_TOKENS, byte_alphabet, id_lists, vocabulary_path
 from .shared import read_table, shared_folder, text_or_empty
+from .words import LAST_LATIN, WordTable, text_slices
 
 END_ID = 2
-#: Letters up to here are letters to every version of the Unicode tables.
-_LAST_LATIN = "\u024f"
-#: A space after white space, which is no safe place to cut.
-_GAPS = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
-_ASCII_GAPS = [g for g in _GAPS if g.isascii()]
-
-
-class _Words(dict):
-    """Ids by word; an unknown word is looked up among the old ones, or encoded."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.encode(word)
-        self[word] = ids
-        return ids
-
-    def forget(self) -> None:
-        """Words not seen for two generations go."""
-        if len(self) > CACHE_WORDS // 2:
-            self.old = dict(self)
-            self.clear()
 
 
 class LibraryEncoder:
-    """The ``tokenizers`` library, asked once for each distinct word while it is remembered.
+    """The ``tokenizers`` library, asked once for each distinct pre-token while its word is remembered.
 
-    Words are cut before each space that follows a non-space, where the
-    pre-tokenizer cuts as well; texts for which that does not hold go to the
-    library whole. A word of letters, with or without a full stop or comma, is one or
-    two pre-tokens and goes to the library's model directly; a line break between two
-    words is a pre-token of its own.
+    Words of Latin characters are cut as the pre-tokenizer does, and the library's model encodes
+    their parts; other words, and the texts of special tokens, go to the library whole.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        self._whole: set[str] = set()
         self._byte_char = {b: c for c, b in byte_alphabet().items()}
-        self._space = self._byte_char[32]
-        self._mark = {mark: self._library([mark])[0] for mark in ".,\n"}
-        self._after_space = _Words(lambda word: self._word(word, self._space))
-        self._after_break = _Words(lambda word: self._word(word, ""))
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _word(self, word: str, before: str) -> bytes:
-        """The ids of a word after ``before``: the character that stands for a space, or nothing."""
-        if word.isalpha() and (word.isascii() or max(word) <= _LAST_LATIN):
-            if not word.isascii():
-                word = "".join(map(self._byte_char.__getitem__, word.encode()))
-            return array("I", [t.id for t in self.model.tokenize(before + word)]).tobytes()
-        known = self._after_space if before else self._after_break
-        if word[-1:] in (".", ",") and word[:-1].isalpha():
-            return known[word[:-1]] + self._mark[word[-1]]
-        first, mid, last = word.partition("\n")
-        if mid and first and last and not first[-1].isspace() and not last[0].isspace():
-            return known[first] + self._mark[mid] + self._after_break[last]
-        return self._library([" " + word if before else word])[0]
-
-    def _cut_safely(self, text: str) -> bool:
-        """Whether each space follows a non-space, and no special token is there."""
-        for gap in _ASCII_GAPS if text.isascii() else _GAPS:
-            if gap in text:
-                return False
-        return not any(special in text for special in self.special)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        self._after_space.forget()
-        self._after_break.forget()
-        find, out = self._after_space.__getitem__, []
-        for text in texts:
-            if self._cut_safely(text):
-                first, *rest = text.split(" ")
-                out.append(b"".join([self._after_break[first], *map(find, rest)]))
-            else:
-                out.append(self._library([text])[0])
-        return out
+        self._words = regex.compile(PRE_TOKENS)
+        self.table = WordTable(self._cut, self._encode)
+
+    def _cut(self, word: str) -> list[str]:
+        if (word.isascii() or max(word) <= LAST_LATIN) and not self._special.search(word):
+            return self._words.findall(word)
+        self._whole.add(word)
+        return [word]
+
+    def _encode(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        whole, self._whole = self._whole, set()
+        tokens_of = {w: e.ids for w, e in zip(whole, self.tokenizer.encode_batch_fast(list(whole), add_special_tokens=False))} if whole else {}
+        # no byte of a text is 255, so it stands between tokens while they are spelt as the vocabulary spells bytes
+        spelt = b"\xff".join([t.encode() for t in tokens]).decode("latin-1").translate(self._byte_char).split("\xff")
+        tokenize, flat, size = self.tokenizer.model.tokenize, [], []
+        for token, chars in zip(tokens, spelt):
+            own = tokens_of[token] if token in whole else [t.id for t in tokenize(chars)]
+            size.append(len(own))
+            flat += own
+        return np.array(flat, np.uint32), np.array(size, np.int64)
+
+    def encode(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of the texts, each closed by ``end_id``."""
+        offsets, ids = self.table.encode(texts)
+        return offsets + np.arange(len(offsets)), np.insert(ids, offsets[1:], np.uint32(end_id))
 
 
 _encoders: dict[str, LibraryEncoder] = {}
@@ -126,29 +84,14 @@ def library_encoder(path: str) -> LibraryEncoder:
     return _encoders[path]
 
 
-def text_slices(batch: pa.RecordBatch, most_chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with bounded text, so that a worker's memory is bounded too."""
-    sizes = pc.utf8_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False)
-    start, total = 0, 0
-    for i, size in enumerate(sizes):
-        if total and total + size > most_chars:
-            yield batch.slice(start, i - start)
-            start, total = i, 0
-        total += int(size)
-    if batch.num_rows > start:
-        yield batch.slice(start)
-
-
 def encode_with_end(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, ids) in the order of the rows, each document closed by ``end_id``."""
-    end = np.uint32(end_id).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = library_encoder(path)
         for batch in batches:
             for part in text_slices(batch):
-                ids = [np.frombuffer(raw + end, "<u4") for raw in library.encode(part["text"].to_pylist())]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], ragged(ids, pa.int32())], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], id_lists(*library.encode(part["text"], end_id))], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(encode, "doc_id long, ids array<int>")
@@ -164,7 +107,7 @@ def write_token_files(
     row_group_bytes: int = 32 << 20,
     page_bytes: int = 256 << 10,
 ) -> None:
-    """Files of (file_no, doc_id, n_tokens, ids); the order is file_no, then doc_id.
+    """Files of (file_no, row_no, doc_id, n_tokens, ids); the order is file_no, then row_no, which ascends with doc_id.
 
     Range partitioning deals doc_ids out evenly; ``files`` defaults to the number
     of shuffle partitions. ``encoding`` is ``dictionary`` or ``delta``.
@@ -179,7 +122,9 @@ def write_token_files(
     )
     encoded = encode_with_end(ordered, path or vocabulary_path(), end_id)
     (
-        encoded.select(F.spark_partition_id().alias("file_no"), "doc_id", F.size("ids").alias("n_tokens"), "ids")
+        # the number of the partition, and of the row in it, as it comes
+        encoded.withColumn("place", F.monotonically_increasing_id())
+        .select(F.shiftright("place", 33).cast("int").alias("file_no"), F.col("place").bitwiseAND((1 << 33) - 1).alias("row_no"), "doc_id", F.size("ids").alias("n_tokens"), "ids")
         .write.option("compression", "zstd")
         .option("parquet.block.size", row_group_bytes)
         .option("parquet.page.size", page_bytes)
@@ -191,7 +136,7 @@ def write_token_files(
 
 def read_token_files(spark: SparkSession, out: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """The token files; bounds on doc_id are pushed down to row groups and pages."""
-    rows = spark.read.schema("file_no int, doc_id long, n_tokens int, ids array<int>").parquet(out)
+    rows = spark.read.schema("file_no int, row_no long, doc_id long, n_tokens int, ids array<int>").parquet(out)
     if first is not None:
         rows = rows.where(F.col("doc_id") >= first)
     if last is not None:
@@ -208,24 +153,22 @@ def token_digests(spark: SparkSession, out: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch["ids"]
-            flat = ids.values.to_numpy().astype("<u4").tobytes()
-            ends = ids.offsets.to_numpy().tolist()
+            flat = batch["ids"].values.to_numpy().view(np.uint8)
+            ends = batch["ids"].offsets.to_numpy().tolist()
             crc = [zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(ends, ends[1:])]
-            size = np.diff(ends)
             yield pa.RecordBatch.from_arrays(
-                [batch["file_no"], batch["doc_id"], pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
-                ["file_no", "doc_id", "n_tokens", "ids_crc32"],
+                [batch["file_no"], batch["row_no"], batch["doc_id"], pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())],
+                ["file_no", "row_no", "doc_id", "n_tokens", "ids_crc32"],
             )
 
     read = read_token_files(spark, out)
-    rows = read.select("file_no", "doc_id", "ids").mapInArrow(digest, "file_no int, doc_id long, n_tokens long, ids_crc32 long")
+    rows = read.select("file_no", "row_no", "doc_id", "ids").mapInArrow(digest, "file_no int, row_no long, doc_id long, n_tokens long, ids_crc32 long")
     per_file = read.groupBy("file_no").agg(F.sum(F.col("n_tokens").cast("long")).alias("total"))
     before = per_file.select(
         F.col("file_no").alias("f"),
         (F.sum("total").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"),
     )
-    within = Window.partitionBy("file_no").orderBy("doc_id", "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("file_no").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
     return (
         rows.withColumn("upto", F.sum("n_tokens").over(within))
         .join(before, F.col("file_no") == F.col("f"))

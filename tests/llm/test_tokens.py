@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -28,18 +29,41 @@ def texts():
 def test_rank_array_matches_the_library(library):
     bpe, cached = RankArrayBPE(vocabulary_path()), LibraryEncoder(vocabulary_path())
     many = texts()
-    other = cached.encode(many)
-    for text, raw in zip(many, other):
+    column = pa.array(many, pa.string())
+    ends, flat = cached.encode(column, 9)
+    own_ends, own = bpe.table.encode(column)
+    decoded = bpe.decode_rows(own, own_ends).to_pylist()
+    for i, text in enumerate(many):
         ids = library.encode(text, add_special_tokens=False).ids
-        assert bpe.encode(text).tolist() == ids
-        assert np.frombuffer(raw, "<u4").tolist() == ids
-        assert bpe.decode(ids) == library.decode(ids, skip_special_tokens=False)
+        assert bpe.encode(text).tolist() == ids == own[own_ends[i] : own_ends[i + 1]].tolist()
+        assert flat[ends[i] : ends[i + 1]].tolist() == ids + [9]
+        assert bpe.decode(ids) == library.decode(ids, skip_special_tokens=False) == decoded[i]
+
+
+def test_bounded_table_and_ids_of_no_text(library):
+    random.seed(2)
+    bpe = RankArrayBPE(vocabulary_path())
+    bpe.table.limit = 60
+    for _ in range(12):
+        many = [" ".join(random.choices("ab,cdé1", k=random.randint(1, 5))) + " x" * random.randint(0, 3) + "".join(random.choices("abcdefg ", k=40)) for _ in range(20)]
+        ends, flat = bpe.table.encode(pa.array(many))
+        for i, text in enumerate(many):
+            assert flat[ends[i] : ends[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(bpe.table.after_space) <= bpe.table.n < 700
+    ids = library.encode("漢", add_special_tokens=False).ids[:1]
+    assert bpe.decode_rows(np.array(ids * 2, np.uint32), np.array([0, 1, 2])).to_pylist() == [library.decode(ids, skip_special_tokens=False)] * 2
 
 
 def test_short_and_long_words_agree():
     bpe = RankArrayBPE(vocabulary_path())
-    for word in (b"a", b"hello", b"unhappinesses", bytes(range(256)), b"ab" * 300):
-        assert bpe.merge_short(word) == bpe.merge_long(word)
+    words = [b"a", b"hello", b"unhappinesses", bytes(range(256)), b"ab" * 300, b"b", b" the", b"zq"]
+    size = np.array([len(w) for w in words])
+    parts = np.full((len(words), size.max()), -1)
+    for row, word in zip(parts, words):
+        row[: len(word)] = bpe.byte_ids[list(word)]
+    merged, left = bpe.merge_side_by_side(parts, size)
+    for row, n, word in zip(merged, left, words):
+        assert row[:n].tolist() == bpe.merge_long(word)
 
 
 def frame(spark, rows):
@@ -47,7 +71,7 @@ def frame(spark, rows):
 
 
 def test_queries_over_odd_rows(spark, library, tmp_path):
-    rows = [(i, t, "x", 1) for i, t in enumerate(ODD)] + [(99, None, None, None), (100, ODD[3], None, None), (100, ODD[3], None, None), (None, "b", None, None)]
+    rows = [(i, t, "x", 1) for i, t in enumerate([*ODD, "long words, " * 60_000])] + [(100, "longer than the other", None, None), (100, "b c " * 5, None, None)] + [(99, None, None, None), (100, ODD[3], None, None), (100, ODD[3], None, None), (None, "b", None, None)]
     docs = frame(spark, rows)
     got = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op9_bpe(docs).collect()}
     assert len(got) == len(rows) - 1
@@ -56,11 +80,16 @@ def test_queries_over_odd_rows(spark, library, tmp_path):
     out = f"file://{tmp_path}/tokens"
     write_token_files(docs, out, files=3)
     start, expected = 0, []
-    for i, t, *_ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        ids = np.array(library.encode(t or "", add_special_tokens=False).ids + [END_ID], "<u4")
+    got = sorted(map(tuple, token_digests(spark, out).collect()), key=lambda r: r[1])
+    held = [(r.doc_id, r.ids) for r in sorted(read_token_files(spark, out).collect(), key=lambda r: (r.file_no, r.row_no))]
+    assert sorted(i for i, *_ in rows if i is not None) == [i for i, _ in held if i is not None]
+    ids_of = lambda t: library.encode(t or "", add_special_tokens=False).ids + [END_ID]
+    assert sorted((str(i), ids_of(t)) for i, t, *_ in rows) == sorted((str(i), ids) for i, ids in held)
+    for i, ids in held:
+        ids = np.array(ids, "<u4")
         expected.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
-    assert sorted(map(tuple, token_digests(spark, out).collect()), key=lambda r: r[1]) == expected
+    assert got == expected
     assert {r.doc_id for r in read_token_files(spark, out, 2, 4).collect()} == {2, 3, 4}
 
 
