@@ -5,34 +5,39 @@ has a potential for its features (tag, class words, length, link share) and an e
 has one for the states of parent and child. Sum-product messages go up the tree and
 down again and give every text's marginal; texts over one half are the main text.
 The potentials are counts over labelled pages: ``LABELLED_PAGES`` below, and a sample
-of at most ``SAMPLE_PAGES`` of the given pages whose landmark elements label them.
+of at most ``SAMPLE_PAGES`` of the given pages whose landmark elements label them. The
+sample is parsed and counted by Spark; only the counts come to the driver.
 
 Defined results: a null or empty page gives an empty text; a page without main text
-too; markup cut off at the end of a page is dropped, an open element ends with its
-parent; repeated rows give equal rows; a null page_id or url is passed on; an empty
+too; a page of any length is read whole; markup cut off at the end of a page is dropped,
+an open element ends with its parent, and an unclosed script, button or the like at the
+next block; repeated rows give equal rows; a null page_id or url is passed on; an empty
 table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
 
+import ast
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+#: Pages of the table that are fitted on, those of the least hash; a fit needs no more.
 SAMPLE_PAGES = 300
-#: Longer pages are not fitted on, so that the sample's size has a bound.
-SAMPLE_CHARS = 100_000
 #: The weight of a page labelled by hand, and of the whole sample.
-HAND_WEIGHT, SAMPLE_WEIGHT = 5.0, 2.0
+HAND_WEIGHT, SAMPLE_WEIGHT = 5.0, 10.0
 
 # Elements of the HTML standard, by kind.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style textarea title iframe noembed noframes xmp noscript template svg math select button".split())
+CODE = frozenset(["script", "style"])
+RAW_TEXT = frozenset("textarea title iframe noembed noframes xmp noscript".split())
+FOREIGN = frozenset(["svg", "math"])
+HIDDEN = CODE | RAW_TEXT | FOREIGN | frozenset(["template", "select", "button"])
 BLOCK = frozenset(
     "html body head address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol option p pre search section summary "
@@ -57,6 +62,7 @@ ASIDE_WORDS = frozenset(
     "header masthead menu modal nav navbar navigation newsletter notice pagination popup promo promoted recommended related "
     "replies respond share sharing sidebar social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+CONTENT_WORDS = frozenset("article body content entry main page post story text".split())
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -81,37 +87,83 @@ def class_words(rest: str) -> frozenset:
     return frozenset(w.lower() for value in _NAMED.findall(rest) for w in _NAME_WORD.findall(value))
 
 
+class Open:
+    """The open elements, with the places of each tag's, so that an end tag finds its own at once."""
+
+    def __init__(self):
+        # tag, the block it is in, whether it ends at the next block, whether it is a block that is shown
+        self.stack: list[tuple[str, int, bool, bool]] = [("page", 0, False, True)]
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks = [0]
+        self.loose: list[int] = []
+        self.hidden = 0
+
+    def push(self, tag: str, block: int, loose: bool = False) -> None:
+        at = len(self.stack)
+        shown = tag in BLOCK and not self.hidden
+        self.stack.append((tag, block, loose, shown))
+        self.places[tag].append(at)
+        if shown:
+            self.blocks.append(at)
+        if loose:
+            self.loose.append(at)
+        self.hidden += tag in HIDDEN
+
+    def pop(self) -> str:
+        tag, _, loose, shown = self.stack.pop()
+        self.places[tag].pop()
+        if shown:
+            self.blocks.pop()
+        if loose:
+            self.loose.pop()
+        self.hidden -= tag in HIDDEN
+        return tag
+
+    def last(self, tags: Iterable[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=-1)
+
+
+def _ending(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I)
+
+
+_ENDING = {tag: _ending(tag) for tag in HIDDEN}
+_NEXT = {tag: re.compile(rf"<(/?){tag}(?=[\s/>]|\Z)", re.I) for tag in HIDDEN}
+
+
 def parse(page: str) -> list[Node]:
     """Block elements and text blocks, each after its parent, in page order."""
     nodes = [Node("page", frozenset(), -1)]
-    stack: list[tuple[str, int]] = [("page", 0)]  # open elements, and the block each is in
+    open_ = Open()
+    stack = open_.stack
     run: list[str] = []
-    linked = links = 0
+    linked = 0
+    last_template = -1
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(run).split())
         run.clear()
         if text:
-            block = stack[-1][1]
-            own = Node("#text", frozenset(), block)
+            own = Node("#text", frozenset(), stack[-1][1])
             own.text, own.links = text, min(linked, len(text))
             nodes.append(own)
         linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked
+        if open_.hidden:
+            return
         text = html.unescape(raw)
         run.append(text)
-        if links:
+        if open_.places["a"]:
             linked += len(text)
 
     def close(down_to: int) -> None:
-        nonlocal links
         while len(stack) > down_to:
-            if stack[-1][0] in BLOCK:
+            if stack[-1][3]:
                 flush()
-            links -= stack.pop()[0] == "a"
+            open_.pop()
 
     at, size = 0, len(page)
     while at < size:
@@ -126,47 +178,58 @@ def parse(page: str) -> list[Node]:
         if not tag:
             continue
         if found["end"] or found["end2"]:
-            if tag == "p" and not any(t == "p" for t, _ in stack):
+            if tag == "p" and not open_.places["p"] and not open_.hidden:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
+            if open_.places[tag]:
+                close(open_.places[tag][-1])
             continue
         rest = found["rest"] or found["rest2"] or ""
         if tag in VOID:
-            if tag == "hr":
+            if tag == "hr" and not open_.hidden:
                 flush()
-            elif tag == "br":
+            elif tag == "br" and not open_.hidden:
                 run.append(" ")
             continue
-        if tag in RAW:
-            ending = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I).search(page, at)
-            at = ending.end() if ending else size
+        if tag in HIDDEN:
+            loose = True
+            if tag in CODE:
+                ending = _ENDING[tag].search(page, at)
+                if ending:
+                    at = ending.end()
+                    continue
+            elif tag in FOREIGN:
+                if rest.endswith("/"):
+                    continue
+            elif tag == "template":
+                if last_template < at:
+                    last_template = max((m.start() for m in _ENDING[tag].finditer(page, at)), default=size + 1)
+                loose = last_template > size
+            else:  # these do not nest: another one first means that this one was not closed
+                following = _NEXT[tag].search(page, at)
+                loose = not (following and following[1])
+                if not loose and tag in RAW_TEXT:
+                    ending = page.find(">", following.end())
+                    at = ending + 1 if ending >= 0 else size
+                    continue
+            open_.push(tag, stack[-1][1], loose)
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCK:
-                    break
+        if tag in BLOCK and tag != "option":
+            while open_.loose and open_.loose[-1] > open_.blocks[-1]:
+                close(open_.loose[-1])
+        if tag in CLOSES_P and stack[open_.blocks[-1]][0] == "p":
+            close(open_.blocks[-1])
         if tag in IMPLIED_END:
             ended, until = IMPLIED_END[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in until:
-                    break
-                if stack[i][0] in ended:
-                    close(i)
-                    break
-        if tag in BLOCK:
+            place = open_.last(ended)
+            if place > open_.last(until):
+                close(place)
+        block = stack[-1][1]
+        if tag in BLOCK and not open_.hidden:
             flush()
-            block = stack[-1][1]
-            stack.append((tag, len(nodes)))
+            open_.push(tag, len(nodes))
             nodes.append(Node(tag, class_words(rest), block))
         else:
-            stack.append((tag, stack[-1][1]))
-            links += tag == "a"
+            open_.push(tag, block)
     close(1)
     flush()
     return nodes
@@ -175,20 +238,27 @@ def parse(page: str) -> list[Node]:
 def features(nodes: list[Node], i: int) -> list[str]:
     node = nodes[i]
     if node.text is None:
-        return [f"tag {node.tag}", *(f"name {w}" for w in sorted(node.names & ASIDE_WORDS))]
+        aside, content = sorted(node.names & ASIDE_WORDS), sorted(node.names & CONTENT_WORDS)
+        words = [f"word {w}" for w in aside + content]
+        return [f"tag {node.tag}", *words, *["named aside"] * bool(aside), *["named content"] * bool(content)]
     length = min(6, int(math.log2(1 + len(node.text.split()))))
     linked = round(4 * node.links / len(node.text))
     return [f"text {length}", f"links {linked}"]
 
 
-def landmark_states(nodes: list[Node]) -> list[int] | None:
-    """The states that landmark elements give a page, or None without any."""
+def landmark_states(nodes: list[Node]) -> list[int | None] | None:
+    """The states that landmark elements give a page, or None without any; None where class words put them in doubt."""
     if not any(n.tag in MAIN for n in nodes):
         return None
-    states = [0] * len(nodes)
+    states: list[int | None] = [0] * len(nodes)
     for i, node in enumerate(nodes[1:], 1):
-        aside = node.tag in ASIDE or node.names & ASIDE_WORDS
-        states[i] = int(not aside and (node.tag in MAIN or states[node.parent] == 1))
+        above = states[node.parent]
+        if node.tag in ASIDE:
+            states[i] = 0
+        elif above is None or (above == 1 or node.tag in MAIN) and node.names & ASIDE_WORDS:
+            states[i] = None
+        else:
+            states[i] = int(node.tag in MAIN or above == 1)
     return states
 
 
@@ -214,9 +284,22 @@ LABELLED_PAGES = (
     '<body><header><a>Logo</a></header><section class="content post"><h2>+What to bring</h2><ul><li>+Boots</li><li>+A map of the whole place</li><li>+Bread</li></ul>'
     "<h3>+How to get there</h3><ol><li>+Take the train to the last stop.</li><li>+Walk.</li></ol><p>+That is all.</p></section>"
     '<section id="comments"><ul><li><p>Nice</p></li></ul></section><footer><nav><ul><li><a>About</a></li></ul></nav></footer></body>',
+    '<body><article class="post share-count"><h1>+A post that people share</h1><p>+It has a paragraph of a good many words, as an article is wont to have.</p>'
+    '<div class="related-work"><h2>+Related work</h2><p>+Others have written on this before, and what they found is told here at some length.</p></div>'
+    '<ul class="social share"><li><a>Share this</a></li><li><a>Send</a></li></ul></article>'
+    '<div class="comment-list"><div class="comment reply"><p>Thank you for this, I had been looking for it for a long time.</p></div>'
+    '<div class="comment"><p>It did not work for me, and I do not know why that is.</p><p>But I will try it again.</p></div></div></body>',
+    '<body><div class="menu"><a>Start</a><a>Shop</a></div><div id="page"><div class="entry text"><h1>+The menu of a banner year</h1><p>+What they ate and what they drank, in so many words, day after day.</p></div>'
+    '<div class="sidebar widget"><p>Written by somebody who likes to write about what is eaten.</p><ul><li><a>Older</a></li></ul></div>'
+    '<div class="banner">A word from those who pay for this</div><div class="disclaimer"><p>Nothing here is advice, and nobody answers for what comes of it.</p></div>'
+    '<div class="subscribe"><p>Leave us your address and we will write to you every week.</p></div><div class="pagination"><a>1</a><a>2</a></div></div></body>',
+    '<body><div class="story"><p>+A first paragraph without a heading, which goes on for quite a while.</p><p>+Then a second.</p><p>+And a third one of some length to end it.</p></div>'
+    '<section class="respond replies"><h3>Replies</h3><article class="comment"><p>A reader of this page wrote these words under it, and quite a few of them too.</p></article>'
+    '<article class="comment"><p>Another reader did not like what the first one had to say.</p></article></section>'
+    '<div class="consent cookies"><p>This site stores small files on your device to remember what you like.</p></div><p>Copyright</p></body>',
+    '<body><article><h1>+A wet day</h1><p>+It rained.</p><div class="advert"><p>Buy a coat</p></div><p>+All day.</p><p>+So we stayed.</p><form><p>Find</p></form><p>+Then it was dry.</p><p>+The end.</p></article></body>',
 )
 
-
 def marked_states(nodes: list[Node]) -> list[int]:
     """The states of a page whose content texts start with "+": of elements, whether most of their texts are content."""
     votes = [0] * len(nodes)
@@ -229,43 +312,31 @@ def marked_states(nodes: list[Node]) -> list[int]:
 
 
 class TreeModel:
-    """Log potentials out of counts."""
+    """Log potentials out of counts: (state, feature) and (child is a text, state of the parent, state)."""
 
     def __init__(self):
-        self.feature = (Counter(), Counter())
-        self.total = (Counter(), Counter())
-        # by whether the child is a text, and the states of parent and child
-        self.edge = Counter({(text, a, b): 0.9 if a == b else 0.1 for text in (False, True) for a in (0, 1) for b in (0, 1)})
-
-    def learn(self, nodes: list[Node], states: list[int], weight: float = 1.0) -> None:
-        for i, state in enumerate(states):
-            for f in features(nodes, i):
-                self.feature[state][f] += weight
-                self.total[state][f.split()[0]] += weight
-            if i:
-                self.edge[nodes[i].text is not None, states[nodes[i].parent], state] += weight
+        self.counts: Counter = Counter({(text, a, b): 0.9 if a == b else 0.1 for text in (False, True) for a in (0, 1) for b in (0, 1)})
+
+    def learn(self, counts: Counter, weight: float = 1.0) -> None:
+        for key, n in counts.items():
+            self.counts[key] += weight * n
 
     def ready(self) -> TreeModel:
-        self.log_edge = [
-            [[math.log(self.edge[text, a, b] / (self.edge[text, a, 0] + self.edge[text, a, 1])) for b in (0, 1)] for a in (0, 1)]
-            for text in (False, True)
-        ]
-        names = set(self.feature[0]) | set(self.feature[1])
-        smooth = 0.5
+        count, smooth = self.counts, 0.5
+        self.log_edge = [[[math.log(count[text, a, b] / (count[text, a, 0] + count[text, a, 1])) for b in (0, 1)] for a in (0, 1)] for text in (False, True)]
+        kind = lambda f: {"word": "tag", "named": "tag"}.get(f.split()[0], f.split()[0])  # noqa: E731  every element has one tag
+        total: Counter = Counter()
+        for key, n in count.items():
+            if len(key) == 2 and key[1].split()[0] not in ("word", "named"):
+                total[key[0], kind(key[1])] += n
         self.log_feature = {
-            f: tuple(math.log((self.feature[s][f] + smooth) / (self.total[s][f.split()[0]] + smooth * 20)) for s in (0, 1)) for f in names
+            f: tuple(math.log((count[s, f] + smooth) / (total[s, kind(f)] + smooth * 20)) for s in (0, 1)) for f in {k[1] for k in count if len(k) == 2}
         }
         return self
 
     def unary(self, nodes: list[Node], i: int) -> tuple[float, float]:
-        zero = one = 0.0
-        for f in features(nodes, i):
-            a, b = self.log_feature.get(f, (0.0, 0.0))
-            if f.startswith("name"):  # a telling class word counts in full
-                zero, one = zero + max(a - b, 0.0) + 2.0, one
-            else:
-                zero, one = zero + a, one + b
-        return zero, one
+        found = [self.log_feature.get(f, (0.0, 0.0)) for f in features(nodes, i)]
+        return sum(a for a, _ in found), sum(b for _, b in found)
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """P(content) of each node by one upward and one downward pass of messages."""
@@ -301,22 +372,61 @@ def main_text(page: str, model: TreeModel) -> str:
     return "\n".join(n.text for n, p in zip(nodes, chance) if n.text is not None and p > 0.5)
 
 
-def fit(pages: Iterable[str]) -> TreeModel:
+def page_counts(nodes: list[Node], states: list[int | None], edges: bool = True) -> Counter:
+    """What a labelled page adds to the counts of a model; nodes in doubt add nothing.
+
+    Landmarks leave out what is no content inside an article, so edges are counted on pages labelled by hand only.
+    """
+    counts: Counter = Counter()
+    for i, state in enumerate(states):
+        if state is not None:
+            counts.update((state, f) for f in features(nodes, i))
+            if edges and i:
+                counts[nodes[i].text is not None, states[nodes[i].parent], state] += 1
+    return counts
+
+
+def fit(pages: Iterable[str] = ()) -> TreeModel:
+    """Fits on the pages labelled here and on pages with landmarks."""
+    found = [page_counts(nodes, states, False) for nodes in map(parse, pages) if (states := landmark_states(nodes))]
+    return _fitted(sum(found, Counter()), len(found))
+
+
+def _fitted(sample: Counter, n: int) -> TreeModel:
     model = TreeModel()
+    model.learn(Counter((0, f"word {w}") for w in ASIDE_WORDS), HAND_WEIGHT)  # each once in a block that is no content
     for page in LABELLED_PAGES:
         nodes = parse(page)
-        model.learn(nodes, marked_states(nodes), HAND_WEIGHT)
-    parsed = [(nodes, states) for nodes in map(parse, pages) if (states := landmark_states(nodes))]
-    for nodes, states in parsed:
-        model.learn(nodes, states, SAMPLE_WEIGHT / len(parsed))
+        model.learn(page_counts(nodes, marked_states(nodes)), HAND_WEIGHT)
+    if n:
+        model.learn(sample, SAMPLE_WEIGHT / n)
     return model.ready()
 
 
 def fit_on(pages: DataFrame) -> TreeModel:
-    """Fits on LABELLED_PAGES and on the SAMPLE_PAGES rows of the least hash."""
-    rows = pages.select(F.col("html").cast("string").alias("html")).where(F.length("html").between(1, SAMPLE_CHARS))
-    sample = rows.orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES)
-    return fit(r.html for r in sample.collect())
+    """Fits on the pages labelled here and on SAMPLE_PAGES different pages at most, those of the least hash."""
+    rows = pages.select(F.col("html").cast("string").alias("html")).where("html <> ''").withColumn("h", F.xxhash64("html"))
+    n = max(1, rows.count())
+    share = min(1.0, 4 * SAMPLE_PAGES / n)  # hashes over it are not among the least, unless nearly all pages are copies
+    low = int(-(1 << 63) + share * ((1 << 64) - 1))
+    kept = rows.where(F.col("h") <= min(low, (1 << 63) - 1))
+    chosen = [r.h for r in kept.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter = Counter()
+            for page in batch["html"].to_pylist():
+                nodes = parse(page)
+                states = landmark_states(nodes)
+                if states:
+                    counts.update({("pages",): 1, **page_counts(nodes, states, False)})
+            keys = pa.array([repr(k) for k in counts], pa.string())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(counts.values(), pa.int64())], ["key", "n"])
+
+    counted = kept.where(F.col("h").isin(chosen)).dropDuplicates(["h"]).select("html").mapInArrow(count, "key string, n long")
+    # as many rows as there are features
+    sample = Counter({ast.literal_eval(r.key): r.n for r in counted.groupBy("key").agg(F.sum("n").alias("n")).collect()})
+    return _fitted(sample, sample.pop(("pages",), 0))
 
 
 def extract(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:

@@ -24,6 +24,33 @@ def test_pages():
     assert main_text("", model) == main_text("<nav><a>x</a></nav>", model) == ""
 
 
+def test_nothing_is_lost_after_odd_markup():
+    model, para = fit([PAGE] * 20), f"<p>{(second := ' '.join(['The second paragraph of the article has a good many words in it.'] * 4))}</p>"
+    for odd in (
+        '<svg viewBox="0 0 1 1"/>', "<svg><path d='M0'></svg>", "<math/>", "<button>Buy", "<button>Buy</button>", "<select><option>One", "<iframe src='x'>", "<iframe src='x'></iframe>",
+        "<template><p>Not shown</p><template><p>Nor this</p></template><p>Nor that</p></template>", "<template>", "<noscript>", "<textarea>", "<script>var a = 1;", "<button>A<button>B</button>",
+        "<svg><text>Not shown", "<xmp>", "<style>p{}", "<script>a</script>",
+    ):
+        page = f"<article><h1>Title of it</h1><p>The first paragraph is of some length as well.</p>{odd}{para}{para}</article><footer>Not shown</footer>"
+        assert main_text(page, model) == "Title of it\nThe first paragraph is of some length as well.\n" + "\n".join([second] * 2), odd
+    model = fit([PAGE, f"<body><nav><a>x</a></nav><article><h1>Title</h1>{para * 4}</article></body>"] * 20)
+    for page in (
+        f'<body><nav><a>x</a></nav><article class="post share-count">{para}</article></body>',
+        f'<body><article>{para}<div class="related-work"><h2>Related work</h2>{para}{para}</div></article></body>',
+    ):
+        assert main_text(page, model).count(second) == page.count(para)
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    start = time.time()
+    parse("<div>" * 20_000 + "</p></span>" * 20_000)
+    parse("<b>" * 20_000 + "<p>x<li>y" * 5_000)
+    parse("<template>" * 20_000 + "<button>" * 20_000)
+    assert time.time() - start < 5
+
+
 def test_marginals_against_all_assignments():
     model = fit([])
     page = '<nav><a>x</a></nav><div><p>Some words of a text that go on.</p><div class="ad"><p>Buy</p></div></div>'
