@@ -21,7 +21,9 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -71,14 +73,22 @@ class RankArrayBPE:
         self._special_split = re.compile("(" + ("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)") + ")")
         self._words = regex.compile(PRE_TOKENS)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = sorted(
-            (self.ranks[t[:k]] << 32 | self.ranks[t[k:]], i)
-            for t, i in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks
-        )
-        self.pair = np.array([k for k, _ in pairs] + [1 << 62], np.int64)
-        self.pair_rank = np.array([i for _, i in pairs] + [_NO_RANK], np.int64)
         self.table = WordTable(self.pre_tokens, self.encode_tokens)
 
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of parts that can be joined, as sorted keys, and their ranks; the decoder needs none."""
+        get, keys, joined = self.ranks.get, array("q"), array("q")
+        for token, i in self.ranks.items():
+            for k in range(1, len(token)):
+                left, right = get(token[:k]), get(token[k:])
+                if left is not None and right is not None:
+                    keys.append(left << 32 | right)
+                    joined.append(i)
+        key, rank = np.array(keys, np.int64), np.array(joined, np.int64)
+        order = np.argsort(key)
+        return np.append(key[order], 1 << 62), np.append(rank[order], _NO_RANK)
+
     def pre_tokens(self, text: str) -> list[str]:
         """The text of a special token is that token."""
         parts = self._special_split.split(text)
@@ -86,9 +96,10 @@ class RankArrayBPE:
 
     def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of joining two parts, which is also the id of what they become."""
+        keys, rank = self.pairs
         key = left << 32 | right
-        at = np.searchsorted(self.pair, key)
-        return np.where(self.pair[at] == key, self.pair_rank[at], _NO_RANK)
+        at = np.searchsorted(keys, key)
+        return np.where(keys[at] == key, rank[at], _NO_RANK)
 
     def merge_side_by_side(self, parts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The parts of each row (ids of its ``length`` bytes, then -1) after all merges, and how many are left."""

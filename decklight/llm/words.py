@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words a Python worker remembers; at about 250 bytes each.
-CACHE_WORDS = 700_000
+#: Words and pre-tokens a Python worker remembers; at about 250 bytes each.
+CACHE_WORDS = 300_000
 #: Up to here, letters and digits are the same to every version of the Unicode tables.
 LAST_LATIN = "\u024f"
 #: A space after white space is no place to cut. The first finds texts that have one; more than is white space to any pre-tokenizer.
@@ -30,7 +30,7 @@ _SAFE_CUT = re.compile(r"(?<=\S) ")
 Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
-def text_slices(batch: pa.RecordBatch, most_chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, most_chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with bounded text, so that a worker's memory is bounded too."""
     sizes = pc.utf8_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
