@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder in ``spark.checkpoint.dir``; a local one is made and set only where that is unset, as in tests."""
+    """A new folder in ``spark.checkpoint.dir``; a local one is made and set only where that is unset on a local master, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -4,27 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from decklight.functions.tables import written
+
 from .voxels import BRIDGE
 
 
 def ground_filter(
-    points: DataFrame, cell: float = 1.0, slope: float = 0.05, windows: tuple[int, ...] = (1, 2, 4, 8), threshold: float = 0.5, scalar: float = 1.25
+    points: DataFrame, cell: float = 1.0, slope: float = 0.05, window: int = 10, threshold: float = 0.5, scalar: float = 1.25
 ) -> DataFrame:
     """``ground`` of each point: 2 for ground, 7 kept, else 1.
 
     Each cell's lowest height is opened (rolling least, then greatest, along x and then y) with
-    growing windows; a cell that an opening lowers by more than slope * window * cell is an
-    object. Points within threshold + scalar * slope of the last surface of a cell that is no
-    object are ground. Cells without points are not filled.
+    windows from 1 to ``window``; a cell that an opening lowers by more than slope * window * cell
+    is an object. Points within threshold + scalar * slope of the last surface of a cell that is no
+    object are ground. A cell without points is filled with the surface of the first opening that
+    reaches it, so that gaps do not cut the windows.
     """
     gx, gy = F.floor(F.col("x") / cell).cast("int"), F.floor(F.col("y") / cell).cast("int")
     grid = points.where("classification <> 7").groupBy(*BRIDGE, gx.alias("gx"), gy.alias("gy")).agg(F.min("z").alias("s"))
-    grid = grid.withColumn("object", F.lit(False))
-    for w in windows:
+    ends = grid.groupBy(*BRIDGE).agg(F.min("gx").alias("x0"), F.max("gx").alias("x1"), F.min("gy").alias("y0"), F.max("gy").alias("y1"))
+    cells = ends.select(*BRIDGE, F.explode(F.sequence("x0", "x1")).alias("gx"), "y0", "y1").select(*BRIDGE, "gx", F.explode(F.sequence("y0", "y1")).alias("gy"))
+    grid = cells.join(grid, [*BRIDGE, "gx", "gy"], "left").withColumn("object", F.lit(False))
+    for w in range(1, window + 1):
         along = {a: Window.partitionBy(*BRIDGE, b).orderBy(a).rangeBetween(-w, w) for a, b in (("gx", "gy"), ("gy", "gx"))}
         opened = grid.withColumn("o", F.min("s").over(along["gx"]))
         opened = opened.withColumn("o", F.min("o").over(along["gy"])).withColumn("o", F.max("o").over(along["gx"])).withColumn("o", F.max("o").over(along["gy"]))
-        grid = opened.select(*BRIDGE, "gx", "gy", F.col("o").alias("s"), (F.col("object") | (F.col("s") - F.col("o") > slope * w * cell)).alias("object"))
+        grid = opened.select(*BRIDGE, "gx", "gy", F.col("o").alias("s"), (F.col("object") | F.coalesce(F.col("s") - F.col("o") > slope * w * cell, F.lit(False))).alias("object"))
+        if w % 4 == 0:
+            grid = written(grid)  # a plan of all windows at once is slow to make
     placed = points.withColumn("gx", gx).withColumn("gy", gy).join(grid, [*BRIDGE, "gx", "gy"], "left")
     low = ~F.col("object") & (F.col("z") - F.col("s") <= threshold + scalar * slope)
     ground = F.when(F.col("classification") == 7, 7).when(F.coalesce(low, F.lit(False)), 2).otherwise(1)

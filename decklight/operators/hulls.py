@@ -1,14 +1,17 @@
 """Convex hulls per bridge, and points inside them.
 
 Only the least and the greatest y of an x can be corners, so a grouped aggregate thins
-each cloud before its corners meet in one array. The chain is Andrew's, as an
-``aggregate`` over that sorted array.
+each cloud first. Large clouds are dealt into parts of bounded size; the corners of the
+parts' hulls have the same hull as the cloud and meet in one array. The chain is
+Andrew's, as an ``aggregate`` over a sorted array.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from decklight.functions.tables import written
+
 from .voxels import BRIDGE
 
 _POINTS = "array<struct<x:double,y:double>>"
@@ -29,15 +32,24 @@ def _chain(points: Column) -> Column:
     return F.aggregate(points, F.array().cast(_POINTS), add)
 
 
-def convex_hull(points: DataFrame) -> DataFrame:
+def _hulls(corners: DataFrame, keys: list) -> DataFrame:
+    """(keys, hull) of rows (keys, p)."""
+    sorted_ = corners.groupBy(*keys).agg(F.array_sort(F.collect_set("p")).alias("pts"))
+    chains = sorted_.select(*keys, _chain(F.col("pts")).alias("low"), _chain(F.reverse("pts")).alias("high"))
+    open_ = lambda c: F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0)))
+    whole = F.when(F.size("low") == 1, F.col("low")).otherwise(F.concat(open_("low"), open_("high")))
+    return chains.select(*keys, whole.alias("hull"))
+
+
+def convex_hull(points: DataFrame, part_points: int = 20_000) -> DataFrame:
     """(bridge, hull, n_corners): the corners against the clock; ``hull`` is null under three corners."""
     ends = points.groupBy(*BRIDGE, "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
     corner = lambda y: F.struct(F.col("x").cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    each = ends.select(*BRIDGE, F.explode(F.array(corner("lo"), corner("hi"))).alias("p"))
-    sorted_ = each.groupBy(*BRIDGE).agg(F.array_sort(F.collect_set("p")).alias("pts"))
-    chains = sorted_.select(*BRIDGE, _chain(F.col("pts")).alias("low"), _chain(F.reverse("pts")).alias("high"))
-    open_ = lambda c: F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0)))
-    hulls = chains.select(*BRIDGE, F.concat(open_("low"), open_("high")).alias("hull"))
+    each = written(ends.select(*BRIDGE, F.explode(F.array(corner("lo"), corner("hi"))).alias("p")))
+    large = each.groupBy(*BRIDGE).agg(F.ceil(F.count(F.lit(1)) / part_points).alias("parts")).where("parts > 1")
+    dealt = each.join(large, BRIDGE, "left").select(*BRIDGE, "p", F.pmod(F.xxhash64("p"), F.coalesce("parts", F.lit(1))).alias("part"))
+    first = _hulls(dealt, [*BRIDGE, "part"]).select(*BRIDGE, F.explode("hull").alias("p"))
+    hulls = _hulls(first, BRIDGE)
     return hulls.select(*BRIDGE, F.when(F.size("hull") >= 3, F.col("hull")).alias("hull"), F.size("hull").alias("n_corners"))
 
 

@@ -27,12 +27,29 @@ def aligned_points(gold: DataFrame, predicted: DataFrame, least: int = 100) -> D
     return pairs.join(ok, BRIDGE, "left_semi")
 
 
+_CELLS = [(g, p) for g in CLASSES for p in CLASSES]
+
+
+def _cell_counts() -> list[Column]:
+    return [F.count_if((F.col("gold") == g) & (F.col("pred") == p)).alias(f"c{g}{p}") for g, p in _CELLS]
+
+
+def _cell_rows(counts: DataFrame, keys: list[str]) -> DataFrame:
+    cell = F.explode(F.array(*(F.struct(F.lit(g).alias("gold"), F.lit(p).alias("pred"), F.col(f"c{g}{p}").alias("n")) for g, p in _CELLS)))
+    return counts.select(*keys, cell.alias("cell")).select(*keys, "cell.*")
+
+
 def confusion_matrix(aligned: DataFrame, keys: list[str] = BRIDGE) -> DataFrame:
     """(keys, gold, pred, n) with all sixteen cells, for each key or overall."""
-    cells = [(g, p) for g in CLASSES for p in CLASSES]
-    counts = aligned.groupBy(*keys).agg(*(F.count_if((F.col("gold") == g) & (F.col("pred") == p)).alias(f"c{g}{p}") for g, p in cells))
-    cell = F.explode(F.array(*(F.struct(F.lit(g).alias("gold"), F.lit(p).alias("pred"), F.col(f"c{g}{p}").alias("n")) for g, p in cells)))
-    return counts.select(*keys, cell.alias("cell")).select(*keys, "cell.*")
+    return _cell_rows(aligned.groupBy(*keys).agg(*_cell_counts()), keys)
+
+
+def aligned_confusion(gold: DataFrame, predicted: DataFrame, least: int = 100) -> DataFrame:
+    """The matrices of the bridges whose status is ok: one join of the points, and one aggregate for cells and status."""
+    g = gold.select(*BRIDGE, "point_idx", "gold", F.lit(True).alias("in_gold"))
+    p = predicted.select(*BRIDGE, "point_idx", "pred", F.lit(True).alias("in_pred"))
+    counts = g.join(p, [*BRIDGE, "point_idx"], "full_outer").groupBy(*BRIDGE).agg(*_cell_counts(), F.count("in_gold").alias("n_gold"), F.count("in_pred").alias("n_pred"))
+    return _cell_rows(counts.where((F.col("n_gold") == F.col("n_pred")) & (F.col("n_gold") >= least)), BRIDGE)
 
 
 def _ratio(over: Column, under: Column) -> Column:

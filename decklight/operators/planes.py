@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from decklight.functions.tables import written
+from .hulls import convex_hull
 from .voxels import BRIDGE
 
 
@@ -38,26 +39,24 @@ def _fit(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def plane_consensus(points: DataFrame, min_samples: int = 10, threshold: float = 0.20, trials: int = 100, seed: int = 27, rounds: int = 4) -> DataFrame:
     """(bridge, x_center, y_center, a, b, c, n_inliers, n_points): z = a (x - x_center) + b (y - y_center) + c."""
-    centers = points.groupBy(*BRIDGE).agg(F.avg("x").alias("x_center"), F.avg("y").alias("y_center"), F.count(F.lit(1)).alias("n_points"))
-    centred = points.join(centers, BRIDGE).select(
-        *BRIDGE, "point_idx", "z", (F.col("x") - F.col("x_center")).alias("cx"), (F.col("y") - F.col("y_center")).alias("cy")
+    centers = written(points.groupBy(*BRIDGE).agg(F.avg("x").alias("x_center"), F.avg("y").alias("y_center"), F.count(F.lit(1)).alias("n_points")))
+    centred = written(
+        points.join(centers, BRIDGE).select(*BRIDGE, "point_idx", "z", (F.col("x") - F.col("x_center")).alias("cx"), (F.col("y") - F.col("y_center")).alias("cy"))
     )
     each = centred.select("*", F.explode(F.array(*map(F.lit, range(rounds)))).alias("round"))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("round").cast("string"), *BRIDGE, F.col("point_idx").cast("string")))
-    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy(*BRIDGE, "round").orderBy(order, "point_idx")) - 1)
     per_round = max(1, trials // rounds)
-    block = ranked.withColumn("block", F.floor(F.col("rank") / min_samples).cast("int")).where(F.col("block") < per_round)
+    # a limit on the rank itself, so that each task keeps that many rows a bridge and round before the shuffle
+    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy(*BRIDGE, "round").orderBy(order, "point_idx"))).where(F.col("rank") <= per_round * min_samples)
+    block = ranked.withColumn("block", F.floor((F.col("rank") - 1) / min_samples).cast("int"))
     tried = _fit(block, [*BRIDGE, "round", "block"]).where((F.col("n") == min_samples) & F.col("a").isNotNull())
-    # at most ``trials`` planes a bridge
+    # at most ``trials`` planes a bridge, in a stated order
     planes = tried.groupBy(*BRIDGE).agg(F.array_sort(F.collect_list(F.struct("round", "block", "a", "b", "c"))).alias("planes"))
     residual = lambda p: F.abs(F.col("z") - p["a"] * F.col("cx") - p["b"] * F.col("cy") - p["c"])
-    scored = (
-        centred.join(planes, BRIDGE)
-        .select(*BRIDGE, "cx", "cy", "z", F.posexplode("planes").alias("i", "p"))
-        .groupBy(*BRIDGE, "i", "p")
-        .agg(F.count_if(residual(F.col("p")) <= threshold).alias("votes"))
-    )
-    best = scored.groupBy(*BRIDGE).agg(F.max_by("p", F.struct(F.col("votes"), -F.col("i"))).alias("p"))
+    votes = [F.count_if(residual(F.get("planes", F.lit(i))) <= threshold).alias(f"v{i}") for i in range(per_round * rounds)]
+    scored = centred.join(planes, BRIDGE).groupBy(*BRIDGE).agg(*votes)
+    all_votes = F.array(*(f"v{i}" for i in range(per_round * rounds)))
+    best = scored.join(planes, BRIDGE).select(*BRIDGE, F.get("planes", F.array_position(all_votes, F.array_max(all_votes)).cast("int") - 1).alias("p"))
     inliers = centred.join(best, BRIDGE).where(residual(F.col("p")) <= threshold)
     refit = _fit(inliers, BRIDGE).select(*BRIDGE, "a", "b", "c").where("a IS NOT NULL")
     counted = centred.join(refit, BRIDGE).groupBy(*BRIDGE, "a", "b", "c").agg(
@@ -114,19 +113,26 @@ def band_labels(residuals: DataFrame, inside: Column, below: float = -0.70, abov
     return residuals.withColumn("label", label.cast("int"))
 
 
-def quality_gate(points: DataFrame, max_rmse: float = 0.30, threshold: float = 0.35) -> DataFrame:
-    """The first failing reason of each bridge, or success (the hull gate is not part of this one)."""
+def quality_gate(points: DataFrame, bridges: DataFrame | None = None, max_rmse: float = 0.30, threshold: float = 0.35, min_points: int = 20, min_samples: int = 10) -> DataFrame:
+    """The first failing reason of each bridge, or success; of ``bridges`` (huc_id, bridge_id) too, which may have no points."""
     counts = points.groupBy(*BRIDGE).agg(F.count(F.lit(1)).alias("n_points"), F.countDistinct("x", "y").alias("n_xy"))
+    if bridges is not None:
+        counts = bridges.select(*BRIDGE).distinct().join(counts, BRIDGE, "left").fillna(0, ["n_points", "n_xy"])
     planes = written(plane_consensus(points))  # one row a bridge
     residuals = plane_residuals(points, planes)
+    inliers = residuals.where("inlier")
     rmse = inlier_rmse(residuals, max_rmse).select(*BRIDGE, "rmse", "n_inliers")
-    straight = linearity_check(residuals.where("inlier"), threshold)
+    hulls = convex_hull(inliers).select(*BRIDGE, "n_corners")
+    straight = linearity_check(inliers, threshold)
     reason = (
-        F.when((F.col("n_points") < 20) | (F.col("n_xy") < 10), "ransac_insufficient")
+        F.when(F.col("n_points") == 0, "no_points")
+        .when((F.col("n_points") < min_points) | (F.col("n_xy") < min_samples), "ransac_insufficient")
         .when(F.col("n_inliers").isNull(), "ransac_failed")
-        .when(F.col("n_inliers") < 20, "ransac_low_inliers")
+        .when(F.col("n_inliers") < min_points, "ransac_low_inliers")
+        .when(F.coalesce(F.col("n_corners"), F.lit(0)) < 3, "hull_failed")
         .when(F.col("rmse") > max_rmse, "high_rmse")
         .when(F.coalesce("curved", F.lit(False)), "curved")
         .otherwise("success")
     )
-    return counts.join(rmse, BRIDGE, "left").join(straight, BRIDGE, "left").select(*BRIDGE, "n_points", "n_inliers", "rmse", "deviation", reason.alias("status"))
+    joined = counts.join(rmse, BRIDGE, "left").join(hulls, BRIDGE, "left").join(straight, BRIDGE, "left")
+    return joined.select(*BRIDGE, "n_points", "n_inliers", "rmse", "deviation", reason.alias("status"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from decklight.functions.columns import bridge_stem, output_keys, parse_run_log
+from decklight.functions.tables import written
+
+from .splits import at_places
 
 
 def filter_by_ids(df: DataFrame, column: str, ids: list | None) -> DataFrame:
@@ -85,24 +88,16 @@ def run_summary(results: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 def bridge_timing(logs: DataFrame) -> DataFrame:
-    """Count, mean, median, 95th percentile, least and most seconds, to one decimal.
+    """Count, mean, median, 95th percentile, least and most seconds, to one decimal; nulls in all but the count without any.
 
-    A percentile p is the value at place min(int(n * p / 100), n - 1); values are counted first, so
-    the window runs over distinct values only.
+    A percentile p is the value at place min(int(n * p / 100), n - 1) of the order.
     """
-    values = parse_run_log(logs).where("seconds IS NOT NULL").groupBy("seconds").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("seconds").rowsBetween(Window.unboundedPreceding, 0))
-    placed = values.select("seconds", "n", upto.alias("upto"), F.sum("n").over(Window.partitionBy()).alias("all"))
-
-    def at(p: int):
-        place = F.least(F.floor(F.col("all") * p / 100), F.col("all") - 1)
-        return F.round(F.min(F.when(F.col("upto") > place, F.col("seconds"))), 1)
-
-    mean = F.sum(F.col("seconds") * F.col("n")) / F.sum("n")
-    return placed.agg(
-        F.sum("n").alias("count"), F.round(mean, 1).alias("avg"), at(50).alias("p50"), at(95).alias("p95"),
-        F.round(F.min("seconds"), 1).alias("min"), F.round(F.max("seconds"), 1).alias("max"),
-    )
+    timed = written(parse_run_log(logs).where("seconds IS NOT NULL").select("seconds"))
+    n = timed.count()
+    at = at_places(timed, {"p": (F.col("seconds"), [max(0, min(n * p // 100, n - 1)) for p in (50, 95)])})
+    one = lambda c: F.round(c, 1)
+    sums = timed.agg(F.count(F.lit(1)).alias("count"), one(F.avg("seconds")).alias("avg"), one(F.min("seconds")).alias("min"), one(F.max("seconds")).alias("max"))
+    return sums.crossJoin(at).select("count", "avg", one(F.get("p", 0)).alias("p50"), one(F.get("p", 1)).alias("p95"), "min", "max")  # a row each
 
 
 def failures_by_reason(logs: DataFrame) -> DataFrame:
@@ -147,8 +142,14 @@ def capped_missing(missing: DataFrame, most: int = 1000, column: str = "line") -
 
 def results_csv(results: DataFrame) -> DataFrame:
     """The result file's text columns: three decimals, empty where null."""
-    three = lambda c: F.coalesce(F.format_string("%.3f", F.col(c)), F.lit(""))
-    return results.select("huc_id", "osmid", F.when(F.col("rmse").isNull(), "").otherwise(three("rmse")).alias("rmse"), F.when(F.col("deviation").isNull(), "").otherwise(three("deviation")).alias("deviation"))
+    three = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.format_string("%.3f", F.col(c))), F.lit("")).alias(c)
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    return results.select(text("huc_id"), F.col("osmid").cast("string").alias("osm_id"), text("source_name"), "success", "skipped", three("rmse"), three("deviation"), text("error"))
+
+
+def write_results_csv(results: DataFrame, path: str) -> None:
+    """CSV files with a header, whose rows ascend by region and id from file to file."""
+    results_csv(results).orderBy("huc_id", "osm_id", "source_name").write.option("header", True).option("emptyValue", "").csv(path)
 
 
 def manifest_validate(lines: DataFrame) -> DataFrame:
@@ -196,16 +197,30 @@ def point_count_histogram(metadata: DataFrame, bins: int = 40) -> DataFrame:
     return placed.groupBy("bin").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("n"))
 
 
+def robust_bounds(boxes: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
+    """One row: interpolated quantiles of minx, miny (``low``) and maxx, maxy (``high``) of some boxes, and width over height."""
+    n = boxes.count()
+    place = lambda q: [q * max(0, n - 1)]
+    at = at_places(boxes, {"minx": (F.col("minx"), place(low)), "miny": (F.col("miny"), place(low)), "maxx": (F.col("maxx"), place(high)), "maxy": (F.col("maxy"), place(high))})
+    one = at.select(*(F.get(c, 0).alias(c) for c in ("minx", "miny", "maxx", "maxy")))
+    return one.withColumn("aspect", F.try_divide(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")))
+
+
 def postrun_report(manifest: DataFrame, listing: DataFrame, logs: DataFrame, prefix: str, mode: str, rate: float = 0.234) -> DataFrame:
-    """One row of JSON: audit, timing, cost and the reasons of what is missing."""
+    """One row of JSON: audit, child and bridge timing, cost and the reasons of what is missing."""
     audit = audit_outputs(manifest, listing, prefix, mode)
     totals = audit.agg(F.count(F.lit(1)).alias("lines"), F.count_if("complete").alias("complete"), F.count_if(~F.col("complete")).alias("missing"))
     stem = F.regexp_replace(F.substring_index("line", "/", -1), r"\.(laz|las)$", "")
     missing = audit.where(~F.col("complete")).select("line", stem.alias("bridge"))
     reasons = missing_reasons(missing, logs).groupBy(F.coalesce("reason", F.lit("unknown")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
     by_reason = reasons.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("m"))  # a handful of reasons
-    cost = cost_estimate(child_summaries(logs), rate)
-    parts = {"audit": totals, "timing": bridge_timing(logs), "cost": cost, "missing_by_reason": by_reason}
+    children = child_summaries(logs)
+    per_child = children.agg(
+        F.count(F.lit(1)).alias("children"), F.round(F.avg("seconds"), 1).alias("avg_seconds"), F.round(F.min("seconds"), 1).alias("min_seconds"), F.round(F.max("seconds"), 1).alias("max_seconds"),
+        *(F.sum(c).alias(c) for c in ("ok", "failed", "exists", "small")),
+    )
+    cost = cost_estimate(children, rate)
+    parts = {"audit": totals, "children": per_child, "timing": bridge_timing(logs), "cost": cost, "missing_by_reason": by_reason}
     out = None
     for name, df in parts.items():  # one row each
         one = df.select(F.struct(*df.columns).alias(name)) if name != "missing_by_reason" else df.select(F.col("m").alias(name))

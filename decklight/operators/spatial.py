@@ -1,38 +1,30 @@
-"""Spatial joins over tiles: candidates by an equi-join on tile keys, then the exact test."""
+"""Spatial joins over tiles: candidates by an equi-join on tile keys, then the exact test.
+
+A path or a ring is an array of structs (x, y); a ring closes itself.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: The side of the smallest tiles; each level doubles it.
 TILE = 1000.0
 
 
-def _tiles(df: DataFrame, box: tuple[Column, Column, Column, Column], tile: float) -> DataFrame:
-    """Each row once for every tile that its box touches."""
-    x0, y0, x1, y1 = (F.floor(c / tile).cast("int") for c in box)
-    return df.withColumn("tx", F.explode(F.sequence(x0, x1))).withColumn("ty", F.explode(F.sequence(y0, y1)))
-
+def path(*ends: tuple[Column, Column]) -> Column:
+    return F.array(*(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in ends))
 
-def segment_box_distance(x0, y0, x1, y1, xmin, ymin, xmax, ymax) -> Column:
-    """The distance between the boxes of a segment's ends and another box, 0 if they meet."""
-    dx = F.greatest(F.lit(0.0), xmin - F.greatest(x0, x1), F.least(x0, x1) - xmax)
-    dy = F.greatest(F.lit(0.0), ymin - F.greatest(y0, y1), F.least(y0, y1) - ymax)
-    return F.sqrt(dx * dx + dy * dy)
 
+def segments(points: Column, closed: bool) -> Column:
+    """The segments (a, b) between points that follow each other; a single point is one from itself to itself."""
+    n = F.size(points)
+    last = n if closed else F.greatest(n - 1, F.lit(1))
+    return F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.struct(F.get(points, i).alias("a"), F.get(points, (i + 1) % n).alias("b")))
 
-def bridge_source_join(bridges: DataFrame, sources: DataFrame, buffer: float = 10.0, tile: float = TILE) -> DataFrame:
-    """(huc_id, osmid, source_name, source_url) of footprints within ``buffer`` of a bridge.
 
-    Bridges are short against footprints, so their boxes stand for them. A pair that meets in
-    several tiles is kept in one: that of the lower corner of the common box.
-    """
-    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
-    low_x, low_y = F.least(x0, x1) - buffer, F.least(y0, y1) - buffer
-    b = _tiles(bridges, (low_x, low_y, F.greatest(x0, x1) + buffer, F.greatest(y0, y1) + buffer), tile)
-    s = _tiles(sources, tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")), tile).withColumnRenamed("name", "source_name").withColumnRenamed("url", "source_url")
-    first_tile = (F.floor(F.greatest(low_x, F.col("xmin")) / tile) == F.col("tx")) & (F.floor(F.greatest(low_y, F.col("ymin")) / tile) == F.col("ty"))
-    near = segment_box_distance(x0, y0, x1, y1, F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax")) <= buffer
-    return b.join(s, ["tx", "ty"]).where(first_tile & near).select("huc_id", "osmid", "source_name", "source_url")
+def bounds(points: Column) -> tuple[Column, Column, Column, Column]:
+    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+    return F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)
 
 
 def point_segment_distance(px, py, x0, y0, x1, y1) -> Column:
@@ -43,10 +35,84 @@ def point_segment_distance(px, py, x0, y0, x1, y1) -> Column:
     return F.sqrt(ex * ex + ey * ey)
 
 
-def clip_points_to_bridge(points: DataFrame, segments: DataFrame, buffer: float) -> DataFrame:
-    """The points within ``buffer`` of their bridge's segment (huc_id, bridge_id, x0, y0, x1, y1)."""
-    near = point_segment_distance(F.col("x"), F.col("y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")) <= buffer
-    return points.join(segments, ["huc_id", "bridge_id"]).where(near).select(*points.columns)
+def _side(a: Column, b: Column, p: Column) -> Column:
+    return (b["x"] - a["x"]) * (p["y"] - a["y"]) - (b["y"] - a["y"]) * (p["x"] - a["x"])
+
+
+def _distance(p: Column, s: Column) -> Column:
+    return point_segment_distance(p["x"], p["y"], s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"])
+
+
+def segments_within(s: Column, t: Column, radius: float) -> Column:
+    """Whether two segments cross or come as near as ``radius``."""
+    cross = (_side(s["a"], s["b"], t["a"]) * _side(s["a"], s["b"], t["b"]) < 0) & (_side(t["a"], t["b"], s["a"]) * _side(t["a"], t["b"], s["b"]) < 0)
+    return cross | (F.least(_distance(s["a"], t), _distance(s["b"], t), _distance(t["a"], s), _distance(t["b"], s)) <= radius)
+
+
+def inside_ring(x: Column, y: Column, edges: Column) -> Column:
+    """Whether a ray from the point crosses the ring an odd number of times."""
+
+    def crosses(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        return ((a["y"] > y) != (b["y"] > y)) & (x < F.try_divide((b["x"] - a["x"]) * (y - a["y"]), b["y"] - a["y"]) + a["x"])
+
+    return F.size(F.filter(edges, crosses)) % 2 == 1
+
+
+def path_meets_ring(line: Column, ring: Column, buffer: float) -> Column:
+    """Whether a path buffered by ``buffer`` meets a polygon: a vertex in it, or segments that near."""
+    edges = segments(ring, True)
+    near = F.exists(segments(line, False), lambda s: F.exists(edges, lambda e: segments_within(s, e, buffer)))
+    return F.exists(line, lambda p: inside_ring(p["x"], p["y"], edges)) | near
+
+
+def _tiles(df: DataFrame, box: tuple[Column, Column, Column, Column], side: Column) -> DataFrame:
+    """Each row once for every tile that its box touches."""
+    x0, y0, x1, y1 = (F.floor(c / side) for c in box)
+    return df.withColumn("__tx", F.explode(F.sequence(x0, x1))).withColumn("__ty", F.explode(F.sequence(y0, y1)))
+
+
+def bridge_source_join(bridges: DataFrame, sources: DataFrame, buffer: float = 10.0, tile: float = TILE) -> DataFrame:
+    """(huc_id, osmid, source_name, source_url) of footprints that a bridge, buffered, meets.
+
+    ``bridges`` have a ``path`` or the ends x0, y0, x1, y1; ``sources`` a ``ring`` or a box. A
+    footprint lies in the tiles of the level that fits its size, so it is a few rows whatever its
+    size, and a bridge looks into each level that is there. A pair that meets in several tiles is
+    kept in one: that of the lower corner of the common box.
+    """
+    line = F.col("path") if "path" in bridges.columns else path((F.col("x0"), F.col("y0")), (F.col("x1"), F.col("y1")))
+    xmin, ymin, xmax, ymax = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
+    box = path((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax)) if "ring" not in sources.columns else F.col("ring")
+    b = bridges.select("huc_id", "osmid", line.alias("__line"))
+    s = sources.select(F.col("name").alias("source_name"), F.col("url").alias("source_url"), box.alias("__ring"))
+    low_x, low_y, high_x, high_y = bounds(F.col("__line"))
+    b = b.select("*", (low_x - buffer).alias("__bx0"), (low_y - buffer).alias("__by0"), (high_x + buffer).alias("__bx1"), (high_y + buffer).alias("__by1"))
+    s = s.select("*", *(c.alias(n) for c, n in zip(bounds(F.col("__ring")), ("__sx0", "__sy0", "__sx1", "__sy1"))))
+    extent = F.greatest(F.col("__sx1") - F.col("__sx0"), F.col("__sy1") - F.col("__sy0"), F.lit(tile))
+    s = s.withColumn("__level", F.ceil(F.log2(extent / tile)).cast("int"))
+    levels = s.select("__level").distinct()  # as many as doublings between the least and the largest footprint
+    b = b.crossJoin(F.broadcast(levels))
+    side = lambda: tile * F.pow(F.lit(2.0), F.col("__level"))
+    b = _tiles(b, tuple(F.col(c) for c in ("__bx0", "__by0", "__bx1", "__by1")), side())
+    s = _tiles(s, tuple(F.col(c) for c in ("__sx0", "__sy0", "__sx1", "__sy1")), side())
+    first = (F.floor(F.greatest("__bx0", "__sx0") / side()) == F.col("__tx")) & (F.floor(F.greatest("__by0", "__sy0") / side()) == F.col("__ty"))
+    met = b.join(s, ["__level", "__tx", "__ty"]).where(first)
+    return met.where(path_meets_ring(F.col("__line"), F.col("__ring"), buffer)).select("huc_id", "osmid", "source_name", "source_url")
+
+
+def clip_points_to_bridge(points: DataFrame, outlines: DataFrame, buffer: float) -> DataFrame:
+    """The points in their bridge's outline or within ``buffer`` of it.
+
+    ``outlines`` have one row a (huc_id, bridge_id), with a ``ring``, a ``path`` or the ends x0, y0, x1, y1.
+    """
+    at = F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    closed = "ring" in outlines.columns
+    line = F.col("ring") if closed else F.col("path") if "path" in outlines.columns else path((F.col("x0"), F.col("y0")), (F.col("x1"), F.col("y1")))
+    edges = outlines.select("huc_id", "bridge_id", segments(line, closed).alias("__edges"))
+    joined = points.withColumn("__at", at).join(edges, ["huc_id", "bridge_id"])
+    near = F.exists("__edges", lambda e: _distance(F.col("__at"), e) <= buffer)
+    inside = inside_ring(F.col("x"), F.col("y"), F.col("__edges")) | near if closed else near
+    return joined.where(inside).select(*points.columns)
 
 
 def generate_tasks(bridges: DataFrame, sources: DataFrame, huc_ids: list[str] | None = None, osm_ids: list[str] | None = None, buffer: float = 10.0) -> DataFrame:

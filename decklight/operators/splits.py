@@ -105,6 +105,22 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return ranged.withColumn("__w", within).join(before, "__p").withColumn(name, (F.col("__w") + F.col("__before")).cast("long")).drop("__p", "__w", "__before", *keys)
 
 
+def at_places(df: DataFrame, places: dict[str, tuple[Column, list[float]]]) -> DataFrame:
+    """One row: for each name the value of its column at the places (from 0) of its order, interpolated between two places.
+
+    The order is made by ranges (``numbered``), so no task holds a column.
+    """
+    out = None
+    for name, (column, wanted) in places.items():
+        ranks = sorted({int(p) + k for p in wanted for k in (1, 2)})
+        values = numbered(df.select(column.cast("double").alias("__v")).where("__v IS NOT NULL"), [F.col("__v")], "__i").where(F.col("__i").isin(ranks))
+        value = lambda p: F.max(F.when(F.col("__i") == int(p) + 1, F.col("__v")))
+        between = [value(p) + (F.coalesce(value(p + 1), value(p)) - value(p)) * (p - int(p)) for p in wanted]
+        one = values.agg(F.array(*between).alias(name))
+        out = one if out is None else out.crossJoin(one)  # a row each
+    return out
+
+
 def manifest_chunks(lines: DataFrame, target: int = 60, most: int = 10_000, order: str = "line_no") -> DataFrame:
     """``child`` of each line: an array of 1 child up to ``target`` lines, else of min(ceil(n / target), most)."""
     total = lines.agg(F.count(F.lit(1)).alias("n"))

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from decklight.functions import columns as C
-from decklight.functions.tables import shared_folder
+from decklight.functions.tables import shared_folder, written
 from decklight.operators import ground as G, hulls as H, learn as L, metrics as M, planes as P, runs as R, spatial as S, splits as E, training as T, voxels as V
-from decklight.plans.views import view, with_duck
+from decklight.plans.views import view, view_of_stream, with_duck
 from decklight.sources import tables as A
 from decklight.streaming import monitor
 
@@ -47,21 +47,32 @@ def rounded(df: DataFrame, names: list[str], n: int = 4) -> DataFrame:
 
 
 def splits_of(get) -> DataFrame:
-    """Used splits: half of the bridges, with a stem made of their own id and a source name."""
-    rows = get("bridges").where("CAST(osmid AS BIGINT) % 2 = 0")
+    """All bridges in splits, with a stem made of their own id and a source name."""
+    return _split(get("bridges"))
+
+
+def used_of(get) -> DataFrame:
+    """Splits of an earlier run, which had half of the bridges: the rest is what the queries on unused ones look for."""
+    return _split(get("bridges").where("CAST(osmid AS BIGINT) % 2 = 0"))
+
+
+def _split(rows: DataFrame) -> DataFrame:
     split = E.stratified_split(rows, 0.70, 0.15, 0.15)
     return split.select("huc_id", "osmid", C.bridge_stem("osmid", F.lit("USGS LPC: A/1")).alias("bridge_stem"), "split")
 
 
 _HASH = "md5(concat_ws('|', '27', huc_id, osmid))"
-SPLIT_SQL = f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY huc_id ORDER BY {_HASH}, osmid) AS rk, count(*) OVER (PARTITION BY huc_id) AS n
-  FROM bridges WHERE CAST(osmid AS BIGINT) % 2 = 0),
+def _split_sql(where: str) -> str:
+    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY huc_id ORDER BY {_HASH}, osmid) AS rk, count(*) OVER (PARTITION BY huc_id) AS n FROM bridges WHERE {where}),
 used_splits AS (SELECT huc_id, osmid, concat('bridge_', osmid, '_USGS_LPC__A_1') AS bridge_stem,
   CASE WHEN rk <= floor(CAST(0.70 AS DOUBLE) * n) THEN 'train' WHEN rk <= floor(CAST(0.70 AS DOUBLE) * n) + floor(CAST(0.15 AS DOUBLE) * n) THEN 'val' ELSE 'test' END AS split FROM ranked)"""
 
 
-def with_splits(sql: str) -> str:
-    return with_duck("", "bridges").rstrip() + ", " + SPLIT_SQL + " " + sql
+USED_SQL = _split_sql("CAST(osmid AS BIGINT) % 2 = 0")
+
+
+def with_splits(sql: str, where: str = "true") -> str:
+    return with_duck("", "bridges").rstrip() + ", " + _split_sql(where) + " " + sql
 
 
 # ---- A: scans and sinks -------------------------------------------------------------------
@@ -80,7 +91,9 @@ def _(get, spark, sf):
 
 @query("a4_scan_points", "SELECT huc_id, count(*) AS n FROM points WHERE huc_id IN ('00000003', '00000005') GROUP BY huc_id", "points")
 def _(get, spark, sf):
-    return R.filter_by_ids(get("points"), "huc_id", ["00000003", "00000005"]).groupBy("huc_id").agg(F.count(F.lit(1)).alias("n"))
+    folder = shared_folder(spark)
+    A.write_by_huc(get("points"), "huc_id", folder)
+    return A.scan_points(spark, folder, ["00000003", "00000005"], get("points").schema).groupBy("huc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("a7_scan_cloud_metadata", "SELECT event_id, CAST(k AS VARCHAR) AS class, CAST(json_extract_string(props, '$.' || k) AS BIGINT) AS n FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events WHERE props IS NOT NULL)")
@@ -94,15 +107,32 @@ def _(get, spark, sf):
     return A.split_ids(lines.unionByName(lines)).select("huc_id", "bridge_stem")
 
 
-@query("a12_results_csv", "SELECT huc_id, bridge_id AS osmid, CASE WHEN count(*) % 3 = 0 THEN '' ELSE printf('%.3f', round(max(z), 2)) END AS rmse, printf('%.3f', round(min(z), 2)) AS deviation FROM points GROUP BY ALL", "points")
+@query("a12_results_csv", """SELECT row_number() OVER (ORDER BY huc_id, osm_id) AS place, * FROM (SELECT huc_id, bridge_id AS osm_id, '' AS source_name, CASE WHEN count(*) % 3 = 0 THEN 'false' ELSE 'true' END AS success,
+  CASE WHEN count(*) % 2 = 0 THEN 'true' ELSE 'false' END AS skipped, CASE WHEN count(*) % 3 = 0 THEN '' ELSE printf('%.3f', round(max(z), 2)) END AS rmse, printf('%.3f', round(min(z), 2)) AS deviation,
+  CASE WHEN count(*) % 3 = 0 THEN 'too few, or "bad"' ELSE '' END AS error FROM points GROUP BY huc_id, bridge_id)""", "points")
 def _(get, spark, sf):
-    made = get("points").groupBy("huc_id", F.col("bridge_id").alias("osmid")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("z"), 2).alias("rmse"), F.round(F.min("z"), 2).alias("deviation"))
-    return R.results_csv(made.withColumn("rmse", F.when(F.col("n") % 3 != 0, F.col("rmse"))))
+    n = F.count(F.lit(1))
+    made = get("points").groupBy("huc_id", F.col("bridge_id").alias("osmid")).agg(
+        (n % 3 != 0).alias("success"), (n % 2 == 0).alias("skipped"), F.when(n % 3 != 0, F.round(F.max("z"), 2)).alias("rmse"), F.round(F.min("z"), 2).alias("deviation"),
+        F.when(n % 3 == 0, 'too few, or "bad"').alias("error"),
+    )
+    folder = shared_folder(spark)
+    R.write_results_csv(made.withColumn("source_name", F.lit(None).cast("string")), folder)
+    names = ["huc_id", "osm_id", "source_name", "success", "skipped", "rmse", "deviation", "error"]
+    read = spark.read.schema(", ".join(f"{c} string" for c in names)).option("escape", "\\").csv(folder, header=True)
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")]
+    numbered = E.numbered(read.select(*at, *names), [F.col("file"), F.col("block"), F.col("at")], "place")
+    return numbered.select("place", *(F.coalesce(c, F.lit("")).alias(c) for c in names))
 
 
-@query("a13_split_manifest", with_splits("SELECT split, huc_id, row_number() OVER (PARTITION BY split, huc_id ORDER BY bridge_stem) AS line_in_huc, concat(huc_id, '/', bridge_stem) AS line FROM used_splits"))
+@query("a13_split_manifest", with_splits("SELECT split, kind, huc_id, bridge_stem FROM used_splits, (SELECT unnest(['ids', 'json']) AS kind)"))
 def _(get, spark, sf):
-    return A.split_manifest(splits_of(get)).withColumn("line_in_huc", F.col("line_in_huc").cast("long"))
+    folder = shared_folder(spark)
+    A.write_split_manifest(splits_of(get), folder)
+    ids = spark.read.schema("value string, split string").text(f"{folder}/ids")
+    ids = ids.select("split", F.lit("ids").alias("kind"), F.substring_index("value", "/", 1).alias("huc_id"), F.substring_index("value", "/", -1).alias("bridge_stem"))
+    rows = spark.read.schema("huc_id string, bridge_stem string, split string").json(f"{folder}/json")
+    return ids.unionByName(rows.select("split", F.lit("json").alias("kind"), "huc_id", "bridge_stem"))
 
 
 @query("a16_split_file_plan", with_splits("SELECT huc_id, osmid, bridge_stem, split, concat(huc_id, '/', bridge_stem, '.', ext) AS file FROM (SELECT *, unnest(CASE WHEN split = 'test' THEN ['pt', 'laz'] ELSE ['pt'] END) AS ext FROM used_splits)"))
@@ -277,8 +307,20 @@ def _(get, spark, sf):
 
 # ---- C: joins -----------------------------------------------------------------------------
 
-_PAIRS = """SELECT huc_id, osmid, s.name AS source_name, s.url AS source_url FROM bridges, sources s
-WHERE sqrt(pow(greatest(0, xmin - greatest(x0, x1), least(x0, x1) - xmax), 2) + pow(greatest(0, ymin - greatest(y0, y1), least(y0, y1) - ymax), 2)) <= 10"""
+
+
+def _segment_distance_sql(px: str, py: str, x0: str, y0: str, x1: str, y1: str) -> str:
+    t = f"greatest(0, least(1, (({px} - {x0}) * ({x1} - {x0}) + ({py} - {y0}) * ({y1} - {y0})) / (pow({x1} - {x0}, 2) + pow({y1} - {y0}, 2))))"
+    return f"sqrt(pow({px} - {x0} - {t} * ({x1} - {x0}), 2) + pow({py} - {y0} - {t} * ({y1} - {y0}), 2))"
+
+
+_CORNERS = [(x, y) for x in ("xmin", "xmax") for y in ("ymin", "ymax")]
+_SIDES = [f"(x1 - x0) * ({y} - y0) - (y1 - y0) * ({x} - x0)" for x, y in _CORNERS]
+_TO_BOX = [f"sqrt(pow(greatest(0, xmin - {x}, {x} - xmax), 2) + pow(greatest(0, ymin - {y}, {y} - ymax), 2))" for x, y in (("x0", "y0"), ("x1", "y1"))]
+#: A segment meets a box if their bounds do and the box has corners on both sides of it; else the distance is that of an end or of a corner.
+_PAIRS = f"""SELECT huc_id, osmid, s.name AS source_name, s.url AS source_url FROM bridges, sources s
+WHERE (greatest(x0, x1) >= xmin AND least(x0, x1) <= xmax AND greatest(y0, y1) >= ymin AND least(y0, y1) <= ymax AND least({', '.join(_SIDES)}) <= 0 AND greatest({', '.join(_SIDES)}) >= 0)
+  OR least({', '.join(_TO_BOX + [_segment_distance_sql(x, y, 'x0', 'y0', 'x1', 'y1') for x, y in _CORNERS])}) <= 10"""
 
 
 def pairs_of(get) -> DataFrame:
@@ -290,11 +332,19 @@ def _(get, spark, sf):
     return pairs_of(get)
 
 
-@query("c2_clip_points_to_bridge", "SELECT huc_id, bridge_id, count(*) AS n FROM points WHERE abs(y - 4) <= 2.5 AND x BETWEEN 3 AND 20 OR sqrt(pow(x - 3, 2) + pow(y - 4, 2)) <= 2.5 OR sqrt(pow(x - 20, 2) + pow(y - 4, 2)) <= 2.5 GROUP BY ALL", "points")
+_EDGES = """edges AS (SELECT b.huc_id, b.bridge_id, r[i].x AS ax, r[i].y AS ay, r[i % 4 + 1].x AS ex, r[i % 4 + 1].y AS ey FROM (SELECT huc_id, bridge_id, k,
+  [{'x': 3 + k, 'y': CAST(1 AS DOUBLE)}, {'x': 19 - k, 'y': CAST(2 AS DOUBLE)}, {'x': 20 - k, 'y': CAST(7 AS DOUBLE)}, {'x': 4 + k, 'y': CAST(5.5 AS DOUBLE)}] AS r
+  FROM (SELECT DISTINCT huc_id, bridge_id, CAST(CAST(bridge_id AS BIGINT) % 5 AS DOUBLE) * CAST(0.375 AS DOUBLE) AS k FROM points)) b, (SELECT unnest([1, 2, 3, 4]) AS i))"""
+
+
+@query("c2_clip_points_to_bridge", with_duck("", "points").rstrip() + f""", {_EDGES} SELECT huc_id, bridge_id, point_idx FROM points JOIN edges USING (huc_id, bridge_id) GROUP BY ALL
+HAVING count_if((ay > y) <> (ey > y) AND x < (ex - ax) * (y - ay) / nullif(ey - ay, 0) + ax) % 2 = 1 OR min({_segment_distance_sql('x', 'y', 'ax', 'ay', 'ex', 'ey')}) <= 0.625""")
 def _(get, spark, sf):
     points = get("points")
-    segments = points.select(*B).distinct().select(*B, F.lit(3.0).alias("x0"), F.lit(4.0).alias("y0"), F.lit(20.0).alias("x1"), F.lit(4.0).alias("y1"))
-    return S.clip_points_to_bridge(points, segments, 2.5).groupBy(*B).agg(F.count(F.lit(1)).alias("n"))
+    k = (F.col("bridge_id").cast("long") % 5) * 0.375
+    ring = S.path((k + 3, F.lit(1.0)), (19 - k, F.lit(2.0)), (20 - k, F.lit(7.0)), (k + 4, F.lit(5.5)))
+    outlines = points.select(*B).distinct().select(*B, ring.alias("ring"))
+    return S.clip_points_to_bridge(points, outlines, 0.625).select(*B, "point_idx")
 
 
 @query("c3_generate_tasks", f"SELECT * FROM ({_PAIRS}) WHERE huc_id IN ('00000001', '00000002')", "bridges", "sources")
@@ -312,14 +362,14 @@ def _(get, spark, sf):
     return R.skip_existing(tasks, status)
 
 
-@query("c5_unseen_candidates", with_duck("", "bridges", "sources").rstrip() + ", " + SPLIT_SQL + f" SELECT osmid, huc_id, source_name, source_url, concat('bridge_', osmid, '_', replace(source_name, ' ', '_')) AS bridge_stem, osmid IN (SELECT osmid FROM used_splits) AS proven_linear FROM ({_PAIRS})")
+@query("c5_unseen_candidates", with_duck("", "bridges", "sources").rstrip() + ", " + USED_SQL + f" SELECT osmid, huc_id, source_name, source_url, concat('bridge_', osmid, '_', replace(source_name, ' ', '_')) AS bridge_stem, osmid IN (SELECT osmid FROM used_splits) AS proven_linear FROM ({_PAIRS})")
 def _(get, spark, sf):
-    return R.unseen_candidates(pairs_of(get), splits_of(get))
+    return R.unseen_candidates(pairs_of(get), used_of(get))
 
 
 @query("c6_exclude_used", "SELECT huc_id, osmid FROM bridges WHERE CAST(osmid AS BIGINT) % 2 <> 0", "bridges")
 def _(get, spark, sf):
-    return R.exclude_used(get("bridges").select("huc_id", "osmid"), splits_of(get))
+    return R.exclude_used(get("bridges").select("huc_id", "osmid"), used_of(get))
 
 
 @query("c7_apply_holdout", "SELECT 'pool' AS part, osmid FROM bridges WHERE CAST(osmid AS BIGINT) % 50 <> 0 UNION ALL SELECT 'test', osmid FROM bridges WHERE CAST(osmid AS BIGINT) % 50 = 0 UNION ALL SELECT 'absent', '-1'", "bridges")
@@ -403,7 +453,9 @@ _METADATA = f"SELECT huc_id, bridge_id, round(avg(x), 8) AS x_center, round(avg(
 
 @query("d3_cloud_metadata", _METADATA.replace("count_if(", "CAST(count_if(").replace(") AS class", ") AS BIGINT) AS class"), "points")
 def _(get, spark, sf):
-    return rounded(V.cloud_metadata(get("points")).drop("class_distribution"), ["x_center", "y_center", "z_min"], 8)
+    made = V.cloud_metadata(get("points"))
+    in_map = {f"class_{c}": F.try_element_at("class_distribution", F.lit(str(c))) for c in range(4)}  # the map is what later steps read
+    return rounded(made.withColumns(in_map).drop("class_distribution"), ["x_center", "y_center", "z_min"], 8)
 
 
 @query("d4_normalize_cloud", "SELECT huc_id, bridge_id, point_idx, round(x - avg(x) OVER w + 0.00000123, 6) AS x, round(y - avg(y) OVER w + 0.00000123, 6) AS y, round(z - min(z) OVER w, 8) AS z, round(intensity / max(intensity) OVER w, 8) AS intensity, CASE classification WHEN 2 THEN 1 WHEN 9 THEN 1 WHEN 17 THEN 2 WHEN 18 THEN 3 ELSE 0 END AS label FROM points WINDOW w AS (PARTITION BY huc_id, bridge_id)", "points")
@@ -449,7 +501,7 @@ def with_cm(sql: str, more: str = "") -> str:
 def cm_of(get, predicted: str = "pred") -> DataFrame:
     points = get("points")
     other = points.select(*B, "point_idx", F.col(predicted).alias("pred"))
-    return M.confusion_matrix(M.aligned_points(points.select(*B, "point_idx", "gold"), other))
+    return written(M.aligned_confusion(points.select(*B, "point_idx", "gold"), other))  # sixteen rows a bridge, read several times
 
 
 @query("d9_confusion_matrix", with_cm("SELECT * FROM cm"))
@@ -480,12 +532,26 @@ def _(get, spark, sf):
     return rounded(rounded(M.overall_metrics(cm_of(get), B), ["accuracy"], 6), ["mean_iou"])
 
 
-@query("d12_binary_metrics", with_cm("""SELECT huc_id, bridge_id, round(tp / (tp + fp), 6) AS deck_precision, round(tp / (tp + fn), 6) AS deck_recall, round(100 * tp / (tp + fp + fn), 4) AS deck_iou,
-  round(100 * tn / (tn + fp + fn), 4) AS rest_iou, round((tp + tn) / (tp + tn + fp + fn), 6) AS binary_accuracy FROM (SELECT huc_id, bridge_id, sum(CASE WHEN gold = 2 AND pred = 2 THEN n ELSE 0 END) AS tp,
-  sum(CASE WHEN gold = 2 AND pred <> 2 THEN n ELSE 0 END) AS fn, sum(CASE WHEN gold <> 2 AND pred = 2 THEN n ELSE 0 END) AS fp, sum(CASE WHEN gold <> 2 AND pred <> 2 THEN n ELSE 0 END) AS tn FROM cm GROUP BY ALL)"""))
+def _binary_sql() -> str:
+    """All measures of both sides, from the four sums."""
+    sums = ", ".join(f"sum(CASE WHEN {g} AND {p} THEN n ELSE 0 END) AS {name}" for name, g, p in (("tp", "gold = 2", "pred = 2"), ("fn", "gold = 2", "pred <> 2"), ("fp", "gold <> 2", "pred = 2"), ("tn", "gold <> 2", "pred <> 2")))
+    ratio = lambda a, b, n, k=1: f"round(CASE WHEN {b} > 0 THEN {k} * {a} / ({b}) ELSE 0 END, {n})"
+    made = []
+    for side, t, missed, wrong in (("deck", "tp", "fn", "fp"), ("rest", "tn", "fp", "fn")):
+        made += [
+            f"{ratio(t, f'{t} + {wrong}', 6)} AS {side}_precision", f"{ratio(t, f'{t} + {missed}', 6)} AS {side}_recall", f"{ratio(t, f'2 * {t} + {missed} + {wrong}', 6, 2)} AS {side}_f1",
+            f"{ratio(t, f'{t} + {missed} + {wrong}', 4, 100)} AS {side}_iou", f"CAST({t} + {missed} AS BIGINT) AS {side}_support",
+        ]
+    return f"SELECT huc_id, bridge_id, {', '.join(made)}, {ratio('(tp + tn)', 'tp + tn + fn + fp', 6)} AS binary_accuracy FROM (SELECT huc_id, bridge_id, {sums} FROM cm GROUP BY ALL)"
+
+
+def _sixes(df: DataFrame) -> DataFrame:
+    return rounded(rounded(df, [c for c in df.columns if c.endswith(("precision", "recall", "f1", "accuracy"))], 6), [c for c in df.columns if c.endswith("iou")])
+
+
+@query("d12_binary_metrics", with_cm(_binary_sql()))
 def _(get, spark, sf):
-    made = M.binary_metrics(cm_of(get), B).select(*B, "deck_precision", "deck_recall", "deck_iou", "rest_iou", "binary_accuracy")
-    return rounded(rounded(made, ["deck_precision", "deck_recall", "binary_accuracy"], 6), ["deck_iou", "rest_iou"])
+    return _sixes(M.binary_metrics(cm_of(get), B))
 
 
 _TOTAL_CM = ", total AS (SELECT gold, pred, CAST(sum(n) AS BIGINT) AS n FROM cm GROUP BY gold, pred)"
@@ -501,22 +567,17 @@ def _(get, spark, sf):
     return rounded(M.normalized_confusion(cm_of(get), B), ["percent"])
 
 
-@query("d15_per_bridge_metrics", with_cm(f"SELECT huc_id, bridge_id, {', '.join(f'round(max(CASE WHEN class = {c} THEN iou END), 4) AS class_{c}_iou' for c in range(4))}, {', '.join(f'max(CASE WHEN class = {c} THEN support END) AS class_{c}_support' for c in range(4))} FROM ({_class_sql('cm', 'huc_id, bridge_id')}) GROUP BY ALL"))
-def _(get, spark, sf):
-    made = M.per_bridge_metrics(cm_of(get))
-    ious = [f"class_{c}_iou" for c in range(4)]
-    return rounded(made.select(*B, *ious, *(f"class_{c}_support" for c in range(4))), ious)
+_WIDE = ", ".join(f"{'max' if m == 'support' else 'round(max'}(CASE WHEN class = {c} THEN {m} END){'' if m == 'support' else f', {4 if m == 'iou' else 6})'} AS class_{c}_{m}" for c in range(4) for m in ("precision", "recall", "f1", "iou", "support"))
 
 
-@query("c17_model_vs_baseline", with_duck("", "points").rstrip() + f", m AS (SELECT gold, pred, count(*) AS n FROM points GROUP BY ALL), b AS (SELECT gold, silver AS pred, count(*) AS n FROM points GROUP BY ALL) SELECT class, round(m1.iou, 4) AS model_iou, round(b1.iou, 4) AS baseline_iou, round(m1.iou - b1.iou, 4) AS delta FROM ({_class_sql('m')}) m1 JOIN ({_class_sql('b')}) b1 USING (class)")
+@query("d15_per_bridge_metrics", with_cm(f"SELECT * FROM (SELECT huc_id, bridge_id, {_WIDE} FROM ({_class_sql('cm', 'huc_id, bridge_id')}) GROUP BY ALL) JOIN ({_binary_sql()}) USING (huc_id, bridge_id)"))
 def _(get, spark, sf):
-    return rounded(M.model_vs_baseline(cm_of(get), cm_of(get, "silver")), ["model_iou", "baseline_iou", "delta"])
+    return _sixes(M.per_bridge_metrics(cm_of(get)))
 
 
-@query("d17_plane_residuals")
+@query("c17_model_vs_baseline", with_duck("", "points").rstrip() + f", m AS (SELECT gold, pred, count(*) AS n FROM points GROUP BY ALL), b AS (SELECT gold, silver AS pred, count(*) AS n FROM points GROUP BY ALL) SELECT class, round(m1.iou, 4) AS model_iou, round(b1.iou, 4) AS baseline_iou, round(m1.iou - b1.iou, 4) AS delta FROM ({_class_sql('m')}) m1 JOIN ({_class_sql('b')}) b1 USING (class)")
 def _(get, spark, sf):
-    points = get("points")
-    return rounded(P.plane_residuals(points, P.plane_consensus(points)).select(*B, "point_idx", "residual", "inlier"), ["residual"], 3)
+    return rounded(M.model_vs_baseline(cm_of(get), cm_of(get, "silver")), ["model_iou", "baseline_iou", "delta"])
 
 
 _PLANE_POINTS = "huc_id, bridge_id, CAST(point_idx AS VARCHAR)"
@@ -539,6 +600,12 @@ def _(get, spark, sf):
     return rounded(P.plane_consensus(get("points")).drop("x_center", "y_center"), ["a", "b", "c"], 3)
 
 
+@query("d17_plane_residuals", with_duck("", "points").rstrip() + ", " + PLANE_SQL + " SELECT huc_id, bridge_id, point_idx, round(z - a * cx - b * cy - c, 3) + 0 AS residual, abs(z - a * cx - b * cy - c) <= 0.20 AS inlier FROM final JOIN centred USING (huc_id, bridge_id)")
+def _(get, spark, sf):
+    points = get("points")
+    return rounded(P.plane_residuals(points, P.plane_consensus(points)).select(*B, "point_idx", "residual", "inlier"), ["residual"], 3).withColumn("residual", F.col("residual") + 0.0)  # no minus zero
+
+
 @query("d18_inlier_rmse", with_duck("", "points").rstrip() + ", " + PLANE_SQL + " SELECT huc_id, bridge_id, count_if(abs(d) <= 0.20)::BIGINT AS n_inliers, round(sqrt(avg(CASE WHEN abs(d) <= 0.20 THEN d * d END)), 4) AS rmse, sqrt(avg(CASE WHEN abs(d) <= 0.20 THEN d * d END)) > 0.05 AS rejected FROM (SELECT huc_id, bridge_id, z - a * cx - b * cy - c AS d FROM final JOIN centred USING (huc_id, bridge_id)) GROUP BY ALL")
 def _(get, spark, sf):
     points = get("points")
@@ -570,9 +637,24 @@ def _(get, spark, sf):
     return labelled.groupBy(*B, "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("d23_quality_gate")
+GATE_SQL = (
+    AXIS_SQL.replace("FROM points p JOIN shape", "FROM inliers p JOIN shape").replace("FROM points GROUP BY ALL", "FROM inliers GROUP BY ALL")
+    + """, flat AS (SELECT huc_id, bridge_id, count(*) AS n_inliers, sqrt(avg(d * d)) AS rmse, var_pop(x) * var_pop(y) - pow(covar_pop(x, y), 2) AS area FROM inliers GROUP BY ALL),
+bends AS (SELECT huc_id, bridge_id, max(abs(mz - k * pos - m)) AS d FROM medians JOIN line USING (huc_id, bridge_id) GROUP BY ALL),
+everything AS (SELECT huc_id, bridge_id, count(*) AS n_points, count(DISTINCT (x, y)) AS n_xy FROM points GROUP BY ALL),
+asked AS (SELECT huc_id, bridge_id FROM everything UNION ALL SELECT '99999999', CAST(n_nationkey AS VARCHAR) FROM nation)"""
+)
+
+
+@query("d23_quality_gate", with_duck("", "points").rstrip() + ", " + PLANE_SQL + ", inliers AS (SELECT p.*, z - a * (x - x_center) - b * (y - y_center) - c AS d FROM points p JOIN final USING (huc_id, bridge_id) JOIN centers USING (huc_id, bridge_id) WHERE abs(z - a * (x - x_center) - b * (y - y_center) - c) <= 0.20), " + GATE_SQL + """
+SELECT huc_id, bridge_id, coalesce(n_points, 0) AS n_points, n_inliers, round(rmse, 3) AS rmse, CASE WHEN n_inliers IS NOT NULL THEN round(coalesce(d, 0), 3) END AS deviation,
+  CASE WHEN n_points IS NULL THEN 'no_points' WHEN n_points < 20 OR n_xy < 10 THEN 'ransac_insufficient' WHEN n_inliers IS NULL THEN 'ransac_failed' WHEN n_inliers < 20 THEN 'ransac_low_inliers' WHEN NOT area > 1e-9 THEN 'hull_failed'
+  WHEN rmse > 0.06 THEN 'high_rmse' WHEN coalesce(d, 0) > 0.05 THEN 'curved' ELSE 'success' END AS status
+FROM asked LEFT JOIN everything USING (huc_id, bridge_id) LEFT JOIN flat USING (huc_id, bridge_id) LEFT JOIN bends USING (huc_id, bridge_id)""")
 def _(get, spark, sf):
-    return rounded(P.quality_gate(get("points")), ["rmse", "deviation"], 3)
+    points = get("points")
+    empty = get("nation").select(F.lit("99999999").alias("huc_id"), F.col("n_nationkey").cast("string").alias("bridge_id"))
+    return rounded(P.quality_gate(points, points.select(*B).unionByName(empty), 0.06, 0.05), ["rmse", "deviation"], 3)
 
 
 @query("d25_huc_inventory", "SELECT coalesce(huc_id, 'total') AS huc_id, count(*) AS bridges, count_if(has_lidar_tif = 'Y')::BIGINT AS with_lidar, count_if(has_lidar_tif = 'N')::BIGINT AS without_lidar FROM bridges GROUP BY ROLLUP (huc_id)", "bridges")
@@ -624,10 +706,10 @@ def _(get, spark, sf):
     return S.source_pair_stats(get("bridges"), pairs_of(get))
 
 
-@query("d34_robust_bounds", "SELECT round(quantile_cont(least(x0, x1), 0.01), 3) AS minx, round(quantile_cont(greatest(x0, x1), 0.99), 3) AS maxx, round(quantile_cont(least(y0, y1), 0.01), 3) AS miny, round(quantile_cont(greatest(y0, y1), 0.99), 3) AS maxy FROM bridges", "bridges")
+@query("d34_robust_bounds", "SELECT round(minx, 3) AS minx, round(miny, 3) AS miny, round(maxx, 3) AS maxx, round(maxy, 3) AS maxy, round((maxx - minx) / (maxy - miny), 4) AS aspect FROM (SELECT quantile_cont(least(x0, x1), 0.01) AS minx, quantile_cont(greatest(x0, x1), 0.99) AS maxx, quantile_cont(least(y0, y1), 0.01) AS miny, quantile_cont(greatest(y0, y1), 0.99) AS maxy FROM bridges)", "bridges")
 def _(get, spark, sf):
-    p = lambda e, q: F.round(F.expr(f"percentile({e}, {q})"), 3)
-    return get("bridges").agg(p("least(x0, x1)", 0.01).alias("minx"), p("greatest(x0, x1)", 0.99).alias("maxx"), p("least(y0, y1)", 0.01).alias("miny"), p("greatest(y0, y1)", 0.99).alias("maxy"))
+    boxes = get("bridges").select(F.least("x0", "x1").alias("minx"), F.greatest("x0", "x1").alias("maxx"), F.least("y0", "y1").alias("miny"), F.greatest("y0", "y1").alias("maxy"))
+    return rounded(rounded(R.robust_bounds(boxes), ["minx", "miny", "maxx", "maxy"], 3), ["aspect"])
 
 
 @query("d35_epoch_metrics", _EPOCHS, "metrics")
@@ -658,7 +740,7 @@ def _(get, spark, sf):
     return rounded(made, ["ratio", "points_share_2", "voxels_share_2"])
 
 
-@query("d39_subset_verify", "SELECT huc_id, count_if(has_lidar_tif = 'Y')::BIGINT AS expected, count_if(has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0))::BIGINT AS found, CASE WHEN huc_id IN ('00000003', '00000004') THEN 'FAIL' ELSE 'PASS' END AS verdict FROM bridges GROUP BY huc_id HAVING count_if(has_lidar_tif = 'Y') > 0", "bridges")
+@query("d39_subset_verify", "SELECT huc_id, count_if(has_lidar_tif = 'Y')::BIGINT AS expected, count_if(has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0))::BIGINT AS found, CASE WHEN bool_or(has_lidar_tif = 'Y' AND huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0) THEN 'FAIL' ELSE 'PASS' END AS verdict FROM bridges GROUP BY huc_id HAVING count_if(has_lidar_tif = 'Y') > 0", "bridges")
 def _(get, spark, sf):
     bridges = get("bridges")
     damaged = bridges.where("has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0)")
@@ -814,11 +896,12 @@ def _stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
-@query("s1_live_run_monitor", "SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+@query("s1_live_run_monitor", r"SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start, CAST(regexp_extract(line, 'Child ([0-9]+)', 1) AS INT) AS child, regexp_extract(line, '\] ([A-Z_]+)( |$)', 1) AS event, nullif(regexp_extract(line, 'reason=([a-z_]+)', 1), '') AS reason, count(*) AS n, round(sum(CAST(nullif(regexp_extract(line, 'bridge_seconds=([0-9.]+)s', 1), '') AS DOUBLE)), 2) AS seconds FROM run_logs GROUP BY ALL", "run_logs")
 def _(get, spark, sf):
     folder = shared_folder(spark)
-    monitor.run_once(monitor.live_run_monitor(_stream(spark, sf)), f"{folder}/out", f"{folder}/state", "complete")
-    return spark.read.parquet(f"{folder}/out").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+    monitor.run_once(monitor.live_run_monitor(view_of_stream(_stream(spark, sf), "run_logs")), f"{folder}/out", f"{folder}/state", "complete")
+    read = spark.read.parquet(f"{folder}/out")
+    return rounded(read.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "child", "event", "reason", "n", "seconds"), ["seconds"], 2)
 
 
 @query("s2_incremental_tasks", "SELECT user_id, event_type FROM events GROUP BY ALL")
@@ -831,29 +914,40 @@ def _(get, spark, sf):
 
 # ---- hulls, registries, reports, learning -------------------------------------------------
 
-_HULL_POINTS = "pts AS (SELECT DISTINCT huc_id, bridge_id, floor(x) AS x, floor(y) AS y FROM points WHERE gold = 2)"
-_CROSS = "(b.x - a.x) * (q.y - a.y) - (b.y - a.y) * (q.x - a.x)"
+#: Deck points in whole millimetres, in which the coordinates of the points are exact, and so are the turns between them.
+_MM = "CAST(round({c} * 1000) AS DOUBLE)"
+#: A corner sees all other points within less than half a turn. Its hull's edges go from corner to corner around their mean.
+_HULL = f"""pts AS (SELECT DISTINCT huc_id, bridge_id, {_MM.format(c='x')} AS x, {_MM.format(c='y')} AS y FROM points WHERE gold = 2),
+seen AS (SELECT a.huc_id, a.bridge_id, a.x, a.y, atan2(b.y - a.y, b.x - a.x) AS t FROM pts a JOIN pts b ON a.huc_id = b.huc_id AND a.bridge_id = b.bridge_id AND (a.x <> b.x OR a.y <> b.y)),
+gaps AS (SELECT huc_id, bridge_id, x, y, coalesce(lead(t) OVER w, min(t) OVER v + 2 * pi()) - t AS gap FROM seen WINDOW v AS (PARTITION BY huc_id, bridge_id, x, y), w AS (PARTITION BY huc_id, bridge_id, x, y ORDER BY t)),
+corners AS (SELECT huc_id, bridge_id, x, y FROM gaps GROUP BY ALL HAVING max(gap) > pi() + 2e-10),
+turned AS (SELECT *, atan2(y - avg(y) OVER v, x - avg(x) OVER v) AS t FROM corners WINDOW v AS (PARTITION BY huc_id, bridge_id)),
+edges AS (SELECT huc_id, bridge_id, x AS ax, y AS ay, coalesce(lead(x) OVER w, first_value(x) OVER w) AS ex, coalesce(lead(y) OVER w, first_value(y) OVER w) AS ey FROM turned WINDOW w AS (PARTITION BY huc_id, bridge_id ORDER BY t))"""
+
+
+def _millimetres(points: DataFrame) -> DataFrame:
+    return points.select(*B, *(F.round(F.col(c) * 1000).alias(c) for c in "xy"))
 
 
-def _deck_grid(get) -> DataFrame:
-    return get("points").where("gold = 2").select(*B, F.floor("x").alias("x"), F.floor("y").alias("y"))
+def _deck(get) -> DataFrame:
+    return _millimetres(get("points").where("gold = 2"))
 
 
-@query("d19_convex_hull", with_duck("", "points").rstrip() + f", {_HULL_POINTS} SELECT DISTINCT a.huc_id, a.bridge_id, CAST(a.x AS DOUBLE) AS x, CAST(a.y AS DOUBLE) AS y FROM pts a JOIN pts b USING (huc_id, bridge_id) WHERE (a.x, a.y) <> (b.x, b.y) AND NOT EXISTS (SELECT 1 FROM pts q WHERE q.huc_id = a.huc_id AND q.bridge_id = a.bridge_id AND (q.x, q.y) <> (a.x, a.y) AND ({_CROSS} < 0 OR ({_CROSS} = 0 AND (b.x - a.x) * (q.x - a.x) + (b.y - a.y) * (q.y - a.y) <= 0)))")
+@query("d19_convex_hull", with_duck("", "points").rstrip() + f", {_HULL} SELECT * FROM corners")
 def _(get, spark, sf):
-    return H.convex_hull(_deck_grid(get)).select(*B, F.explode("hull").alias("p")).select(*B, "p.x", "p.y")
+    return H.convex_hull(_deck(get)).select(*B, F.explode("hull").alias("p")).select(*B, "p.x", "p.y")
 
 
-@query("c12_points_in_hull", with_duck("", "points").rstrip() + f", {_HULL_POINTS}, edges AS (SELECT a.huc_id, a.bridge_id, a.x AS ax, a.y AS ay, b.x AS ex, b.y AS ey FROM pts a JOIN pts b USING (huc_id, bridge_id) WHERE (a.x, a.y) <> (b.x, b.y) AND NOT EXISTS (SELECT 1 FROM pts q WHERE q.huc_id = a.huc_id AND q.bridge_id = a.bridge_id AND {_CROSS} < 0)) SELECT huc_id, bridge_id, count_if(NOT EXISTS (SELECT 1 FROM edges e WHERE e.huc_id = p.huc_id AND e.bridge_id = p.bridge_id AND (ex - ax) * (p.y - ay) - (ey - ay) * (p.x - ax) < 0))::BIGINT AS inside, count(*) AS n FROM points p GROUP BY ALL")
+@query("c12_points_in_hull", with_duck("", "points").rstrip() + f", {_HULL}, placed AS (SELECT huc_id, bridge_id, point_idx, bool_and((ex - ax) * ({_MM.format(c='y')} - ay) - (ey - ay) * ({_MM.format(c='x')} - ax) >= 0) AS inside FROM points JOIN edges USING (huc_id, bridge_id) GROUP BY ALL) SELECT huc_id, bridge_id, count_if(inside)::BIGINT AS inside, count(*) AS n FROM placed GROUP BY ALL")
 def _(get, spark, sf):
-    marked = H.points_in_hull(get("points"), H.convex_hull(_deck_grid(get)))
+    marked = H.points_in_hull(_millimetres(get("points")), H.convex_hull(_deck(get)))
     return marked.groupBy(*B).agg(F.count_if("inside").alias("inside"), F.count(F.lit(1)).alias("n"))
 
 
-@query("c15_huc8_in_split", with_splits("SELECT lpad(CAST(n_nationkey + 20 AS VARCHAR), 8, '0') AS huc8, lpad(CAST(n_nationkey + 20 AS VARCHAR), 8, '0') IN (SELECT huc_id FROM used_splits) AS in_split FROM nation"))
+@query("c15_huc8_in_split", with_splits("SELECT lpad(CAST(n_nationkey + 20 AS VARCHAR), 8, '0') AS huc8, lpad(CAST(n_nationkey + 20 AS VARCHAR), 8, '0') IN (SELECT huc_id FROM used_splits) AS in_split FROM nation", "CAST(osmid AS BIGINT) % 2 = 0"))
 def _(get, spark, sf):
     hucs = get("nation").select((F.col("n_nationkey") + 20).cast("string").alias("huc8"))
-    return R.huc8_in_split(hucs, splits_of(get))
+    return R.huc8_in_split(hucs, used_of(get))
 
 
 @query("d32_point_count_histogram", "WITH n AS (SELECT l_suppkey, log10(CAST(count(*) AS DOUBLE)) AS l FROM lineitem GROUP BY l_suppkey), s AS (SELECT min(l) AS lo, max(l) AS hi FROM n) SELECT bin, round(min(lo + bin * (hi - lo) / 40), 6) AS least, count(*) AS n FROM (SELECT CAST(least(floor((l - lo) / ((hi - lo) / 40)), 39) AS INT) AS bin, lo, hi FROM n, s) GROUP BY bin")
@@ -862,16 +956,23 @@ def _(get, spark, sf):
     return rounded(R.point_count_histogram(counts), ["least"], 6)
 
 
-@query("f5_candidate_summary")
+_UNSEEN = f"SELECT osmid, huc_id, source_name, osmid IN (SELECT osmid FROM used_splits) AS proven FROM ({_PAIRS})"
+
+
+@query("f5_candidate_summary", with_duck("", "bridges", "sources").rstrip() + ", " + USED_SQL + f""", unseen AS ({_UNSEEN}), once AS (SELECT DISTINCT huc_id, osmid, proven FROM unseen),
+sampled AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY huc_id ORDER BY {_HASH}, osmid) AS rk FROM once) WHERE rk <= 3 ORDER BY rk, md5(concat_ws('|', '27', huc_id)), huc_id LIMIT 60)
+SELECT part, count(*) AS n_rows, count(DISTINCT huc_id) AS n_hucs, count_if(proven)::BIGINT AS proven, count_if(NOT proven)::BIGINT AS unknown
+FROM (SELECT 'all' AS part, huc_id, proven FROM unseen UNION ALL SELECT 'sample', huc_id, proven FROM sampled) GROUP BY part""")
 def _(get, spark, sf):
-    candidates = R.unseen_candidates(pairs_of(get), splits_of(get))
+    candidates = R.unseen_candidates(pairs_of(get), used_of(get))
     return R.candidate_summary(candidates, E.round_robin_sample(candidates, 60, 3))
 
 
 def _registry(get) -> DataFrame:
     """Registry texts, one a manufacturer, a model a brand."""
     model = F.struct(
-        F.first("p_brand").alias("parent"), F.concat(F.lit("ckpt/"), F.col("p_brand"), F.lit("_iou="), F.round(F.avg("p_retailprice") / 10000, 4).cast("string")).alias("checkpoint"),
+        # Brand#11 comes from Brand#10, which is not there, Brand#12 from Brand#11 and so on
+        F.concat(F.lit("Brand#"), (F.substring("p_brand", 7, 9).cast("int") - 1).cast("string")).alias("parent"), F.concat(F.lit("ckpt/"), F.col("p_brand"), F.lit("_iou="), F.round(F.avg("p_retailprice") / 10000, 4).cast("string")).alias("checkpoint"),
         F.create_map(F.lit("test"), F.create_map(F.lit("iou"), F.round(F.avg("p_retailprice"), 4), F.lit("size"), F.round(F.avg("p_size"), 4))).alias("evaluation"),
     )
     models = get("part").groupBy("p_brand").agg(model.alias("m"))
@@ -884,12 +985,15 @@ def _(get, spark, sf):
     return rows.select("model", "eval_set", F.try_element_at("metrics", F.lit("iou")).alias("iou"))
 
 
-@query("c16_model_lineage")
+_MODELS = "models AS (SELECT p_brand AS model, concat('Brand#', CAST(substr(p_brand, 7) AS INT) - 1) AS parent, concat('ckpt/', p_brand, '_iou=', CAST(round(avg(p_retailprice) / 10000, 4) AS VARCHAR)) AS checkpoint, round(avg(p_retailprice) / 10000, 4) AS iou FROM part GROUP BY p_brand)"
+
+
+@query("c16_model_lineage", f"WITH {_MODELS} SELECT m.model, m.parent, coalesce(p.checkpoint, 'unknown') AS parent_checkpoint FROM models m LEFT JOIN models p ON p.model = m.parent")
 def _(get, spark, sf):
     return A.model_lineage(A.registry_rows(_registry(get)))
 
 
-@query("e14_best_checkpoint")
+@query("e14_best_checkpoint", f"WITH {_MODELS} SELECT 'iou' AS metric, checkpoint AS path, iou AS value FROM models ORDER BY iou DESC, checkpoint DESC LIMIT 1")
 def _(get, spark, sf):
     return A.best_checkpoint(A.registry_rows(_registry(get)).select(F.col("checkpoint").alias("path")))
 
@@ -907,11 +1011,12 @@ def _(get, spark, sf):
     return read.groupBy("huc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("a9_scan_manifest", "SELECT concat(huc_id, '/', osmid) AS line FROM bridges", "bridges")
+@query("a9_scan_manifest", "SELECT row_number() OVER (ORDER BY CAST(osmid AS BIGINT)) AS line_no, concat(huc_id, '/', osmid) AS line FROM bridges", "bridges")
 def _(get, spark, sf):
     folder = shared_folder(spark)
-    get("bridges").select(F.concat(F.lit(" "), "huc_id", F.lit("/"), "osmid")).write.text(folder)
-    return A.scan_manifest(spark, folder).select("line")
+    ordered = get("bridges").orderBy(F.col("osmid").cast("long"))  # the files' names follow the order
+    ordered.select(F.concat(F.lit(" "), "huc_id", F.lit("/"), "osmid")).write.text(folder)
+    return A.scan_manifest(spark, folder)
 
 
 @query("a10_scan_pairs", "SELECT concat(huc_id, '/', osmid, '.laz') AS input, concat('out/', osmid) AS output FROM bridges", "bridges")
@@ -963,17 +1068,22 @@ def _(get, spark, sf):
 
 
 def _opening_sql() -> str:
-    parts = ["g0 AS (SELECT huc_id, bridge_id, CAST(floor(x) AS INT) AS gx, CAST(floor(y) AS INT) AS gy, min(z) AS s, false AS object FROM points WHERE classification <> 7 GROUP BY ALL)"]
-    for i, w in enumerate((1, 2, 4, 8)):
+    parts = [
+        "lowest AS (SELECT huc_id, bridge_id, CAST(floor(x) AS INT) AS gx, CAST(floor(y) AS INT) AS gy, min(z) AS s FROM points WHERE classification <> 7 GROUP BY ALL)",
+        "ends AS (SELECT huc_id, bridge_id, min(gx) AS x0, max(gx) AS x1, min(gy) AS y0, max(gy) AS y1 FROM lowest GROUP BY ALL)",
+        "cells AS (SELECT huc_id, bridge_id, CAST(gx AS INT) AS gx, CAST(unnest(range(y0, y1 + 1)) AS INT) AS gy FROM (SELECT *, unnest(range(x0, x1 + 1)) AS gx FROM ends))",
+        "g0 AS (SELECT huc_id, bridge_id, gx, gy, s, false AS object FROM cells LEFT JOIN lowest USING (huc_id, bridge_id, gx, gy))",
+    ]
+    for w in range(1, 11):
         over = lambda a, b: f"OVER (PARTITION BY huc_id, bridge_id, {b} ORDER BY {a} RANGE BETWEEN {w} PRECEDING AND {w} FOLLOWING)"  # noqa: E731, B023
-        step = f"(SELECT *, min(s) {over('gx', 'gy')} AS o FROM g{i})"
+        step = f"(SELECT *, min(s) {over('gx', 'gy')} AS o FROM g{w - 1})"
         for f, a, b in (("min", "gy", "gx"), ("max", "gx", "gy"), ("max", "gy", "gx")):
             step = f"(SELECT * EXCLUDE (o), {f}(o) {over(a, b)} AS o FROM {step})"
-        parts.append(f"g{i + 1} AS (SELECT huc_id, bridge_id, gx, gy, o AS s, object OR s - o > CAST(0.05 AS DOUBLE) * {w} AS object FROM {step})")
+        parts.append(f"g{w} AS MATERIALIZED (SELECT huc_id, bridge_id, gx, gy, o AS s, object OR coalesce(s - o > CAST(0.05 AS DOUBLE) * {w}, false) AS object FROM {step})")
     return ", ".join(parts)
 
 
-@query("d24_ground_filter", with_duck("", "points").rstrip() + ", " + _opening_sql() + " SELECT huc_id, bridge_id, ground, count(*) AS n FROM (SELECT p.huc_id, p.bridge_id, CASE WHEN classification = 7 THEN 7 WHEN coalesce(NOT object AND z - s <= 0.5 + 1.25 * 0.05, false) THEN 2 ELSE 1 END AS ground FROM (SELECT *, CAST(floor(x) AS INT) AS gx, CAST(floor(y) AS INT) AS gy FROM points) p LEFT JOIN g4 USING (huc_id, bridge_id, gx, gy)) GROUP BY ALL")
+@query("d24_ground_filter", with_duck("", "points").rstrip() + ", " + _opening_sql() + " SELECT huc_id, bridge_id, ground, count(*) AS n FROM (SELECT p.huc_id, p.bridge_id, CASE WHEN classification = 7 THEN 7 WHEN coalesce(NOT object AND z - s <= 0.5 + 1.25 * 0.05, false) THEN 2 ELSE 1 END AS ground FROM (SELECT *, CAST(floor(x) AS INT) AS gx, CAST(floor(y) AS INT) AS gy FROM points) p LEFT JOIN g10 USING (huc_id, bridge_id, gx, gy)) GROUP BY ALL")
 def _(get, spark, sf):
     return G.ground_filter(get("points")).groupBy(*B, "ground").agg(F.count(F.lit(1)).alias("n"))
 

@@ -81,6 +81,13 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **tables)
 
 
+def view_of_stream(stream: DataFrame, name: str) -> DataFrame:
+    """A view of one table, over a stream of that table."""
+    text = spark_sql(name)
+    table = next(t for t in TABLES if f"FROM {t}" in text)
+    return stream.sparkSession.sql(text.replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: stream})
+
+
 def with_duck(query: str, *names: str) -> str:
     """``query`` for DuckDB with the named views before it."""
     return "WITH " + ", ".join(f"{n} AS ({duck_sql(n)})" for n in names) + " " + query

@@ -21,8 +21,9 @@ def huc_partitions(df: DataFrame, huc_ids: list[str] | None = None) -> DataFrame
     return df.select("huc_id").distinct().orderBy("huc_id")
 
 
-def scan_points(spark: SparkSession, path: str, huc_ids: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def scan_points(spark: SparkSession, path: str, huc_ids: list[str] | None = None, schema=None) -> DataFrame:
+    """Points written by region; a list of regions prunes the folders that are read. A schema keeps regions text."""
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return df if huc_ids is None else df.where(F.col("huc_id").isin(list(huc_ids)))
 
 
@@ -36,8 +37,10 @@ def scan_sources(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_by_huc(df: DataFrame, column: str, path: str, rows_a_file: int = 5_000_000) -> None:
-    """One directory a value. Rows of a large value go to several tasks: files are bounded, not gathered."""
-    df.repartition(F.col(column), F.spark_partition_id() % 8).write.option("maxRecordsPerFile", rows_a_file).partitionBy(column).parquet(path)
+    """One directory a value. The rows of a value go to as many tasks as it has files, so a large one is not gathered."""
+    sizes = df.groupBy(column).agg(F.ceil(F.count(F.lit(1)) / rows_a_file).alias("__files"))
+    dealt = df.join(sizes, df[column].eqNullSafe(sizes[column])).drop(sizes[column]).withColumn("__file", F.pmod(F.xxhash64(*df.columns), "__files"))
+    dealt.repartition(column, "__file").drop("__files", "__file").write.option("maxRecordsPerFile", rows_a_file).partitionBy(column).parquet(path)
 
 
 def write_labelled_points(points: DataFrame, labels: DataFrame, path: str) -> None:
@@ -61,11 +64,12 @@ def split_ids(lines: DataFrame, line: str = "value", order: str = "line_no") ->
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Trimmed, non-empty lines numbered from 1 in file order."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("at"), F.trim("value").alias("line")).where("line <> ''")
+    """Trimmed, non-empty lines numbered from 1 in the order of the files' names and of their lines."""
     from decklight.operators.splits import numbered
 
-    return numbered(lines, [F.col("at")], "line_no").select("line_no", "line")
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")]
+    lines = spark.read.text(path).select(*at, F.trim("value").alias("line")).where("line <> ''")
+    return numbered(lines, [F.col("file"), F.col("block"), F.col("at")], "line_no").select("line_no", "line")
 
 
 def scan_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -116,3 +120,10 @@ def split_manifest(splits: DataFrame) -> DataFrame:
     """Lines ``huc/stem`` of each split, with their number within it."""
     w = Window.partitionBy("split", "huc_id").orderBy("bridge_stem")
     return splits.select("split", "huc_id", F.row_number().over(w).alias("line_in_huc"), F.concat_ws("/", "huc_id", "bridge_stem").alias("line"))
+
+
+def write_split_manifest(splits: DataFrame, path: str) -> None:
+    """Under ``path``: ``ids``, lines huc/stem in a folder a split, and ``json``, a line {huc_id, bridge_stem} a row likewise; both in order."""
+    ordered = splits.repartitionByRange("split", "huc_id", "bridge_stem").sortWithinPartitions("split", "huc_id", "bridge_stem")
+    ordered.select("split", F.concat_ws("/", "huc_id", "bridge_stem").alias("line")).write.partitionBy("split").text(f"{path}/ids")
+    ordered.select("split", "huc_id", "bridge_stem").write.partitionBy("split").json(f"{path}/json")

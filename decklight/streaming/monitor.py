@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from decklight.functions.columns import parse_run_log
+
 
 def live_run_monitor(stream: DataFrame, window: str = "10 minutes", late: str = "1 hour", ts: str = "ts") -> DataFrame:
-    """Events of each type in tumbling windows; the watermark bounds the state."""
-    timed = stream.withColumn("__ts", F.col(ts).cast("timestamp")).withWatermark("__ts", late)
-    counted = timed.groupBy(F.window("__ts", window).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(F.col("w.start").alias("window_start"), "event_type", "n")
+    """Events of each child in tumbling windows, by event and failure reason, of log lines (ts, line); the watermark bounds the state."""
+    timed = parse_run_log(stream).withColumn("__ts", F.col(ts).cast("timestamp")).withWatermark("__ts", late)
+    counted = timed.groupBy(F.window("__ts", window).alias("w"), "child", "event", "reason").agg(F.count(F.lit(1)).alias("n"), F.sum("seconds").alias("seconds"))
+    return counted.select(F.col("w.start").alias("window_start"), "child", "event", "reason", "n", "seconds")
 
 
 def incremental_tasks(stream: DataFrame, keys: list[str], ts: str = "ts", late: str = "7 days") -> DataFrame:
