@@ -2,8 +2,8 @@
 
 Fingerprints are made in one pass and grouped, so that any number of equal ones is
 one entry with its least doc_id. Two fingerprints within ``radius`` bits agree in at
-least one of ``radius + 1`` blocks of bits, so each block value is a shard: its
-fingerprints are put into a BK-tree (children keyed by their integer distance to the
+least k of ``radius + k`` blocks of bits, so the values of each k blocks are a shard, with
+k as large as the number of entries needs for shards of bounded size: its fingerprints are put into a BK-tree (children keyed by their integer distance to the
 parent), and each is looked up in it, following only edges within the radius of its
 own distance. A shard goes to the task that holds its queries rather than to all.
 Shards over ``SHARD_ENTRIES`` are cut into chunks and every pair of chunks is a task
@@ -19,7 +19,7 @@ may have left out a similar pair, so all members that such links connect are com
 by set, in chunk pairs of ``CHUNK_SHINGLES``; only passing pairs are thinned to a forest.
 
 Defined results: a null text, or one without words, has fingerprint zero and links
-like any other; ties and repeated rows share a component; a null doc_id keeps its
+like any other; a text of any length counts whole; ties and repeated rows share a component; a null doc_id keeps its
 fingerprint, links nothing and has a null component_id; an empty table gives an
 empty table; other columns are not read.
 """
@@ -27,6 +27,7 @@ empty table; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bpe import ragged
-from .shared import mixed, text_or_empty, written
+from .shared import BROADCAST_ROWS, free_name, mixed, spread_join, text_or_empty, written
 from .words import text_slices
 
 SHARD_ENTRIES = 2048
@@ -191,10 +192,25 @@ def shard_links(shard: np.ndarray, side: np.ndarray, value: np.ndarray, rep: np.
     return reps[links[:, 0]], reps[links[:, 1]]
 
 
-def pigeonholes(radius: int) -> list[tuple[int, int, int]]:
-    """(word, low bit, bits): blocks of one word, one of which must agree within the radius."""
-    edges = [round(i * _BITS / (radius + 1)) for i in range(radius + 2)]
-    return [(0, a, b - a) for a, b in zip(edges, edges[1:])]
+#: A key of some blocks of bits: (word, low bit, bits) of each.
+Key = list[tuple[int, int, int]]
+
+
+def pigeonholes(radius: int, agree: int = 1) -> list[Key]:
+    """Keys of which one must agree within the radius: of ``radius + agree`` blocks, ``agree`` are untouched."""
+    n = radius + agree
+    edges = [round(i * _BITS / n) for i in range(n + 1)]
+    blocks = [(0, a, b - a) for a, b in zip(edges, edges[1:])]
+    return [list(chosen) for chosen in combinations(blocks, agree)]
+
+
+def wide_enough(entries: int, radius: int) -> list[Key]:
+    """The pigeonholes of the fewest blocks that give shards of SHARD_ENTRIES on average, so that work grows with the entries."""
+    for agree in range(1, 5):
+        keys = pigeonholes(radius, agree)
+        if entries >> min(sum(bits for *_, bits in key) for key in keys) <= SHARD_ENTRIES:
+            break
+    return keys
 
 
 def _chunk_pairs() -> Column:
@@ -205,14 +221,21 @@ def _chunk_pairs() -> Column:
     )
 
 
-def fingerprint_links(groups: DataFrame, radius: int, blocks: list[tuple[int, int, int]]) -> DataFrame:
+def fingerprint_links(groups: DataFrame, radius: int, keys: list[Key]) -> DataFrame:
     """(u, v): links between the groups (fp, rep) that hold their components together."""
-    part = lambda word, low, bits: F.shiftrightunsigned(F.shiftleft(F.get("fp", word), _BITS - low - bits), _BITS - bits)
-    keys = F.array(*(F.struct(F.lit(i).alias("block"), part(*b).alias("part")) for i, b in enumerate(blocks)))
-    dealt = groups.select("fp", "rep", F.explode(keys).alias("key")).select("fp", "rep", "key.block", "key.part")
-    # Large shards only. There are at most len(blocks) * 2 ** bits shards at all, so this table may be broadcast.
-    sizes = dealt.groupBy(F.col("block").alias("b"), F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_ENTRIES)
-    sized = dealt.join(F.broadcast(sizes), (F.col("block") == F.col("b")) & (F.col("part") == F.col("p")), "left")
+    field = lambda word, low, bits: F.shiftrightunsigned(F.shiftleft(F.get("fp", word), _BITS - low - bits), _BITS - bits)
+
+    def part(key: Key) -> Column:
+        out = F.lit(0).cast("long")
+        for block in key:
+            out = F.shiftleft(out, block[2]).bitwiseOR(field(*block))
+        return out
+
+    each = F.array(*(F.struct(F.lit(i).alias("block"), part(key).alias("part")) for i, key in enumerate(keys)))
+    dealt = groups.select("fp", "rep", F.explode(each).alias("key")).select("fp", "rep", "key.block", "key.part")
+    sizes = written(dealt.groupBy(F.col("block").alias("b"), F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_ENTRIES))
+    large = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
+    sized = dealt.join(large, (F.col("block") == F.col("b")) & (F.col("part") == F.col("p")), "left")
     chunks = F.coalesce(F.ceil(F.col("n") / SHARD_ENTRIES), F.lit(1)).cast("int")
     chunked = sized.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     placed = chunked.select("fp", "rep", "block", "part", F.explode(_chunk_pairs()).alias("pair")).select(
@@ -256,17 +279,18 @@ def fingerprint_links(groups: DataFrame, radius: int, blocks: list[tuple[int, in
 def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, component): each linked node and the least node that it reaches.
 
-    Large-star and small-star rounds; each round is written to the shared folder.
+    Large-star and small-star rounds; each round is written to the shared folder. The
+    edges of a node with many of them stay where they are (``spread_join``).
     """
     edges = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.join(least, F.col("u") == F.col("x")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
-        small = large.join(low, F.col("u") == F.col("x")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(low.select(F.col("x").alias("u"), F.col("m").alias("v"))).distinct())
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = written(spread_join(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = spread_join(large, low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = written(small.unionByName(low.withColumnRenamed("m", "v")).distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -275,13 +299,11 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 
 def _classes(made: DataFrame, links: DataFrame, groups: DataFrame) -> DataFrame:
+    """``made`` (doc_id, fp) with the component of its group."""
     found = components(links)
-    classes = groups.join(found, F.col("rep") == F.col("node"), "left").select(
-        F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component_id")
-    )
-    return made.join(classes, F.col("fp") == F.col("class_fp"), "left").select(
-        "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
-    )
+    classes = groups.join(found, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    return spread_join(made, written(classes), "fp", "left").select("doc_id", "fp", component)
 
 
 def _groups(made: DataFrame) -> DataFrame:
@@ -291,8 +313,8 @@ def _groups(made: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """(doc_id, fp, component_id) for every row."""
     made = written(fingerprints(docs, shingle))
-    groups = _groups(made)
-    return _classes(made, fingerprint_links(groups, radius, pigeonholes(radius)), groups)
+    groups = written(_groups(made))
+    return _classes(made, fingerprint_links(groups, radius, wide_enough(groups.count(), radius)), groups)
 
 
 def op3_simhash(docs: DataFrame) -> DataFrame:
@@ -301,7 +323,7 @@ def op3_simhash(docs: DataFrame) -> DataFrame:
 
 WIDE_WORDS = 6
 WIDE_RADIUS = 80
-WIDE_BLOCKS = [(word, low, 12) for word in range(WIDE_WORDS) for low in range(0, 60, 12)]
+WIDE_BLOCKS = [[(word, low, 12)] for word in range(WIDE_WORDS) for low in range(0, 60, 12)]
 
 
 def shingle_set(text: str, shingle: int) -> np.ndarray:
@@ -449,5 +471,6 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """``docs`` without the rows whose text is similar to one of a smaller doc_id; rows with a null doc_id stay."""
-    gone = similar_groups(docs, shingle, least).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    name = free_name(docs, "__gone")
+    gone = similar_groups(docs, shingle, least).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")

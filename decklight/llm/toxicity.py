@@ -3,14 +3,16 @@
 Confirmed toxic documents are the positives; other text is unlabelled, not clean. The
 classifiers minimise the non-negative risk of Kiryo and others (2017): with the class
 prior p, ``p * R_p(+) + max(0, R_u(-) - p * R_p(-))``. Their inputs are the words of a
-text that tell the two samples apart; labels, language, source and id are no inputs.
+text that tell the two samples apart; labels, language, source and id are no inputs. How
+many of these words are inputs is chosen by the same risk on a part of the fitted rows.
 
-Fitting reads samples of at most ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows, those
-of the least hash of their id; scoring reads every row. Rows with
-``crc32(doc_id) mod 4 = 2`` are held out from fitting.
+Fitting reads samples of at most ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` ids, those of
+the least hash, with one row an id; scoring reads every row. Rows with
+``crc32(doc_id) mod 4 = 2`` are held out from fitting and from that choice.
 
-Defined results: a null or empty text gets the score of a text without words; equal
-texts get equal scores; rows with a null doc_id are scored and count as not held out,
+Defined results: a null or empty text gets the score of a text without words; a text of
+any length is read whole; equal texts get equal scores; of rows that share an id, the
+fit reads the least text; rows with a null doc_id are scored and count as not held out,
 but are not fitted on; without positive rows every score is 0; an empty table gives an
 empty table; other columns are not read.
 """
@@ -25,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .shared import text_or_empty, written
+from .words import text_slices
 
 MOST_POSITIVE = 4_000
 MOST_UNLABELLED = 12_000
-#: Words kept as inputs, and the least positives one must be in.
-MOST_WORDS = 96
+#: The least positives a word must be in.
 LEAST_FOUND = 3
+#: Numbers of words, the most telling ones, that the fit chooses among; the last bounds the model.
+WORD_COUNTS = (24, 96, 384, 1536)
 #: The least share of positives among the texts that hold a word, by the two samples.
 LEAST_LIKELY = 0.5
 THRESHOLD = 0.3
@@ -51,12 +55,20 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]
     fit = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic"))
     fit = fit.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out())
     prior = fit.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    least = F.xxhash64("doc_id")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where("doc_id IS NOT NULL")
-    positive = fit.where("toxic").select("doc_id").distinct().orderBy(least).limit(MOST_POSITIVE).withColumn("positive", F.lit(True))
-    unlabelled = rows.where(~held_out()).select("doc_id").orderBy(least).limit(MOST_UNLABELLED).withColumn("positive", F.lit(False))
-    chosen = positive.unionByName(unlabelled)  # of bounded size, so it may be broadcast
-    return written(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", "text")), prior
+    positive = _least_ids(fit.where("toxic"), MOST_POSITIVE).withColumn("positive", F.lit(True))
+    unlabelled = _least_ids(rows.where(~held_out()), MOST_UNLABELLED).withColumn("positive", F.lit(False))
+    chosen = written(positive.unionByName(unlabelled))  # of bounded size, so it may be broadcast
+    one = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
+    return written(one), prior
+
+
+def _least_ids(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` distinct ids, those of the least hash; ids far above are left out before any are gathered."""
+    share = min(1.0, 2 * most / max(1, rows.count()))
+    least = F.xxhash64("doc_id")
+    low = min(int(-(1 << 63) + share * ((1 << 64) - 1)), (1 << 63) - 1)
+    return rows.where(least <= low).select("doc_id").distinct().orderBy(least, "doc_id").limit(most)
 
 
 def sample_words(sample: DataFrame) -> DataFrame:
@@ -64,8 +76,7 @@ def sample_words(sample: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
+            for part in text_slices(batch):
                 words = [sorted(words_of(t)) for t in part["text"].to_pylist()]
                 size = [len(w) for w in words]
                 at = pa.array(np.repeat(np.arange(len(words)), size))
@@ -121,6 +132,12 @@ def prior_bias(margin: np.ndarray, prior: float) -> float:
     return middle
 
 
+def pu_risk(weights: np.ndarray, bias: float, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    zp, zu = positive @ weights + bias, unlabelled @ weights + bias
+    negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    return float(prior * np.logaddexp(0, -zp).mean() + max(0.0, negative))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
     """None if there is nothing to learn from."""
     sample, prior = training_rows(docs, labels)
@@ -141,14 +158,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
         counts.where((F.col("p") >= LEAST_FOUND) & (gap / deviation > 3) & (likely >= LEAST_LIKELY))
         .select("word", (gap / deviation).alias("z"))
         .orderBy(F.desc("z"), "word")
-        .limit(MOST_WORDS)
+        .limit(WORD_COUNTS[-1])
     )
-    table = sorted(r.word for r in best.collect())
+    table = [r.word for r in best.collect()]  # the most telling first
     if not table:
         return None
-    vectors = (
-        words.where(F.col("word").isin(table)).groupBy("doc_id", "positive").agg(F.collect_set("word").alias("words")).collect()
-    )  # at most one row for each of the sample's
+    telling = F.broadcast(sample.sparkSession.createDataFrame([(w,) for w in table], "word string"))
+    vectors = words.join(telling, "word").groupBy("doc_id", "positive").agg(F.collect_set("word").alias("words")).collect()  # at most a row for each of the sample's
     place = {w: i for i, w in enumerate(table)}
 
     def matrix(positive: bool, rows: int) -> np.ndarray:
@@ -157,11 +173,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
             out[i, [place[w] for w in r.words]] = 1
         return out
 
-    p, u = matrix(True, n_positive), matrix(False, n_unlabelled)
-    order = np.random.default_rng(17).permutation(len(u))
-    parts = [part for part in np.array_split(order, ENSEMBLE) if len(part)]
-    fitted = [fit_nnpu(p, u[part], prior) for part in parts]
-    return ToxicityModel(table, np.array([w for w, _ in fitted]), np.array([b for _, b in fitted]))
+    rng = np.random.default_rng(17)
+    p, u = (rng.permutation(matrix(positive, rows)) for positive, rows in ((True, n_positive), (False, n_unlabelled)))
+    size = len(table)
+    if n_positive >= 8 and n_unlabelled >= 8:  # a quarter judges how many words to take
+        (p_check, p_fit), (u_check, u_fit) = (np.split(x, [len(x) // 4]) for x in (p, u))
+        risks = {}
+        for n in sorted({min(n, len(table)) for n in WORD_COUNTS}):
+            weights, bias = fit_nnpu(p_fit[:, :n], u_fit[:, :n], prior)
+            risks[n] = pu_risk(weights, bias, p_check[:, :n], u_check[:, :n], prior)
+        size = min(risks, key=risks.get)
+    parts = [part for part in np.array_split(u[:, :size], ENSEMBLE) if len(part)]
+    fitted = [fit_nnpu(p[:, :size], part, prior) for part in parts]
+    return ToxicityModel(table[:size], np.array([w for w, _ in fitted]), np.array([b for _, b in fitted]))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -170,8 +194,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [model.score(t) if model else 0.0 for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(values, pa.float64())], ["doc_id", "score"])
+            for part in text_slices(batch):
+                values = [model.score(t) if model else 0.0 for t in part["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(values, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     scored = rows.mapInArrow(score, "doc_id long, score double")

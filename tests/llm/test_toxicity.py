@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from decklight.llm.toxicity import drop_toxic, fit_nnpu, toxicity_scores
+from decklight.llm.toxicity import MOST_POSITIVE, MOST_UNLABELLED, drop_toxic, fit_nnpu, toxicity_scores, training_rows
 
 SCHEMA = "doc_id long, text string, toxic string, score int"
 
@@ -48,6 +48,16 @@ def test_nothing_to_learn_from(spark):
     assert toxicity_scores(spark.createDataFrame([], SCHEMA), none).count() == 0
 
 
+def test_sample_is_bounded_where_ids_repeat(spark):
+    rows, labels = corpus()
+    rows += [(3, f"w{i} copy") for i in range(3000)] + [(8, "vile1 vile2 " * 50_000)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    sample, _ = training_rows(docs, spark.createDataFrame(labels + [(8, 1)] * 50, "doc_id long, toxic int"))
+    found = [(r.doc_id, r.positive) for r in sample.collect()]
+    assert len(found) == len(set(found)) <= MOST_POSITIVE + MOST_UNLABELLED
+    assert toxicity_scores(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).count() == len(rows)
+
+
 def test_risk_is_corrected_for_the_prior():
     rng = np.random.default_rng(3)
     positive = (rng.random((400, 2)) < [0.9, 0.5]).astype(float)
