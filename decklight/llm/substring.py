@@ -16,18 +16,23 @@ windows with one anchor form a segment. The job:
 
 Anchors that a sample shows to be frequent are dealt out window by window, by the
 window's own hash, and grouped by an aggregate that combines before it shuffles, so
-no anchor fills a task. The sample decides how rows are dealt, never which count.
-
-Segments are known by two 64-bit hashes; the index compares the words themselves.
-
-Defined results: a null text has no words; fewer than 13 words are never removed;
-rows with a null doc_id are kept whole and remove nothing; rows that share a doc_id
-are one document and each loses the windows found in any of them; an empty table
-gives an empty table; other columns are not read.
+no anchor fills a task. They are marked in a bitmap of fixed size; an anchor that is
+marked by chance is dealt out in the same way. The sample is a share of the table and
+decides how rows are dealt, never which count.
+
+Equal contents, and equal windows of frequent anchors, are known by hashes of 128 bits
+together; where contents differ, the index compares the words themselves.
+
+Defined results: a null text has no words; fewer than 13 words are never removed; a
+text of any length is cut whole; rows with a null doc_id are kept whole and remove
+nothing; rows that share a doc_id are one document, which removes nothing of itself,
+and each loses the windows found in its own text; an empty table gives an empty table;
+other columns are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +42,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from .fm_index import FMIndex
 from .shared import mixed, text_or_empty, written
-from .words import text_slices
+from .words import gather, text_slices
 
 WINDOW = 13
 ANCHOR = 6
-#: Anchors this often in a sample (a share of the documents, and about SAMPLE_DOCS at
-#: most) are dealt out window by window; of these, the MOST_HOT most frequent.
-HOT_IN_SAMPLE = 8
+#: Anchors this often in a sample of this share of the documents are dealt out window by window.
+HOT_IN_SAMPLE = 64
 SAMPLE_SHARE = 0.1
-SAMPLE_DOCS = 20_000
-MOST_HOT = 50_000
+#: Bits of the map of hot anchors: 2 MB.
+_MAP_BITS = 24
 #: Words in a shard, besides those of its last anchor.
 SHARD_WORDS = 400_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -83,41 +87,52 @@ def segments_of(lengths: np.ndarray, words: np.ndarray, window: int, anchor: int
     return text_of[at], at - first[text_of[at]], size, least[at], content
 
 
-def window_hash(words: bytes) -> int:
-    return xxhash.xxh64_intdigest(words, 7) - (1 << 63)
+def text_tag(text: str) -> int:
+    """What tells the texts of rows that share a doc_id apart; it stands above a word's number in ``first`` and ``at``."""
+    return (zlib.crc32(text.encode()) >> 1) << 32
 
 
-_SEGMENT = "anchor long, content long, doc_id long, first int, windows int"
+_SEGMENT = "anchor long, content long, doc_id long, first long, windows int"
 _NAMES = ["anchor", "content", "doc_id", "first", "windows"]
 
 
-def segments(docs: DataFrame, window: int, anchor: int, hot: np.ndarray | None = None, want_hot: bool = False) -> DataFrame:
-    """Every text's segments, without words: those whose anchor is not in ``hot``, or the windows of those whose is."""
+class HotAnchors:
+    """A bitmap of anchors."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    def marked(self, key: np.ndarray) -> np.ndarray:
+        bit = key & np.uint64((1 << _MAP_BITS) - 1)
+        return (self.words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def segments(docs: DataFrame, window: int, anchor: int, hot: HotAnchors | None = None, want_hot: bool = False) -> DataFrame:
+    """Every text's segments, without words: those whose anchor is not hot, or the windows of those whose is."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
+        digest, wide = xxhash.xxh64_intdigest, xxhash.xxh3_128_digest
         for batch in batches:
             for part in text_slices(batch):
-                split = [text.encode().split() for text in part["text"].to_pylist()]
+                texts = part["text"].to_pylist()
+                split = [text.encode().split() for text in texts]
                 lengths = np.array([len(w) for w in split], np.int64)
                 hashes = np.array([digest(w) for words in split for w in words], np.uint64)
                 text, first, size, key, content = segments_of(lengths, hashes, window, anchor)
                 if hot is not None:
-                    pick = np.isin(key, hot) == want_hot
+                    pick = hot.marked(key) == want_hot
                     text, first, size, key, content = (x[pick] for x in (text, first, size, key, content))
                 if want_hot:
-                    rows = [
-                        (window_hash(b" ".join(split[t][at : at + window])), t, at)
-                        for t, start, count in zip(text.tolist(), first.tolist(), size.tolist())
-                        for at in range(start, start + count)
-                    ]
-                    own = np.array(rows, np.int64).reshape(-1, 3)
-                    key, text, first, size = own[:, 0], own[:, 1], own[:, 2], np.ones(len(own))
-                    content = key
+                    at = gather(first, size)
+                    text = np.repeat(text, size)
+                    whole = [wide(b" ".join(split[t][a : a + window])) for t, a in zip(text.tolist(), at.tolist())]
+                    own = np.frombuffer(b"".join(whole), np.uint64).reshape(-1, 2)
+                    key, content, first, size = own[:, 0].copy(), own[:, 1].copy(), at, np.ones(len(own))
+                tags = np.array([text_tag(t) for t in texts], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), part["doc_id"].take(pa.array(text)),
-                        pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)),
+                        pa.array(first + tags[text]), pa.array(size.astype(np.int32)),
                     ],
                     _NAMES,
                 )
@@ -125,11 +140,16 @@ def segments(docs: DataFrame, window: int, anchor: int, hot: np.ndarray | None =
     return docs.where("doc_id IS NOT NULL").mapInArrow(cut, _SEGMENT)
 
 
-def hot_anchors(docs: DataFrame, window: int, anchor: int) -> np.ndarray:
-    """At most MOST_HOT anchors, sorted; only a sample of SAMPLE_DOCS documents at most is cut for it."""
-    sample = docs.sample(min(SAMPLE_SHARE, SAMPLE_DOCS / max(1, docs.count())), seed=5)
+def hot_anchors(docs: DataFrame, window: int, anchor: int) -> HotAnchors | None:
+    """Only a sample of the documents is cut for it; what comes to the driver is the bitmap."""
+    sample = docs.sample(SAMPLE_SHARE, seed=5)
     seen = segments(sample, window, anchor).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_IN_SAMPLE)
-    return np.sort(np.array([r.anchor for r in seen.orderBy(F.desc("n"), "anchor").limit(MOST_HOT).collect()], np.int64).view(np.uint64))
+    bit = F.col("anchor").bitwiseAND((1 << _MAP_BITS) - 1)
+    marks = seen.select(F.shiftright(bit, 6).cast("int").alias("at"), F.expr("shiftleft(1L, CAST(anchor & 63 AS INT))").alias("mark"))
+    rows = marks.groupBy("at").agg(F.bit_or("mark").alias("mark")).collect()  # 2 ** 18 at most
+    words = np.zeros(1 << _MAP_BITS - 6, np.uint64)
+    words[[r.at for r in rows]] = np.array([r.mark for r in rows], np.int64).view(np.uint64)
+    return HotAnchors(words) if rows else None
 
 
 def shared_only(dealt: DataFrame) -> DataFrame:
@@ -178,13 +198,11 @@ def shared_segments(docs: DataFrame, window: int, anchor: int) -> tuple[DataFram
     cold = written(shared_only(dealt))
     places = cold.select("anchor", "content", "doc_id", "first")
     leads = cold.where("lead").select(*_NAMES, "high")
-    if len(hot):
+    if hot:
         warm = written(segments(docs, window, anchor, hot, True))
-        least = warm.groupBy("anchor").agg(F.min(F.struct("doc_id", "first")).alias("lead"), F.max("doc_id").alias("high"))
+        least = warm.groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "first")).alias("lead"), F.max("doc_id").alias("high"))
         least = least.where(F.col("lead.doc_id") < F.col("high"))
-        leads = leads.unionByName(
-            least.select("anchor", F.col("anchor").alias("content"), "lead.doc_id", "lead.first", F.lit(1).alias("windows"), "high")
-        )
+        leads = leads.unionByName(least.select("anchor", "content", "lead.doc_id", "lead.first", F.lit(1).alias("windows"), "high"))
         places = places.unionByName(warm.select("anchor", "content", "doc_id", "first"))
     return places, leads
 
@@ -197,9 +215,11 @@ def with_words(docs: DataFrame, leads: DataFrame, window: int) -> DataFrame:
             for piece in text_slices(batch):
                 rows: list[tuple] = []
                 for doc_id, text, found in zip(*(piece[c].to_pylist() for c in ("doc_id", "text", "parts"))):
+                    tag = text_tag(text) if found else 0
+                    found = [part for part in found or () if part["first"] >> 32 == tag >> 32]
                     words = text.encode().split() if found else []
-                    for part in found or ():
-                        first = part["first"]
+                    for part in found:
+                        first = part["first"] - tag
                         rows.append((part["anchor"], part["content"], b" ".join(words[first : first + part["windows"] + window - 1]), doc_id, part["high"]))
                 anchor, content, segment, low, high = zip(*rows) if rows else ((),) * 5
                 longs = [pa.array(c, pa.int64()) for c in (anchor, content, low, high)]
@@ -261,7 +281,7 @@ def search_shards(distinct: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(doc_id, at): for each document that has some, the starts of its windows that a smaller doc_id holds too."""
+    """(doc_id, at): for each document that has some, the starts of its windows that a smaller doc_id holds too, above them its text's tag."""
     places, leads = shared_segments(docs, window, anchor)
     least = search_shards(with_words(docs, leads, window), window)
     least = least.select(F.col("anchor").alias("a"), F.col("content").alias("c"), "least")
@@ -277,15 +297,16 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     )
 
 
-def removed_words(words: int, at: list[int] | None, window: int) -> np.ndarray:
-    """True for each word that one of the windows starting at ``at`` covers."""
-    edge = np.zeros(words + window + 1, np.int64)
-    if at:
-        starts = np.unique(np.array(at, np.int64))
-        starts = starts[starts <= words - window]
-        edge[starts] += 1
-        edge[starts + window] -= 1
-    return np.cumsum(edge)[:words] > 0
+def kept_words(text: str, at: list[int], window: int) -> tuple[list[bytes], int]:
+    """The words of a text that none of its windows starting at ``at`` covers, and how many it has."""
+    words = text.encode().split()
+    starts = np.unique(np.array(at, np.int64)) - text_tag(text)
+    starts = starts[(starts >= 0) & (starts < 1 << 32)]  # those of this text
+    edge = np.zeros(len(words) + 1, np.int64)
+    edge[starts] += 1
+    edge[starts + window] -= 1
+    away = np.cumsum(edge)[:-1] > 0
+    return [w for w, x in zip(words, away.tolist()) if not x], len(words)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -298,14 +319,13 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
             for part in text_slices(batch):
                 count, gone, kept = [], [], []
                 for text, at in zip(part["text"].to_pylist(), part["at"].to_pylist()):
-                    words = text.encode().split()
                     if at:
-                        away = removed_words(len(words), at, window)
-                        left = [w for w, x in zip(words, away) if not x]
+                        left, n = kept_words(text, at, window)
                     else:
-                        left = words
-                    count.append(len(words))
-                    gone.append(len(words) - len(left))
+                        left = text.encode().split()
+                        n = len(left)
+                    count.append(n)
+                    gone.append(n - len(left))
                     kept.append(b" ".join(left))
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], pa.array(count, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
@@ -334,9 +354,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         out = texts.copy()
         for i, (text, at) in enumerate(zip(texts, starts)):
             if at is not None and len(at):
-                words = text.encode().split()
-                away = removed_words(len(words), list(at), window)
-                out.iloc[i] = b" ".join(w for w, x in zip(words, away) if not x).decode()
+                left, n = kept_words(text, list(at), window)
+                if len(left) < n:
+                    out.iloc[i] = b" ".join(left).decode()
         return out
 
     joined = docs.join(found, F.col("doc_id").cast("long") == F.col(free + "id"), "left")

@@ -58,7 +58,8 @@ def corpus():
         own = [" ".join(random.choices(words, k=random.randint(0, 40))) for _ in range(3)]
         rows.append((i, f"{own[0]}\t{random.choice(passage)}\n{own[1]} {random.choice(passage)} {own[2]}"))
     rows += [(70 + i, rows[5][1]) for i in range(20)] + [rows[8], rows[8]]
-    return rows
+    # rows that share a doc_id but not their text
+    return rows + [(20, "short"), (20, f"{passage[2]} x"), (3, rows[12][1]), (71, ""), (71, f"a b c {rows[40][1]}")]
 
 
 @pytest.mark.parametrize("hot", [2_000, 3])
@@ -76,9 +77,10 @@ def test_columns_stay_and_empty_table(spark):
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
     got = remove_repeats(docs).collect()
     assert len(got) == len(rows) and got[0].__fields__ == docs.columns
-    removed = {i: n for i, _, n, _ in brute(rows)}
-    texts = dict(rows)
-    for r in got:
-        assert (r.text == texts[r.doc_id]) == (removed[r.doc_id] == 0)
+    kept = sorted((str(r.doc_id), hashlib.sha256(b" ".join((r.text or "").encode().split())).hexdigest()) for r in got)
+    assert kept == sorted((str(i), digest) for i, _, _, digest in brute(rows))
+    untouched = {digest for _, _, n, digest in brute(rows) if not n}
+    texts = {hashlib.sha256(b" ".join((t or "").encode().split())).hexdigest(): t for _, t in rows}
+    assert all(r.text == texts[d] for r in got if (d := hashlib.sha256(b" ".join((r.text or "").encode().split())).hexdigest()) in untouched and r.text)
     empty = spark.createDataFrame([], SCHEMA)
     assert op1_substring(empty).count() == remove_repeats(empty).count() == 0
