@@ -30,7 +30,13 @@ def test_restart_reads_new_files_only(spark, tmp_path):
 def test_windows_are_counted(spark, tmp_path):
     source = f"file://{tmp_path}/in"
     put(spark, source, range(30))
-    stream = spark.readStream.schema(SCHEMA).parquet(source)
-    monitor.run_once(monitor.live_run_monitor(stream), f"file://{tmp_path}/out", f"file://{tmp_path}/state", "complete")
+    event = F.when(F.col("event_type") == "a", "INFER_OK bridge_seconds=2.50s").otherwise("INFER_FAILED reason=timeout")
+    lines = spark.readStream.schema(SCHEMA).parquet(source).select("ts", F.concat(F.lit("[Child "), "user_id", F.lit("] [bridge=b] "), event).alias("line"))
+    monitor.run_once(monitor.live_run_monitor(lines), f"file://{tmp_path}/out", f"file://{tmp_path}/state", "complete")
     rows = spark.read.parquet(f"file://{tmp_path}/out").collect()
-    assert len(rows) == 6 and {r.n for r in rows} == {5}
+    found = {}
+    for r in rows:
+        n, seconds = found.get((r.child, r.event, r.reason), (0, 0.0))
+        found[r.child, r.event, r.reason] = n + r.n, seconds + (r.seconds or 0.0)
+    assert len(rows) > len(found)
+    assert found == {(c, *e): v for c in range(3) for e, v in ((("INFER_OK", None), (5, 12.5)), (("INFER_FAILED", "timeout"), (5, 0.0)))}
