@@ -6,11 +6,14 @@ holds each content once, and a content that many rows share is stored once a tas
 most. Rows carry digest, shard, offset and length. Metadata columns come from range
 reads of the two headers; only ``read_payloads`` reads the samples.
 
+Reading back is dealt out by spans of ``SPAN_BYTES`` of a shard, so that a task's work is
+bounded by bytes, and goes along each span; what rows share is read once.
+
 A task that is run again writes new shards and new rows; what the lost attempt wrote
 is not referred to by any row.
 
-Defined results: a null or empty text is one row of 192 spaces; equal texts give
-equal values; rows with a null doc_id are stored as well; an empty table gives an
+Defined results: a null or empty text is one row of 192 spaces; a text of any length is
+one payload; equal texts give equal values, and repeated rows equal rows; rows with a null doc_id are stored as well; an empty table gives an
 empty table; other columns are not read.
 """
 
@@ -21,7 +24,7 @@ import struct
 import tarfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,8 @@ from .shared import read_table, shared_folder, text_or_empty
 
 ROW_SAMPLES = 192
 SHARD_BYTES = 256 << 20
+#: Bytes of a shard that one task reads back.
+SPAN_BYTES = 16 << 20
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 #: Tar header, then the PNG signature and its IHDR chunk.
 _HEADER_BYTES = 512 + len(_SIGNATURE) + 25
@@ -106,16 +111,26 @@ class ShardWriter:
 
 
 class ShardReader:
-    """Range reads; keeps the last shard open."""
+    """Range reads; keeps the last shard open, and what ``use`` made of the last range."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, use: Callable[[bytes], tuple]):
         self.files, self.root = fs.FileSystem.from_uri(folder)
-        self.name, self.file = None, None
+        self.use = use
+        self.name, self.file, self.range, self.made = None, None, None, ()
+
+    def read(self, shard: str, offset: int, size: int) -> tuple:
+        if (shard, offset, size) != self.range:
+            if shard != self.name:
+                self.name, self.file = shard, self.files.open_input_file(f"{self.root}/{shard}")
+            self.range, self.made = (shard, offset, size), self.use(self.file.read_at(size, offset))
+        return self.made
 
-    def read(self, shard: str, offset: int, size: int) -> bytes:
-        if shard != self.name:
-            self.name, self.file = shard, self.files.open_input_file(f"{self.root}/{shard}")
-        return self.file.read_at(size, offset)
+
+def by_span(rows: DataFrame) -> DataFrame:
+    """Pointer rows dealt out by the span of the shard that they point into, along the span."""
+    total = rows.agg(F.sum("length")).first()[0] or 0
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // SPAN_BYTES + 1)
+    return rows.repartition(parts, "shard", F.floor(F.col("offset") / SPAN_BYTES)).sortWithinPartitions("shard", "offset")
 
 
 def store_payloads(docs: DataFrame, folder: str) -> DataFrame:
@@ -148,14 +163,13 @@ def with_metadata(rows: DataFrame, folder: str) -> DataFrame:
     shards = f"{folder}/shards"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = ShardReader(shards)
+        def header(head: bytes) -> tuple:
+            member = tarfile.TarInfo.frombuf(head[:512], "utf-8", "strict")
+            return member.name, *struct.unpack(">II", head[512 + 16 : 512 + 24]), member.size
+
+        reader = ShardReader(shards, header)
         for batch in batches:
-            found = []
-            for shard, offset in zip(batch["shard"].to_pylist(), batch["offset"].to_pylist()):
-                head = reader.read(shard, offset - 512, _HEADER_BYTES)
-                member = tarfile.TarInfo.frombuf(head[:512], "utf-8", "strict")
-                width, height = struct.unpack(">II", head[512 + 16 : 512 + 24])
-                found.append((member.name, width, height, member.size))
+            found = [reader.read(shard, offset - 512, _HEADER_BYTES) for shard, offset in zip(batch["shard"].to_pylist(), batch["offset"].to_pylist())]
             name, width, height, size = zip(*found) if found else ((),) * 4
             columns = [*batch.columns, pa.array(name, pa.string()), *(pa.array(c, pa.int64()) for c in (width, height, size))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "name", "width", "height", "media_bytes"])
@@ -182,15 +196,15 @@ def with_samples(rows: DataFrame, folder: str) -> DataFrame:
     names = [k.split()[0] for k in kinds.split(", ")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = ShardReader(shards)
+        def digests(media: bytes) -> tuple:
+            payload = from_png(media)
+            return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), hashlib.sha256(media).hexdigest(), sample_features(payload)
+
+        reader = ShardReader(shards, digests)
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                found = []
-                for shard, offset, length in zip(*(part[c].to_pylist() for c in ("shard", "offset", "length"))):
-                    media = reader.read(shard, offset, length)
-                    payload = from_png(media)
-                    found.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), hashlib.sha256(media).hexdigest(), sample_features(payload)))
+                found = [reader.read(*row) for row in zip(*(part[c].to_pylist() for c in ("shard", "offset", "length")))]
                 size, digest, tail, stored, feature = zip(*found)
                 columns = [
                     part["doc_id"], part["n_bytes"], pa.array(size, pa.int64()), pa.array(digest), pa.array(tail, pa.int64()),
@@ -204,4 +218,4 @@ def with_samples(rows: DataFrame, folder: str) -> DataFrame:
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     rows = store_payloads(read_table(spark, sf_dir, "documents", "doc_id", "text"), folder)
-    return with_samples(with_metadata(rows, folder), folder)
+    return with_samples(with_metadata(by_span(rows), folder), folder)
