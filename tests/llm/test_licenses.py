@@ -37,6 +37,60 @@ def test_templates_find_themselves():
     assert scanner.scan("software license version " * 10_000) == []
 
 
+def plain_alignment(a, b):
+    """Patience alignment by recursion, with every increasing subsequence of the anchors tried."""
+    if not a or not b:
+        return []
+    if a[0] == b[0]:
+        return [(0, 0), *((i + 1, j + 1) for i, j in plain_alignment(a[1:], b[1:]))]
+    if a[-1] == b[-1]:
+        return [*plain_alignment(a[:-1], b[:-1]), (len(a) - 1, len(b) - 1)]
+    anchors = [(i, b.index(w)) for i, w in enumerate(a) if a.count(w) == 1 and b.count(w) == 1]
+    chains = [c for n in range(len(anchors), 0, -1) for c in combinations(anchors, n) if all(p[1] < q[1] for p, q in zip(c, c[1:]))]
+    if not chains:
+        return []
+    chain = max(chains, key=len)
+    out, i, k = list(chain), 0, 0
+    for p, q in [*chain, (len(a), len(b))]:
+        out += [(i + x, k + y) for x, y in plain_alignment(a[i:p], b[k:q])]
+        i, k = p + 1, q + 1
+    return sorted(out)
+
+
+def plain_scan(text, templates):
+    """Every place of a telling word is aligned, none is left out for having too few words near it."""
+    words, found = words_of(text), []
+    for name, own in templates.items():
+        template = words_of(own)
+        telling = {w for w in template if len(w) >= 7} or set(template)
+        free = 0
+        for at, w in enumerate(words):
+            low, high = max(free, at - len(template)), min(len(words), at + len(template))
+            if w in telling and at >= free:
+                pairs = plain_alignment(words[low:high], template)
+                if len(pairs) >= 0.8 * len(template):
+                    found.append((name, len(pairs), low + pairs[0][0]))
+                    free = low + pairs[-1][0] + 1
+    return found
+
+
+def test_scan_against_brute_force():
+    random.seed(7)
+    templates = {"one": "granted without charge to any person", "two": "this software is provided as such and the author disclaims it", "three": "a b c d"}
+    scanner, hits = Scanner(templates), 0
+    for _ in range(150):
+        words = []
+        for _ in range(random.randint(0, 4)):
+            own = words_of(random.choice(list(templates.values())))
+            words += [w if random.random() < 0.92 else random.choice(["software", "x", "a", ""]) for w in own] + random.choices(["x", "y", "charge", "author", "b"], k=random.randint(0, 4))
+        text = " ".join(words)
+        # ties between equally long chains are settled alike only in their number of pairs
+        got = [(m.license, m.matched) for m in scanner.scan(text)]
+        assert got == [(name, n) for name, n, _ in plain_scan(text, templates)]
+        hits += len(got)
+    assert hits > 100
+
+
 def test_rows(spark):
     rows = [(1, "x " + TEMPLATES["MIT notice"], 1, "x"), (1, "x " + TEMPLATES["MIT notice"], 1, "x"), (2, None, None, None), (3, "", None, None), (None, TEMPLATES["ISC"], None, None), (4, "the license " * 50_000, None, None)]
     got = sorted(map(tuple, license_scan(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
