@@ -41,6 +41,8 @@ from .words import text_slices
 SHARD_ENTRIES = 2048
 #: Entries a task holds as one forest of BK-trees.
 FOREST_ENTRIES = 16_384
+#: Edges up to which a round of components does not look for nodes with many: one task can hold them all.
+ONE_TASK_EDGES = 1_000_000
 #: Shingles of a chunk whose sets a task compares with another's.
 CHUNK_SHINGLES = 500_000
 _BITS = 64
@@ -279,22 +281,26 @@ def fingerprint_links(groups: DataFrame, radius: int, keys: list[Key]) -> DataFr
 def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, component): each linked node and the least node that it reaches.
 
-    Large-star and small-star rounds; each round is written to the shared folder. The
-    edges of a node with many of them stay where they are (``spread_join``).
+    Large-star and small-star rounds; each round is written to the shared folder. Where
+    there are many, the edges of a node that has a share of them stay where they are (``spread_join``).
     """
     edges = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = None
+    n, last = edges.count(), None
     for _ in range(most_rounds):
+        if n <= ONE_TASK_EDGES:  # even a node with all of them is little work
+            keep, join = (lambda df: df), (lambda rows, table: rows.join(table, "u"))
+        else:
+            keep, join = written, (lambda rows, table: spread_join(rows, table, "u"))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = written(spread_join(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = written(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = spread_join(large, low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = keep(join(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = keep(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = join(large, low).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(small.unionByName(low.withColumnRenamed("m", "v")).distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
+        if now == last:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        mark = now
+        n, last = now[0], now
     raise RuntimeError("components did not settle")
 
 

@@ -1,11 +1,16 @@
+import itertools
+import math
+import os
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from decklight.llm import simhash
-from decklight.llm.simhash import BKForest, components, fingerprint, keep_one_of_each, op3_simhash, shingle_set
+from decklight.llm.simhash import BKForest, components, fingerprint, keep_one_of_each, op3_simhash, shingle_set, similar_groups
 
 SCHEMA = "doc_id long, text string, fp string, component_id int"
 
@@ -78,6 +83,38 @@ def test_long_chain_and_empty_table(spark):
     assert op3_simhash(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("agree", [2, 4])
+def test_wider_keys_and_spread_rounds_find_the_same(spark, monkeypatch, agree):
+    monkeypatch.setattr(simhash, "wide_enough", lambda entries, radius: simhash.pigeonholes(radius, agree))
+    monkeypatch.setattr(simhash, "ONE_TASK_EDGES", 0)
+    rows = corpus()
+    assert sorted(map(tuple, op3_simhash(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)).collect()), key=str) == brute(rows)
+
+
+def test_keys_widen_with_the_entries():
+    bits = lambda n: min(sum(b for *_, b in key) for key in simhash.wide_enough(n, 4))
+    assert [bits(n) for n in (10, 8_000_000, 40_000_000, 10**11)] == [12, 12, 20, 27]
+    for agree in (1, 2, 3, 4):
+        assert len(simhash.pigeonholes(4, agree)) == math.comb(4 + agree, agree)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the tables")
+def test_recall_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    groups = {r.doc_id: r.component_id for r in similar_groups(docs).collect()}
+    held, sets = defaultdict(list), {}
+    for r in docs.collect():
+        sets[r.doc_id] = set(shingle_set(r.text or "", 5).tolist())
+        for x in sets[r.doc_id]:
+            held[x].append(r.doc_id)
+    pairs = set()
+    for own in held.values():
+        pairs |= {(own[0], b) for b in own[1:]} if len(own) > 200 else set(itertools.combinations(own, 2))
+    close = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    found = sum(groups[a] == groups[b] for a, b in close)
+    assert len(close) > 50 and found >= 0.95 * len(close)
+
+
 def similar(a, b):
     x, y = set(shingle_set(a or "", 5).tolist()), set(shingle_set(b or "", 5).tolist())
     return not x and not y or len(x & y) >= 0.8 * len(x | y)
@@ -95,8 +132,8 @@ def test_similar_texts_leave_one(spark):
                 own[random.randrange(len(own))] = random.choice(words)
             rows.append((i + j, " ".join(own)))
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
-    kept = keep_one_of_each(docs)
-    assert kept.columns == docs.columns
+    kept = keep_one_of_each(docs.withColumns({"__gone": F.lit(1), "DOC": F.lit(2)}))
+    assert kept.columns == [*docs.columns, "__gone", "DOC"]
     kept = {r.doc_id for r in kept.collect()}
     texts = {i: t for i, t in rows if i is not None}
     assert None in kept and 900 in kept and 901 not in kept
