@@ -49,7 +49,10 @@ _BITS = 64
 
 
 def fingerprint(words: list[bytes], shingle: int, wide: int = 1) -> np.ndarray:
-    """``wide`` 64-bit fingerprints; the first is of the plain hashes, the others of hashes mixed with a number."""
+    """``wide`` 64-bit fingerprints; the first is of the plain hashes, the others of hashes mixed with a number.
+
+    A single one counts repeated shingles; several are of the set of shingles, as the similarity that they stand for is.
+    """
     if not words:
         return np.zeros(wide, np.uint64)
     digest = xxhash.xxh64_intdigest
@@ -61,6 +64,9 @@ def fingerprint(words: list[bytes], shingle: int, wide: int = 1) -> np.ndarray:
         ends = np.cumsum([len(w) + 1 for w in words]).tolist()
         starts = [0, *ends]
         hashes = np.array([digest(joined[a : b - 1], 42) for a, b in zip(starts, ends[shingle - 1 :])], np.uint64)
+    if wide > 1:
+        hashes = np.unique(hashes)
+        count = len(hashes)
     ones = np.zeros(wide * _BITS, np.int64)
     for at in range(0, count, 20_000):
         part = hashes[at : at + 20_000, None]

@@ -2,6 +2,7 @@ import os
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from decklight.llm.bpe import vocabulary_path
@@ -70,6 +71,13 @@ def test_run_over_odd_rows(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame([(None, None), (None, "x " * 60), (10**9, ""), (10**9, "")], "doc_id long, text string")
     many = docs.unionByName(odd, allowMissingColumns=True).unionByName(docs.limit(5))
+    clashing = ("__gone", "__repeats", "__repeatsid", "at", "score", "words", "ids", "key", "row", "found_doc_id", "component_id")
+    many = many.withColumns({c: F.lit(i) for i, c in enumerate(clashing)})
+    last = many
+    for _, stage in pipeline.STAGES[:-1]:
+        last = written(stage(spark, last, SF))
+        assert last.columns == many.columns
+    assert {tuple(r) for r in last.select(*clashing).distinct().collect()} == {tuple(range(len(clashing)))}
     many.write.parquet(f"file://{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"file://{tmp_path}/labels.parquet")
     assert pipeline.run(spark, f"file://{tmp_path}").count() > 0
