@@ -1,7 +1,14 @@
 """A training corpus out of ``documents``: five stages, each a DataFrame to a DataFrame.
 
 Each stage is written as Parquet to the shared folder and read again as the next one's
-input. All but the last return the columns they were given.
+input. All but the last return the columns they were given, whatever their names.
+
+Defined results, by stage, of odd rows: a null or empty text has no words, so the
+classifier gives it the score of such a text and the quality rules drop it; a text of any
+length is read whole; repeated rows stay or go together until near-dedup, which drops the
+copies of a smaller doc_id's text but not rows of one doc_id; of equal texts the least doc_id
+stays; rows with a null doc_id are never dropped as copies, and lose no passages; the packing
+stage packs each row that is left; an empty table gives empty tables.
 """
 
 from __future__ import annotations
