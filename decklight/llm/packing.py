@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import id_lists, ragged, vocabulary_path
+from .bpe import ragged, vocabulary_path
 from .shared import mixed, text_or_empty
 from .tokens import library_encoder
 from .words import gather, text_slices
@@ -128,7 +128,19 @@ def rare_keys(offsets: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndar
     return keys[0], keys[1]
 
 
-_ROW = "key long, key2 long, doc_id long, start long, doc_tokens long, ids array<int>"
+#: ``ids`` are the bytes of unsigned 32-bit numbers, which Spark moves as they are.
+_ROW = "key long, key2 long, doc_id long, start long, doc_tokens long, ids binary"
+
+
+def _id_bytes(offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))])
+
+
+def _ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, ids) of such a column."""
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1] // 4
+    return ends, np.frombuffer(data, np.uint32) if data is not None else np.empty(0, np.uint32)
 
 
 def windows_and_tails(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
@@ -149,7 +161,7 @@ def windows_and_tails(docs: DataFrame, path: str, window: int, end_id: int) -> D
                 spread = mixed(key.view(np.uint64) + start.astype(np.uint64)).view(np.int64)
                 key = np.where(length == window, spread, key)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(key2), part["doc_id"].take(pa.array(owner)), pa.array(start), pa.array(size[owner]), id_lists(np.append(0, np.cumsum(length)), flat)],
+                    [pa.array(key), pa.array(key2), part["doc_id"].take(pa.array(owner)), pa.array(start), pa.array(size[owner]), _id_bytes(np.append(0, np.cumsum(length)), flat)],
                     [c.split()[0] for c in _ROW.split(", ")],
                 )
 
@@ -157,9 +169,11 @@ def windows_and_tails(docs: DataFrame, path: str, window: int, end_id: int) -> D
     return rows.mapInArrow(cut, _ROW)
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW_TOKENS, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, start, length, doc_tokens, sequence_id, offset, ids): one row a piece."""
-    names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
+def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW_TOKENS, end_id: int = END_ID, digest: bool = False) -> DataFrame:
+    """(doc_id, start, length, doc_tokens, sequence_id, offset, ids): one row a piece; with ``digest``, the crc32 of its ids, ids_crc32, for them."""
+    last = "ids_crc32 long" if digest else "ids array<int>"
+    kinds = f"doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, {last}"
+    names = [k.split()[0] for k in kinds.split(", ")]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(window, TaskContext.get().partitionId() << 32)
@@ -168,10 +182,10 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
         size = 0
 
         def rows(columns: list, own: list[np.ndarray]) -> pa.RecordBatch:
-            doc_id, start, tokens, sequence, offset = columns
+            doc_id, start, tokens, sequence, offset = (pa.array(c, pa.int64()) for c in columns)
             length = pa.array([len(x) for x in own], pa.int64())
-            longs = [pa.array(c, pa.int64()) for c in (start, tokens, sequence, offset)]
-            return pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), longs[0], length, *longs[1:], ragged(own, pa.int32())], names)
+            made = pa.array([zlib.crc32(x) for x in own], pa.int64()) if digest else ragged(own, pa.int32())
+            return pa.RecordBatch.from_arrays([doc_id, start, length, tokens, sequence, offset, made], names)
 
         def packed() -> Iterator[pa.RecordBatch]:
             pieces = packer.shard(ids)
@@ -181,13 +195,14 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
                 yield rows(list(columns), [ids[n][at : at + put] for n, at, put, _, _ in part])
 
         for batch in batches:
-            flat, ends = batch["ids"].values.to_numpy(), batch["ids"].offsets.to_numpy()
+            ends, flat = _ids_of(batch["ids"])
+            length = np.diff(ends)
             info = list(zip(*(batch[c].to_pylist() for c in ("doc_id", "start", "doc_tokens"))))
-            whole = np.flatnonzero(np.diff(ends) == window).tolist()
+            whole = np.flatnonzero(length == window).tolist()
             if whole:
                 columns = [*zip(*(info[n] for n in whole)), [packer.new() for _ in whole], [0] * len(whole)]
                 yield rows(columns, [flat[ends[n] : ends[n + 1]] for n in whole])
-            for n in np.flatnonzero(np.diff(ends) < window).tolist():
+            for n in np.flatnonzero(length < window).tolist():
                 held.append(info[n])
                 ids.append(flat[ends[n] : ends[n + 1]])
                 size += len(ids[-1])
@@ -199,19 +214,9 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
 
     made = windows_and_tails(docs, path or vocabulary_path(), window, end_id)
     dealt = made.hint("rebalance", "key").sortWithinPartitions("key", "key2", "doc_id", "start")
-    return dealt.drop("key", "key2").mapInArrow(pack, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids array<int>")
+    return dealt.drop("key", "key2").mapInArrow(pack, kinds)
 
 
 def op6_packing(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The pieces, with the crc32 of their ids in place of these."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch["ids"].values.to_numpy().view(np.uint8)
-            ends = batch["ids"].offsets.to_numpy().tolist()
-            crc = pa.array([zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(ends, ends[1:])], pa.int64())
-            columns = [batch[c] for c in ("doc_id", "start", "length")] + [crc] + [batch[c] for c in ("doc_tokens", "sequence_id", "offset")]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return pack_documents(docs, path).mapInArrow(digest, kinds)
+    return pack_documents(docs, path, digest=True).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -5,8 +5,8 @@ are cut there. Arrow cuts a slice of texts and numbers its distinct words; only
 looked up, and only unknown ones are cut into pre-tokens and encoded, all at once. The ids
 of a text are then gathered from the table by numpy.
 
-The table is bounded: over ``limit`` words, the half that was used longest ago goes, so a
-worker's memory does not grow with the corpus.
+The table is bounded: over ``limit`` words, those that only one slice has used go, and then
+the less used half, so a worker's memory does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -61,10 +61,10 @@ class WordTable:
         self.cut, self.encode_tokens, self.limit = cut, encode, limit
         self.after_space: dict[str, int] = {}
         self.at_start: dict[str, int] = {}
-        self.tokens: dict[str, int] = {}
+        self.tokens: dict[str, int] = {}  # pre-tokens that are no word of their own
         self.ids = np.empty(1 << 16, np.uint32)
         self.start, self.size, self.used = (np.empty(1 << 14, np.int64) for _ in range(3))
-        self.n = self.n_ids = self.now = 0
+        self.n = self.n_ids = 0
 
     def _append(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Places for new runs of ids."""
@@ -76,7 +76,7 @@ class WordTable:
         self.ids[self.n_ids : self.n_ids + len(ids)] = ids
         self.start[at:end] = self.n_ids + np.cumsum(size) - size
         self.size[at:end] = size
-        self.used[at:end] = self.now
+        self.used[at:end] = 0
         self.n, self.n_ids = end, self.n_ids + len(ids)
         return np.arange(at, end)
 
@@ -89,23 +89,24 @@ class WordTable:
                 other.append(w)
                 # a letter run and a mark are two pre-tokens; the first is often known
                 cut.append((before + w[:-1], w[-1]) if w[-1:] in (".", ",") and _letters(w[:-1]) else self.cut(before + w))
+        known, words_known = self.tokens, self.after_space
         single = [before + w for w in plain]
-        known = self.tokens
-        new = dict.fromkeys(t for t in single if t not in known)
-        for tokens in cut:
-            for t in tokens:
-                if t not in known:
-                    new[t] = None
-        if new:
-            known.update(zip(new, self._append(*self.encode_tokens(list(new))).tolist()))
-        table.update(zip(plain, map(known.__getitem__, single)))
+        made = dict.fromkeys(t for t in single if t not in known)
+        parts = [t for tokens in cut for t in tokens]
+        stems = {t for t in parts if t not in known and t not in made and not (t[0] == " " and t[1:] in words_known)}
+        made.update(dict.fromkeys(stems))
+        if made:
+            made = dict(zip(made, self._append(*self.encode_tokens(list(made))).tolist()))
+            known.update((t, made[t]) for t in stems)
+        table.update((w, made[t] if t in made else known[t]) for w, t in zip(plain, single))
         if other:
-            parts = np.array([known[t] for tokens in cut for t in tokens], np.int64)
-            size = self.size[parts]
+            found = [known[t] if t in known else made[t] if t in made else words_known[t[1:]] for t in parts]
+            at = np.array(found, np.int64)
+            size = self.size[at]
             ends = np.cumsum([0, *map(len, cut)])
             total = np.concatenate([[0], np.cumsum(size)])[ends]
-            made = self._append(self.ids[gather(self.start[parts], size)], np.diff(total))
-            table.update(zip(other, made.tolist()))
+            new = self._append(self.ids[gather(self.start[at], size)], np.diff(total))
+            table.update(zip(other, new.tolist()))
 
     def _places(self, table: dict[str, int], words: list[str], before: str) -> np.ndarray:
         at = [*map(table.get, words)]
@@ -116,9 +117,9 @@ class WordTable:
         return np.array(at, np.int64)
 
     def _forget(self) -> None:
-        """Keeps the words of the later half of the slices that used any."""
-        self.tokens = {}
-        held = self.used[: self.n] > np.median(self.used[: self.n])
+        self.tokens.clear()
+        used = self.used[: self.n]
+        held = used >= max(2, np.sort(used)[max(0, self.n - self.limit // 2)])
         place = np.cumsum(held) - 1
         for name in ("after_space", "at_start"):
             setattr(self, name, {w: int(place[p]) for w, p in getattr(self, name).items() if held[p]})
@@ -126,13 +127,12 @@ class WordTable:
         ids = self.ids[gather(start, size)]
         self.n = self.n_ids = 0
         self._append(ids, size)
-        self.used[: self.n] = used
+        self.used[: self.n] = used // 2
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): the ids of text i are ids[offsets[i]:offsets[i + 1]]."""
         if self.n > self.limit:
             self._forget()
-        self.now += 1
         unsafe = pc.match_substring_regex(texts, _UNSAFE)
         if pc.any(unsafe).as_py():
             rows = unsafe.to_numpy(zero_copy_only=False)
@@ -144,10 +144,9 @@ class WordTable:
         words, edges = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
         numbered = words.dictionary_encode()
         place = self._places(self.after_space, numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), " ")
-        self.used[place] = self.now
+        self.used[place] += 1  # in slices
         place = place[numbered.indices.to_numpy()]
         first = self._places(self.at_start, words.take(pa.array(edges[:-1])).to_pylist(), "")
-        self.used[first] = self.now
         place[edges[:-1]] = first
         size = self.size[place]
         return np.concatenate([[0], np.cumsum(size)])[edges], self.ids[gather(self.start[place], size)]
