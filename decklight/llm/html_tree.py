@@ -139,6 +139,7 @@ def parse(page: str) -> list[Node]:
     run: list[str] = []
     linked = 0
     last_template = -1
+    unended: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -193,10 +194,11 @@ def parse(page: str) -> list[Node]:
         if tag in HIDDEN:
             loose = True
             if tag in CODE:
-                ending = _ENDING[tag].search(page, at)
+                ending = None if tag in unended else _ENDING[tag].search(page, at)
                 if ending:
                     at = ending.end()
                     continue
+                unended.add(tag)  # nor will a later one be
             elif tag in FOREIGN:
                 if rest.endswith("/"):
                     continue

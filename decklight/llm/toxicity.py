@@ -34,7 +34,7 @@ MOST_UNLABELLED = 12_000
 #: The least positives a word must be in.
 LEAST_FOUND = 3
 #: Numbers of words, the most telling ones, that the fit chooses among; the last bounds the model.
-WORD_COUNTS = (24, 96, 384, 1536)
+WORD_COUNTS = (24, 96, 384)
 #: The least share of positives among the texts that hold a word, by the two samples.
 LEAST_LIKELY = 0.5
 THRESHOLD = 0.3

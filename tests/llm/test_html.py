@@ -47,6 +47,7 @@ def test_deep_pages_take_linear_time():
     start = time.time()
     parse("<div>" * 20_000 + "</p></span>" * 20_000)
     parse("<b>" * 20_000 + "<p>x<li>y" * 5_000)
+    parse("<script>" * 20_000)
     parse("<template>" * 20_000 + "<button>" * 20_000)
     assert time.time() - start < 5
 
