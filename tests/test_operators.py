@@ -1,10 +1,14 @@
 """Small fixtures for the rules that the tables do not reach."""
 
+import math
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from decklight.functions import columns as C
-from decklight.operators import metrics as M, planes as P, runs as R, splits as E, training as T, voxels as V
+from decklight.operators import hulls, metrics as M, planes as P, runs as R, spatial, splits as E, training as T, voxels as V
 from decklight.sources import tables as A
 
 POINT = "huc_id string, bridge_id string, point_idx long, x double, y double, z double, intensity double, classification int, gold int, pred int"
@@ -130,3 +134,84 @@ def test_predict_points_labels_every_point(spark):
     out = catalogue.QUERIES["m2_predict_points"](spark, sf)
     bridges = {r.bridge_id for r in out.select("bridge_id").distinct().collect()}
     assert any(int(b) % 5 for b in bridges) and any(int(b) % 5 == 0 for b in bridges)
+
+
+def plain_hull(points):
+    """Corners: points that see all others within less than half a turn."""
+    own, out = sorted(set(points)), set()
+    for p in own:
+        turns = sorted(math.atan2(q[1] - p[1], q[0] - p[0]) for q in own if q != p)
+        gaps = [b - a for a, b in zip(turns, turns[1:] + [turns[0] + 2 * math.pi])] if turns else []
+        if gaps and max(gaps) > math.pi + 1e-9:
+            out.add(p)
+    return out
+
+
+def test_hulls_of_parts(spark):
+    random.seed(4)
+    clouds = {
+        "many": [(random.randint(0, 60), random.randint(0, 30)) for _ in range(300)], "square": [(x, y) for x in range(6) for y in range(6)],
+        "line": [(x, 2 * x) for x in range(9)], "one": [(3, 4)] * 3, "two": [(0, 0), (1, 1)],
+    }
+    rows = [("h", name, float(x), float(y)) for name, own in clouds.items() for x, y in own]
+    points = spark.createDataFrame(rows, "huc_id string, bridge_id string, x double, y double")
+    for part_points in (20_000, 16):
+        got = {r.bridge_id: r for r in hulls.convex_hull(points, part_points).collect()}
+        for name in ("many", "square"):
+            assert {(p.x, p.y) for p in got[name].hull} == plain_hull(clouds[name]) and got[name].n_corners == len(got[name].hull)
+        assert all(got[name].hull is None and got[name].n_corners < 3 for name in ("line", "one", "two"))
+
+
+def _near_polygon(path, ring, steps=400):
+    """The least distance of a path to a polygon, by points along the path; 0 where one is inside."""
+    least = math.inf
+    sides = list(zip(ring, ring[1:] + ring[:1]))
+    for (ax, ay), (bx, by) in zip(path, path[1:]):
+        for k in range(steps + 1):
+            px, py = ax + (bx - ax) * k / steps, ay + (by - ay) * k / steps
+            turn = 0.0
+            for (cx, cy), (dx, dy) in sides:
+                turn += math.remainder(math.atan2(dy - py, dx - px) - math.atan2(cy - py, cx - px), 2 * math.pi)
+                t = max(0.0, min(1.0, ((px - cx) * (dx - cx) + (py - cy) * (dy - cy)) / ((dx - cx) ** 2 + (dy - cy) ** 2)))
+                least = min(least, math.hypot(px - cx - t * (dx - cx), py - cy - t * (dy - cy)))
+            if abs(turn) > math.pi:
+                return 0.0
+    return least
+
+
+def test_paths_and_slanted_footprints(spark):
+    random.seed(6)
+    paths = {str(i): [(x := random.uniform(0, 900), y := random.uniform(0, 900)), (x + random.uniform(-90, 90), y + 40), (x + 60, y - 30)] for i in range(25)}
+    rings = {}
+    for i in range(12):
+        x, y, r = random.uniform(0, 900), random.uniform(0, 900), random.choice([30, 150, 400])
+        rings[f"s{i}"] = [(x, y + r), (x - r, y), (x, y - r / 3), (x + r / 2, y)]
+    bridges = spark.createDataFrame([("h", i, p) for i, p in paths.items()], "huc_id string, osmid string, path array<struct<x:double,y:double>>")
+    sources = spark.createDataFrame([(n, "u" + n, r) for n, r in rings.items()], "name string, url string, ring array<struct<x:double,y:double>>")
+    got = [(r.osmid, r.source_name) for r in spatial.bridge_source_join(bridges, sources, 10.0, 50.0).collect()]
+    assert len(got) == len(set(got)) > 10
+    for i, p in paths.items():
+        for n, ring in rings.items():
+            far = _near_polygon(p, ring)
+            if abs(far - 10) > 0.2:
+                assert ((i, n) in got) == (far < 10), (i, n, far)
+
+
+def test_gate_of_a_bridge_without_points_and_bounds(spark):
+    rows = [("h", "b", i, float(i % 7), float(i // 7), 5.0 + 0.1 * (i % 7)) for i in range(84)]
+    points = spark.createDataFrame(rows, "huc_id string, bridge_id string, point_idx long, x double, y double, z double").withColumn("classification", F.lit(1))
+    asked = spark.createDataFrame([("h", "b"), ("h", "none")], "huc_id string, bridge_id string")
+    assert {r.bridge_id: r.status for r in P.quality_gate(points, asked).collect()} == {"b": "success", "none": "no_points"}
+    random.seed(3)
+    boxes = [tuple(random.uniform(0, 100) for _ in range(4)) for _ in range(137)]
+    got = R.robust_bounds(spark.createDataFrame(boxes, "minx double, miny double, maxx double, maxy double")).first()
+    wanted = [float(np.quantile([b[k] for b in boxes], q)) for k, q in ((0, 0.01), (1, 0.01), (2, 0.99), (3, 0.99))]
+    assert np.allclose([got.minx, got.miny, got.maxx, got.maxy], wanted) and math.isclose(got.aspect, (wanted[2] - wanted[0]) / (wanted[3] - wanted[1]))
+
+
+def test_a_large_region_has_many_files(spark, tmp_path):
+    rows = [("big", i) for i in range(900)] + [("small", 1), (None, 2)]
+    A.write_by_huc(spark.createDataFrame(rows, "huc_id string, n long"), "huc_id", f"file://{tmp_path}/out", 100)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "out").iterdir() if d.is_dir()}
+    assert files["huc_id=big"] >= 4 and files["huc_id=small"] == 1
+    assert sorted(r.n for r in spark.read.parquet(f"file://{tmp_path}/out").collect()) == sorted(n for _, n in rows)
