@@ -44,7 +44,9 @@ FOREST_ENTRIES = 16_384
 #: Edges up to which a round of components does not look for nodes with many: one task can hold them all.
 ONE_TASK_EDGES = 1_000_000
 #: Shingles of a chunk whose sets a task compares with another's.
-CHUNK_SHINGLES = 500_000
+CHUNK_SHINGLES = 100_000
+#: Fingerprints that walk a tree at once; each may meet all entries of its shard.
+QUERIES = 96
 _BITS = 64
 
 
@@ -190,8 +192,8 @@ def shard_links(shard: np.ndarray, side: np.ndarray, value: np.ndarray, rep: np.
     reps, item = np.unique(rep, return_inverse=True)
     forest = Forest(len(reps))
     queries = np.flatnonzero(asks)
-    for i in range(0, len(queries), 512):
-        part = queries[i : i + 512]
+    for i in range(0, len(queries), QUERIES):
+        part = queries[i : i + QUERIES]
         root = at[np.searchsorted(names, shard[part])]
         number, node, far = tree.within(value[part], root, radius)
         near_first = np.argsort(far, kind="stable")
