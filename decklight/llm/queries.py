@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_tree, licenses, media, packing, quality, simhash, substring, tokens, toxicity
+from . import bpe, divergence, html_tree, licenses, media, packing, quality, simhash, substring, tokens, toxicity
 from .shared import read_table
 
 
@@ -25,8 +25,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": _documents(licenses.license_scan),
     "op9_bpe": _documents(bpe.op9_bpe),
     "op10_token_files": tokens.op10_token_files,
+    "op13_divergence": _documents(divergence.source_divergence),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality.OP2_SQL,
+    "op13_divergence": divergence.OP13_SQL,
 }
