@@ -484,7 +484,8 @@ def _long(rows: DataFrame, segment_rows: int, kind: str) -> DataFrame:
     symbols = symbols.withColumn("segment", F.floor(F.col("pos") / segment_rows))
     parts = written(symbols.groupBy("conv", "segment").applyInArrow(_solve_segment, f"conv long, segment long, {_SEGMENT}"))
     while parts.agg(F.max("segment")).first()[0]:  # as many times as the longest has digits to the base FOLD
-        parts = written(parts.groupBy("conv", F.floor(F.col("segment") / FOLD).alias("part")).applyInArrow(_fold, f"conv long, segment long, {_SEGMENT}"))
+        parts = parts.withColumn("part", F.floor(F.col("segment") / FOLD))
+        parts = written(parts.groupBy("conv", "part").applyInArrow(_fold, f"conv long, segment long, {_SEGMENT}"))
     solved = written(parts.mapInArrow(_finish, "conv long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"))
     stream = own.select("conv", "pos", "role", "text").unionByName(solved.select("conv", F.lit(-1).cast("long").alias("pos"), F.lit("").alias("role"), F.col("audit").alias("text")))
     hashes = stream.repartition("conv").sortWithinPartitions("conv", "pos").mapInArrow(_hashes, "conv long, repaired_sha256 string")
