@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, divergence, html_tree, licenses, media, packing, quality, repair, simhash, substring, tokens, toxicity
+from . import bpe, divergence, html_tree, licenses, line_crf, media, packing, quality, repair, simhash, substring, tokens, toxicity
 from .shared import read_table
 
 
@@ -25,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": _documents(licenses.license_scan),
     "op9_bpe": _documents(bpe.op9_bpe),
     "op10_token_files": tokens.op10_token_files,
+    "op11_line_crf": lambda spark, sf_dir: line_crf.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")),
     "op12_repair": lambda spark, sf_dir: repair.op12_repair(read_table(spark, sf_dir, "conversations")),
     "op13_divergence": _documents(divergence.source_divergence),
 }
