@@ -54,20 +54,25 @@ IMPLIED_END = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
+#: Of these, the ones that say nothing of a list of plain text: one named menu may be of dishes.
+LINK_WORDS = frozenset("breadcrumb breadcrumbs menu nav navbar navigation pagination toolbar topbar".split())
+LISTS = frozenset("ul ol dl".split())
+#: Elements that hold text itself. Their class words say how it looks, rarely what part of the page it is.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption".split())
 #: Landmarks that label a page by themselves.
 MAIN = frozenset(["article", "main"])
 ASIDE = frozenset("nav header footer aside form menu dialog head".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer footer "
-    "header masthead menu modal nav navbar navigation newsletter notice pagination popup promo promoted recommended related "
+    "discussion header masthead menu modal nav navbar navigation newsletter notice pagination popup promo promoted recommended related "
     "replies respond share sharing sidebar social sponsor sponsored subscribe toolbar topbar widget".split()
 )
 CONTENT_WORDS = frozenset("article body content entry main page post story text".split())
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
+    # a quote opens a value only after an equals sign
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+)(?:>|\Z)",
     re.S,
 )
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -75,12 +80,12 @@ _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "text", "links")
+    __slots__ = ("tag", "names", "parent", "text", "links", "size")
 
     def __init__(self, tag: str, names: frozenset, parent: int):
         self.tag, self.names, self.parent = tag, names, parent
         self.text: str | None = None  # of a text node
-        self.links = 0  # its characters inside links
+        self.links = self.size = 0  # its characters, and those inside links; of an element, those of all its texts
 
 
 def class_words(rest: str) -> frozenset:
@@ -147,7 +152,7 @@ def parse(page: str) -> list[Node]:
         run.clear()
         if text:
             own = Node("#text", frozenset(), stack[-1][1])
-            own.text, own.links = text, min(linked, len(text))
+            own.text, own.size, own.links = text, len(text), min(linked, len(text))
             nodes.append(own)
         linked = 0
 
@@ -175,16 +180,19 @@ def parse(page: str) -> list[Node]:
         if found.start() > at:
             add(page[at : found.start()])
         at = found.end()
-        tag = (found["tag"] or found["tag2"] or "").lower()
+        tag = (found["tag"] or "").lower()
         if not tag:
+            if found[0].startswith("<![CDATA[") and any(open_.places[t] for t in FOREIGN):  # elsewhere it is a comment up to the next ">"
+                ending = page.find("]]>", found.start())
+                at = ending + 3 if ending >= 0 else at
             continue
-        if found["end"] or found["end2"]:
+        if found["end"]:
             if tag == "p" and not open_.places["p"] and not open_.hidden:
                 flush()
             if open_.places[tag]:
                 close(open_.places[tag][-1])
             continue
-        rest = found["rest"] or found["rest2"] or ""
+        rest = found["rest"]
         if tag in VOID:
             if tag == "hr" and not open_.hidden:
                 flush()
@@ -234,6 +242,9 @@ def parse(page: str) -> list[Node]:
             open_.push(tag, block)
     close(1)
     flush()
+    for node in reversed(nodes[1:]):
+        above = nodes[node.parent]
+        above.size, above.links = above.size + node.size, above.links + node.links
     return nodes
 
 
@@ -241,6 +252,10 @@ def features(nodes: list[Node], i: int) -> list[str]:
     node = nodes[i]
     if node.text is None:
         aside, content = sorted(node.names & ASIDE_WORDS), sorted(node.names & CONTENT_WORDS)
+        if node.tag in TEXTUAL:
+            return [f"tag {node.tag}"]
+        if node.tag in LISTS and 2 * node.links < node.size:
+            aside = [w for w in aside if w not in LINK_WORDS]
         words = [f"word {w}" for w in aside + content]
         return [f"tag {node.tag}", *words, *["named aside"] * bool(aside), *["named content"] * bool(content)]
     length = min(6, int(math.log2(1 + len(node.text.split()))))
@@ -300,6 +315,10 @@ LABELLED_PAGES = (
     '<article class="comment"><p>Another reader did not like what the first one had to say.</p></article></section>'
     '<div class="consent cookies"><p>This site stores small files on your device to remember what you like.</p></div><p>Copyright</p></body>',
     '<body><article><h1>+A wet day</h1><p>+It rained.</p><div class="advert"><p>Buy a coat</p></div><p>+All day.</p><p>+So we stayed.</p><form><p>Find</p></form><p>+Then it was dry.</p><p>+The end.</p></article></body>',
+    '<body><nav class="menu"><ul><li><a>Start</a></li><li><a>Where we are</a></li></ul></nav><article class="post"><h1>+A place to eat</h1><p class="ad-free">+They cook what the sea gives them, and they do it well.</p>'
+    '<ul class="menu"><li>+Soup of beans and cabbage</li><li>+Bream with fennel</li><li>+Pears in red wine</li></ul><p class="notice">+Note that they are closed on Mondays.</p>'
+    '<p class="header-note social-history">+The house was a school for a hundred years.</p></article>'
+    '<div class="discussion"><div class="entry"><p>I went there last week and had to wait for an hour.</p></div><div class="entry"><p>We did not, and we liked it a lot.</p></div></div></body>',
 )
 
 def marked_states(nodes: list[Node]) -> list[int]:
@@ -408,8 +427,8 @@ def _fitted(sample: Counter, n: int) -> TreeModel:
 def fit_on(pages: DataFrame) -> TreeModel:
     """Fits on the pages labelled here and on SAMPLE_PAGES different pages at most, those of the least hash."""
     rows = pages.select(F.col("html").cast("string").alias("html")).where("html <> ''").withColumn("h", F.xxhash64("html"))
-    n = max(1, rows.count())
-    share = min(1.0, 4 * SAMPLE_PAGES / n)  # hashes over it are not among the least, unless nearly all pages are copies
+    n = max(1, rows.agg(F.approx_count_distinct("h", 0.02)).first()[0])
+    share = min(1.0, 4 * SAMPLE_PAGES / n)  # hashes over it are not among the least
     low = int(-(1 << 63) + share * ((1 << 64) - 1))
     kept = rows.where(F.col("h") <= min(low, (1 << 63) - 1))
     chosen = [r.h for r in kept.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]

@@ -1,3 +1,5 @@
+import pytest
+
 import itertools
 import math
 
@@ -76,3 +78,36 @@ def test_rows(spark):
     assert got.count((1, "u", text, len(text))) == 2
     assert (None, None, "", 0) in got and (2, "v", "", 0) in got and len(got) == 6
     assert extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def in_article(body):
+    return (
+        "<body><nav><a>Home</a><a>News</a></nav><article><h1>Title here</h1><p>First words of the text, a few of them.</p>"
+        f"{body}<p>The last paragraph of it.</p></article><footer>All rights</footer></body>"
+    )
+
+
+@pytest.mark.parametrize(
+    ("body", "kept"),
+    [
+        ("<p title=it's>Middle one.</p><p>Another.</p><p title=he's>Third.</p>", ["Middle one.", "Another.", "Third."]),
+        ("<!--><p>After it.</p>", ["After it."]),
+        ("<!---><p>After it.</p>", ["After it."]),
+        ("<!-- a > b --!><p>After it.</p>", ["After it."]),
+        ("<![CDATA[ x ><p>After it.</p>", ["After it."]),
+        ("<svg><![CDATA[ <p>no</p> ]]></svg><p>After it.</p>", ["After it."]),
+        ('<p class="ad-free">Here there is no advertisement at all.</p>', ["Here there is no advertisement at all."]),
+        ('<ul class="menu"><li>Soup of the day</li><li>Fish and rice</li></ul>', ["Soup of the day", "Fish and rice"]),
+        ("<p data-x='a > b' title=\"c > d\">Quoted.</p>", ["Quoted."]),
+        ("<p title=a'b>One.</p><p title='open>Two.</p>", ["One.", "Two."]),
+        ('<div class="advert"><p>Buy a coat, it is a good one.</p></div>', []),
+    ],
+)
+def test_article_text_is_not_lost(body, kept):
+    wanted = "\n".join(["Title here", "First words of the text, a few of them.", *kept, "The last paragraph of it."])
+    assert main_text(in_article(body), fit()) == wanted
+
+
+def test_reader_comments_under_other_names_go():
+    page = in_article("").replace("<footer>", '<div class="discussion"><p>I think that this is quite wrong, and said so before.</p></div><footer>')
+    assert "quite wrong" not in main_text(page, fit())
