@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import text_or_empty, written
+from .shared import least_ids, text_or_empty, written
 from .words import gather, text_slices
 
 MOST_DOCS = 2_000
@@ -229,15 +229,6 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def least_ids(rows: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` distinct doc_ids, those of the least hash; ids far above are left out before any are gathered."""
-    distinct = rows.agg(F.approx_count_distinct("doc_id", 0.02)).first()[0]
-    share = min(1.0, 2 * most / max(1, distinct))
-    least = F.xxhash64("doc_id")
-    low = min(int(-(1 << 63) + share * ((1 << 64) - 1)), (1 << 63) - 1)
-    return rows.where(least <= low).select("doc_id").distinct().orderBy(least, "doc_id").limit(most)
-
-
 def training_docs(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[bool, int]]:
     """((doc_id, good, text), written; how many ids of each label could be fitted on)."""
     fit = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") == 1).alias("good")).where("doc_id IS NOT NULL AND good IS NOT NULL").where(~held_out())

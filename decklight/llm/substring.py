@@ -39,9 +39,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .fm_index import FMIndex
-from .shared import mixed, text_or_empty, written
+from .shared import free_name, mixed, text_or_empty, written
 from .words import gather, text_slices
 
 WINDOW = 13
@@ -344,21 +345,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     """``docs`` with its own columns; a text that loses words becomes its kept words, others stay as they are."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     found = repeated_windows(rows, window, anchor)
-    free = "__repeats"
-    while free in docs.columns:
-        free += "_"
-    found = found.select(F.col("found_doc_id").alias(free + "id"), F.col("at").alias(free))
-
-    @F.pandas_udf("string")
-    def cut(texts, starts):
-        out = texts.copy()
-        for i, (text, at) in enumerate(zip(texts, starts)):
-            if at is not None and len(at):
-                left, n = kept_words(text, list(at), window)
-                if len(left) < n:
-                    out.iloc[i] = b" ".join(left).decode()
-        return out
-
-    joined = docs.join(found, F.col("doc_id").cast("long") == F.col(free + "id"), "left")
-    text = F.when(F.col(free).isNotNull(), cut(F.col("text"), F.col(free))).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(*docs.columns)
+    name, own = free_name(docs, "__repeats"), free_name(docs, "__text")
+    found = found.select(F.col("found_doc_id").alias(name + "id"), F.col("at").alias(name))
+    names = docs.columns
+    place = names.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, column=own):
+                out = part[own].to_pylist()
+                for i, at in enumerate(part[name].to_pylist()):
+                    if at:
+                        left, n = kept_words(out[i] or "", at, window)
+                        if len(left) < n:
+                            out[i] = b" ".join(left).decode()
+                columns = part.select(names).columns
+                columns[place] = pa.array(out, pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = StructType([StructField(f.name, StringType() if f.name == "text" else f.dataType) for f in docs.schema])
+    lost = docs.where("doc_id IS NOT NULL").join(found, F.col("doc_id").cast("long") == F.col(name + "id"), "left").withColumn(own, F.col("text").cast("string"))
+    cut_rows = lost.select(*names, own, name).mapInArrow(cut, schema)
+    return cut_rows.unionByName(docs.where("doc_id IS NULL").withColumn("text", F.col("text").cast("string")))  # rows without an id lose nothing

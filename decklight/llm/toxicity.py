@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import text_or_empty, written
+from .shared import free_name, least_ids, text_or_empty, written
 from .words import text_slices
 
 MOST_POSITIVE = 4_000
@@ -56,21 +56,13 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]
     fit = fit.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out())
     prior = fit.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where("doc_id IS NOT NULL")
-    positive = _least_ids(fit.where("toxic"), MOST_POSITIVE).withColumn("positive", F.lit(True))
-    unlabelled = _least_ids(rows.where(~held_out()), MOST_UNLABELLED).withColumn("positive", F.lit(False))
+    positive = least_ids(fit.where("toxic"), MOST_POSITIVE).withColumn("positive", F.lit(True))
+    unlabelled = least_ids(rows.where(~held_out()), MOST_UNLABELLED).withColumn("positive", F.lit(False))
     chosen = written(positive.unionByName(unlabelled))  # of bounded size, so it may be broadcast
     one = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
     return written(one), prior
 
 
-def _least_ids(rows: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` distinct ids, those of the least hash; ids far above are left out before any are gathered."""
-    share = min(1.0, 2 * most / max(1, rows.count()))
-    least = F.xxhash64("doc_id")
-    low = min(int(-(1 << 63) + share * ((1 << 64) - 1)), (1 << 63) - 1)
-    return rows.where(least <= low).select("doc_id").distinct().orderBy(least, "doc_id").limit(most)
-
-
 def sample_words(sample: DataFrame) -> DataFrame:
     """(n, positive, word) for each distinct word of each row of the sample."""
 
@@ -209,8 +201,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     if model is None:
         return docs
 
-    @F.pandas_udf("double")
-    def score(texts):
-        return texts.fillna("").map(model.score)
+    name = free_name(docs, "__text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, column=name):
+                kept = pa.array([model.score(t) < threshold for t in part[name].to_pylist()], pa.bool_())
+                yield part.drop_columns([name]).filter(kept)
 
-    return docs.where(score(F.col("text")) < threshold)
+    return docs.withColumn(name, text_or_empty()).mapInArrow(keep, docs.schema)

@@ -30,9 +30,9 @@ _SAFE_CUT = re.compile(r"(?<=\S) ")
 Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
-def text_slices(batch: pa.RecordBatch, most_chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, most_chars: int = 2_000_000, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of a batch with bounded text, so that a worker's memory is bounded too."""
-    sizes = pc.utf8_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.utf8_length(batch[column]).fill_null(0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
     for i, size in enumerate(sizes):
         if total and total + size > most_chars:
