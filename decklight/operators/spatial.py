@@ -1,13 +1,15 @@
 """Spatial joins over tiles: candidates by an equi-join on tile keys, then the exact test.
 
-A path or a ring is an array of structs (x, y); a ring closes itself.
+A path or a ring is an array of structs (x, y); a ring closes itself. ``rings`` are an array
+of rings: a point is inside if it is inside an odd number of them, so holes and parts of a
+footprint are rings like any other.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: The side of the smallest tiles; each level doubles it.
+#: The side of the smallest tiles; each level of boxes doubles it.
 TILE = 1000.0
 
 
@@ -49,21 +51,15 @@ def segments_within(s: Column, t: Column, radius: float) -> Column:
     return cross | (F.least(_distance(s["a"], t), _distance(s["b"], t), _distance(t["a"], s), _distance(t["b"], s)) <= radius)
 
 
-def inside_ring(x: Column, y: Column, edges: Column) -> Column:
-    """Whether a ray from the point crosses the ring an odd number of times."""
-
-    def crosses(e: Column) -> Column:
-        a, b = e["a"], e["b"]
-        return ((a["y"] > y) != (b["y"] > y)) & (x < F.try_divide((b["x"] - a["x"]) * (y - a["y"]), b["y"] - a["y"]) + a["x"])
+def _crosses(e: Column, x: Column, y: Column) -> Column:
+    """Whether a ray from the point to greater x crosses an edge."""
+    a, b = e["a"], e["b"]
+    return ((a["y"] > y) != (b["y"] > y)) & (x < F.try_divide((b["x"] - a["x"]) * (y - a["y"]), b["y"] - a["y"]) + a["x"])
 
-    return F.size(F.filter(edges, crosses)) % 2 == 1
 
-
-def path_meets_ring(line: Column, ring: Column, buffer: float) -> Column:
-    """Whether a path buffered by ``buffer`` meets a polygon: a vertex in it, or segments that near."""
-    edges = segments(ring, True)
-    near = F.exists(segments(line, False), lambda s: F.exists(edges, lambda e: segments_within(s, e, buffer)))
-    return F.exists(line, lambda p: inside_ring(p["x"], p["y"], edges)) | near
+def inside_ring(x: Column, y: Column, edges: Column) -> Column:
+    """Whether a ray from the point crosses the ring an odd number of times."""
+    return F.size(F.filter(edges, lambda e: _crosses(e, x, y))) % 2 == 1
 
 
 def _tiles(df: DataFrame, box: tuple[Column, Column, Column, Column], side: Column) -> DataFrame:
@@ -72,32 +68,91 @@ def _tiles(df: DataFrame, box: tuple[Column, Column, Column, Column], side: Colu
     return df.withColumn("__tx", F.explode(F.sequence(x0, x1))).withColumn("__ty", F.explode(F.sequence(y0, y1)))
 
 
+def _footprints(sources: DataFrame) -> DataFrame:
+    """(sid, source_name, source_url, rings) of different footprints; a ring or a box is one ring."""
+    if "rings" in sources.columns:
+        rings = F.col("rings")
+    elif "ring" in sources.columns:
+        rings = F.array("ring")
+    else:
+        xmin, ymin, xmax, ymax = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
+        rings = F.array(path((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax)))
+    named = sources.select(F.col("name").alias("source_name"), F.col("url").alias("source_url"), F.filter(rings, lambda ring: F.size(ring) > 0).alias("rings"))
+    return named.where(F.size("rings") > 0).withColumn("sid", F.xxhash64("source_name", "source_url", "rings")).dropDuplicates(["sid"])
+
+
+def _edges(footprints: DataFrame) -> DataFrame:
+    """(sid, e): one row an edge, of all rings."""
+    edges = F.flatten(F.transform("rings", lambda ring: segments(ring, True)))
+    return footprints.select("sid", F.explode(edges).alias("e"))
+
+
+def _pieces(s: Column, tile: float) -> Column:
+    """A segment cut into pieces no longer than a tile in x or y, so that each touches four tiles at most."""
+    dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
+    n = F.greatest(F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / tile), F.lit(1))
+    at = lambda k: F.struct((s["a"]["x"] + dx * k / n).alias("x"), (s["a"]["y"] + dy * k / n).alias("y"))
+    return F.transform(F.sequence(F.lit(1).cast("long"), n), lambda k: F.struct(at(k - 1).alias("a"), at(k).alias("b")))
+
+
+def _piece_tiles(df: DataFrame, segment: str, pad: float, tile: float) -> DataFrame:
+    """Each row once for every tile near a piece of its segment."""
+    cut = df.withColumn("__p", F.explode(_pieces(F.col(segment), tile)))
+    low = lambda c: F.least(f"__p.a.{c}", f"__p.b.{c}") - pad
+    high = lambda c: F.greatest(f"__p.a.{c}", f"__p.b.{c}") + pad
+    tiled = _tiles(cut, (low("x"), low("y"), high("x"), high("y")), F.lit(tile)).drop("__p")
+    return tiled.distinct()
+
+
+def _near_pairs(lines: DataFrame, edges: DataFrame, buffer: float, tile: float) -> DataFrame:
+    """(bid, sid) where a segment of the path comes as near as ``buffer`` to an edge: a join of segments with edges by tile."""
+    parts = lines.select("bid", F.explode(segments(F.col("line"), False)).alias("s"))
+    # both are padded by more than half of the buffer, so that rounding of the pieces loses no pair
+    pad = 0.51 * buffer + 1e-6 * tile
+    met = _piece_tiles(parts, "s", pad, tile).join(_piece_tiles(edges, "e", pad, tile), ["__tx", "__ty"])
+    s, e = F.col("s"), F.col("e")
+    apart = lambda c: (F.least(s["a"][c], s["b"][c]) - buffer > F.greatest(e["a"][c], e["b"][c])) | (F.least(e["a"][c], e["b"][c]) - buffer > F.greatest(s["a"][c], s["b"][c]))
+    return met.where(~apart("x") & ~apart("y")).where(segments_within(s, e, buffer)).select("bid", "sid").distinct()
+
+
+def _inside_pairs(lines: DataFrame, footprints: DataFrame, edges: DataFrame, tile: float) -> DataFrame:
+    """(bid, sid) where the path begins inside a footprint: crossings of a ray, counted over the edges of its band of y.
+
+    The boxes of footprints lie in the tiles of the level that fits their size, a few rows each,
+    and a path's first point looks into each level that is there.
+    """
+    boxes = footprints.select("sid", *(c.alias(n) for c, n in zip(bounds(F.flatten("rings")), ("x0", "y0", "x1", "y1"))))
+    extent = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(tile))
+    boxes = boxes.withColumn("__level", F.ceil(F.log2(extent / tile)).cast("int"))
+    levels = boxes.select("__level").distinct()  # as many as doublings between the least and the largest footprint
+    side = tile * F.pow(F.lit(2.0), F.col("__level"))
+    first = lines.select("bid", F.get("line", 0)["x"].alias("px"), F.get("line", 0)["y"].alias("py")).crossJoin(F.broadcast(levels))
+    first = first.withColumns({"__tx": F.floor(F.col("px") / side), "__ty": F.floor(F.col("py") / side)})
+    held = first.join(_tiles(boxes, tuple(F.col(c) for c in ("x0", "y0", "x1", "y1")), side), ["__level", "__tx", "__ty"])
+    held = held.where("px >= x0 AND px <= x1 AND py >= y0 AND py <= y1").select("bid", "sid", "px", "py", F.floor(F.col("py") / tile).alias("band"))
+    a, b = F.col("e")["a"], F.col("e")["b"]
+    bands = F.sequence(F.floor(F.least(a["y"], b["y"]) / tile), F.floor(F.greatest(a["y"], b["y"]) / tile))
+    banded = edges.where(a["y"] != b["y"]).select("sid", "e", F.explode(bands).alias("band"))
+    crossed = held.join(banded, ["sid", "band"]).where(_crosses(F.col("e"), F.col("px"), F.col("py")))
+    return crossed.groupBy("bid", "sid").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1").select("bid", "sid")
+
+
 def bridge_source_join(bridges: DataFrame, sources: DataFrame, buffer: float = 10.0, tile: float = TILE) -> DataFrame:
-    """(huc_id, osmid, source_name, source_url) of footprints that a bridge, buffered, meets.
+    """(huc_id, osmid, source_name, source_url) of footprints that a bridge, buffered, meets, once each.
 
-    ``bridges`` have a ``path`` or the ends x0, y0, x1, y1; ``sources`` a ``ring`` or a box. A
-    footprint lies in the tiles of the level that fits its size, so it is a few rows whatever its
-    size, and a bridge looks into each level that is there. A pair that meets in several tiles is
-    kept in one: that of the lower corner of the common box.
+    ``bridges`` have a ``path`` or the ends x0, y0, x1, y1; ``sources`` have ``rings``, a ``ring`` or a
+    box. A bridge meets a footprint if a segment comes near an edge, or else if it begins inside: with
+    no edge near, all of it is on one side. Both parts are joins of single segments and edges, so a
+    footprint of many corners is as many rows, and no task walks around a whole ring.
     """
     line = F.col("path") if "path" in bridges.columns else path((F.col("x0"), F.col("y0")), (F.col("x1"), F.col("y1")))
-    xmin, ymin, xmax, ymax = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
-    box = path((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax)) if "ring" not in sources.columns else F.col("ring")
-    b = bridges.select("huc_id", "osmid", line.alias("__line"))
-    s = sources.select(F.col("name").alias("source_name"), F.col("url").alias("source_url"), box.alias("__ring"))
-    low_x, low_y, high_x, high_y = bounds(F.col("__line"))
-    b = b.select("*", (low_x - buffer).alias("__bx0"), (low_y - buffer).alias("__by0"), (high_x + buffer).alias("__bx1"), (high_y + buffer).alias("__by1"))
-    s = s.select("*", *(c.alias(n) for c, n in zip(bounds(F.col("__ring")), ("__sx0", "__sy0", "__sx1", "__sy1"))))
-    extent = F.greatest(F.col("__sx1") - F.col("__sx0"), F.col("__sy1") - F.col("__sy0"), F.lit(tile))
-    s = s.withColumn("__level", F.ceil(F.log2(extent / tile)).cast("int"))
-    levels = s.select("__level").distinct()  # as many as doublings between the least and the largest footprint
-    b = b.crossJoin(F.broadcast(levels))
-    side = lambda: tile * F.pow(F.lit(2.0), F.col("__level"))
-    b = _tiles(b, tuple(F.col(c) for c in ("__bx0", "__by0", "__bx1", "__by1")), side())
-    s = _tiles(s, tuple(F.col(c) for c in ("__sx0", "__sy0", "__sx1", "__sy1")), side())
-    first = (F.floor(F.greatest("__bx0", "__sx0") / side()) == F.col("__tx")) & (F.floor(F.greatest("__by0", "__sy0") / side()) == F.col("__ty"))
-    met = b.join(s, ["__level", "__tx", "__ty"]).where(first)
-    return met.where(path_meets_ring(F.col("__line"), F.col("__ring"), buffer)).select("huc_id", "osmid", "source_name", "source_url")
+    named = bridges.select("huc_id", "osmid", line.alias("line")).where(F.size("line") > 0).withColumn("bid", F.xxhash64("huc_id", "osmid", "line"))
+    lines = named.select("bid", "line").distinct().repartition("bid")  # an inventory is often one small file
+    footprints = _footprints(sources)
+    edges = _edges(footprints)
+    pairs = _near_pairs(lines, edges, buffer, tile).unionByName(_inside_pairs(lines, footprints, edges, tile))
+    found = pairs.join(named.select("bid", "huc_id", "osmid"), "bid").join(footprints.select("sid", "source_name", "source_url"), "sid")
+    return found.select("huc_id", "osmid", "source_name", "source_url").distinct()
 
 
 def clip_points_to_bridge(points: DataFrame, outlines: DataFrame, buffer: float) -> DataFrame:

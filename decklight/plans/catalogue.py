@@ -1088,13 +1088,58 @@ def _(get, spark, sf):
     return G.ground_filter(get("points")).groupBy(*B, "ground").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("a3_scan_sources", "SELECT name, url FROM sources", "sources")
-def _(get, spark, sf):
+def _box(x0: str, y0: str, x1: str, y1: str) -> list[tuple[str, str]]:
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+
+
+#: Every other source has a hole, the rest two parts, one of them a triangle.
+_WHOLE = "CAST((xmin + ymin + 100) / 2000 AS INT) % 2 = 0"
+_HOLED = [_box("xmin", "ymin", "xmax", "ymax"), _box("xmin + 500", "ymin + 500", "xmax - 500", "ymax - 500")]
+_PARTS = [_box("xmin", "ymin", "xmin + 700", "ymax"), [("xmax - 700", "ymin"), ("xmax", "ymin"), ("xmax", "ymax")]]
+
+
+def _geojson(get) -> DataFrame:
+    """One text: a collection of a Polygon or a MultiPolygon a source."""
+    ring = lambda corners: f"array({', '.join(f'array({x}, {y})' for x, y in [*corners, corners[0]])})"  # noqa: E731  the first corner again
+    polygon, parts = f"array({', '.join(map(ring, _HOLED))})", f"array({', '.join(f'array({ring(p)})' for p in _PARTS)})"
+    kind = lambda name, shape: F.concat(F.lit(f'{{"type": "{name}", "coordinates": '), F.to_json(F.expr(shape)), F.lit("}"))
+    geometry = F.when(F.expr(_WHOLE), kind("Polygon", polygon)).otherwise(kind("MultiPolygon", parts))
+    top = F.when(F.col("name") < "NATION_2", F.concat(F.lit('"url": "'), "url", F.lit('", '))).otherwise("")
+    feature = F.concat(F.lit("{"), top, F.lit('"properties": '), F.to_json(F.struct("url", "name")), F.lit(', "geometry": '), geometry, F.lit("}"))
+    return get("sources").agg(F.concat(F.lit('{"features": ['), F.array_join(F.collect_list(feature), ", "), F.lit("]}")).alias("value"))  # a row a nation
+
+
+def _scanned_sources(get, spark) -> DataFrame:
     folder = shared_folder(spark)
-    feature = F.struct(F.when(F.col("name") < "NATION_2", F.col("url")).alias("url"), F.struct("url", "name").alias("properties"))
-    features = get("sources").agg(F.collect_list(feature).alias("features"))  # a row a nation
-    features.select(F.to_json(F.struct("features"))).write.text(folder)
-    return A.scan_sources(spark, folder).select("name", "url")
+    _geojson(get).write.text(folder)
+    return A.scan_sources(spark, folder)
+
+
+_corner_list = lambda corners: f"[{', '.join(f'[{x}, {y}]' for x, y in corners)}]"
+_RINGS = f"""rings AS (SELECT name, url, unnest(CASE WHEN {_WHOLE} THEN [{', '.join(map(_corner_list, _HOLED))}] ELSE [{', '.join(map(_corner_list, _PARTS))}] END) AS ring FROM sources)"""
+
+
+def _footprint_pairs_sql() -> str:
+    ends = [("x0", "y0"), ("x1", "y1")]
+    near = [_segment_distance_sql(x, y, "ax", "ay", "ex", "ey") for x, y in ends] + [_segment_distance_sql(x, y, "x0", "y0", "x1", "y1") for x, y in (("ax", "ay"), ("ex", "ey"))]
+    side = lambda ax, ay, bx, by, px, py: f"(({bx} - {ax}) * ({py} - {ay}) - ({by} - {ay}) * ({px} - {ax}))"
+    cross = " AND ".join(
+        f"{side(*line, *one)} * {side(*line, *two)} < 0" for line, one, two in ((("ax", "ay", "ex", "ey"), *ends), (("x0", "y0", "x1", "y1"), ("ax", "ay"), ("ex", "ey")))
+    )
+    return f""", {_RINGS}, edges AS (SELECT name, url, ring[i][1] AS ax, ring[i][2] AS ay, ring[i % len(ring) + 1][1] AS ex, ring[i % len(ring) + 1][2] AS ey FROM (SELECT *, unnest(range(1, len(ring) + 1)) AS i FROM rings))
+SELECT huc_id, osmid, e.name AS source_name, e.url AS source_url FROM bridges b, edges e GROUP BY ALL
+HAVING count_if((ay > y0) <> (ey > y0) AND x0 < (ex - ax) * (y0 - ay) / nullif(ey - ay, 0) + ax) % 2 = 1 OR min(least({', '.join(near)})) <= 10 OR bool_or({cross})"""
+
+
+@query("a3_scan_sources", with_duck("", "sources").rstrip() + f", {_RINGS} SELECT name, url, count(*) AS n_rings, CAST(sum(len(ring) + 1) AS BIGINT) AS n_corners FROM rings GROUP BY ALL")
+def _(get, spark, sf):
+    corners = F.aggregate("rings", F.lit(0).cast("long"), lambda n, ring: n + F.size(ring))
+    return _scanned_sources(get, spark).select("name", "url", F.size("rings").cast("long").alias("n_rings"), corners.alias("n_corners"))
+
+
+@query("a3_footprint_pairs", with_duck("", "bridges", "sources").rstrip() + _footprint_pairs_sql())
+def _(get, spark, sf):
+    return S.bridge_source_join(get("bridges"), _scanned_sources(get, spark))
 
 
 @query("a14_scan_metrics", "SELECT epoch, count(val_loss) AS n FROM metrics GROUP BY epoch", "metrics")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from decklight.functions.columns import to_web_mercator
+
 
 def scan_bridges(spark: SparkSession, path: str, required: tuple[str, ...] = ("osmid",), fmt: str = "parquet") -> DataFrame:
     """The inventory; fails on missing required columns; osmid as text."""
@@ -27,13 +29,23 @@ def scan_points(spark: SparkSession, path: str, huc_ids: list[str] | None = None
     return df if huc_ids is None else df.where(F.col("huc_id").isin(list(huc_ids)))
 
 
-def scan_sources(spark: SparkSession, path: str) -> DataFrame:
-    """Footprints of GeoJSON files: url and name at the top or in properties; rows without a url go."""
+def scan_sources(spark: SparkSession, path: str, lon_lat: bool = False) -> DataFrame:
+    """(url, name, rings) of GeoJSON files: url and name at the top or in properties; rows without a url go.
+
+    ``rings`` has all rings of a Polygon, or of all parts of a MultiPolygon, each an array of (x, y);
+    other geometries have none. With ``lon_lat`` degrees become Web Mercator metres.
+    """
     schema = "features array<struct<url string, name string, properties struct<url string, name string>, geometry struct<type string, coordinates string>>>"
     rows = spark.read.schema(schema).json(path, multiLine=True).select(F.posexplode("features").alias("i", "f"))
     text = lambda field: F.coalesce(F.nullif(F.col(f"f.{field}"), F.lit("")), F.nullif(F.col(f"f.properties.{field}"), F.lit("")))
     named = F.coalesce(text("name"), F.concat(F.lit("source_"), F.col("i").cast("string")))
-    return rows.select(text("url").alias("url"), named.alias("name"), F.col("f.geometry.coordinates").alias("ring")).where("url IS NOT NULL")
+    ring = "array<array<double>>"
+    many = F.flatten(F.from_json("f.geometry.coordinates", f"array<array<{ring}>>"))
+    rings = F.when(F.col("f.geometry.type") == "Polygon", F.from_json("f.geometry.coordinates", f"array<{ring}>")).when(F.col("f.geometry.type") == "MultiPolygon", many)
+    xy = lambda p: to_web_mercator(F.get(p, 0), F.get(p, 1)) if lon_lat else (F.get(p, 0), F.get(p, 1))
+    corner = lambda p: F.struct(*(c.alias(n) for c, n in zip(xy(p), "xy")))
+    placed = F.transform(F.coalesce(rings, F.array().cast(f"array<{ring}>")), lambda r: F.transform(r, corner))
+    return rows.select(text("url").alias("url"), named.alias("name"), placed.alias("rings")).where("url IS NOT NULL")
 
 
 def write_by_huc(df: DataFrame, column: str, path: str, rows_a_file: int = 5_000_000) -> None:

@@ -1,5 +1,6 @@
 """Small fixtures for the rules that the tables do not reach."""
 
+import json
 import math
 import random
 
@@ -197,6 +198,43 @@ def test_paths_and_slanted_footprints(spark):
                 assert ((i, n) in got) == (far < 10), (i, n, far)
 
 
+def test_footprints_with_holes_and_parts(spark, tmp_path):
+    square = lambda x, y, r: [[x - r, y - r], [x + r, y - r], [x + r, y + r], [x - r, y + r], [x - r, y - r]]
+    features = [
+        {"url": "hole", "geometry": {"type": "Polygon", "coordinates": [square(0, 0, 1000), square(0, 0, 500)]}},
+        {"url": "parts", "geometry": {"type": "MultiPolygon", "coordinates": [[square(-5000, 0, 400), square(-5000, 0, 200)], [square(5000, 0, 400)]]}},
+        {"url": "point", "geometry": {"type": "Point", "coordinates": [0, 0]}}, {"url": "none"},
+    ]
+    (tmp_path / "s.json").write_text(json.dumps({"features": features}))
+    sources = A.scan_sources(spark, f"file://{tmp_path}/s.json")
+    assert {r.url: len(r.rings) for r in sources.collect()} == {"hole": 2, "parts": 3, "point": 0, "none": 0}
+    ends = {"in hole": (0, 0), "near hole": (-515, 0), "ring": (750, 0), "out": (1100, 0), "near": (1005, 0), "left part": (-5300, 0), "left hole": (-5000, 0), "right part": (5000, 0)}
+    bridges = spark.createDataFrame([("h", n, float(x), float(y), x + 8.0, float(y)) for n, (x, y) in ends.items()], "huc_id string, osmid string, x0 double, y0 double, x1 double, y1 double")
+    got = {(r.osmid, r.source_url) for r in spatial.bridge_source_join(bridges, sources.unionByName(sources)).collect()}
+    assert got == {("near hole", "hole"), ("ring", "hole"), ("near", "hole"), ("left part", "parts"), ("right part", "parts")}
+    degrees = [{"url": "u", "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [180, 0], [180, 45], [0, 0]]]}}]
+    (tmp_path / "d.json").write_text(json.dumps({"features": degrees}))
+    ring = A.scan_sources(spark, f"file://{tmp_path}/d.json", lon_lat=True).first().rings[0]
+    assert math.isclose(ring[1].x, math.pi * 6378137) and math.isclose(ring[2].y, 5621521.486, abs_tol=0.01)
+
+
+def test_a_footprint_of_many_corners(spark):
+    n, radius = 10_000, 4_000.0
+    ring = [(radius * math.cos(2 * math.pi * k / n), radius * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    sources = spark.createDataFrame([("s", "u", ring)], "name string, url string, ring array<struct<x:double,y:double>>")
+    random.seed(8)
+    rows = []
+    for i in range(400):
+        x, y = random.uniform(-4_500, 4_500), random.uniform(-4_500, 4_500)
+        rows.append(("h", str(i), x, y, x + 12.0, y + 3.0))
+    bridges = spark.createDataFrame(rows, "huc_id string, osmid string, x0 double, y0 double, x1 double, y1 double")
+    got = {r.osmid for r in spatial.bridge_source_join(bridges, sources, 10.0, 100.0).collect()}
+    for _, i, x0, y0, x1, y1 in rows:
+        nearest = min(math.hypot(x0 + (x1 - x0) * k / 50, y0 + (y1 - y0) * k / 50) for k in range(51))
+        if abs(nearest - radius - 10) > 0.1:
+            assert (i in got) == (nearest <= radius + 10), (i, nearest)
+
+
 def test_gate_of_a_bridge_without_points_and_bounds(spark):
     rows = [("h", "b", i, float(i % 7), float(i // 7), 5.0 + 0.1 * (i % 7)) for i in range(84)]
     points = spark.createDataFrame(rows, "huc_id string, bridge_id string, point_idx long, x double, y double, z double").withColumn("classification", F.lit(1))
