@@ -53,10 +53,39 @@ def convex_hull(points: DataFrame, part_points: int = 20_000) -> DataFrame:
     return hulls.select(*BRIDGE, F.when(F.size("hull") >= 3, F.col("hull")).alias("hull"), F.size("hull").alias("n_corners"))
 
 
+def _chains(hulls: DataFrame) -> DataFrame:
+    """(bridge, lower, upper): the corners along the bottom and along the top of each hull, by x."""
+    n, at = F.size("hull"), lambda i: F.get("hull", i)  # noqa: E731  the first corner is the lowest of the least x
+    right = F.array_max(F.transform("hull", lambda p: p["x"]))
+    first = (F.array_position(F.transform("hull", lambda p: p["x"]), right) - 1).cast("int")  # the lowest of the greatest x
+    last = F.when(at(first + 1)["x"] == right, first + 1).otherwise(first)  # the highest of it
+    over = F.reverse(F.slice("hull", last + 1, n - last))
+    upper = F.when(at(n - 1)["x"] > at(F.lit(0))["x"], F.concat(F.array(at(F.lit(0))), over)).otherwise(over)
+    return hulls.where("hull IS NOT NULL").select(*BRIDGE, F.slice("hull", 1, first + 1).alias("lower"), upper.alias("upper"))
+
+
+def _over_chain(chain: Column, p: Column) -> Column:
+    """The turn from the chain's edge at the point's x to the point, found by halving the chain."""
+    steps = F.ceil(F.log2(F.size(chain).cast("double"))).cast("int") + 1
+
+    def halve(held: Column, _: Column) -> Column:
+        middle = F.floor((held["a"] + held["b"]) / 2).cast("int")
+        right = F.get(chain, middle)["x"] <= p["x"]
+        narrow = F.struct(F.when(right, middle).otherwise(held["a"]).alias("a"), F.when(right, held["b"]).otherwise(middle).alias("b"))
+        return F.when(held["b"] - held["a"] > 1, narrow).otherwise(held)
+
+    found = F.aggregate(F.sequence(F.lit(1), steps), F.struct(F.lit(0).alias("a"), (F.size(chain) - 1).alias("b")), halve)
+    return _cross(F.get(chain, found["a"]), F.get(chain, found["b"]), p)
+
+
 def points_in_hull(points: DataFrame, hulls: DataFrame) -> DataFrame:
-    """``inside`` of each point of a bridge with a hull; its edge belongs to it."""
+    """``inside`` of each point of a bridge with a hull; its edge belongs to it.
+
+    A point is over the bottom chain and under the top one; in each only the edge at its x is
+    looked at, which takes as many steps as the number of corners has binary digits.
+    """
     at = F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    n = F.size("hull")
-    inside = F.forall(F.sequence(F.lit(0), n - 1), lambda i: _cross(F.get("hull", i), F.get("hull", (i + 1) % n), F.col("__at")) >= 0)
-    joined = points.withColumn("__at", at).join(hulls.where("hull IS NOT NULL").select(*BRIDGE, "hull"), BRIDGE)
-    return joined.select(*points.columns, inside.alias("inside"))
+    p, lower, upper = F.col("__at"), F.col("lower"), F.col("upper")
+    between = (p["x"] >= F.get(lower, 0)["x"]) & (p["x"] <= F.element_at(lower, -1)["x"])
+    inside = F.when(between, (_over_chain(lower, p) >= 0) & (_over_chain(upper, p) <= 0)).otherwise(False)
+    return points.withColumn("__at", at).join(_chains(hulls), BRIDGE).select(*points.columns, inside.alias("inside"))

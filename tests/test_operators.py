@@ -163,6 +163,21 @@ def test_hulls_of_parts(spark):
         assert all(got[name].hull is None and got[name].n_corners < 3 for name in ("line", "one", "two"))
 
 
+def test_points_in_hulls(spark):
+    random.seed(12)
+    clouds = {"tilted": [(0, 0), (9, 3), (5, 8)], "box": [(0, 0), (0, 6), (8, 0), (8, 6)], "flat left": [(0, 0), (0, 5), (7, 2)], "flat right": [(0, 2), (7, 0), (7, 5)]}
+    clouds["round"] = [(round(50 + 50 * math.cos(k / 9)), round(50 + 50 * math.sin(k / 9))) for k in range(57)]
+    cloud = "huc_id string, bridge_id string, x double, y double"
+    found = hulls.convex_hull(spark.createDataFrame([("h", n, float(x), float(y)) for n, own in clouds.items() for x, y in own], cloud))
+    asked = [("h", n, float(x), float(y)) for n, own in clouds.items() for x, y in [*own, *((random.randint(-2, 11), random.randint(-2, 10)) for _ in range(300)), *((random.randint(0, 100), random.randint(0, 100)) for _ in range(60))]]
+    got = [(r.bridge_id, r.x, r.y, r.inside) for r in hulls.points_in_hull(spark.createDataFrame(asked, cloud), found).collect()]
+    corners = {r.bridge_id: [(p.x, p.y) for p in r.hull] for r in found.collect()}
+    assert len(got) == len(asked)
+    for n, x, y, inside in got:
+        own = corners[n]
+        assert inside == all((bx - ax) * (y - ay) - (by - ay) * (x - ax) >= 0 for (ax, ay), (bx, by) in zip(own, own[1:] + own[:1])), (n, x, y)
+
+
 def _near_polygon(path, ring, steps=400):
     """The least distance of a path to a polygon, by points along the path; 0 where one is inside."""
     least = math.inf
