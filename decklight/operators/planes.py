@@ -2,16 +2,18 @@
 
 The fit scores hypotheses in parallel: in each of a few rounds, a bridge's points are
 ranked by a hash and every run of ``min_samples`` ranks gives one least-squares plane.
-All planes of a bridge are scored against its points in one grouped aggregate; the best
-is fitted again on its inliers. Nothing depends on partitioning or arrival.
+All planes of a bridge are scored against its points in one grouped count; the best is
+fitted again on its inliers. Nothing depends on partitioning or arrival.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from decklight.functions.tables import written
 from .hulls import convex_hull
+from .selection import grouped_median
+from .splits import least_of_each
 from .voxels import BRIDGE
 
 
@@ -46,17 +48,16 @@ def plane_consensus(points: DataFrame, min_samples: int = 10, threshold: float =
     each = centred.select("*", F.explode(F.array(*map(F.lit, range(rounds)))).alias("round"))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("round").cast("string"), *BRIDGE, F.col("point_idx").cast("string")))
     per_round = max(1, trials // rounds)
-    # a limit on the rank itself, so that each task keeps that many rows a bridge and round before the shuffle
-    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy(*BRIDGE, "round").orderBy(order, "point_idx"))).where(F.col("rank") <= per_round * min_samples)
+    ranked = least_of_each(each, per_round * min_samples, [*BRIDGE, "round"], [order, F.col("point_idx")], "rank")
     block = ranked.withColumn("block", F.floor((F.col("rank") - 1) / min_samples).cast("int"))
     tried = _fit(block, [*BRIDGE, "round", "block"]).where((F.col("n") == min_samples) & F.col("a").isNotNull())
     # at most ``trials`` planes a bridge, in a stated order
-    planes = tried.groupBy(*BRIDGE).agg(F.array_sort(F.collect_list(F.struct("round", "block", "a", "b", "c"))).alias("planes"))
+    planes = written(tried.groupBy(*BRIDGE).agg(F.array_sort(F.collect_list(F.struct("round", "block", "a", "b", "c"))).alias("planes")))
     residual = lambda p: F.abs(F.col("z") - p["a"] * F.col("cx") - p["b"] * F.col("cy") - p["c"])
-    votes = [F.count_if(residual(F.get("planes", F.lit(i))) <= threshold).alias(f"v{i}") for i in range(per_round * rounds)]
-    scored = centred.join(planes, BRIDGE).groupBy(*BRIDGE).agg(*votes)
-    all_votes = F.array(*(f"v{i}" for i in range(per_round * rounds)))
-    best = scored.join(planes, BRIDGE).select(*BRIDGE, F.get("planes", F.array_position(all_votes, F.array_max(all_votes)).cast("int") - 1).alias("p"))
+    # a vote is a row that the same stage counts at once: a loop over the planes in generated code, which so many aggregates are not
+    voted = centred.join(planes, BRIDGE).select(*BRIDGE, "z", "cx", "cy", F.posexplode("planes").alias("at", "p")).where(residual(F.col("p")) <= threshold)
+    votes = voted.groupBy(*BRIDGE, "at").agg(F.count(F.lit(1)).alias("n")).groupBy(*BRIDGE).agg(F.max_by("at", F.struct("n", -F.col("at"))).alias("at"))
+    best = votes.join(planes, BRIDGE).select(*BRIDGE, F.get("planes", F.col("at")).alias("p"))
     inliers = centred.join(best, BRIDGE).where(residual(F.col("p")) <= threshold)
     refit = _fit(inliers, BRIDGE).select(*BRIDGE, "a", "b", "c").where("a IS NOT NULL")
     counted = centred.join(refit, BRIDGE).groupBy(*BRIDGE, "a", "b", "c").agg(
@@ -98,7 +99,8 @@ def linearity_check(points: DataFrame, threshold: float = 0.35, bins: int = 10)
     width = (F.col("hi") - F.col("lo")) / bins
     binned = placed.join(span, BRIDGE).where((F.col("n_all") >= 50) & (F.col("hi") - F.col("lo") >= 5.0) & (F.col("axis") < F.col("hi")))
     binned = binned.withColumn("bin", F.least(F.floor((F.col("axis") - F.col("lo")) / width), F.lit(bins - 1)).cast("int"))
-    medians = binned.groupBy(*BRIDGE, "bin").agg(F.expr("percentile(z, 0.5)").alias("mz"), F.count(F.lit(1)).alias("n"), F.max(F.col("lo") + (F.col("bin") + 0.5) * width).alias("at"))
+    middle = grouped_median(binned.select(*BRIDGE, "bin", "z"), [*BRIDGE, "bin"], "z").withColumnRenamed("median", "mz")
+    medians = middle.join(span, BRIDGE).select(*BRIDGE, "bin", "mz", "n", (F.col("lo") + (F.col("bin") + 0.5) * width).alias("at"))
     good = medians.where("n >= 5")
     line = good.groupBy(*BRIDGE).agg(F.regr_slope("mz", "at").alias("k"), F.regr_intercept("mz", "at").alias("m"), F.count(F.lit(1)).alias("n_bins"))
     off = good.join(line.where("n_bins >= 3"), BRIDGE).groupBy(*BRIDGE).agg(F.max(F.abs(F.col("mz") - F.col("k") * F.col("at") - F.col("m"))).alias("d"))

@@ -15,10 +15,51 @@ def _ranked(df: DataFrame, groups: list[str], order: list[Column], name: str = "
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
 
 
+def numbered(df: DataFrame, order: list[Column], name: str, groups: list[str] = (), total: str | None = None) -> DataFrame:
+    """Row numbers from 1 over the whole table, or in each group, and the rows there are as ``total``, in two steps:
+    within ranges of the order, then over the ranges' sizes.
+
+    The ranges are written, for they come from a sample and would differ from one reading to the
+    next. A large group lies in many ranges, so no task holds it.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select("*", *(c.alias(f"__k{i}") for i, c in enumerate(order)))
+    keys, own = [f"__k{i}" for i in range(len(order))], [f"__g{i}" for i in range(len(groups))]
+    ranged = written(dealt.repartitionByRange(parts, *groups, *keys).withColumn("__p", F.spark_partition_id()))
+    named = [F.col(c).alias(g) for c, g in zip(groups, own)]
+    sizes = ranged.groupBy(*named, F.col("__p").alias("__q")).agg(F.count(F.lit(1)).alias("__n"))  # a row a group and range
+    before = (F.sum("__n").over(Window.partitionBy(*own).orderBy("__q")) - F.col("__n")).alias("__before")
+    before = sizes.select(*own, "__q", before, *([F.sum("__n").over(Window.partitionBy(*own)).alias(total)] if total else []))
+    within = F.row_number().over(Window.partitionBy(*groups, "__p").orderBy(*keys))
+    same = F.col("__p") == F.col("__q")
+    for c, g in zip(groups, own):
+        same &= F.col(c).eqNullSafe(F.col(g))
+    joined = ranged.withColumn("__w", within).join(before, same)
+    return joined.withColumn(name, (F.col("__w") + F.col("__before")).cast("long")).drop("__p", "__q", "__w", "__before", *keys, *own)
+
+
+#: Parts of a group of which the first rows are taken apart.
+SALTS = 32
+#: Up to this many rows of a group are ranked in one task.
+MOST_RANKED = 1_000
+
+
+def least_of_each(df: DataFrame, most: int, groups: list[str], order: list[Column], name: str = "__r") -> DataFrame:
+    """The first ``most`` rows of each group in an order, with their place in it, from 1.
+
+    The first rows of salted parts of each group come first, and then the first of these, so one task
+    ranks ``SALTS * most`` rows of a group at most. Where that is much, all rows are numbered instead.
+    """
+    if most > MOST_RANKED:
+        return numbered(df, order, name, groups).where(F.col(name) <= most)
+    salted = _ranked(df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS))), [*groups, "__salt"], order).where(F.col("__r") <= most)
+    return _ranked(salted.drop("__r", "__salt"), groups, order, name).where(F.col(name) <= most)
+
+
 def deterministic_order(points: DataFrame, seed: int = SEED) -> DataFrame:
     """``shuffled_idx``: each point's place in its bridge's hash order, from 0."""
-    ranked = _ranked(points, BRIDGE, [hash_order(seed, *BRIDGE, "point_idx"), F.col("point_idx")])
-    return ranked.withColumn("shuffled_idx", F.col("__r").cast("long") - 1).drop("__r")
+    ranked = numbered(points, [hash_order(seed, *BRIDGE, "point_idx"), F.col("point_idx")], "__r", BRIDGE)
+    return ranked.withColumn("shuffled_idx", F.col("__r") - 1).drop("__r")
 
 
 def split_ratios(train: float | None = None, val: float | None = None, test: float | None = None) -> tuple[float, float, float]:
@@ -41,8 +82,7 @@ def stratified_split(bridges: DataFrame, train: float, val: float, test: float,
 
     The rest is test, or val where the test ratio is 0.
     """
-    w = Window.partitionBy(group)
-    ranked = bridges.select("*", F.row_number().over(w.orderBy(hash_order(seed, group, key), F.col(key))).alias("__r"), F.count(F.lit(1)).over(w).alias("__n"))
+    ranked = numbered(bridges, [hash_order(seed, group, key), F.col(key)], "__r", [group], "__n")
     n_train, n_val = F.floor(F.lit(train) * F.col("__n")), F.floor(F.lit(val) * F.col("__n"))
     rest = "test" if test > 0 else "val"
     split = F.when(F.col("__r") <= n_train, "train").when(F.col("__r") <= n_train + n_val, "val").otherwise(rest)
@@ -86,23 +126,7 @@ def _best(df: DataFrame, keys: list[str], pick, by: Column) -> DataFrame:
 
 def cap_per_group(df: DataFrame, cap: int, groups: list[str], keys: list[str], seed: int = SEED) -> DataFrame:
     """At most ``cap`` rows of each group, the first in hash order (voxel cap and point downsampling)."""
-    ranked = _ranked(df, groups, [hash_order(seed, *groups, *keys), *map(F.col, keys)])
-    return ranked.where(F.col("__r") <= cap).drop("__r")
-
-
-def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Row numbers from 1 over the whole table, in two steps: within ranges of the order, then over the ranges' sizes.
-
-    The ranges are written, for they come from a sample and would differ from one reading to the next.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.select("*", *(c.alias(f"__k{i}") for i, c in enumerate(order)))
-    keys = [f"__k{i}" for i in range(len(order))]
-    ranged = written(dealt.repartitionByRange(parts, *keys).withColumn("__p", F.spark_partition_id()))
-    sizes = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))  # a row a partition
-    within = F.row_number().over(Window.partitionBy("__p").orderBy(*keys))
-    return ranged.withColumn("__w", within).join(before, "__p").withColumn(name, (F.col("__w") + F.col("__before")).cast("long")).drop("__p", "__w", "__before", *keys)
+    return least_of_each(df, cap, groups, [hash_order(seed, *groups, *keys), *map(F.col, keys)]).drop("__r")
 
 
 def at_places(df: DataFrame, places: dict[str, tuple[Column, list[float]]]) -> DataFrame:
