@@ -899,17 +899,18 @@ def _stream(spark: SparkSession, sf: str) -> DataFrame:
 @query("s1_live_run_monitor", r"SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start, CAST(regexp_extract(line, 'Child ([0-9]+)', 1) AS INT) AS child, regexp_extract(line, '\] ([A-Z_]+)( |$)', 1) AS event, nullif(regexp_extract(line, 'reason=([a-z_]+)', 1), '') AS reason, count(*) AS n, round(sum(CAST(nullif(regexp_extract(line, 'bridge_seconds=([0-9.]+)s', 1), '') AS DOUBLE)), 2) AS seconds FROM run_logs GROUP BY ALL", "run_logs")
 def _(get, spark, sf):
     folder = shared_folder(spark)
-    monitor.run_once(monitor.live_run_monitor(view_of_stream(_stream(spark, sf), "run_logs")), f"{folder}/out", f"{folder}/state", "complete")
-    read = spark.read.parquet(f"{folder}/out")
+    windows = monitor.live_run_monitor(view_of_stream(_stream(spark, sf), "run_logs"))
+    monitor.upsert_windows(windows, f"{folder}/out", f"{folder}/state")
+    read = monitor.current_windows(spark, f"{folder}/out", windows.schema)
     return rounded(read.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "child", "event", "reason", "n", "seconds"), ["seconds"], 2)
 
 
 @query("s2_incremental_tasks", "SELECT user_id, event_type FROM events GROUP BY ALL")
 def _(get, spark, sf):
     folder = shared_folder(spark)
-    tasks = monitor.incremental_tasks(_stream(spark, sf), ["user_id", "event_type"], late="3650 days")
-    monitor.run_once(tasks.select("user_id", "event_type"), f"{folder}/out", f"{folder}/state")
-    return spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
+    tasks = monitor.incremental_tasks(_stream(spark, sf), ["user_id", "event_type"]).select("user_id", "event_type")
+    monitor.write_new_tasks(tasks, ["user_id", "event_type"], f"{folder}/out", f"{folder}/state")
+    return monitor.written_tasks(spark, f"{folder}/out", tasks.schema)
 
 
 # ---- hulls, registries, reports, learning -------------------------------------------------
