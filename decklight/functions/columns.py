@@ -120,8 +120,16 @@ def parse_curved_log(df: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
+def log_pairs(c) -> Column:
+    """The map of all ``key=value`` words of a line after its event; of a key's values the first."""
+    words = F.filter(F.split(F.regexp_extract(_col(c), r"\] [A-Z_]+ (.*)$", 1), " +"), lambda w: w.rlike("^[^=]+="))
+    keys = F.transform(words, lambda w: F.substring_index(w, "=", 1))
+    first = F.filter(words, lambda w, i: F.array_position(F.transform(words, lambda v: F.substring_index(v, "=", 1)), F.substring_index(w, "=", 1)) == i + 1)
+    return F.map_from_arrays(F.array_distinct(keys), F.transform(first, lambda w: F.regexp_extract(w, "^[^=]+=(.*)$", 1)))
+
+
 def parse_run_log(df: DataFrame, line: str = "line") -> DataFrame:
-    """child, bridge, event, seconds and reason of ``[Child i] [bridge=b] EVENT k=v`` lines; absent parts are null."""
+    """child, bridge, event, seconds and reason of ``[Child i] [bridge=b] EVENT k=v`` lines, and all its pairs; absent parts are null."""
     c = F.col(line)
     part = lambda pattern: F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
     return df.select(
@@ -131,6 +139,7 @@ def parse_run_log(df: DataFrame, line: str = "line") -> DataFrame:
         part(r"\] ([A-Z_]+)(?: |$)").alias("event"),
         part(r"bridge_seconds=([0-9.]+)s").cast("double").alias("seconds"),
         part(r"reason=([a-z_]+)").alias("reason"),
+        log_pairs(c).alias("pairs"),
     )
 
 

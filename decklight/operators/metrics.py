@@ -100,6 +100,21 @@ def micro_metrics(cm: DataFrame) -> DataFrame:
     return class_metrics(total).crossJoin(overall_metrics(total))  # four rows by one
 
 
+def micro_binary(cm: DataFrame) -> DataFrame:
+    """One row: deck against the rest, of the matrix summed over all bridges."""
+    return binary_metrics(cm.groupBy("gold", "pred").agg(F.sum("n").alias("n")))
+
+
+def binary_confusion(cm: DataFrame, keys: list[str] = (), deck: int = 2) -> DataFrame:
+    """(keys, gold_deck, pred_deck, n, percent): the four cells of deck against the rest, and their share of their row, 0 for empty rows."""
+    cells = [(g, p) for g in (False, True) for p in (False, True)]
+    side = lambda c, is_deck: (F.col(c) == deck) if is_deck else (F.col(c) != deck)
+    sums = cm.groupBy(*keys).agg(*(_sum_where(side("gold", g) & side("pred", p)).alias(f"c{i}") for i, (g, p) in enumerate(cells)))
+    rows = {g: sum((F.col(f"c{i}") for i, (h, _) in enumerate(cells) if h == g), F.lit(0)) for g in (False, True)}
+    cell = F.explode(F.array(*(F.struct(F.lit(g).alias("gold_deck"), F.lit(p).alias("pred_deck"), F.col(f"c{i}").alias("n"), (100 * _ratio(F.col(f"c{i}"), rows[g])).alias("percent")) for i, (g, p) in enumerate(cells))))
+    return sums.select(*keys, cell.alias("cell")).select(*keys, "cell.*")
+
+
 def normalized_confusion(cm: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Each cell as a percentage of its row, 0 for empty rows."""
     rows = cm.groupBy(*keys, "gold").agg(F.sum("n").alias("row_n"))
@@ -122,6 +137,27 @@ def model_vs_baseline(model: DataFrame, baseline: DataFrame) -> DataFrame:
     return both.withColumn("delta", F.col("model_iou") - F.col("baseline_iou"))
 
 
+def overall_vs_baseline(model: DataFrame, baseline: DataFrame) -> DataFrame:
+    """(metric, model, baseline, delta): overall accuracy and mean IoU, and of deck against the rest both IoUs and the accuracy, in percent."""
+    names = {"overall_accuracy": 100 * F.col("accuracy"), "mean_iou": F.col("mean_iou"), "deck_iou": F.col("deck_iou"), "rest_iou": F.col("rest_iou"), "binary_accuracy": 100 * F.col("binary_accuracy")}
+
+    def measures(cm: DataFrame, name: str) -> DataFrame:
+        total = cm.groupBy("gold", "pred").agg(F.sum("n").alias("n"))
+        both = overall_metrics(total).crossJoin(binary_metrics(total))  # one row each
+        each = F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), c.alias(name)) for k, c in names.items())))
+        return both.select(each.alias("m")).select("m.*")
+
+    joined = measures(model, "model").join(measures(baseline, "baseline"), "metric")
+    return joined.withColumn("delta", F.col("model") - F.col("baseline"))
+
+
+def epoch_deck_metrics(batches: DataFrame, weight: str = "n", groups: list[str] = ()) -> DataFrame:
+    """The means of the batches' measures, each batch with its ``weight``, over all or in groups such as epochs."""
+    measures = ("recall", "precision", "iou", "accuracy")
+    mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col(weight)), F.sum(F.col(weight).cast("double"))).alias(c)
+    return batches.groupBy(*groups).agg(F.count(F.lit(1)).alias("batches"), *map(mean, measures))
+
+
 def batch_deck_metrics(aligned: DataFrame, batch: Column, deck: int = 2) -> DataFrame:
     """Deck recall, precision, IoU and accuracy of each batch; 0 where undefined."""
     g, p = F.col("gold") == deck, F.col("pred") == deck

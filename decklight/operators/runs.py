@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from decklight.functions.columns import bridge_stem, output_keys, parse_run_log
 from decklight.functions.tables import written
 
+from .selection import grouped_median
 from .splits import at_places
 
 
@@ -79,6 +80,18 @@ def huc_inventory(bridges: DataFrame) -> DataFrame:
     return counted.withColumn("huc_id", F.coalesce("huc_id", F.lit("total")))
 
 
+def huc_totals(bridges: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """One row over the regions of ``asked`` (huc_id), or over all: those that are there and not, those with bridges of each lidar flag, and the bridges."""
+    counts = huc_inventory(bridges).where("huc_id <> 'total'")
+    if asked is not None:
+        counts = asked.select("huc_id").distinct().join(counts, "huc_id", "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return counts.agg(
+        F.count("bridges").alias("processed"), F.count_if(F.col("bridges").isNull()).alias("skipped_missing"), total("bridges").alias("total_bridges"), total("with_lidar").alias("lidar_bridges"),
+        F.count_if(F.col("with_lidar") > 0).alias("hucs_with_lidar"), total("without_lidar").alias("not_lidar_bridges"), F.count_if(F.col("without_lidar") > 0).alias("hucs_with_not_lidar"),
+    )
+
+
 def run_summary(results: DataFrame, by: list[str] = ()) -> DataFrame:
     """Total, success, failed and skipped; a skipped task is a success too."""
     made = F.col("status").isin("success", "skipped")
@@ -118,6 +131,44 @@ def child_summaries(logs: DataFrame) -> DataFrame:
     )
 
 
+def summary_counters(logs: DataFrame) -> DataFrame:
+    """(child, counter, value) of the children's SUMMARY lines, whatever counters they have; values that are no numbers are left out."""
+    rows = parse_run_log(logs).where("event = 'SUMMARY'").select("child", F.explode("pairs").alias("counter", "text"))
+    return rows.select("child", "counter", F.expr("try_cast(text AS DOUBLE)").alias("value")).where("value IS NOT NULL")
+
+
+def summary_totals(logs: DataFrame) -> DataFrame:
+    """Each counter summed over all SUMMARY lines, and how many lines have it."""
+    return summary_counters(logs).groupBy("counter").agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("lines"))
+
+
+def child_reports(logs: DataFrame, expected: int) -> DataFrame:
+    """Each child from 0 to ``expected`` - 1, and any other that reported: its SUMMARY lines, their counters and seconds; nulls without a line."""
+    counter = lambda name: F.sum(F.when(F.col("counter") == name, F.col("value"))).alias(name)
+    names = ["succeeded", "failed", "skipped_exists", "skipped_too_few_points", "download_failed", "total", "wall_clock_seconds", "wall_clock_hours"]
+    own = summary_counters(logs).groupBy("child").agg(F.count_if(F.col("counter") == "wall_clock_seconds").alias("lines"), *map(counter, names))
+    children = logs.sparkSession.range(expected).select(F.col("id").cast("int").alias("child"), F.lit(True).alias("__e"))
+    both = children.join(own, "child", "full_outer")
+    return both.select("child", F.coalesce("__e", F.lit(False)).alias("expected"), F.coalesce("lines", F.lit(0)).cast("long").alias("lines"), *names)
+
+
+def child_timing(logs: DataFrame, expected: int) -> DataFrame:
+    """One row: SUMMARY lines against the children that should be there, their least, greatest and mean seconds, and their hours."""
+    seconds = summary_counters(logs).where("counter = 'wall_clock_seconds'")
+    one = lambda c: F.round(c, 1)
+    return seconds.agg(
+        F.count(F.lit(1)).alias("children_reported"), F.lit(expected).cast("long").alias("children_expected"), one(F.min("value")).alias("min_seconds"), one(F.max("value")).alias("max_seconds"),
+        one(F.avg("value")).alias("avg_seconds"), F.round(F.sum("value") / 3600, 4).alias("total_child_hours"),
+    )
+
+
+def planned_cost(chunks: DataFrame, seconds: float = 90.0, rate: float = 0.234) -> DataFrame:
+    """One row of the plan of ``manifest_chunks``: children, lines and hours of each, and the cost at ``seconds`` a line."""
+    plan = chunks.agg(F.max("array_size").alias("array_size"), F.max("chunk").alias("chunk"))
+    hours = F.col("chunk") * seconds / 3600
+    return plan.select("array_size", "chunk", hours.alias("hours_per_child"), (F.col("array_size") * hours * rate).alias("cost"))
+
+
 def cost_estimate(children: DataFrame, rate: float = 0.234) -> DataFrame:
     """Hours and cost over all children."""
     hours = F.sum("seconds") / 3600
@@ -125,12 +176,14 @@ def cost_estimate(children: DataFrame, rate: float = 0.234) -> DataFrame:
 
 
 def subset_verify(full: DataFrame, subset: DataFrame) -> DataFrame:
-    """Per region: whether ``subset`` holds just the rows of ``full`` with lidar."""
+    """Per region: whether ``subset`` holds just the rows of ``full`` with lidar, and what is wrong if not."""
     a = full.where("has_lidar_tif = 'Y'").select("huc_id", "osmid").distinct().withColumn("in_full", F.lit(1))
     b = subset.select("huc_id", "osmid").distinct().withColumn("in_subset", F.lit(1))
     both = a.join(b, ["huc_id", "osmid"], "full_outer")
     counts = both.groupBy("huc_id").agg(F.count("in_full").alias("expected"), F.count("in_subset").alias("found"), F.bool_and(F.col("in_full").isNotNull() & F.col("in_subset").isNotNull()).alias("same"))
-    return counts.select("huc_id", "expected", "found", F.when(F.col("same"), "PASS").otherwise("FAIL").alias("verdict"))
+    unequal = F.concat(F.lit("count mismatch: expected "), F.col("expected").cast("string"), F.lit(", got "), F.col("found").cast("string"))
+    message = F.when(F.col("same"), "OK").when(F.col("expected") != F.col("found"), unequal).otherwise("osmid set mismatch (counts equal)")
+    return counts.select("huc_id", "expected", "found", F.when(F.col("same"), "PASS").otherwise("FAIL").alias("verdict"), message.alias("message"))
 
 
 def capped_missing(missing: DataFrame, most: int = 1000, column: str = "line") -> DataFrame:
@@ -140,6 +193,12 @@ def capped_missing(missing: DataFrame, most: int = 1000, column: str = "line") -
     return first.crossJoin(total).withColumn("truncated", F.col("total") > most)  # one row by one
 
 
+def id_lists(sample: DataFrame) -> DataFrame:
+    """One row of a sample of bounded size: its regions and its bridges' ids, each once, in order, with spaces between."""
+    listed = lambda c, name: F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), " ").alias(name)
+    return sample.agg(listed("huc_id", "hucs"), listed("osmid", "osm_ids"))
+
+
 def results_csv(results: DataFrame) -> DataFrame:
     """The result file's text columns: three decimals, empty where null."""
     three = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.format_string("%.3f", F.col(c))), F.lit("")).alias(c)
@@ -197,6 +256,13 @@ def point_count_histogram(metadata: DataFrame, bins: int = 40) -> DataFrame:
     return placed.groupBy("bin").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("n"))
 
 
+def point_count_stats(metadata: DataFrame) -> DataFrame:
+    """One row: clouds, and the median, mean, least and greatest of their points."""
+    sums = metadata.agg(F.count("n_points").alias("clouds"), F.avg("n_points").alias("mean"), F.min("n_points").alias("min"), F.max("n_points").alias("max"))
+    middle = grouped_median(metadata.select(F.lit(0).alias("all"), "n_points"), ["all"], "n_points").select("median")
+    return sums.crossJoin(middle)  # a row each
+
+
 def robust_bounds(boxes: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """One row: interpolated quantiles of minx, miny (``low``) and maxx, maxy (``high``) of some boxes, and width over height."""
     n = boxes.count()
@@ -206,23 +272,35 @@ def robust_bounds(boxes: DataFrame, low: float = 0.01, high: float = 0.99) -> Da
     return one.withColumn("aspect", F.try_divide(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")))
 
 
-def postrun_report(manifest: DataFrame, listing: DataFrame, logs: DataFrame, prefix: str, mode: str, rate: float = 0.234) -> DataFrame:
-    """One row of JSON: audit, child and bridge timing, cost and the reasons of what is missing."""
-    audit = audit_outputs(manifest, listing, prefix, mode)
-    totals = audit.agg(F.count(F.lit(1)).alias("lines"), F.count_if("complete").alias("complete"), F.count_if(~F.col("complete")).alias("missing"))
+def postrun_report(
+    manifest: DataFrame, listing: DataFrame, logs: DataFrame, prefix: str, mode: str, expected_children: int, rate: float = 0.234, most: int = 1_000
+) -> DataFrame:
+    """One nested row: audit, counters of the SUMMARY lines, child and bridge timing, cost, and what is missing and why.
+
+    ``missing_entries`` are the first ``most`` missing lines of the manifest in its order, with
+    ``missing_entries_truncated`` and ``total_missing`` if there are more; ``missing_reasons`` the
+    reasons that the logs give for these. ``counts_by_reason`` is over all missing lines.
+    """
+    audit = written(audit_outputs(manifest, listing, prefix, mode))
+    totals = audit.agg(F.count(F.lit(1)).alias("total"), F.count_if("complete").alias("found"), F.count_if(~F.col("complete")).alias("missing"))
     stem = F.regexp_replace(F.substring_index("line", "/", -1), r"\.(laz|las)$", "")
-    missing = audit.where(~F.col("complete")).select("line", stem.alias("bridge"))
-    reasons = missing_reasons(missing, logs).groupBy(F.coalesce("reason", F.lit("unknown")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-    by_reason = reasons.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("m"))  # a handful of reasons
-    children = child_summaries(logs)
-    per_child = children.agg(
-        F.count(F.lit(1)).alias("children"), F.round(F.avg("seconds"), 1).alias("avg_seconds"), F.round(F.min("seconds"), 1).alias("min_seconds"), F.round(F.max("seconds"), 1).alias("max_seconds"),
-        *(F.sum(c).alias(c) for c in ("ok", "failed", "exists", "small")),
-    )
-    cost = cost_estimate(children, rate)
-    parts = {"audit": totals, "children": per_child, "timing": bridge_timing(logs), "cost": cost, "missing_by_reason": by_reason}
-    out = None
-    for name, df in parts.items():  # one row each
-        one = df.select(F.struct(*df.columns).alias(name)) if name != "missing_by_reason" else df.select(F.col("m").alias(name))
-        out = one if out is None else out.crossJoin(one)
-    return out.select(F.to_json(F.struct(*parts)).alias("report"))
+    missing = written(missing_reasons(audit.where(~F.col("complete")).select("line_no", "line", stem.alias("bridge")), logs))
+    first = missing.orderBy("line_no", "line").limit(most).agg(F.array_sort(F.collect_list(F.struct("line_no", "line", "reason"))).alias("e"))  # ``most`` at most
+    known = F.filter("e", lambda x: x["reason"].isNotNull())
+    once = F.filter(known, lambda x, i: F.array_position(F.transform(known, lambda y: y["line"]), x["line"]) == i + 1)
+    entries = first.select(F.transform("e", lambda x: x["line"]).alias("missing_entries"), F.map_from_entries(F.transform(once, lambda x: F.struct(x["line"], x["reason"]))).alias("missing_reasons"))
+    reasons = missing.groupBy(F.coalesce("reason", F.lit("unknown")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    by_reason = reasons.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("counts_by_reason"))  # a handful of reasons
+    counters = summary_totals(logs).where("counter NOT LIKE 'wall%'").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("counter", F.col("total").cast("long"))))).alias("aggregated_results"))
+    timing = child_timing(logs, expected_children)
+    cost = timing.select("total_child_hours", F.lit(rate).alias("spot_rate_usd"), F.round(F.col("total_child_hours") * rate, 2).alias("estimated_compute_usd"))
+    one = lambda df, name: df.select(F.struct(*df.columns).alias(name))
+    out = one(totals, "audit")
+    for df in (counters, one(timing, "child_timing"), one(bridge_timing(logs), "bridge_timing"), one(cost, "cost_estimate"), entries, by_reason):  # one row each
+        out = out.crossJoin(df)
+    more = F.col("audit.missing") > most
+    return out.withColumn("missing_entries_truncated", more).withColumn("total_missing", F.when(more, F.col("audit.missing")))
+
+
+def report_json(report: DataFrame) -> DataFrame:
+    return report.select(F.to_json(F.struct(*report.columns)).alias("report"))

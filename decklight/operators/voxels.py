@@ -125,8 +125,13 @@ def min_points_gate(points: DataFrame, least: int = 100) -> DataFrame:
     return counts.withColumn("status", F.when(F.col("n_points") < least, "skipped").otherwise("ok"))
 
 
-def augment_points(points: DataFrame, seed: int = 27, jitter: float = 0.01) -> DataFrame:
-    """Each cloud turned about z by a hashed angle, each point moved by hashed normal noise, then shifted to its minimum."""
+def augment_points(points: DataFrame, seed: int = 27, jitter: float = 0.01, extra: bool = False) -> DataFrame:
+    """Each cloud turned about z by a hashed angle, each point moved by hashed normal noise, then shifted to its minimum.
+
+    With ``extra`` a cloud may also be flipped in x and in y, is scaled by 0.9 to 1.1 and loses 5 to 10 % of
+    its points, unless 10 or fewer would stay; ``intensity`` gets noise of 0.02 within 0 and 1. Other
+    columns of the points are kept then.
+    """
 
     def uniform(name: str, *keys: str) -> Column:
         digits = F.substring(hash_order(seed, F.lit(name), *keys), 1, 8)
@@ -136,8 +141,20 @@ def augment_points(points: DataFrame, seed: int = 27, jitter: float = 0.01) -> D
         return F.sqrt(-2 * F.ln(uniform(name + "a", *BRIDGE, "point_idx"))) * F.cos(2 * F.pi() * uniform(name + "b", *BRIDGE, "point_idx"))
 
     angle = 2 * F.pi() * uniform("angle", *BRIDGE)
-    turned = points.select(
-        *BRIDGE, "point_idx", (F.col("x") * F.cos(angle) - F.col("y") * F.sin(angle) + jitter * normal("x")).alias("x"),
-        (F.col("x") * F.sin(angle) + F.col("y") * F.cos(angle) + jitter * normal("y")).alias("y"), (F.col("z") + jitter * normal("z")).alias("z"),
-    )
-    return shift_to_min(turned)
+    moved = {
+        "x": F.col("x") * F.cos(angle) - F.col("y") * F.sin(angle) + jitter * normal("x"), "y": F.col("x") * F.sin(angle) + F.col("y") * F.cos(angle) + jitter * normal("y"),
+        "z": F.col("z") + jitter * normal("z"),
+    }
+    if not extra:
+        return shift_to_min(points.select(*BRIDGE, "point_idx", *(c.alias(k) for k, c in moved.items())))
+    flip = lambda k: F.when(uniform("flip" + k, *BRIDGE) > 0.5, -1.0).otherwise(1.0) if k != "z" else F.lit(1.0)
+    scale = 0.9 + 0.2 * uniform("scale", *BRIDGE)
+    kept = uniform("drop", *BRIDGE, "point_idx") > 0.05 + 0.05 * uniform("rate", *BRIDGE)
+    noisy = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("intensity") + 0.02 * normal("intensity")))
+    changed = {k: c * flip(k) * scale for k, c in moved.items()} | {"intensity": noisy}
+    rows = points.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in points.columns), kept.alias("__kept"))
+    low = [F.min(F.when(F.col("__kept"), F.col(c))).alias(f"__{c}") for c in "xyz"] + [F.min(c).alias(f"__all_{c}") for c in "xyz"]
+    clouds = rows.groupBy(*BRIDGE).agg(F.count_if("__kept").alias("__left"), *low)  # of what is left, and of all for the clouds under the guard
+    guarded = F.col("__left") <= 10
+    shifted = {c: F.col(c) - F.when(guarded, F.col(f"__all_{c}")).otherwise(F.col(f"__{c}")) for c in "xyz"}
+    return rows.join(clouds, BRIDGE).where(F.col("__kept") | guarded).select(*(shifted[c].alias(c) if c in shifted else F.col(c) for c in points.columns))

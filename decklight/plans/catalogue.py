@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None, *views: str):
     def put(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             def get(n: str) -> DataFrame:
-                made = n in ("points", "bridges", "sources", "run_logs", "curved_logs", "metrics")
+                made = n in ("points", "bridges", "sources", "run_logs", "curved_logs", "metrics", "summaries")
                 return view(spark, sf_dir, n) if made else spark.read.parquet(f"{sf_dir}/{n}.parquet")
 
             return build(get, spark, sf_dir)
@@ -241,6 +241,23 @@ def _(get, spark, sf):
     return rounded(V.augment_points(get("points")), ["x", "y", "z"])
 
 
+def _augmented_sql() -> str:
+    keys, point = "huc_id, bridge_id", "huc_id, bridge_id, CAST(point_idx AS VARCHAR)"
+    flip = lambda c: f"CASE WHEN {_uniform_sql('flip' + c, keys)} > 0.5 THEN -1 ELSE 1 END"
+    moved = {"x": f"(x * cos(a) - y * sin(a) + 0.01 * {_normal_sql('x')}) * {flip('x')}", "y": f"(x * sin(a) + y * cos(a) + 0.01 * {_normal_sql('y')}) * {flip('y')}", "z": f"(z + 0.01 * {_normal_sql('z')})"}
+    xyz = ", ".join(f"{sql} * (0.9 + 0.2 * {_uniform_sql('scale', keys)}) AS {c}" for c, sql in moved.items())
+    return f"""SELECT huc_id, bridge_id, point_idx, gold, round(intensity, 4) AS intensity, {", ".join(f"round({c} - min({c}) OVER (PARTITION BY huc_id, bridge_id), 4) AS {c}" for c in "xyz")} FROM (
+  SELECT *, sum(CASE WHEN kept THEN 1 ELSE 0 END) OVER (PARTITION BY huc_id, bridge_id) AS n_left FROM (
+    SELECT huc_id, bridge_id, point_idx, gold, greatest(0, least(1, intensity / 100000 + 0.02 * {_normal_sql('intensity')})) AS intensity, {xyz}, {_uniform_sql('drop', point)} > 0.05 + 0.05 * {_uniform_sql('rate', keys)} AS kept
+    FROM (SELECT *, 2 * pi() * {_uniform_sql("angle", keys)} AS a FROM points))) WHERE kept OR n_left <= 10"""
+
+
+@query("b15_augment_extra", _augmented_sql(), "points")
+def _(get, spark, sf):
+    points = get("points").select(*B, "point_idx", "x", "y", "z", (F.col("intensity") / 100000).alias("intensity"), "gold")
+    return rounded(V.augment_points(points, extra=True), ["x", "y", "z", "intensity"])
+
+
 @query("b16_output_keys", "SELECT osmid, concat('out/', huc_id, '/', osmid, s, '.laz') AS key FROM bridges, (SELECT unnest(['_predicted', '_bridge_masked']) AS s)", "bridges")
 def _(get, spark, sf):
     lines = get("bridges").select("osmid", F.concat("huc_id", F.lit("/"), "osmid", F.lit(".laz")).alias("line"))
@@ -288,9 +305,11 @@ def _(get, spark, sf):
     return C.parse_curved_log(get("curved_logs")).drop("line")
 
 
-@query("b24_parse_run_log", r"SELECT line_no, CAST(regexp_extract(line, 'Child ([0-9]+)', 1) AS INT) AS child, regexp_extract(line, 'bridge=([^\]]+)', 1) AS bridge, regexp_extract(line, '\] ([A-Z_]+)( |$)', 1) AS event, CAST(nullif(regexp_extract(line, 'bridge_seconds=([0-9.]+)s', 1), '') AS DOUBLE) AS seconds, nullif(regexp_extract(line, 'reason=([a-z_]+)', 1), '') AS reason FROM run_logs", "run_logs")
+@query("b24_parse_run_log", r"SELECT line_no, CAST(regexp_extract(line, 'Child ([0-9]+)', 1) AS INT) AS child, regexp_extract(line, 'bridge=([^\]]+)', 1) AS bridge, regexp_extract(line, '\] ([A-Z_]+)( |$)', 1) AS event, CAST(nullif(regexp_extract(line, 'bridge_seconds=([0-9.]+)s', 1), '') AS DOUBLE) AS seconds, nullif(regexp_extract(line, 'reason=([a-z_]+)', 1), '') AS reason, coalesce(list_aggregate(list_sort(list_filter(string_split(regexp_extract(line, '\] [A-Z_]+ (.*)$', 1), ' '), lambda w: w LIKE '_%=%')), 'string_agg', ' '), '') AS pairs FROM (SELECT line_no, line FROM run_logs UNION ALL SELECT line_no, line FROM summaries)", "run_logs", "summaries")
 def _(get, spark, sf):
-    return C.parse_run_log(get("run_logs")).drop("line", "ts")
+    logs = get("run_logs").select("line_no", "line").unionByName(get("summaries"))
+    pairs = F.transform(F.map_entries("pairs"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return C.parse_run_log(logs).drop("line").withColumn("bridge", F.coalesce("bridge", F.lit(""))).withColumn("pairs", F.array_join(F.array_sort(pairs), " "))
 
 
 _EPOCHS = "SELECT epoch, max(train_loss_epoch) AS train_loss_epoch, max(val_loss) AS val_loss, max(val_deck_iou) AS val_deck_iou FROM metrics GROUP BY epoch"
@@ -580,6 +599,33 @@ def _(get, spark, sf):
     return rounded(M.model_vs_baseline(cm_of(get), cm_of(get, "silver")), ["model_iou", "baseline_iou", "delta"])
 
 
+_BINARY = ["deck_precision", "deck_recall", "deck_f1", "deck_iou", "deck_support", "rest_precision", "rest_recall", "rest_f1", "rest_iou", "rest_support", "binary_accuracy"]
+
+
+@query("d13_micro_binary", with_cm(f"SELECT {', '.join(_BINARY)} FROM ({_binary_sql().replace('FROM cm GROUP BY ALL', 'FROM total_cm GROUP BY ALL')})", ", total_cm AS (SELECT '' AS huc_id, '' AS bridge_id, gold, pred, CAST(sum(n) AS BIGINT) AS n FROM cm GROUP BY gold, pred)"))
+def _(get, spark, sf):
+    return _sixes(M.micro_binary(cm_of(get)))
+
+
+@query("d14_binary_confusion", with_cm("SELECT huc_id, bridge_id, gold_deck, pred_deck, n, round(CASE WHEN sum(n) OVER w > 0 THEN 100 * n / sum(n) OVER w ELSE 0 END, 4) AS percent FROM (SELECT huc_id, bridge_id, gold = 2 AS gold_deck, pred = 2 AS pred_deck, CAST(sum(n) AS BIGINT) AS n FROM cm GROUP BY ALL) WINDOW w AS (PARTITION BY huc_id, bridge_id, gold_deck)"))
+def _(get, spark, sf):
+    return rounded(M.binary_confusion(cm_of(get), B), ["percent"])
+
+
+def _overall_sql(name: str) -> str:
+    """(metric, value) of one summed matrix."""
+    s = lambda c: f"sum(CASE WHEN {c} THEN n ELSE 0 END)"
+    tp, fp, fn, tn = s("gold = 2 AND pred = 2"), s("gold <> 2 AND pred = 2"), s("gold = 2 AND pred <> 2"), s("gold <> 2 AND pred <> 2")
+    values = {"overall_accuracy": f"{s('gold = pred')} / sum(n)", "deck_iou": f"{tp} / ({tp} + {fp} + {fn})", "rest_iou": f"{tn} / ({tn} + {fp} + {fn})", "binary_accuracy": f"({tp} + {tn}) / sum(n)"}
+    rows = [f"SELECT '{k}' AS metric, 100 * {v} AS value FROM {name}" for k, v in values.items()]
+    return " UNION ALL ".join([*rows, f"SELECT 'mean_iou', avg(iou) FROM ({_class_sql(name)}) WHERE support > 0"])
+
+
+@query("c17_overall_vs_baseline", with_duck("", "points").rstrip() + f", m AS (SELECT gold, pred, count(*) AS n FROM points GROUP BY ALL), b AS (SELECT gold, silver AS pred, count(*) AS n FROM points GROUP BY ALL) SELECT metric, round(x.value, 4) AS model, round(y.value, 4) AS baseline, round(x.value - y.value, 4) AS delta FROM ({_overall_sql('m')}) x JOIN ({_overall_sql('b')}) y USING (metric)")
+def _(get, spark, sf):
+    return rounded(M.overall_vs_baseline(cm_of(get), cm_of(get, "silver")), ["model", "baseline", "delta"])
+
+
 _PLANE_POINTS = "huc_id, bridge_id, CAST(point_idx AS VARCHAR)"
 PLANE_SQL = f"""centers AS (SELECT huc_id, bridge_id, avg(x) AS x_center, avg(y) AS y_center, count(*) AS n_points FROM points GROUP BY ALL),
 centred AS (SELECT p.huc_id, p.bridge_id, point_idx, z, x - x_center AS cx, y - y_center AS cy FROM points p JOIN centers USING (huc_id, bridge_id)),
@@ -587,7 +633,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY huc_id, bridge_id, round OR
 sums AS (SELECT huc_id, bridge_id, round, rk // 10 AS block, CAST(count(*) AS DOUBLE) AS n, sum(cx) AS sx, sum(cy) AS sy, sum(z) AS sz, sum(cx * cx) AS xx, sum(cy * cy) AS yy, sum(cx * cy) AS xy, sum(cx * z) AS xz, sum(cy * z) AS yz FROM ranked WHERE rk // 10 < 25 GROUP BY ALL HAVING count(*) = 10),
 solved AS (SELECT *, xx - sx * sx / n AS sxx, yy - sy * sy / n AS syy, xy - sx * sy / n AS sxy, xz - sx * sz / n AS sxz, yz - sy * sz / n AS syz FROM sums),
 planes AS (SELECT huc_id, bridge_id, round, block, (sxz * syy - syz * sxy) / (sxx * syy - sxy * sxy) AS a, (syz * sxx - sxz * sxy) / (sxx * syy - sxy * sxy) AS b, n, sx, sy, sz FROM solved WHERE abs(sxx * syy - sxy * sxy) >= 1e-9),
-votes AS (SELECT huc_id, bridge_id, round, block, a, b, (sz - a * sx - b * sy) / n AS c, (SELECT count(*) FROM centred q WHERE q.huc_id = p.huc_id AND q.bridge_id = p.bridge_id AND abs(z - p.a * cx - p.b * cy - (p.sz - p.a * p.sx - p.b * p.sy) / p.n) <= 0.20) AS votes FROM planes p),
+votes AS MATERIALIZED (SELECT huc_id, bridge_id, round, block, a, b, c, count_if(abs(z - a * cx - b * cy - c) <= 0.20) AS votes FROM (SELECT *, (sz - a * sx - b * sy) / n AS c FROM planes) JOIN centred USING (huc_id, bridge_id) GROUP BY ALL),
 best AS (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY huc_id, bridge_id ORDER BY votes DESC, round, block) = 1),
 again AS (SELECT q.huc_id, q.bridge_id, CAST(count(*) AS DOUBLE) AS n, sum(cx) AS sx, sum(cy) AS sy, sum(z) AS sz, sum(cx * cx) AS xx, sum(cy * cy) AS yy, sum(cx * cy) AS xy, sum(cx * z) AS xz, sum(cy * z) AS yz FROM centred q JOIN best USING (huc_id, bridge_id) WHERE abs(z - a * cx - b * cy - c) <= 0.20 GROUP BY ALL),
 refit AS (SELECT huc_id, bridge_id, n, sx, sy, sz, ((xz - sx * sz / n) * (yy - sy * sy / n) - (yz - sy * sz / n) * (xy - sx * sy / n)) / ((xx - sx * sx / n) * (yy - sy * sy / n) - (xy - sx * sy / n) * (xy - sx * sy / n)) AS a,
@@ -662,6 +708,12 @@ def _(get, spark, sf):
     return R.huc_inventory(get("bridges"))
 
 
+@query("d25_huc_totals", "WITH per AS (SELECT lpad(CAST(n_nationkey + 20 AS VARCHAR), 8, '0') AS asked, count(osmid) AS n, count_if(has_lidar_tif = 'Y') AS y, count_if(has_lidar_tif = 'N') AS o FROM nation LEFT JOIN bridges ON huc_id = lpad(CAST(n_nationkey + 20 AS VARCHAR), 8, '0') GROUP BY ALL) SELECT count_if(n > 0)::BIGINT AS processed, count_if(n = 0)::BIGINT AS skipped_missing, sum(n)::BIGINT AS total_bridges, sum(y)::BIGINT AS lidar_bridges, count_if(y > 0)::BIGINT AS hucs_with_lidar, sum(o)::BIGINT AS not_lidar_bridges, count_if(o > 0)::BIGINT AS hucs_with_not_lidar FROM per".replace("WITH per AS", ", per AS", 1), "bridges")
+def _(get, spark, sf):
+    asked = get("nation").select(F.lpad((F.col("n_nationkey") + 20).cast("string"), 8, "0").alias("huc_id"))  # some are not there
+    return R.huc_totals(get("bridges"), asked)
+
+
 @query("d26_run_summary", "SELECT bridge_type, count(*) AS total, count_if(has_lidar_tif = 'Y' OR CAST(osmid AS BIGINT) % 3 = 0)::BIGINT AS success, count_if(NOT (has_lidar_tif = 'Y' OR CAST(osmid AS BIGINT) % 3 = 0))::BIGINT AS failed, count_if(CAST(osmid AS BIGINT) % 3 = 0)::BIGINT AS skipped FROM bridges GROUP BY ALL", "bridges")
 def _(get, spark, sf):
     status = F.when(F.expr("CAST(osmid AS BIGINT) % 3 = 0"), "skipped").when(F.col("has_lidar_tif") == "Y", "success").otherwise("timeout")
@@ -676,6 +728,30 @@ def _(get, spark, sf):
     return rounded(R.child_summaries(get("run_logs")), ["seconds"], 2)
 
 
+_CHILDREN = "(SELECT CAST(user_id % 10 AS INT) AS child, count_if(event_type = 'purchase') AS succeeded, count_if(event_type = 'error') AS failed, count_if(event_type = 'click') AS skipped_exists, count_if(event_type = 'signup') AS skipped_too_few_points, count_if(event_type = 'view') AS download_failed, count(*) AS total, sum(event_id % 97) AS wall_clock_seconds FROM events GROUP BY ALL)"
+_COUNTERS = ["succeeded", "failed", "skipped_exists", "skipped_too_few_points", "download_failed", "total", "wall_clock_seconds"]
+_HOURS = "floor(wall_clock_seconds * CAST(10000 AS DOUBLE) / 3600) / 10000"
+
+
+def _logs(get) -> DataFrame:
+    return get("run_logs").select("line_no", "line").unionByName(get("summaries"))
+
+
+@query("d27_summary_totals", " UNION ALL ".join(f"SELECT '{c}' AS counter, CAST(sum({c}) AS DOUBLE) AS total, count(*) AS lines FROM {_CHILDREN}" for c in _COUNTERS) + f" UNION ALL SELECT 'wall_clock_hours', round(sum({_HOURS}), 6), count(*) FROM {_CHILDREN}")
+def _(get, spark, sf):
+    return rounded(R.summary_totals(_logs(get)), ["total"], 6)
+
+
+@query("d27_child_reports", f"SELECT CAST(i AS INT) AS child, true AS expected, CASE WHEN total IS NULL THEN 0 ELSE 1 END AS lines, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _COUNTERS)}, round({_HOURS}, 6) AS wall_clock_hours FROM (SELECT unnest(range(12)) AS i) LEFT JOIN {_CHILDREN} ON child = i")
+def _(get, spark, sf):
+    return rounded(R.child_reports(_logs(get), 12), ["wall_clock_hours"], 6)
+
+
+@query("d27_child_timing", f"SELECT count(*) AS children_reported, 12 AS children_expected, CAST(min(wall_clock_seconds) AS DOUBLE) AS min_seconds, CAST(max(wall_clock_seconds) AS DOUBLE) AS max_seconds, round(avg(wall_clock_seconds), 1) AS avg_seconds, round(sum(wall_clock_seconds) / 3600, 4) AS total_child_hours FROM {_CHILDREN}")
+def _(get, spark, sf):
+    return R.child_timing(_logs(get), 12)
+
+
 @query("d28_bridge_timing", f"WITH s AS (SELECT list_sort(list(seconds)) AS v, count(*) AS n, avg(seconds) AS m FROM {_PARSED} WHERE seconds IS NOT NULL) SELECT n AS count, round(m, 1) AS avg, round(v[CAST(least(floor(n * 50 / 100), n - 1) AS BIGINT) + 1], 1) AS p50, round(v[CAST(least(floor(n * 95 / 100), n - 1) AS BIGINT) + 1], 1) AS p95, round(v[1], 1) AS min, round(v[-1], 1) AS max FROM s")
 def _(get, spark, sf):
     return R.bridge_timing(get("run_logs"))
@@ -696,6 +772,12 @@ def _(get, spark, sf):
     return rounded(R.cost_estimate(R.child_summaries(get("run_logs"))), ["hours", "cost"])
 
 
+@query("d30_planned_cost", "SELECT size AS array_size, ceil(n / size)::BIGINT AS chunk, round(ceil(n / size) * 90 / 3600, 4) AS hours_per_child, round(size * (ceil(n / size) * 90 / 3600) * CAST(0.234 AS DOUBLE), 4) AS cost FROM (SELECT count(*) AS n, CASE WHEN count(*) <= 60 THEN 1 ELSE least(ceil(count(*) / 60), 10000)::BIGINT END AS size FROM bridges)", "bridges")
+def _(get, spark, sf):
+    lines = get("bridges").select("osmid", F.col("osmid").cast("long").alias("line_no"))
+    return rounded(R.planned_cost(E.manifest_chunks(lines)), ["hours_per_child", "cost"])
+
+
 @query("d31_split_stats", with_splits("SELECT coalesce(split, 'all') AS split, count(*) AS n_rows, count(DISTINCT huc_id) AS n_hucs FROM used_splits GROUP BY ROLLUP (split)"))
 def _(get, spark, sf):
     return E.split_stats(splits_of(get))
@@ -723,6 +805,14 @@ def _(get, spark, sf):
     return rounded(made, ["recall", "precision", "iou", "accuracy"], 6)
 
 
+@query("d36_epoch_deck_metrics", "WITH b AS (SELECT CAST(bridge_id AS BIGINT) % 8 AS batch_no, count(DISTINCT bridge_id) AS clouds, count_if(gold = 2 AND pred = 2) / count_if(gold = 2) AS recall, count_if(gold = 2 AND pred = 2) / count_if(pred = 2) AS precision, count_if(gold = 2 AND pred = 2) / count_if(gold = 2 OR pred = 2) AS iou, count_if(gold = pred) / count(*) AS accuracy FROM points GROUP BY ALL) SELECT CAST(batch_no % 2 AS BIGINT) AS epoch, count(*) AS batches, round(sum(recall * clouds) / sum(clouds), 6) AS recall, round(sum(precision * clouds) / sum(clouds), 6) AS precision, round(sum(iou * clouds) / sum(clouds), 6) AS iou, round(sum(accuracy * clouds) / sum(clouds), 6) AS accuracy FROM b GROUP BY ALL".replace("WITH b AS", ", b AS", 1), "points")
+def _(get, spark, sf):
+    points, number = get("points"), F.expr("CAST(bridge_id AS BIGINT) % 8")
+    clouds = points.select(*B, number.alias("batch_no")).distinct().groupBy("batch_no").agg(F.count(F.lit(1)).alias("clouds"))
+    batches = M.batch_deck_metrics(points, number).join(clouds, "batch_no").withColumn("epoch", F.col("batch_no") % 2)
+    return rounded(M.epoch_deck_metrics(batches, "clouds", ["epoch"]), ["recall", "precision", "iou", "accuracy"], 6)
+
+
 _P = "list_transform(l, lambda x: exp(x - list_max(l)) / list_sum(list_transform(l, lambda y: exp(y - list_max(l)))))"
 
 
@@ -740,7 +830,7 @@ def _(get, spark, sf):
     return rounded(made, ["ratio", "points_share_2", "voxels_share_2"])
 
 
-@query("d39_subset_verify", "SELECT huc_id, count_if(has_lidar_tif = 'Y')::BIGINT AS expected, count_if(has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0))::BIGINT AS found, CASE WHEN bool_or(has_lidar_tif = 'Y' AND huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0) THEN 'FAIL' ELSE 'PASS' END AS verdict FROM bridges GROUP BY huc_id HAVING count_if(has_lidar_tif = 'Y') > 0", "bridges")
+@query("d39_subset_verify", "SELECT huc_id, count_if(has_lidar_tif = 'Y')::BIGINT AS expected, count_if(has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0))::BIGINT AS found, CASE WHEN bool_or(has_lidar_tif = 'Y' AND huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0) THEN 'FAIL' ELSE 'PASS' END AS verdict, CASE WHEN bool_or(has_lidar_tif = 'Y' AND huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0) THEN concat('count mismatch: expected ', count_if(has_lidar_tif = 'Y'), ', got ', count_if(has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0))) ELSE 'OK' END AS message FROM bridges GROUP BY huc_id HAVING count_if(has_lidar_tif = 'Y') > 0", "bridges")
 def _(get, spark, sf):
     bridges = get("bridges")
     damaged = bridges.where("has_lidar_tif = 'Y' AND NOT (huc_id IN ('00000003', '00000004') AND CAST(osmid AS BIGINT) % 2 = 0)")
@@ -868,6 +958,11 @@ def _(get, spark, sf):
     return get("bridges").agg(F.array_join(F.array_sort(F.collect_set("huc_id")), " ").alias("hucs"))
 
 
+@query("f4_sample_id_lists", f"SELECT string_agg(DISTINCT huc_id, ' ' ORDER BY huc_id) AS hucs, string_agg(DISTINCT osmid, ' ' ORDER BY osmid) AS osm_ids FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY huc_id ORDER BY {_HASH}, osmid) AS rk FROM bridges) WHERE rk <= 3 ORDER BY rk, md5(concat_ws('|', '27', huc_id)), huc_id LIMIT 40)", "bridges")
+def _(get, spark, sf):
+    return R.id_lists(E.round_robin_sample(get("bridges"), 40, 3))
+
+
 @query("g1_used_ids_union", with_splits("SELECT DISTINCT bridge_stem, osmid AS osm_id FROM used_splits"))
 def _(get, spark, sf):
     splits = splits_of(get)
@@ -953,8 +1048,12 @@ def _(get, spark, sf):
 
 @query("d32_point_count_histogram", "WITH n AS (SELECT l_suppkey, log10(CAST(count(*) AS DOUBLE)) AS l FROM lineitem GROUP BY l_suppkey), s AS (SELECT min(l) AS lo, max(l) AS hi FROM n) SELECT bin, round(min(lo + bin * (hi - lo) / 40), 6) AS least, count(*) AS n FROM (SELECT CAST(least(floor((l - lo) / ((hi - lo) / 40)), 39) AS INT) AS bin, lo, hi FROM n, s) GROUP BY bin")
 def _(get, spark, sf):
-    counts = get("lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_points"))
-    return rounded(R.point_count_histogram(counts), ["least"], 6)
+    return rounded(R.point_count_histogram(V.cloud_metadata(get("points"))), ["least"], 6)
+
+
+@query("d32_point_count_stats", "SELECT count(*) AS clouds, round(median(n), 4) AS median, round(avg(n), 4) AS mean, min(n) AS min, max(n) AS max FROM (SELECT count(*) AS n FROM points GROUP BY huc_id, bridge_id)", "points")
+def _(get, spark, sf):
+    return rounded(R.point_count_stats(V.cloud_metadata(get("points"))), ["median", "mean"])
 
 
 _UNSEEN = f"SELECT osmid, huc_id, source_name, osmid IN (SELECT osmid FROM used_splits) AS proven FROM ({_PAIRS})"
@@ -1044,12 +1143,33 @@ def _(get, spark, sf):
     return count("source").unionByName(count("labelled"))
 
 
-@query("d41_postrun_report")
+_STATE_OF = "CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'timeout' ELSE 'inference_error' END WHEN event_type IN ('purchase', 'click', 'view') THEN NULL ELSE 'too_few_points' END"
+_REPORT = f"""WITH lost AS (SELECT event_id, {_STATE_OF} AS reason FROM events WHERE event_id % 7 = 0), first AS (SELECT * FROM lost ORDER BY event_id LIMIT 50),
+timed AS (SELECT count(*) AS n, round(avg(s), 1) AS m FROM (SELECT floor(abs(value)) + 0.25 AS s FROM events WHERE event_type = 'purchase')),
+children AS (SELECT count(*) AS n, round(sum(wall_clock_seconds) / 3600, 4) AS h FROM {_CHILDREN})
+SELECT (SELECT count(*) FROM events) AS total, (SELECT count(*) FROM events WHERE event_id % 7 <> 0) AS found, (SELECT count(*) FROM lost) AS missing,
+  (SELECT CAST(sum(succeeded) AS BIGINT) FROM {_CHILDREN}) AS succeeded, (SELECT CAST(sum(download_failed) AS BIGINT) FROM {_CHILDREN}) AS download_failed,
+  children.n AS children_reported, CAST(12 AS BIGINT) AS children_expected, h AS total_child_hours, round(h * CAST(0.234 AS DOUBLE), 2) AS estimated_compute_usd, timed.n AS bridges_timed, timed.m AS avg_bridge_seconds,
+  (SELECT string_agg(concat('h/bridge_', event_id), ' ' ORDER BY event_id) FROM first) AS missing_entries, (SELECT count(*) > 50 FROM lost) AS missing_entries_truncated,
+  CASE WHEN (SELECT count(*) FROM lost) > 50 THEN (SELECT count(*) FROM lost) END AS total_missing,
+  coalesce((SELECT string_agg(concat('h/bridge_', event_id, '=', reason), ' ' ORDER BY concat('h/bridge_', event_id, '=', reason)) FROM first WHERE reason IS NOT NULL), '') AS missing_reasons,
+  (SELECT string_agg(concat(r, '=', n), ' ' ORDER BY r) FROM (SELECT coalesce(reason, 'unknown') AS r, count(*) AS n FROM lost GROUP BY ALL)) AS counts_by_reason
+FROM timed, children"""
+
+
+@query("d41_postrun_report", _REPORT)
 def _(get, spark, sf):
     n = F.col("event_id")
     lines = get("events").select(n.alias("line_no"), F.concat(F.lit("h/bridge_"), n.cast("string")).alias("line"))
     keys = C.output_keys(lines, "line", "out", "masked").where("line_no % 7 <> 0").select("key")
-    return R.postrun_report(lines, keys, get("run_logs"), "out", "masked")
+    report = R.postrun_report(lines, keys, _logs(get), "out", "masked", expected_children=12, most=50)
+    pairs = lambda c: F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), " ").alias(c)
+    counters = [F.try_element_at("aggregated_results", F.lit(c)).alias(c) for c in ("succeeded", "download_failed")]
+    return report.select(
+        "audit.*", *counters, "child_timing.children_reported", "child_timing.children_expected", "child_timing.total_child_hours", "cost_estimate.estimated_compute_usd",
+        F.col("bridge_timing.count").alias("bridges_timed"), F.col("bridge_timing.avg").alias("avg_bridge_seconds"), F.array_join("missing_entries", " ").alias("missing_entries"),
+        "missing_entries_truncated", "total_missing", pairs("missing_reasons"), pairs("counts_by_reason"),
+    )
 
 
 @query("m1_voxel_classifier")

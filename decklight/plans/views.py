@@ -51,6 +51,12 @@ SELECT event_id AS line_no, ts, concat('[Child ', CAST(user_id % 10 AS {s}), ']
                        WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'INFER_FAILED reason=timeout' ELSE 'INFER_FAILED reason=inference_error' END
                        WHEN 'click' THEN 'SKIP_EXISTS' WHEN 'view' THEN 'INFER_START' ELSE 'SKIP_SMALL_FILE points<100' END) AS line
 FROM events""",
+    "summaries": """
+SELECT line_no, concat('[Child ', CAST(child AS {s}), '] SUMMARY succeeded=', CAST(ok AS {s}), ' failed=', CAST(bad AS {s}), ' skipped_exists=', CAST(seen AS {s}), ' skipped_too_few_points=', CAST(small AS {s}),
+       ' download_failed=', CAST(lost AS {s}), ' total=', CAST(n AS {s}), ' wall_clock_seconds=', CAST(secs AS {s}), ' wall_clock_hours=', CAST(secs {div} 3600 AS {s}), '.', lpad(CAST((secs % 3600) * 10000 {div} 3600 AS {s}), 4, '0')) AS line
+FROM (SELECT user_id % 10 AS child, max(event_id) AS line_no, count(*) AS n, CAST(sum(event_id % 97) AS BIGINT) AS secs, CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS ok,
+  CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS bad, CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS seen,
+  CAST(sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS BIGINT) AS small, CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS lost FROM events GROUP BY user_id % 10) s""",
     "curved_logs": """
 SELECT event_id AS line_no, concat('[', lpad(CAST(user_id AS {s}), 8, '0'), '] OSM ID ', CAST(event_id % 500 AS {s}), ' / Source S_',
        CAST(event_id % 7 AS {s}), ': Bridge is curved/arched (max deviation: ', CAST(CAST(floor(abs(value)) AS BIGINT) AS {s}), '.375m)') AS line

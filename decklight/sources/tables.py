@@ -56,10 +56,10 @@ def write_by_huc(df: DataFrame, column: str, path: str, rows_a_file: int = 5_000
 
 
 def write_labelled_points(points: DataFrame, labels: DataFrame, path: str) -> None:
-    """Source clouds of all bridges, labelled ones of the bridges whose status is success."""
-    points.write.partitionBy("huc_id").parquet(f"{path}/source")
+    """Source clouds of all bridges, labelled ones of the bridges whose status is success, in folders a region."""
+    write_by_huc(points, "huc_id", f"{path}/source")
     good = labels.where("status = 'success'").select("huc_id", "bridge_id")
-    points.join(good, ["huc_id", "bridge_id"], "left_semi").write.partitionBy("huc_id").parquet(f"{path}/labelled")
+    write_by_huc(points.join(good, ["huc_id", "bridge_id"], "left_semi"), "huc_id", f"{path}/labelled")
 
 
 def cloud_metadata_rows(df: DataFrame, column: str, key: str) -> DataFrame:
