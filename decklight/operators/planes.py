@@ -39,28 +39,55 @@ def _fit(df: DataFrame, keys: list[str]) -> DataFrame:
     return summed.select(*keys, F.col("s_n").alias("n"), *_plane(named))
 
 
+#: Up to this many bridges their planes, a hundred each, are sent to all tasks; beyond it points and planes meet by a shuffle.
+MOST_BROADCAST = 2_000
+
+
+def _sampled_planes(centred: DataFrame, most: int, min_samples: int, rounds: int, seed: int, bounded: bool) -> DataFrame:
+    """(bridge, round, block, n, a, b, c): a plane for every run of ``min_samples`` of the first ``most`` points in each round's hash order.
+
+    Hashes are spread evenly, so if ``bounded`` only rows under a hash that follows from the number of
+    points are ranked: a few hundred a bridge and round, whatever its size.
+    """
+    each = centred.select("*", F.explode(F.array(*map(F.lit, range(rounds)))).alias("round"))
+    each = each.withColumn("h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("round").cast("string"), *BRIDGE, F.col("point_idx").cast("string"))))
+    rows = each.where(F.col("h") < F.col("bound")) if bounded else each
+    ranked = least_of_each(rows, most, [*BRIDGE, "round"], [F.col("h"), F.col("point_idx")], "rank", salted=not bounded)
+    block = ranked.withColumn("block", F.floor((F.col("rank") - 1) / min_samples).cast("int"))
+    return written(_fit(block, [*BRIDGE, "round", "block"]).where(F.col("n") == min_samples))
+
+
 def plane_consensus(points: DataFrame, min_samples: int = 10, threshold: float = 0.20, trials: int = 100, seed: int = 27, rounds: int = 4) -> DataFrame:
     """(bridge, x_center, y_center, a, b, c, n_inliers, n_points): z = a (x - x_center) + b (y - y_center) + c."""
-    centers = written(points.groupBy(*BRIDGE).agg(F.avg("x").alias("x_center"), F.avg("y").alias("y_center"), F.count(F.lit(1)).alias("n_points")))
+    per_round = max(1, trials // rounds)
+    most = per_round * min_samples
+    centers = points.groupBy(*BRIDGE).agg(F.avg("x").alias("x_center"), F.avg("y").alias("y_center"), F.count(F.lit(1)).alias("n_points"))
+    # the hash under which eight deviations more points lie than are wanted; "g" is over all hashes
+    share = (most + 8 * most**0.5 + 64) / F.col("n_points")
+    bound = F.when(share >= 1, "g").otherwise(F.lower(F.lpad(F.hex(F.floor(share * 4294967296.0)), 8, "0")))
+    centers = written(centers.withColumn("bound", bound))
+    near = F.broadcast if centers.count() <= MOST_BROADCAST else (lambda df: df)
     centred = written(
-        points.join(centers, BRIDGE).select(*BRIDGE, "point_idx", "z", (F.col("x") - F.col("x_center")).alias("cx"), (F.col("y") - F.col("y_center")).alias("cy"))
+        points.join(near(centers), BRIDGE).select(*BRIDGE, "point_idx", "z", (F.col("x") - F.col("x_center")).alias("cx"), (F.col("y") - F.col("y_center")).alias("cy"), "bound")
     )
-    each = centred.select("*", F.explode(F.array(*map(F.lit, range(rounds)))).alias("round"))
-    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("round").cast("string"), *BRIDGE, F.col("point_idx").cast("string")))
-    per_round = max(1, trials // rounds)
-    ranked = least_of_each(each, per_round * min_samples, [*BRIDGE, "round"], [order, F.col("point_idx")], "rank")
-    block = ranked.withColumn("block", F.floor((F.col("rank") - 1) / min_samples).cast("int"))
-    tried = _fit(block, [*BRIDGE, "round", "block"]).where((F.col("n") == min_samples) & F.col("a").isNotNull())
+    tried = _sampled_planes(centred, most, min_samples, rounds, seed, True)
+    # a bridge whose hashes are not spread, as one of repeated keys, may have too few under its bound: it is ranked whole
+    wanted = rounds * F.floor(F.least(F.col("n_points"), F.lit(most)) / min_samples)
+    found = tried.groupBy(*BRIDGE).agg(F.count(F.lit(1)).alias("found"))
+    short = written(centers.join(found, BRIDGE, "left").where(F.coalesce("found", F.lit(0)) < wanted).select(*BRIDGE))
+    if not short.isEmpty():
+        again = _sampled_planes(centred.join(short, BRIDGE, "left_semi"), most, min_samples, rounds, seed, False)
+        tried = tried.join(short, BRIDGE, "left_anti").unionByName(again)
     # at most ``trials`` planes a bridge, in a stated order
-    planes = written(tried.groupBy(*BRIDGE).agg(F.array_sort(F.collect_list(F.struct("round", "block", "a", "b", "c"))).alias("planes")))
+    planes = tried.where("a IS NOT NULL").groupBy(*BRIDGE).agg(F.array_sort(F.collect_list(F.struct("round", "block", "a", "b", "c"))).alias("planes"))
     residual = lambda p: F.abs(F.col("z") - p["a"] * F.col("cx") - p["b"] * F.col("cy") - p["c"])
     # a vote is a row that the same stage counts at once: a loop over the planes in generated code, which so many aggregates are not
-    voted = centred.join(planes, BRIDGE).select(*BRIDGE, "z", "cx", "cy", F.posexplode("planes").alias("at", "p")).where(residual(F.col("p")) <= threshold)
+    voted = centred.join(near(planes), BRIDGE).select(*BRIDGE, "z", "cx", "cy", F.posexplode("planes").alias("at", "p")).where(residual(F.col("p")) <= threshold)
     votes = voted.groupBy(*BRIDGE, "at").agg(F.count(F.lit(1)).alias("n")).groupBy(*BRIDGE).agg(F.max_by("at", F.struct("n", -F.col("at"))).alias("at"))
     best = votes.join(planes, BRIDGE).select(*BRIDGE, F.get("planes", F.col("at")).alias("p"))
-    inliers = centred.join(best, BRIDGE).where(residual(F.col("p")) <= threshold)
+    inliers = centred.join(near(best), BRIDGE).where(residual(F.col("p")) <= threshold)
     refit = _fit(inliers, BRIDGE).select(*BRIDGE, "a", "b", "c").where("a IS NOT NULL")
-    counted = centred.join(refit, BRIDGE).groupBy(*BRIDGE, "a", "b", "c").agg(
+    counted = centred.join(near(refit), BRIDGE).groupBy(*BRIDGE, "a", "b", "c").agg(
         F.count_if(F.abs(F.col("z") - F.col("a") * F.col("cx") - F.col("b") * F.col("cy") - F.col("c")) <= threshold).alias("n_inliers")
     )
     return centers.join(counted, BRIDGE).select(*BRIDGE, "x_center", "y_center", "a", "b", "c", "n_inliers", "n_points")

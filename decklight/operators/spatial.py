@@ -96,23 +96,22 @@ def _pieces(s: Column, tile: float) -> Column:
 
 
 def _piece_tiles(df: DataFrame, segment: str, pad: float, tile: float) -> DataFrame:
-    """Each row once for every tile near a piece of its segment."""
+    """Each row for every tile near a piece of its segment, more than once where two pieces are near it."""
     cut = df.withColumn("__p", F.explode(_pieces(F.col(segment), tile)))
     low = lambda c: F.least(f"__p.a.{c}", f"__p.b.{c}") - pad
     high = lambda c: F.greatest(f"__p.a.{c}", f"__p.b.{c}") + pad
-    tiled = _tiles(cut, (low("x"), low("y"), high("x"), high("y")), F.lit(tile)).drop("__p")
-    return tiled.distinct()
+    return _tiles(cut, (low("x"), low("y"), high("x"), high("y")), F.lit(tile)).drop("__p")
 
 
 def _near_pairs(lines: DataFrame, edges: DataFrame, buffer: float, tile: float) -> DataFrame:
-    """(bid, sid) where a segment of the path comes as near as ``buffer`` to an edge: a join of segments with edges by tile."""
+    """(bid, sid), perhaps repeated, where a segment of the path comes as near as ``buffer`` to an edge: a join of segments with edges by tile."""
     parts = lines.select("bid", F.explode(segments(F.col("line"), False)).alias("s"))
     # both are padded by more than half of the buffer, so that rounding of the pieces loses no pair
     pad = 0.51 * buffer + 1e-6 * tile
     met = _piece_tiles(parts, "s", pad, tile).join(_piece_tiles(edges, "e", pad, tile), ["__tx", "__ty"])
     s, e = F.col("s"), F.col("e")
     apart = lambda c: (F.least(s["a"][c], s["b"][c]) - buffer > F.greatest(e["a"][c], e["b"][c])) | (F.least(e["a"][c], e["b"][c]) - buffer > F.greatest(s["a"][c], s["b"][c]))
-    return met.where(~apart("x") & ~apart("y")).where(segments_within(s, e, buffer)).select("bid", "sid").distinct()
+    return met.where(~apart("x") & ~apart("y")).where(segments_within(s, e, buffer)).select("bid", "sid")
 
 
 def _inside_pairs(lines: DataFrame, footprints: DataFrame, edges: DataFrame, tile: float) -> DataFrame:
@@ -147,7 +146,8 @@ def bridge_source_join(bridges: DataFrame, sources: DataFrame, buffer: float = 1
     """
     line = F.col("path") if "path" in bridges.columns else path((F.col("x0"), F.col("y0")), (F.col("x1"), F.col("y1")))
     named = bridges.select("huc_id", "osmid", line.alias("line")).where(F.size("line") > 0).withColumn("bid", F.xxhash64("huc_id", "osmid", "line"))
-    lines = named.select("bid", "line").distinct().repartition("bid")  # an inventory is often one small file
+    parts = int(bridges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lines = named.select("bid", "line").repartition(parts, "bid").dropDuplicates(["bid"])  # spread, for an inventory is often one small file
     footprints = _footprints(sources)
     edges = _edges(footprints)
     pairs = _near_pairs(lines, edges, buffer, tile).unionByName(_inside_pairs(lines, footprints, edges, tile))

@@ -44,16 +44,19 @@ SALTS = 32
 MOST_RANKED = 1_000
 
 
-def least_of_each(df: DataFrame, most: int, groups: list[str], order: list[Column], name: str = "__r") -> DataFrame:
+def least_of_each(df: DataFrame, most: int, groups: list[str], order: list[Column], name: str = "__r", salted: bool = True) -> DataFrame:
     """The first ``most`` rows of each group in an order, with their place in it, from 1.
 
     The first rows of salted parts of each group come first, and then the first of these, so one task
     ranks ``SALTS * most`` rows of a group at most. Where that is much, all rows are numbered instead.
+    ``salted`` may be off where the groups are known to be small.
     """
+    if not salted:
+        return _ranked(df, groups, order, name).where(F.col(name) <= most)
     if most > MOST_RANKED:
         return numbered(df, order, name, groups).where(F.col(name) <= most)
-    salted = _ranked(df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS))), [*groups, "__salt"], order).where(F.col("__r") <= most)
-    return _ranked(salted.drop("__r", "__salt"), groups, order, name).where(F.col(name) <= most)
+    first = _ranked(df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS))), [*groups, "__salt"], order).where(F.col("__r") <= most)
+    return _ranked(first.drop("__r", "__salt"), groups, order, name).where(F.col(name) <= most)
 
 
 def deterministic_order(points: DataFrame, seed: int = SEED) -> DataFrame:
