@@ -16,9 +16,10 @@ windows with one anchor form a segment. The job:
 
 Anchors that a sample shows to be frequent are dealt out window by window, by the
 window's own hash, and grouped by an aggregate that combines before it shuffles, so
-no anchor fills a task. They are marked in a bitmap of fixed size; an anchor that is
-marked by chance is dealt out in the same way. The sample is a share of the table and
-decides how rows are dealt, never which count.
+no anchor fills a task. They are marked in a bitmap whose size follows their number; an
+anchor that is marked by chance is dealt out in the same way. They are counted in all texts
+of over 50,000 characters, one of which may repeat an anchor without end, and in a tenth of
+the others; this decides how rows are dealt, never which count.
 
 Equal contents, and equal windows of frequent anchors, are known by hashes of 128 bits
 together; where contents differ, the index compares the words themselves.
@@ -47,11 +48,13 @@ from .words import gather, text_slices
 
 WINDOW = 13
 ANCHOR = 6
-#: Anchors this often in a sample of this share of the documents are dealt out window by window.
+#: Anchors this often in a sample of this share of the documents are dealt out window by window. Of long texts all are
+#: counted, and their segments count as this share each.
 HOT_IN_SAMPLE = 64
 SAMPLE_SHARE = 0.1
-#: Bits of the map of hot anchors: 2 MB.
-_MAP_BITS = 24
+LONG_TEXT = 50_000
+#: Bits of the map of hot anchors, at least and at most: 2 MB and 32 MB. Between them it has sixteen for each.
+_MAP_BITS = (24, 28)
 #: Words in a shard, besides those of its last anchor.
 SHARD_WORDS = 400_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -101,15 +104,15 @@ class HotAnchors:
     """A bitmap of anchors."""
 
     def __init__(self, words: np.ndarray):
-        self.words = words
+        self.words, self.last = words, np.uint64(64 * len(words) - 1)
 
     def marked(self, key: np.ndarray) -> np.ndarray:
-        bit = key & np.uint64((1 << _MAP_BITS) - 1)
+        bit = key & self.last
         return (self.words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def segments(docs: DataFrame, window: int, anchor: int, hot: HotAnchors | None = None, want_hot: bool = False) -> DataFrame:
-    """Every text's segments, without words: those whose anchor is not hot, or the windows of those whose is."""
+def segments(docs: DataFrame, window: int, anchor: int, hot: HotAnchors | None = None, want_hot: bool = False, carry: str | None = None) -> DataFrame:
+    """Every text's segments, without words: those whose anchor is not hot, or the windows of those whose is. A whole number may be carried along."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, wide = xxhash.xxh64_intdigest, xxhash.xxh3_128_digest
@@ -130,27 +133,34 @@ def segments(docs: DataFrame, window: int, anchor: int, hot: HotAnchors | None =
                     own = np.frombuffer(b"".join(whole), np.uint64).reshape(-1, 2)
                     key, content, first, size = own[:, 0].copy(), own[:, 1].copy(), at, np.ones(len(own))
                 tags = np.array([text_tag(t) for t in texts], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), part["doc_id"].take(pa.array(text)),
-                        pa.array(first + tags[text]), pa.array(size.astype(np.int32)),
-                    ],
-                    _NAMES,
-                )
+                columns = [
+                    pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), part["doc_id"].take(pa.array(text)),
+                    pa.array(first + tags[text]), pa.array(size.astype(np.int32)),
+                ]
+                if carry:
+                    columns.append(part[carry].take(pa.array(text)))
+                yield pa.RecordBatch.from_arrays(columns, [*_NAMES, *([carry] if carry else [])])
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(cut, _SEGMENT)
+    return docs.where("doc_id IS NOT NULL").mapInArrow(cut, _SEGMENT + (f", {carry} int" if carry else ""))
 
 
 def hot_anchors(docs: DataFrame, window: int, anchor: int) -> HotAnchors | None:
-    """Only a sample of the documents is cut for it; what comes to the driver is the bitmap."""
-    sample = docs.sample(SAMPLE_SHARE, seed=5)
-    seen = segments(sample, window, anchor).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_IN_SAMPLE)
-    bit = F.col("anchor").bitwiseAND((1 << _MAP_BITS) - 1)
+    """Long texts and a sample of the others are cut for it; what comes to the driver is the bitmap."""
+    long_text = F.length("text") > LONG_TEXT
+    sample = docs.where(long_text).withColumn("long", F.lit(1)).unionByName(docs.where(~long_text).sample(SAMPLE_SHARE, seed=5).withColumn("long", F.lit(0)))
+    counted = F.sum(F.when(F.col("long") == 1, SAMPLE_SHARE).otherwise(1.0))
+    seen = segments(sample, window, anchor, carry="long").groupBy("anchor").agg(counted.alias("n")).where(F.col("n") >= HOT_IN_SAMPLE)
+    seen = written(seen.select("anchor"))
+    n = seen.count()
+    if not n:
+        return None
+    bits = min(max(_MAP_BITS[0], (16 * n).bit_length()), _MAP_BITS[1])
+    bit = F.col("anchor").bitwiseAND((1 << bits) - 1)
     marks = seen.select(F.shiftright(bit, 6).cast("int").alias("at"), F.expr("shiftleft(1L, CAST(anchor & 63 AS INT))").alias("mark"))
-    rows = marks.groupBy("at").agg(F.bit_or("mark").alias("mark")).collect()  # 2 ** 18 at most
-    words = np.zeros(1 << _MAP_BITS - 6, np.uint64)
-    words[[r.at for r in rows]] = np.array([r.mark for r in rows], np.int64).view(np.uint64)
-    return HotAnchors(words) if rows else None
+    rows = marks.groupBy("at").agg(F.bit_or("mark").alias("mark")).toArrow()  # one for each 64 bits at most
+    words = np.zeros(1 << bits - 6, np.uint64)
+    words[rows["at"].to_numpy()] = rows["mark"].to_numpy().view(np.uint64)
+    return HotAnchors(words)
 
 
 def shared_only(dealt: DataFrame) -> DataFrame:
@@ -230,7 +240,7 @@ def with_words(docs: DataFrame, leads: DataFrame, window: int) -> DataFrame:
                 )
 
     parts = leads.groupBy(F.col("doc_id").alias("part_doc_id")).agg(F.collect_list(F.struct("anchor", "content", "first", "windows", "high")).alias("parts"))
-    joined = docs.join(parts, F.col("doc_id") == F.col("part_doc_id"), "left").select("doc_id", "text", "parts")
+    joined = docs.join(parts, F.col("doc_id") == F.col("part_doc_id")).select("doc_id", "text", "parts")
     return joined.mapInArrow(cut, "anchor long, content long, segment string, low long, high long")
 
 
@@ -333,7 +343,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                     ["doc_id", "n_words", "n_removed", "kept"],
                 )
 
-    joined = rows.join(found, F.col("doc_id") == F.col("found_doc_id"), "left").select("doc_id", "text", "at")
+    joined = rows.where("doc_id IS NOT NULL").join(found, F.col("doc_id") == F.col("found_doc_id"), "left").select("doc_id", "text", "at")
+    joined = joined.unionByName(rows.where("doc_id IS NULL"), allowMissingColumns=True)  # these lose nothing, and would meet in one task
     return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
 
 

@@ -84,3 +84,18 @@ def test_columns_stay_and_empty_table(spark):
     assert all(r.text == texts[d] for r in got if (d := hashlib.sha256(b" ".join((r.text or "").encode().split())).hexdigest()) in untouched and r.text)
     empty = spark.createDataFrame([], SCHEMA)
     assert op1_substring(empty).count() == remove_repeats(empty).count() == 0
+
+
+def test_an_anchor_that_one_text_repeats_is_hot(spark):
+    random.seed(11)
+    words = [f"r{i}" for i in range(9)]
+    text = lambda n, own: f"{own} " + " ".join(words[i % 9] for i in range(n)) + f" {own} end"
+    rows = [(1, text(30_000, "one")), (2, text(30_000, "two"))] + [(10 + i, " ".join(random.choices([f"x{j}" for j in range(500)], k=60))) for i in range(50)]
+    rows += [(None, text(300, "none"))] * 40
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
+    plain = docs.select("doc_id", "text")
+    hot = substring.hot_anchors(plain, substring.WINDOW, substring.ANCHOR)
+    cold = substring.segments(plain, substring.WINDOW, substring.ANCHOR, hot).groupBy("anchor").count().agg({"count": "max"}).first()[0]
+    assert cold < 20 * substring.HOT_IN_SAMPLE
+    got = sorted((tuple(r)[:4] for r in op1_substring(docs).collect()), key=str)
+    assert got == brute(rows)
