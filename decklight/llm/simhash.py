@@ -348,14 +348,32 @@ def shingle_set(text: str, shingle: int) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(p, 42) for p in parts], np.uint64))
 
 
+#: Links of one text that meet its shingles in one task.
+STAR_LINKS = 1_000
+
+
 def checked_links(docs: DataFrame, links: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The links whose texts have at least this Jaccard similarity, by their whole shingle sets."""
+    """The links whose texts have at least this Jaccard similarity, by their whole shingle sets.
+
+    A text in the middle of a star has as many links as the star has points: they are dealt to
+    parts of ``STAR_LINKS`` links, and its set goes once to each part.
+    """
     links = written(links.distinct())
     ends = links.select(F.explode(F.array("u", "v")).alias("end")).distinct()
     made = shingle_sets(docs.join(ends, F.col("doc_id") == F.col("end"), "left_semi"), shingle)
-    one = made.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    two = made.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = links.join(one, F.col("u") == F.col("a")).join(two, F.col("v") == F.col("b"))
+    dealt = links
+    parts = {}
+    for c in "uv":
+        parts[c] = links.groupBy(F.col(c).alias(f"{c}_end")).agg(F.ceil(F.count(F.lit(1)) / STAR_LINKS).alias("parts")).where("parts > 1")
+        part = F.pmod(F.xxhash64("u", "v"), F.coalesce("parts", F.lit(1))).alias(f"{c}_part")
+        dealt = dealt.join(parts[c], F.col(c) == F.col(f"{c}_end"), "left").select(*dealt.columns, part)
+    dealt = written(dealt)
+
+    def ends_of(c: str, name: str) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)).alias(f"{c}_part")
+        return made.join(parts[c], F.col("doc_id") == F.col(f"{c}_end"), "left").select(F.col("doc_id").alias(c), F.col("shingles").alias(name), each)
+
+    both = dealt.join(ends_of("u", "sa"), ["u", "u_part"]).join(ends_of("v", "sb"), ["v", "v_part"])
     common = F.size(F.array_intersect("sa", "sb"))
     similar = common >= F.lit(least) * (F.size("sa") + F.size("sb") - common)
     return both.where(similar | ((F.size("sa") == 0) & (F.size("sb") == 0))).select("u", "v")

@@ -129,3 +129,18 @@ def test_each_id_in_one_piece(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert op6_packing(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_repeated_rows_are_packed_one_by_one(spark):
+    rows = [(1, "the same text of a few words"), (1, "the same text of a few words"), (1, "another text"), (None, "no id"), (None, "no id")]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    pieces = op6_packing(docs.repartition(3)).collect()
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    sizes = sorted(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+    assert sum(p.length for p in pieces) == sum(sizes) and sorted(p.doc_tokens for p in pieces if p.start == 0) == sizes
+    windows = defaultdict(list)
+    for p in pieces:
+        windows[p.sequence_id].append((p.offset, p.length))
+    for own in windows.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))] and sum(n for _, n in own) <= 1024

@@ -28,3 +28,11 @@ def test_counts_against_brute_force(spark):
     assert got[5].kept and got[6].kept and got[None].kept and not got[10].kept and not got[0].kept
     assert op2_quality_rules(spark.createDataFrame([], SCHEMA)).count() == 0
     assert "the" in STOP_WORDS
+
+
+def test_repeated_rows_and_null_ids_are_judged_one_by_one(spark):
+    text = " ".join(["the quick brown fox of spain and", *(f"word{i} is" for i in range(60))])
+    rows = [(1, text, "x", 1)] * 3 + [(1, "few words", "x", 1)] + [(None, text, "x", 1)] * 2
+    got = [(r.doc_id, r.n_words, r.kept) for r in op2_quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()]
+    n = len(text.split())
+    assert sorted(got, key=str) == sorted([(1, n, True)] * 3 + [(1, 2, False)] + [(None, n, True)] * 2, key=str)

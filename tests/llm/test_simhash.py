@@ -185,3 +185,32 @@ def test_similar_pairs_against_brute_force():
             x, y = label[u], label[v]
             label = {g: min(x, y) if z in (x, y) else z for g, z in label.items()}
         assert label == want and len(set(want.values())) < 40
+
+
+def test_stars_are_checked_in_parts(spark, monkeypatch):
+    random.seed(21)
+    words = [f"w{i}" for i in range(400)]
+    middle = random.choices(words, k=90)
+    rows = [(0, " ".join(middle)), (1, "word " * 200_000)]
+    for i in range(2, 60):
+        own = list(middle)
+        for _ in range(random.choice([0, 1, 2, 4])):
+            own[random.randrange(90)] = random.choice(words)
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    links = spark.createDataFrame([(i, 0) for i in range(1, 60)] + [(0, i) for i in range(30, 60)] + [(5, 6)], "u long, v long")
+    sets = {i: set(shingle_set(t, 5).tolist()) for i, t in rows}
+    wanted = {(r.u, r.v) for r in links.collect() if len(sets[r.u] & sets[r.v]) >= 0.8 * len(sets[r.u] | sets[r.v])}
+    for most in (1_000, 4):
+        monkeypatch.setattr(simhash, "STAR_LINKS", most)
+        got = [(r.u, r.v) for r in simhash.checked_links(docs, links, 5, 0.8).collect()]
+        assert len(got) == len(set(got)) and set(got) == wanted
+    assert 10 < len(wanted) < 80
+
+
+def test_many_rows_without_an_id_and_a_long_text_stay(spark):
+    random.seed(22)
+    copy = " ".join(random.choices([f"w{i}" for i in range(90)], k=120))
+    rows = [(None, copy, "f", 1)] * 300 + [(4, copy, "f", 1), (9, copy, "f", 1), (9, copy, "f", 1), (7, "long text of words " * 150_000, "f", 1), (8, None, "f", 1)]
+    kept = keep_one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(str(r.doc_id) for r in kept) == sorted(["None"] * 300 + ["4", "7", "8"])

@@ -66,3 +66,23 @@ def test_risk_is_corrected_for_the_prior():
     weights, bias = fit_nnpu(positive, unlabelled, 0.2)
     score = 1 / (1 + np.exp(-(unlabelled @ weights + bias)))
     assert abs(score.mean() - 0.2) < 0.05 and weights[0] > 3
+
+
+def test_a_score_at_the_threshold_is_predicted(spark):
+    rows, labels = corpus()
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    some = next(r.score for r in toxicity_scores(docs, table).collect() if 0 < r.score < 1)
+    tied = [r for r in toxicity_scores(docs, table, some).collect() if r.score == some]
+    assert tied and all(r.predicted == 1 for r in tied)
+
+
+def test_samples_are_taken_by_distinct_ids(spark):
+    """Rows that repeat an id many times do not thin the sample out."""
+    rows = [(i, f"w{i} copy {k}", "x", 1) for i in range(2_000) for k in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    table = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(2_000)] * 3, "doc_id long, toxic int")
+    sample = training_rows(docs, table)[0].collect()
+    fitted = [i for i in range(2_000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(r.doc_id for r in sample if r.positive) == [i for i in fitted if i % 4 == 0]
+    assert sorted(r.doc_id for r in sample if not r.positive) == fitted
