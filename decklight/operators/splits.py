@@ -95,9 +95,7 @@ def stratified_split(bridges: DataFrame, train: float, val: float, test: float,
 def round_robin_sample(df: DataFrame, size: int, cap: int | None = None, seed: int = SEED, group: str = "huc_id", key: str = "osmid") -> DataFrame:
     """The k-th row of every group before any group's next, up to ``size`` rows and ``cap`` a group."""
     once = df.dropDuplicates([group, key])
-    ranked = _ranked(once, [group], [hash_order(seed, group, key), F.col(key)])
-    if cap is not None:
-        ranked = ranked.where(F.col("__r") <= cap)
+    ranked = least_of_each(once, size if cap is None else min(cap, size), [group], [hash_order(seed, group, key), F.col(key)])
     return ranked.orderBy("__r", hash_order(seed, group), group).limit(size).drop("__r")
 
 
@@ -108,8 +106,7 @@ def sample_groups(df: DataFrame, n: int, seed: int = SEED, group: str = "huc_id"
 
 
 def two_stage_sample(df: DataFrame, groups: int, rows: int, seed: int = SEED, group: str = "huc_id", key: str = "osmid") -> DataFrame:
-    ranked = _ranked(sample_groups(df, groups, seed, group), [group], [hash_order(seed, group, key), F.col(key)])
-    return ranked.where(F.col("__r") <= rows).drop("__r")
+    return least_of_each(sample_groups(df, groups, seed, group), rows, [group], [hash_order(seed, group, key), F.col(key)]).drop("__r")
 
 
 def dedupe_max(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from decklight.functions.columns import to_web_mercator
 
@@ -130,8 +130,10 @@ def best_checkpoint(files: DataFrame, column: str = "path") -> DataFrame:
 
 def split_manifest(splits: DataFrame) -> DataFrame:
     """Lines ``huc/stem`` of each split, with their number within it."""
-    w = Window.partitionBy("split", "huc_id").orderBy("bridge_stem")
-    return splits.select("split", "huc_id", F.row_number().over(w).alias("line_in_huc"), F.concat_ws("/", "huc_id", "bridge_stem").alias("line"))
+    from decklight.operators.splits import numbered
+
+    placed = numbered(splits.select("split", "huc_id", "bridge_stem"), [F.col("bridge_stem")], "line_in_huc", ["split", "huc_id"])
+    return placed.select("split", "huc_id", "line_in_huc", F.concat_ws("/", "huc_id", "bridge_stem").alias("line"))
 
 
 def write_split_manifest(splits: DataFrame, path: str) -> None:
