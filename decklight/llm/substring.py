@@ -240,7 +240,8 @@ def with_words(docs: DataFrame, leads: DataFrame, window: int) -> DataFrame:
                 )
 
     parts = leads.groupBy(F.col("doc_id").alias("part_doc_id")).agg(F.collect_list(F.struct("anchor", "content", "first", "windows", "high")).alias("parts"))
-    joined = docs.join(parts, F.col("doc_id") == F.col("part_doc_id")).select("doc_id", "text", "parts")
+    # a left join, as the last one is, so that both read one shuffle of the texts
+    joined = docs.join(parts, F.col("doc_id") == F.col("part_doc_id"), "left").select("doc_id", "text", "parts")
     return joined.mapInArrow(cut, "anchor long, content long, segment string, low long, high long")
 
 
@@ -323,7 +324,8 @@ def kept_words(text: str, at: list[int], window: int) -> tuple[list[bytes], int]
 def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): ``kept`` are the words left, joined by a space."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    found = repeated_windows(rows, window, anchor)
+    held = rows.where("doc_id IS NOT NULL")
+    found = repeated_windows(held, window, anchor)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,9 +345,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                     ["doc_id", "n_words", "n_removed", "kept"],
                 )
 
-    joined = rows.where("doc_id IS NOT NULL").join(found, F.col("doc_id") == F.col("found_doc_id"), "left").select("doc_id", "text", "at")
-    joined = joined.unionByName(rows.where("doc_id IS NULL"), allowMissingColumns=True)  # these lose nothing, and would meet in one task
-    return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
+    joined = held.join(found, F.col("doc_id") == F.col("found_doc_id"), "left").select("doc_id", "text", "at")
+    kinds = "doc_id long, n_words long, n_removed long, kept string"
+    loose = rows.where("doc_id IS NULL").withColumn("at", F.lit(None).cast("array<long>"))  # these lose nothing, and would meet in one task
+    return joined.mapInArrow(cut, kinds).unionByName(loose.mapInArrow(cut, kinds))
 
 
 def op1_substring(docs: DataFrame) -> DataFrame:
@@ -355,7 +358,7 @@ def op1_substring(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` with its own columns; a text that loses words becomes its kept words, others stay as they are."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    found = repeated_windows(rows, window, anchor)
+    found = repeated_windows(rows.where("doc_id IS NOT NULL"), window, anchor)
     name, own = free_name(docs, "__repeats"), free_name(docs, "__text")
     found = found.select(F.col("found_doc_id").alias(name + "id"), F.col("at").alias(name))
     names = docs.columns
