@@ -742,12 +742,12 @@ def _(get, spark, sf):
     return rounded(R.summary_totals(_logs(get)), ["total"], 6)
 
 
-@query("d27_child_reports", f"SELECT CAST(i AS INT) AS child, true AS expected, CASE WHEN total IS NULL THEN 0 ELSE 1 END AS lines, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _COUNTERS)}, round({_HOURS}, 6) AS wall_clock_hours FROM (SELECT unnest(range(12)) AS i) LEFT JOIN {_CHILDREN} ON child = i")
+@query("d27_child_reports", f"SELECT CAST(i AS INT) AS child, true AS expected, CAST(CASE WHEN total IS NULL THEN 0 ELSE 1 END AS BIGINT) AS lines, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _COUNTERS)}, round({_HOURS}, 6) AS wall_clock_hours FROM (SELECT unnest(range(12)) AS i) LEFT JOIN {_CHILDREN} ON child = i")
 def _(get, spark, sf):
     return rounded(R.child_reports(_logs(get), 12), ["wall_clock_hours"], 6)
 
 
-@query("d27_child_timing", f"SELECT count(*) AS children_reported, 12 AS children_expected, CAST(min(wall_clock_seconds) AS DOUBLE) AS min_seconds, CAST(max(wall_clock_seconds) AS DOUBLE) AS max_seconds, round(avg(wall_clock_seconds), 1) AS avg_seconds, round(sum(wall_clock_seconds) / 3600, 4) AS total_child_hours FROM {_CHILDREN}")
+@query("d27_child_timing", f"SELECT count(*) AS children_reported, CAST(12 AS BIGINT) AS children_expected, CAST(min(wall_clock_seconds) AS DOUBLE) AS min_seconds, CAST(max(wall_clock_seconds) AS DOUBLE) AS max_seconds, round(avg(wall_clock_seconds), 1) AS avg_seconds, round(sum(wall_clock_seconds) / 3600, 4) AS total_child_hours FROM {_CHILDREN}")
 def _(get, spark, sf):
     return R.child_timing(_logs(get), 12)
 
