@@ -7,8 +7,8 @@ alone skips the token pages. ``row_no`` is a row's place in its file.
 
 Defined results: a null text is empty, so the document is its end id alone; a text of
 any length is encoded whole; rows with one doc_id, equal or not, stand next to each
-other by a hash of their text, in several files if they are many, and ``start`` follows
-that order; a null doc_id comes first;
+other as they were read, in several files if they are many, and ``start`` follows that
+order; a null doc_id comes first;
 an empty table gives an empty table; other columns are not carried.
 """
 
@@ -110,14 +110,14 @@ def write_token_files(
 ) -> None:
     """Files of (file_no, row_no, doc_id, n_tokens, ids); the order is file_no, then row_no, which ascends with doc_id.
 
-    Range partitioning deals doc_ids, and within one its texts' hashes, out evenly; ``files`` defaults to the number
+    Range partitioning deals doc_ids, and the rows of one as they were read, out evenly; ``files`` defaults to the number
     of shuffle partitions. ``encoding`` is ``dictionary`` or ``delta``.
     """
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"unknown encoding: {encoding}")
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("tie"))
         .repartitionByRange(files, "doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
     )
