@@ -7,8 +7,8 @@ are new to a slice of texts do this side by side, a row of a matrix each. Scanni
 quadratic, so words over ``SHORT_WORD`` bytes keep the same boundaries in a linked list
 and the ranks in a heap.
 
-Texts are cut before each space that follows a non-space. The pre-tokenizer never
-joins across such a place, so the pieces can be encoded, and cached, on their own.
+Texts are cut only at places across which the pre-tokenizer never joins (``words``), so
+the pieces can be encoded, and cached, on their own.
 
 Defined results: a null text is empty and gives an empty list; a text of any length is
 encoded whole, with its words cut as above; equal rows give equal rows; an empty table
@@ -73,7 +73,7 @@ class RankArrayBPE:
         self._special_split = re.compile("(" + ("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)") + ")")
         self._words = regex.compile(PRE_TOKENS)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        self.table = WordTable(self.pre_tokens, self.encode_tokens)
+        self.table = WordTable(self.pre_tokens, self.encode_tokens, self.special)
 
     @cached_property
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:

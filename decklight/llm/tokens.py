@@ -18,6 +18,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ class LibraryEncoder:
         self._whole: set[str] = set()
         self._byte_char = {b: c for c, b in byte_alphabet().items()}
         self._words = regex.compile(PRE_TOKENS)
-        self.table = WordTable(self._cut, self._encode)
+        self.table = WordTable(self._cut, self._encode, special)
 
     def _cut(self, word: str) -> list[str]:
         if (word.isascii() or max(word) <= LAST_LATIN) and not self._special.search(word):
@@ -62,13 +63,13 @@ class LibraryEncoder:
         whole, self._whole = self._whole, set()
         tokens_of = {w: e.ids for w, e in zip(whole, self.tokenizer.encode_batch_fast(list(whole), add_special_tokens=False))} if whole else {}
         # no byte of a text is 255, so it stands between tokens while they are spelt as the vocabulary spells bytes
-        spelt = b"\xff".join([t.encode() for t in tokens]).decode("latin-1").translate(self._byte_char).split("\xff")
-        tokenize, flat, size = self.tokenizer.model.tokenize, [], []
-        for token, chars in zip(tokens, spelt):
-            own = tokens_of[token] if token in whole else [t.id for t in tokenize(chars)]
-            size.append(len(own))
-            flat += own
-        return np.array(flat, np.uint32), np.array(size, np.int64)
+        spelt = b"\xff".join(map(str.encode, tokens)).decode("latin-1").translate(self._byte_char).split("\xff")
+        tokenize = self.tokenizer.model.tokenize
+        if whole:
+            lists = [tokens_of[token] if token in whole else [t.id for t in tokenize(chars)] for token, chars in zip(tokens, spelt)]
+        else:
+            lists = [[t.id for t in tokenize(chars)] for chars in spelt]
+        return np.array([*chain.from_iterable(lists)], np.uint32), np.array([*map(len, lists)], np.int64)
 
     def encode(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of the texts, each closed by ``end_id``."""

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from decklight.llm.bpe import RankArrayBPE, bpe_decode, bpe_encode, op9_bpe, vocabulary_path
 from decklight.llm.tokens import END_ID, LibraryEncoder, read_token_files, token_digests, write_token_files
+from decklight.llm.words import byte_classes, word_starts
 
 ODD = ["", " ", "  a", "a\n b", "a \n b", "it's  'll", "<|endoftext|>x <|endoftext|>", "é漢🙂 x" * 3, "x" * 3000, "ab" * 500 + " " * 9]
 
@@ -40,6 +41,34 @@ def test_rank_array_matches_the_library(library):
         assert bpe.decode(ids) == library.decode(ids, skip_special_tokens=False) == decoded[i]
 
 
+def test_words_are_pre_tokens_wherever_bytes_tell(library):
+    bpe, cached = RankArrayBPE(vocabulary_path()), LibraryEncoder(vocabulary_path())
+    random.seed(8)
+    plain, odd = "abZ 90\n\t\r .,<|-éÀß×÷ȿ", "abé \n'’漢\x85\xa0\u200b\u3000\x1c\x7fµñɏ. <|endoftext|>×"
+    many = ["".join(random.choices(alphabet, k=random.randint(0, 25))) for alphabet in (plain, odd) for _ in range(3000)]
+    many += ["<|endoftext|>", " <|endoftext|>\n", "it's ’tis dogs' end  ", "\r\n\r\n x", "é", "x é.\né", "", "", "\n", "a ", " a"]
+    data, offsets = np.frombuffer("".join(many).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in many)])
+    at = np.append(word_starts(data, offsets, byte_classes()), len(data))
+    words = [bytes(data[a:b]).decode() for a, b in zip(at, at[1:])]
+    edges = np.searchsorted(at[:-1], offsets)
+    for text, first, last in zip(many, edges, edges[1:]):
+        expected = bpe._words.findall(text)
+        assert [t for w in words[first:last] for t in bpe._words.findall(w)] == expected
+        if not set(text) & set("'’漢\x85\xa0\u200b\u3000\x1c\x7fµɏ×÷"):
+            assert words[first:last] == expected
+    column = pa.array(many, pa.string()).slice(7)
+    for ends, ids in (bpe.table.encode(column), cached.table.encode(column)):
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode(t, add_special_tokens=False).ids for t in many[7:]]
+
+
+def test_marks_and_lines_make_no_new_words(library):
+    stems = [a + b for a in ("an", "the", "été", "ou", "ing") for b in ("on", "é", "re", "st", "ti", "wh")]
+    text = " ".join(f"{a}{mark}{b.title()}" for a in stems for b in stems for mark in (".\n", ", ", ";", ". "))
+    for table in (RankArrayBPE(vocabulary_path()).table, LibraryEncoder(vocabulary_path()).table):
+        assert table.encode(pa.array([text]))[1].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert table.n <= 4 * len(stems) + 5  # a word as it is or with a capital, each with or without a space; marks and line breaks
+
+
 def test_bounded_table_and_ids_of_no_text(library):
     random.seed(2)
     bpe = RankArrayBPE(vocabulary_path())
