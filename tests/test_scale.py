@@ -1,5 +1,7 @@
 """Steps that split large groups, against plain ones."""
 
+import math
+import os
 import random
 import statistics
 from collections import defaultdict
@@ -86,3 +88,29 @@ def test_one_bridge_with_most_points(spark):
         counts[r[1]] += 1
     for bridge, r in got.items():
         assert r.n_points == counts[bridge] and abs(r.a - 0.1) < 0.01 and abs(r.b + 0.05) < 0.02 and r.n_inliers >= 0.79 * r.n_points
+
+
+def test_ends_of_an_axis_whatever_the_order(spark):
+    """Rows come in another order at each reading: the farthest point is in no bin, the nearest in the first."""
+    random.seed(8)
+    rows, wanted = [], {}
+    for i in range(200):
+        own = [(k + random.uniform(0.05, 0.95), random.uniform(0, 1.5), random.uniform(9, 11)) for k in range(10) for _ in range(6)]
+        rows += [("h", str(i), *p) for p in own]
+        n = len(own)
+        mx, my = (math.fsum(p[j] for p in own) / n for j in (0, 1))
+        vx, vy = (math.fsum((p[j] - m) ** 2 for p in own) / n for j, m in ((0, mx), (1, my)))
+        t = 0.5 * math.atan2(2 * math.fsum((p[0] - mx) * (p[1] - my) for p in own) / n, vx - vy)
+        placed = sorted(((p[0] - mx) * math.cos(t) + (p[1] - my) * math.sin(t), p[2]) for p in own)
+        lo, width = placed[0][0], (placed[-1][0] - placed[0][0]) / 10
+        bins = defaultdict(list)
+        for a, z in placed[:-1]:
+            bins[min(int((a - lo) / width), 9)].append(z)
+        line = [(lo + (b + 0.5) * width, statistics.median(zs)) for b, zs in bins.items() if len(zs) >= 5]
+        k, m = statistics.linear_regression(*zip(*line))
+        wanted[str(i)] = max(abs(z - k * at - m) for at, z in line)
+    schema = "huc_id string, bridge_id string, x double, y double, z double"
+    cloud = spark.createDataFrame(rows, schema).repartition(4).mapInPandas(lambda parts: (p.sample(frac=1, random_state=int.from_bytes(os.urandom(4))) for p in parts), schema)
+    got = {r.bridge_id: r.deviation for r in P.linearity_check(cloud).collect()}
+    assert got.keys() == wanted.keys()
+    assert not [i for i in wanted if abs(got[i] - wanted[i]) > 1e-9]
