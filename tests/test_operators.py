@@ -268,3 +268,27 @@ def test_a_large_region_has_many_files(spark, tmp_path):
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "out").iterdir() if d.is_dir()}
     assert files["huc_id=big"] >= 4 and files["huc_id=small"] == 1
     assert sorted(r.n for r in spark.read.parquet(f"file://{tmp_path}/out").collect()) == sorted(n for _, n in rows)
+
+
+def test_gate_of_a_narrow_strip_and_of_few_places(spark):
+    """A strip whose spread the SQL takes for a line has no hull, though it has corners; equal places count once."""
+    random.seed(4)
+    strip = [("h", "strip", i, i * 0.1, random.choice([-3.5e-6, 3.5e-6]), 10 + 0.005 * i) for i in range(100)]
+    few = [("h", "few", i, float(i % 9), float(i % 3), 10.0) for i in range(90)]
+    ten = [("h", "ten", i, float(i % 10), float(i % 3 % 2), 10.0) for i in range(90)]
+    cloud = spark.createDataFrame(strip + few + ten, "huc_id string, bridge_id string, point_idx long, x double, y double, z double")
+    got = {r.bridge_id: r.status for r in P.quality_gate(cloud).collect()}
+    assert got == {"strip": "hull_failed", "few": "ransac_insufficient", "ten": "success"}
+
+
+def test_packed_rows_give_all_points(spark, monkeypatch):
+    random.seed(9)
+    rows = [("h", b, i, random.uniform(0, 20), random.uniform(0, 6), random.uniform(9, 10.5)) for b, n in (("large", 700), ("small", 40)) for i in range(n)]
+    cloud = spark.createDataFrame(rows, "huc_id string, bridge_id string, point_idx long, x double, y double, z double")
+    whole = sorted((r.bridge_id, r.n_points, r.n_inliers, round(r.rmse, 9), round(r.deviation, 9), r.status) for r in P.quality_gate(cloud).collect())
+    monkeypatch.setattr(P, "PACKED", 30)
+    monkeypatch.setattr(P, "MOST_BROADCAST", 0)
+    parts = sorted((r.bridge_id, r.n_points, r.n_inliers, round(r.rmse, 9), round(r.deviation, 9), r.status) for r in P.quality_gate(cloud).collect())
+    assert whole == parts and [r[:2] for r in whole] == [("large", 700), ("small", 40)]
+    _, packed = P._packed(cloud, 250)
+    assert packed.count() == 26 and sorted((r.bridge_id, r.point_idx, r.x, r.z) for r in P._unpacked(packed).collect()) == sorted((b, i, x, z) for _, b, i, x, _, z in rows)
